@@ -118,7 +118,7 @@ def shingles(p: Piece, width: int) -> tuple[np.ndarray, np.ndarray]:
     n = len(p.hash)
     count = np.bincount(p.text, minlength=p.hi - p.lo)
     full = max(n - width + 1, 0)
-    number = np.full(full, ODD[1] * U(width) if width else 0, dtype=np.uint64)
+    number = np.full(full, 0, dtype=np.uint64) + ODD[1:2] * U(width)
     for k in range(width):
         number += p.hash[k : k + full] * ODD[2 + k % 60]
     whole = p.text[:full] == p.text[width - 1 : width - 1 + full]
@@ -144,3 +144,35 @@ def sets(text: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     if len(key):
         key = key[np.r_[True, key[1:] != key[:-1]]]
     return (key >> U(54)).astype(np.int64), key & U((1 << 54) - 1)
+
+
+def runs(number: np.ndarray, width: int) -> np.ndarray:
+    """Number of each run of ``width`` consecutive numbers, by doubling; runs cross texts."""
+    done, found, block, size, level = 0, None, number, 1, 0
+    while size <= width:
+        if width & size:
+            part = block[done:]
+            found = part * ODD[3] if found is None else found[: len(part)] * ODD[4 + level] + part[: len(found)]
+            done += size
+        if 2 * size <= width:
+            block = block[: max(len(block) - size, 0)] + block[size:] * ODD[20 + level]
+        size, level = 2 * size, level + 1
+    return mix(found[: max(len(number) - width + 1, 0)].copy())
+
+
+def sliding(value: np.ndarray, width: int, pick) -> np.ndarray:
+    """``pick`` (np.minimum or np.maximum) over each run of ``width`` consecutive values."""
+    size = 1
+    while 2 * size <= width:
+        value = pick(value[: max(len(value) - size, 0)], value[size:])
+        size *= 2
+    rest = width - size
+    return pick(value[: max(len(value) - rest, 0)], value[rest:]) if rest else value
+
+
+def code_points(p: Piece, byte: np.ndarray) -> np.ndarray:
+    """Offsets in code points, from the start of the own text, of byte offsets (of the ends of
+    texts too) of a piece; ``byte`` belongs to the text that its word lies in."""
+    lead = np.zeros(len(p.data) + 1, dtype=np.int64)
+    np.cumsum((p.data & 0xC0) != 0x80, out=lead[1:])
+    return lead[byte]
