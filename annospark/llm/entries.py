@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import packing, passages
+from annospark.llm import minhash, packing, passages
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -24,12 +24,17 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(table(spark, sf_dir, "documents"))
 
 
+def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
+
+
 def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
 QUERIES = {
     "op3_passages": op3_passages,
+    "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
 }
 
