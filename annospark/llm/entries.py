@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import lines, minhash, packing, passages
+from annospark.llm import decontaminate, lines, minhash, packing, passages
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -20,6 +20,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.removed_lines(table(spark, sf_dir, "documents"))
 
@@ -37,6 +41,7 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
     "op3_passages": op3_passages,
     "op7_minhash": op7_minhash,
