@@ -7,11 +7,13 @@ kept and all others are removed; what is removed is told by offsets into the ori
 
 Not every unit is shuffled. Of any ``unit // 2 + 1`` consecutive runs of ``unit // 2`` words the one with
 the least number is an anchor, so two equal units hold an equal anchor at the same place. Only units
-around an anchor that occurs twice can occur twice; only those are grouped.
+around an anchor that occurs twice can occur twice; only those are grouped. Exact copies of a text
+are told apart first, by one digest of the whole text, and take no part in this.
 """
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +31,16 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
 
+def _whole(p: words.Piece, text: int) -> int:
+    own = p.data[p.bounds[text] : p.bounds[text + 1]]
+    return int.from_bytes(hashlib.blake2b(own, digest_size=8).digest(), "little", signed=True)
+
+
 def _anchors(width: int, unit: int):
-    """Rows (anchor, doc_id, place) of the anchors of each text; places count words."""
+    """Rows (anchor, doc_id, place, whole, again) of the anchors of each text: places count words,
+    whole is a digest of the text's bytes, again tells that the text has the anchor twice."""
+
+    names = ["anchor", "doc_id", "place", "whole", "again"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -47,17 +57,24 @@ def _anchors(width: int, unit: int):
                 best = words.sliding(np.r_[pad, least, pad], span, np.maximum)[: len(number)]
                 at = np.flatnonzero(best == number)
                 place = at - np.searchsorted(p.text, p.text[at])
-                columns = [number[at].view(np.int64), doc[p.lo + p.text[at]], place.astype(np.int32)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["anchor", "doc_id", "place"])
+                number, text = number[at], p.text[at]
+                whole = np.fromiter((_whole(p, t) for t in range(p.hi - p.lo)), dtype=np.int64, count=p.hi - p.lo)[text]
+                order = np.lexsort((number, text))
+                same = (number[order][1:] == number[order][:-1]) & (text[order][1:] == text[order][:-1])
+                again = np.zeros(len(at), dtype=bool)
+                again[order[1:][same]] = again[order[:-1][same]] = True
+                columns = [number.view(np.int64), doc[p.lo + text], place.astype(np.int32), whole, again]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
 
 
 def _units(width: int, unit: int):
-    """Rows (digest, doc_id, place, begin, end) of the units that hold one of the given anchors."""
+    """Rows (digest, doc_id, place, begin, end, again) of the units that hold one of the given
+    anchors; again tells that the text has the unit before, without overlap."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["digest", "doc_id", "place", "begin", "end"]
+        names = ["digest", "doc_id", "place", "begin", "end", "again"]
         for batch in batches:
             doc = batch["doc_id"].to_numpy(zero_copy_only=False)
             places, bound = batch["places"].flatten().to_numpy(), np.r_[0, np.cumsum(batch["places"].value_lengths().to_numpy())]
@@ -81,7 +98,11 @@ def _units(width: int, unit: int):
                 base = words.code_points(p, p.bounds)[p.text[i]]
                 begin = words.code_points(p, p.start[i]) - base
                 end = words.code_points(p, p.end[i + unit - 1]) - base
-                columns = [digest.view(np.int64), doc[p.lo + p.text[i]], *((x.astype(np.int32)) for x in (i - first[p.text[i]], begin, end))]
+                order = np.lexsort((i, digest, p.text[i]))
+                new = np.r_[True, (digest[order][1:] != digest[order][:-1]) | (p.text[i][order][1:] != p.text[i][order][:-1])]
+                again = np.zeros(len(i), dtype=bool)
+                again[order] = i[order] >= i[order][np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))] + unit
+                columns = [digest.view(np.int64), doc[p.lo + p.text[i]], *((x.astype(np.int32)) for x in (i - first[p.text[i]], begin, end)), again]
                 yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     return run
@@ -92,33 +113,49 @@ def repeated(docs: DataFrame, unit: int = UNIT) -> DataFrame:
 
     ``docs`` needs doc_id (one row each) and text; other columns are not read. A span is a maximal run of words
     each of which lies in a unit that occurs earlier, in a document of smaller doc_id or in the same
-    one without overlap. kept_doc_id has the earliest occurrence of the first unit of the span. Null
+    one without overlap. kept_doc_id has the earliest occurrence of the first unit of the span. A copy
+    of a whole text of at least ``unit`` words is one span, with the least doc_id of its equals. Null
     and empty texts and texts under ``unit`` words have no units. Rows with a null doc_id are left
     out; without documents there are no rows. Work at a time is that of one text and its units.
     """
     width = unit // 2
     texts = _texts(docs.where(F.col("doc_id").isNotNull()))
-    anchors = stored(texts.mapInArrow(_anchors(width, unit), "anchor long, doc_id long, place int"), "anchors")
-    twice = anchors.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    places = anchors.join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    named = texts.select("doc_id", F.md5("text").alias("whole"))
+    least = named.groupBy("whole").agg(F.min("doc_id").alias("kept_doc_id"), F.count("*").alias("n")).where("n > 1")
+    copies = named.join(least.drop("n"), "whole").where("doc_id > kept_doc_id").select("doc_id", "kept_doc_id")
+    copies = stored(copies, "copies")
+
+    schema = "anchor long, doc_id long, place int, whole long, again boolean"
+    anchors = stored(texts.mapInArrow(_anchors(width, unit), schema), "anchors")
+    twice = anchors.groupBy("anchor").agg(F.min("whole").alias("low"), F.max("whole").alias("high"), F.max("again").alias("again"))
+    twice = twice.where("low < high or again").select("anchor")
+    places = anchors.select("anchor", "doc_id", "place").join(twice, "anchor").groupBy("doc_id").agg(F.collect_list("place").alias("places"))
+    places = stored(places.join(copies, "doc_id", "left_anti"), "places")
     units = texts.join(places, "doc_id").mapInArrow(
-        _units(width, unit), "digest long, doc_id long, place int, begin int, end int"
-    )
-    units = stored(units, "units")
-    first = units.groupBy("digest").agg(F.count("*").alias("n"), F.min(F.struct("doc_id", "place")).alias("first"))
-    first = first.where("n > 1").select("digest", F.col("first.doc_id").alias("kept_doc_id"), F.col("first.place").alias("kept_place"))
-    later = units.join(first, "digest").where(
-        (F.col("doc_id") != F.col("kept_doc_id")) | (F.col("place") >= F.col("kept_place") + unit)
+        _units(width, unit), "digest long, doc_id long, place int, begin int, end int, again boolean"
     )
+    first = units.groupBy("digest").agg(F.min("doc_id").alias("kept_doc_id"), F.max("doc_id").alias("last"), F.max("again").alias("any"))
+    first = first.where("kept_doc_id < last or any").select("digest", "kept_doc_id")
+    later = units.join(first, "digest").where("kept_doc_id < doc_id or again")
     by_place = Window.partitionBy("doc_id").orderBy("place")
     spans = later.withColumn("new", (F.col("place") - F.lag("place", 1, -unit - 1).over(by_place) > unit).cast("int"))
     spans = spans.withColumn("span", F.sum("new").over(by_place))
-    return spans.groupBy("doc_id", "span").agg(
+    spans = spans.groupBy("doc_id", "span").agg(
         F.min("begin").cast("long").alias("start"),
         F.max("end").cast("long").alias("end"),
         (F.max("place") - F.min("place") + unit).cast("long").alias("n_words"),
         F.min_by("kept_doc_id", "place").alias("kept_doc_id"),
-    ).drop("span")
+    )
+    bare = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
+    start = F.length("text") - F.length(F.ltrim("text", F.lit(" \t\n\x0b\x0c\r")))
+    whole = texts.join(copies, "doc_id").select(
+        "doc_id",
+        start.cast("long").alias("start"),
+        (start + F.length(bare)).cast("long").alias("end"),
+        F.size(F.split(bare, "[ \t-\r]+")).cast("long").alias("n_words"),
+        "kept_doc_id",
+    )
+    return spans.drop("span").unionByName(whole.where(F.col("n_words") >= unit))
 
 
 def remove(docs: DataFrame, spans: DataFrame) -> DataFrame:

@@ -8,7 +8,7 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 def brute(docs, unit):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
-    first, units = {}, {}
+    first, units, texts = {}, {}, {}
     for doc, text in sorted(docs.items()):
         spans = [m.span() for m in WORD.finditer(text or "")]
         names = [text[a:b].translate(low) for a, b in spans]
@@ -17,6 +17,10 @@ def brute(docs, unit):
             first.setdefault(u, (doc, i))
     found = set()
     for doc, (spans, own) in units.items():
+        same = texts.setdefault(docs[doc], doc)
+        if same != doc and own:
+            found.add((doc, spans[0][0], spans[-1][1], len(spans), same))
+            continue
         at = [i for i, u in enumerate(own) if first[u][0] != doc or i >= first[u][1] + unit]
         while at:
             k = 1
