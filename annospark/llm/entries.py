@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, lines, minhash, packing, passages
+from annospark.llm import decontaminate, lines, minhash, packing, passages, quality
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -32,6 +32,11 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(table(spark, sf_dir, "documents"))
 
 
+def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -44,6 +49,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
     "op3_passages": op3_passages,
+    "op4_quality": op4_quality,
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
 }
