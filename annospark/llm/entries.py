@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, lines, minhash, packing, passages, quality
+from annospark.llm import decontaminate, lines, minhash, packing, passages, quality, rules
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -45,6 +45,10 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), tokenizer_path(), keep_ids=False)
 
 
+def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rules.check(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
@@ -52,6 +56,7 @@ QUERIES = {
     "op4_quality": op4_quality,
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
+    "op9_rules": op9_rules,
 }
 
 ORACLES: dict[str, str] = {}
