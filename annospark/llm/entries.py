@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, lines, minhash, packing, passages, quality, rules
+from annospark.llm import decontaminate, lines, minhash, packing, passages, quality, rules, secrets
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -37,6 +37,18 @@ def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
 
 
+def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = secrets.scan(docs, secrets.train(docs))
+    return found.select(
+        "doc_id",
+        *[F.size(k).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex")],
+        F.sha2(secrets.joined(["assign", "access", "hex"]), 256).alias("base_sha256"),
+        secrets.joined(secrets.KINDS).alias("spans"),
+        F.size("markov").cast("long").alias("n_markov"),
+    )
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -54,6 +66,7 @@ QUERIES = {
     "op2_lines": op2_lines,
     "op3_passages": op3_passages,
     "op4_quality": op4_quality,
+    "op5_secrets": op5_secrets,
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
