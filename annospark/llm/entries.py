@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import decontaminate, lines, minhash, packing, passages, quality, rules, secrets
+from annospark.llm import chat, decontaminate, lines, minhash, packing, passages, quality, rules, secrets
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -49,6 +49,13 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
+    said = "</s>[INST] ok [/INST]"
+    own = spark.createDataFrame([(-1, 0, "user", said), (-1, 1, "assistant", said)], "conv_id long, turn long, role string, text string")
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
+    return chat.digests(chat.read_back(chat.formatted(chat.canonical(chat.records(rows)))))
+
+
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"), width=2)
 
@@ -67,9 +74,27 @@ QUERIES = {
     "op3_passages": op3_passages,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "op6_chat": op6_chat,
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_chat": """
+        WITH rows AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]'
+            UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'
+        ), escaped AS (
+            SELECT *, regexp_replace(text, '([<\\[])(\\\\*(?:/?s>|/?INST\\]|<SYS>>|</SYS>>|\\|im_start\\|>|\\|im_end\\|>|\\|endoftext\\|>))', '\\1\\\\\\2', 'g') AS inner_text
+            FROM rows
+        )
+        SELECT conv_id, count(*) AS n_turns,
+            sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+            coalesce(sum(length(text)) FILTER (role = 'assistant'), 0)::BIGINT AS loss_chars,
+            sha256(coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '')) AS loss_sha256,
+            sum(length('<|im_start|>' || role || chr(10) || inner_text || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
+        FROM escaped GROUP BY conv_id
+    """,
+}
