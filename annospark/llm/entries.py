@@ -8,7 +8,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import chat, decontaminate, lines, minhash, packing, passages, quality, rules, secrets
+from annospark.llm import chat, decontaminate, html, lines, minhash, packing, passages, quality, rules, secrets
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -68,6 +68,10 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.check(table(spark, sf_dir, "documents"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
@@ -78,6 +82,7 @@ QUERIES = {
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {
