@@ -16,8 +16,10 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from annospark.llm import words
 
@@ -216,3 +218,19 @@ def scored(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
 
     rows = _texts(docs).mapInArrow(run, "doc_id long, score double")
     return rows.select("doc_id", held_out().alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted"))
+
+
+def annotated(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:
+    """``docs``, all columns and rows, with score and predicted as in ``scored``, which replace columns
+    of these names."""
+    docs = docs.drop("score", "predicted")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            texts = pc.coalesce(batch["text"], pa.scalar("", batch["text"].type))
+            found = [score(model, *features(p), p.hi - p.lo) for p in words.pieces(texts)]
+            if found:
+                yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(found))], names=[*batch.schema.names, "score"])
+
+    schema = T.StructType([*docs.schema.fields, T.StructField("score", T.DoubleType())])
+    return docs.mapInArrow(run, schema).withColumn("predicted", (F.col("score") >= threshold).cast("int"))

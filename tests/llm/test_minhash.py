@@ -52,11 +52,12 @@ def test_crowded_buckets(spark):
     for k in range(40):
         docs[300 + k] = " ".join(rng.choices("abc", k=rng.randint(1, 6)))
     df = spark.createDataFrame([(k, t, 1) for k, t in docs.items()], "doc_id long, text string, n_shingles int")
-    for at_once in (3,):
-        minhash.AT_ONCE = at_once
+    minhash.CROWD, minhash.PIVOTS, minhash.TURNS, minhash.AT_ONCE = 10, 2, 1, 40
+    try:
         rows = minhash.near_duplicates(df, width=2, n_collections=16).collect()
-        assert {tuple(r) for r in rows} == brute(docs, 2), at_once
-    minhash.AT_ONCE = 32
+    finally:
+        minhash.CROWD, minhash.PIVOTS, minhash.TURNS, minhash.AT_ONCE = 4096, 8, 3, 1 << 20
+    assert {tuple(r) for r in rows} == brute(docs, 2)
     assert minhash.near_duplicates(df.limit(0)).count() == 0
     twice = minhash.near_duplicates(df.where("doc_id = 3").union(df.where("doc_id = 3")).union(df.limit(1).selectExpr("null", "text", "1")))
     assert sorted(map(tuple, twice.collect()), key=str) == [(3, 1, 3, True), (3, 1, 3, True), (None, 0, None, True)]
