@@ -8,8 +8,9 @@ verified on the whole sets. A line that is similar to an earlier one, by doc_id
 
 Rarity comes from counts of all words, summed in a table of fixed size; any order gives the same
 result, as long as it is one order. Lines with equal sets are one class, for which its earliest line
-stands. In a crowded group, lines are first compared with the earliest of the group; those that
-are removed by it do not look for further matches, so the pairs within a group are not all formed.
+stands. In a crowded group, lines are first compared with the earliest of the group, and what is left
+with the earliest of that, a few times; lines that are removed so do not look for further matches,
+so the pairs within a group are not all formed.
 """
 
 from __future__ import annotations
@@ -19,17 +20,19 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm import words
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import small, stored
 
 #: Cells of the table of word counts; its size is fixed whatever the corpus.
 CELLS = 1 << 20
 TOKEN_BITS = 44
 #: Lines with one prefix word from which the group's earliest line is tried first.
 CROWD = 64
+#: How often what is left of a crowd tries the earliest of what is left.
+TURNS = 4
 OVER, UNDER = 4, 5  # the similarity
 
 
@@ -85,10 +88,11 @@ def word_counts(texts: DataFrame) -> np.ndarray:
 
 
 def _described(count):
-    """Rows (doc_id, line, n, digest, parity, prefix) of the lines with a word."""
+    """Rows (doc_id, line, n, digest, low, high, prefix) of the lines with a word; low and high have
+    128 bits, each the parity of the number of words that fall on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "line", "n", "digest", "parity", "prefix"]
+        names = ["doc_id", "line", "n", "digest", "low", "high", "prefix"]
         for batch in batches:
             doc = batch["doc_id"].to_numpy(zero_copy_only=False)
             for p in words.pieces(batch["text"]):
@@ -97,7 +101,9 @@ def _described(count):
                     continue
                 spread = words.mix(x.token + words.ODD[40])
                 digest = np.add.reduceat(spread, x.first)
-                parity = np.bitwise_xor.reduceat(words.U(1) << (spread & words.U(63)), x.first)
+                bit, upper = words.U(1) << (spread & words.U(63)), (spread >> words.U(6) & words.U(1)).astype(bool)
+                low = np.bitwise_xor.reduceat(np.where(upper, words.U(0), bit), x.first)
+                high = np.bitwise_xor.reduceat(np.where(upper, bit, words.U(0)), x.first)
                 order = np.lexsort((x.token, count.value[_cell(x.token)], x.line))
                 place = np.arange(len(order)) - np.repeat(x.first, x.size)
                 length = x.size - (OVER * x.size + UNDER - 1) // UNDER + 1
@@ -106,7 +112,7 @@ def _described(count):
                     pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array((prefix & words.U(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
                 )
                 columns = [pa.array(doc[p.lo + x.text]), pa.array(x.number.astype(np.int32)), pa.array(x.size.astype(np.int32))]
-                columns += [pa.array(digest.view(np.int64)), pa.array(parity.view(np.int64)), lists]
+                columns += [*(pa.array(v.view(np.int64)) for v in (digest, low, high)), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -131,14 +137,33 @@ def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     """Later lines (doc_id, line) of those ``pairs`` (p later, q earlier) that are similar enough."""
-    lines = pairs.select(F.col("p.*")).union(pairs.select("q.*")).distinct()
-    lines = lines.groupBy("doc_id").agg(F.collect_list("line").alias("lines"))
-    known = texts.join(lines, "doc_id").mapInArrow(_wanted, "doc_id long, line int, words array<long>")
+    lines = stored(pairs.select(F.col("p.*")).union(pairs.select("q.*")).distinct(), "asked")
+    lists = lines.groupBy("doc_id").agg(F.collect_list("line").alias("lines"))
+    lists = F.broadcast(lists) if lines.count() <= 400_000 else lists
+    known = texts.join(lists, "doc_id").mapInArrow(_wanted, "doc_id long, line int, words array<long>")
     known = known.select(F.struct("doc_id", "line").alias("at"), "words")
     both = pairs.join(known.select(F.col("at").alias("p"), F.col("words").alias("v")), "p")
     both = both.join(known.select(F.col("at").alias("q"), F.col("words").alias("w")), "q")
     shared = F.size(F.array_intersect("v", "w"))
-    return both.where(shared * (OVER + UNDER) >= OVER * (F.size("v") + F.size("w"))).select("p.*").distinct()
+    both = both.where(shared * (OVER + UNDER) >= OVER * (F.size("v") + F.size("w")))
+    return stored(both.select("p.*").distinct(), "gone")
+
+
+def _close() -> Column:
+    """What two rows p and q of prefix words need to be like; exact filters, in the cheapest order."""
+    n, m = F.col("p.n"), F.col("q.n")
+    differ = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low"))) + F.bit_count(F.col("p.high").bitwiseXOR(F.col("q.high")))
+    follow = F.least(n - F.col("p.place"), m - F.col("q.place"))
+    return (
+        ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.line") < F.col("p.line"))))
+        & (differ * (OVER + UNDER) <= n + m)
+        & (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
+        & ((OVER + UNDER) * follow >= OVER * (n + m))
+    )
+
+
+def _ends() -> tuple[Column, Column]:
+    return F.struct("p.doc_id", "p.line").alias("p"), F.struct("q.doc_id", "q.line").alias("q")
 
 
 def similar_lines(docs: DataFrame) -> DataFrame:
@@ -152,39 +177,41 @@ def similar_lines(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     count = spark.sparkContext.broadcast(word_counts(texts))
-    schema = "doc_id long, line int, n int, digest long, parity long, prefix array<int>"
-    described = texts.mapInArrow(_described(count), schema)
-    classes = described.groupBy("digest", "n").agg(
-        F.min(F.struct("doc_id", "line")).alias("at"), F.first("parity").alias("parity"), F.first("prefix").alias("prefix")
-    )
-    classes = stored(classes, "classes")
-
-    rows = classes.where("n > 3").select("at", "n", "parity", F.posexplode("prefix").alias("place", "word"))
+    schema = "doc_id long, line int, n int, digest long, low long, high long, prefix array<int>"
+    described = stored(texts.mapInArrow(_described(count), schema), "lines")
+    any_of = [F.first(c).alias(c) for c in ("low", "high", "prefix")]
+    classes = described.groupBy("digest", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count("*").alias("k"), *any_of)
+    classes = stored(classes.select("digest", "n", "k", "at.*", "low", "high", "prefix"), "classes")
+
+    columns = ["doc_id", "line", "n", "low", "high"]
+    rows = classes.where("n > 3").select(*columns, F.posexplode("prefix").alias("place", "word"))
     crowded = rows.groupBy("word").agg(F.count("*").alias("k")).where(F.col("k") > CROWD).select("word")
-    crowd = stored(rows.join(crowded, "word"), "crowd")
-    earliest = crowd.groupBy("word").agg(F.min(F.struct("at", "n", "parity", "place")).alias("q"))
-    close = (
-        (UNDER * F.least("n", "q.n") >= OVER * F.greatest("n", "q.n"))
-        & ((OVER + UNDER) * (1 + F.least(F.col("n") - F.col("place"), F.col("q.n") - F.col("q.place")) - 1) >= OVER * (F.col("n") + F.col("q.n")))
-        & (F.bit_count(F.col("parity").bitwiseXOR(F.col("q.parity"))) * (OVER + UNDER) <= F.col("n") + F.col("q.n"))
-    )
-    tried = crowd.join(earliest, "word").where(close & (F.col("q.at") < F.col("at"))).select(F.col("at").alias("p"), F.col("q.at").alias("q"))
-    gone = stored(_verified(stored(tried.distinct(), "pairs"), texts), "gone")
-
-    # A line that is removed already looks no further, but others may still be like it.
-    seeking = classes.join(gone.select(F.struct("doc_id", "line").alias("at"), F.lit(True).alias("gone")), "at", "left")
-    seeking = seeking.select("at", "n", "parity", "prefix", F.when(F.col("gone").isNull(), F.col("at")).alias("before"))
-    seeking = seeking.where("n > 3").select("at", "before", "n", "parity", F.posexplode("prefix").alias("place", "word"))
-    other = seeking.select("word", F.struct("at", "n", "parity", "place").alias("q"))
-    pairs = seeking.join(other, "word").where(close & (F.col("q.at") < F.col("before")))
-    pairs = stored(pairs.select(F.col("at").alias("p"), F.col("q.at").alias("q")).distinct(), "pairs")
-    gone = gone.union(_verified(pairs, texts))
+    crowd = stored(rows.join(small(stored(crowded, "crowded")), "word"), "crowd")
+    gone = None
+    for _ in range(TURNS):
+        earliest = crowd.groupBy("word").agg(F.min(F.struct("doc_id", "line", "n", "low", "high", "place")).alias("q")).select("word", "q.*")
+        earliest = stored(earliest, "earliest")
+        tried = crowd.alias("p").join(earliest.alias("q"), "word").where(_close()).select(*_ends()).distinct()
+        found = _verified(stored(tried, "pairs"), texts)
+        gone = found if gone is None else gone.union(found)
+        # What is left tries the earliest of what is left.
+        crowd = crowd.join(small(found), ["doc_id", "line"], "left_anti")
+        crowd = stored(crowd.join(earliest.select("word", "doc_id", "line"), ["word", "doc_id", "line"], "left_anti"), "crowd")
+    gone = stored(gone.distinct(), "gone")
+
+    # A line that is removed already looks no further, but others may still be like it. So the sum
+    # is under 2 only if p is not gone, whatever q; both sides are the same rows, shuffled once.
+    marked = classes.join(small(gone).withColumn("gone", F.lit(1)), ["doc_id", "line"], "left").withColumn("gone", F.coalesce("gone", F.lit(0)))
+    rows = marked.where("n > 3").select(*columns, "gone", F.posexplode("prefix").alias("place", "word"))
+    pairs = rows.alias("p").join(rows.alias("q"), F.col("p.word") == F.col("q.word"))
+    pairs = pairs.where(_close() & (F.col("p.gone") * 2 + F.col("q.gone") < 2)).select(*_ends())
+    more = _verified(stored(pairs.distinct(), "pairs"), texts)
+    gone = stored(gone.union(more).distinct(), "gone")
 
     # All lines of a class but the earliest go, and the earliest if it is like an earlier one.
-    keys = classes.select("digest", "n", "at").join(gone.select(F.struct("doc_id", "line").alias("at"), F.lit(True).alias("gone")), "at", "left")
-    keys = stored(keys.select("digest", "n", "at", F.coalesce("gone", F.lit(False)).alias("gone")), "classes")
-    plain = described.select("doc_id", "line", "n", "digest").join(keys, ["digest", "n"])
-    return plain.where(F.col("gone") | (F.struct("doc_id", "line") != F.col("at"))).select("doc_id", "line")
+    copied = stored(classes.where("k > 1").select("digest", "n", F.struct("doc_id", "line").alias("first")), "copied")
+    copies = described.select("doc_id", "line", "n", "digest").join(small(copied), ["digest", "n"])
+    return copies.where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").union(gone)
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:

@@ -10,6 +10,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 def folder(spark: SparkSession) -> str:
@@ -27,3 +28,9 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def small(df: DataFrame, max_rows: int = 400_000) -> DataFrame:
+    """``df``, a stored table of a few numbers a row, to be broadcast if it has at most ``max_rows``
+    rows; larger ones are joined by a shuffle."""
+    return F.broadcast(df) if df.count() <= max_rows else df

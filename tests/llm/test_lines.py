@@ -36,7 +36,8 @@ def test_against_brute_force(spark, sf):
     assert all(r.n_lines == len(docs[k].split("\n")) and r.n_removed == len(r.removed) for k, r in rows.items())
 
 
-def test_crowds_and_odd_rows(spark):
+def test_crowds_and_odd_rows(spark, monkeypatch):
+    monkeypatch.setattr(lines, "CROWD", 5)
     rng = random.Random(4)
     docs = {0: None, 1: "", 2: "\n \n", 3: "a\nb\nA\n", 4: "b\r\na", 9: "x " * 9000}
     base = [f"w{i}" for i in range(12)]
