@@ -6,10 +6,10 @@ Two sets of similarity s meet in a table if at least two collections agree, each
 s**rows: with 13 collections of 2 rows a pair at 0.8 is missed with probability 4e-5, one at 0.9 with 1e-9.
 
 Rows of a table with one key form a bucket. No bucket is gathered and its pairs are not all formed:
-every member is first compared with the bucket's least member. Then, as long as members of
-a bucket lie in different components, those outside its first component are compared in turn with the
-others of another component, so at the end every two members of a bucket have been compared or are
-linked by others.
+every member is first compared with the bucket's least member, and in crowds with a few others. As long
+as members of a bucket lie in different components, those outside its first component are compared
+with the others of another component, so at the end every two members of a bucket have been compared
+or are linked by others.
 """
 
 from __future__ import annotations
@@ -24,12 +24,15 @@ from pyspark.sql import functions as F
 
 from annospark.llm import words
 from annospark.llm.graph import components
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import small, stored
 
 COLLECTIONS = 13
 ROWS = 2
-#: Members outside the first component up to which a bucket's open pairs are formed at once.
-AT_ONCE = 32
+#: A bucket is a crowd if it has more open pairs, those of a member outside of the component of its
+#: least member. In the first turns, PIVOTS members of a crowd are compared with all others.
+CROWD, PIVOTS, TURNS = 1024, 12, 1
+#: Open pairs up to which they are formed at once after that.
+AT_ONCE = 1 << 22
 
 _rng = np.random.Generator(np.random.PCG64(77))
 _SEEDS = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * words.U(2) + words.U(1)
@@ -106,8 +109,8 @@ def _verified(width: int, similarity: tuple[int, int]):
 def _links(pairs: DataFrame, texts: DataFrame, width: int, similarity: tuple[int, int]) -> DataFrame:
     """Those of ``pairs`` (a, b, each once) that are similar enough. Texts move by id, the text of
     the side that few pairs share; the other side's is joined where it lies."""
-    ids = pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct()
-    used = texts.join(ids, "id")
+    ids = stored(pairs.select(F.col("a").alias("id")).union(pairs.select("b")).distinct(), "ids")
+    used = texts.join(small(ids), "id")
     half = pairs.join(used.select(F.col("id").alias("b"), F.col("text").alias("text_b")), "b")
     both = half.join(used.select(F.col("id").alias("a"), F.col("text").alias("text_a")), "a")
     both = both.select("a", "b", "text_a", "text_b")
@@ -155,42 +158,53 @@ def near_duplicates(
         .select("a", "b")
         .distinct()
     )
-    compared = stored(compared, "pairs")
     by_id = texts.withColumnRenamed("doc_id", "id")
-    links = stored(_links(compared, by_id, width, similarity), "verified")
+    links = _links(stored(compared, "pairs"), by_id, width, similarity)
     found = stored(components(links), "components")
 
-    # Buckets of three and more may still hold members that nothing has compared.
-    open_rows = members.where("size > 2").select("key", "id", "n", F.col("least.id").alias("least"))
+    # Buckets of three and more may still hold members that nothing has compared. Two members meet
+    # in many buckets; their pair is formed in the first one of them alone.
+    agree = F.filter(F.sequence(F.lit(0), F.lit(n_collections - 1)), lambda k: F.get("x.minhash", k) == F.get("y.minhash", k))
+    i, j = F.get("agree", F.lit(0)), F.get("agree", F.lit(1))
+    number = (F.expr(f"agree[0] * {2 * n_collections - 1} - agree[0] * agree[0]") / 2 + j - i - 1).cast("int")
+    meets_first = F.xxhash64(number, F.get("minhash", i), F.get("minhash", j)) == F.col("key")
+
+    open_rows, turn = members.where("size > 2").select("key", "id", "n"), 0
     while True:
-        placed = open_rows.join(found.withColumnsRenamed({"node": "id", "component": "c"}), "id", "left")
+        placed = open_rows.join(small(found).withColumnsRenamed({"node": "id", "component": "c"}), "id", "left")
         placed = placed.withColumn("c", F.coalesce("c", "id"))
-        state = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("id", "c")).alias("first"))
-        state = state.where("low < high").select("key", F.col("first.c").alias("first_c"))
-        placed = stored(placed.join(state, "key"), "open")
-        outside = placed.where("c <> first_c")
-        if outside.isEmpty():
+        state = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("id", "c")).alias("first"), F.count("*").alias("size"))
+        state = state.where("low < high").select("key", F.col("first.id").alias("first_id"), F.col("first.c").alias("first_c"), "size")
+        placed = placed.join(state, "key").join(classes.select("id", "minhash"), "id")
+        placed = stored(placed.withColumn("outside", F.col("c") != F.col("first_c")), "open")
+        many = stored(placed.groupBy("key", "size").agg(F.count_if("outside").alias("k")).withColumn("pairs", F.col("k") * F.col("size")), "crowds")
+        if many.isEmpty():
             break
-        many = outside.groupBy("key").agg(F.count("*").alias("k"), F.min("id").alias("pivot"))
-        probe = outside.join(many, "key").where(f"k <= {AT_ONCE} or id = pivot")
-        probe = probe.select("key", F.col("id").alias("p"), F.col("n").alias("m"), F.col("c").alias("pc"))
-        fresh = (
-            placed.join(probe, "key")
-            .where("c <> pc and id <> p")
-            .where(fits)
-            .select(F.least("id", "p").alias("a"), F.greatest("id", "p").alias("b"))
-            .distinct()
+        crowded = many.where(F.col("pairs") > CROWD).limit(1).count() > 0 if turn < TURNS else False
+        limit = CROWD if crowded else AT_ONCE
+        rows = placed.join(small(many.select("key", (F.col("pairs") > limit).alias("crowd"))), "key")
+        # In crowds a few members, other ones in each turn, are tried first; they link most others.
+        part = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
+        pick = rows.where("crowd" if crowded else "crowd and outside")
+        pivots = pick.groupBy("key", part.alias("part")).agg(F.min_by(F.struct("id", "n", "c", "minhash"), F.xxhash64(F.lit(turn), F.col("id"))).alias("x"))
+        every = rows.where(F.lit(not crowded) & ~F.col("crowd") & F.col("outside")).select("key", F.struct("id", "n", "c", "minhash").alias("x"))
+        probe = stored(every.unionByName(pivots.select("key", "x")), "probes")
+        pairs = (
+            rows.select("key", "first_id", F.struct("id", "n", "c", "minhash").alias("y"))
+            .join(probe, "key")
+            .where("x.c <> y.c and x.id <> y.id and x.id <> first_id and y.id <> first_id")
+            .where((F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & (F.size(agree) > 1))
+            .select("key", F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), agree.alias("agree"), F.col("x.minhash").alias("minhash"))
         )
-        fresh = stored(fresh.join(compared, ["a", "b"], "left_anti"), "pairs")
-        if not fresh.isEmpty():
-            compared = compared.unionByName(fresh)
-            links = links.unionByName(stored(_links(fresh, by_id, width, similarity), "verified"))
-            found = stored(components(links), "components")
-        # Members that have met all others of their bucket need no further turn.
-        done = probe.select("key", F.col("p").alias("id"))
-        small = many.where(f"k <= {AT_ONCE}").select("key")
-        open_rows = placed.select("key", "id", "n", "least").join(small, "key", "left_anti").join(done, ["key", "id"], "left_anti")
-        open_rows = stored(open_rows, "open")
+        fresh = stored(pairs.where(meets_first).select("a", "b").distinct(), "pairs")
+        links = _links(fresh, by_id, width, similarity)
+        star = found.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        found = stored(components(links.unionByName(star)), "components")
+        # Buckets whose open pairs were all formed, and members that have met all others, are done.
+        if not crowded:
+            open_rows = rows.where("crowd").select("key", "id", "n")
+            open_rows = open_rows.join(probe.select("key", F.col("x.id").alias("id")), ["key", "id"], "left_anti")
+        turn += 1
 
     of_class = classes.select("d1", "d2", "n_shingles", "id").join(found.withColumnRenamed("node", "id"), "id", "left")
     of_class = of_class.select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("component"))

@@ -56,7 +56,7 @@ def test_crowded_buckets(spark):
     try:
         rows = minhash.near_duplicates(df, width=2, n_collections=16).collect()
     finally:
-        minhash.CROWD, minhash.PIVOTS, minhash.TURNS, minhash.AT_ONCE = 4096, 8, 3, 1 << 20
+        minhash.CROWD, minhash.PIVOTS, minhash.TURNS, minhash.AT_ONCE = 1024, 12, 1, 1 << 22
     assert {tuple(r) for r in rows} == brute(docs, 2)
     assert minhash.near_duplicates(df.limit(0)).count() == 0
     twice = minhash.near_duplicates(df.where("doc_id = 3").union(df.where("doc_id = 3")).union(df.limit(1).selectExpr("null", "text", "1")))
