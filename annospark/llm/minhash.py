@@ -6,10 +6,10 @@ Two sets of similarity s meet in a table if at least two collections agree, each
 s**rows: with 13 collections of 2 rows a pair at 0.8 is missed with probability 4e-5, one at 0.9 with 1e-9.
 
 Rows of a table with one key form a bucket. No bucket is gathered and its pairs are not all formed:
-every member is first compared with the bucket's least member, and in crowds with a few others. As long
-as members of a bucket lie in different components, those outside its first component are compared
-with the others of another component, so at the end every two members of a bucket have been compared
-or are linked by others.
+every member is first compared with the bucket's hub, and in crowds with a few others. As long as members
+of a bucket lie in different components, those outside the hub's component are compared with the
+others of another component, so at the end every two members of a bucket have been compared or are
+linked by others.
 """
 
 from __future__ import annotations
@@ -28,8 +28,7 @@ from annospark.llm.scratch import small, stored
 
 COLLECTIONS = 13
 ROWS = 2
-#: A bucket is a crowd if it has more open pairs, those of a member outside of the component of its
-#: least member. In the first turns, PIVOTS members of a crowd are compared with all others.
+#: A bucket is a crowd if it has more open pairs, those of a member outside of its hub's component. In the first turns, PIVOTS members of a crowd are compared with all others.
 CROWD, PIVOTS, TURNS = 1024, 12, 1
 #: Open pairs up to which they are formed at once after that.
 AT_ONCE = 1 << 22
@@ -146,18 +145,20 @@ def near_duplicates(
         for k, (i, j) in enumerate(combinations(range(n_collections), 2))
     ]
     tables = classes.select("id", F.col("n_shingles").alias("n"), F.explode(F.array(*keys)).alias("key"))
-    buckets = tables.groupBy("key").agg(F.count("*").alias("size"), F.min(F.struct("id", "n")).alias("least")).where("size > 1")
-    members = stored(tables.join(buckets.select("key", "size", "least"), "key"), "members")
+    buckets = tables.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
+    members = stored(tables.join(buckets, "key"), "members")
+    # The hub of a bucket is its member that meets most others in all buckets, such as the text that
+    # the others are edited copies of.
+    scores = stored(members.groupBy("id").agg(F.sum("size").alias("score")), "scores")
+    members = members.join(small(scores), "id")
+    hubs = members.groupBy("key").agg(F.max(F.struct("score", (-F.col("id")).alias("low"), "n")).alias("h"))
+    hubs = hubs.select("key", (-F.col("h.low")).alias("hub"), F.col("h.n").alias("m"))
+    members = stored(members.join(hubs, "key"), "members")
 
     over, under = similarity
     fits = F.least("n", "m") * under >= F.greatest("n", "m") * over
-    compared = (
-        members.select(F.col("least.id").alias("a"), F.col("id").alias("b"), "n", F.col("least.n").alias("m"))
-        .where(F.col("a") != F.col("b"))
-        .where(fits)
-        .select("a", "b")
-        .distinct()
-    )
+    ends = F.least("hub", "id").alias("a"), F.greatest("hub", "id").alias("b")
+    compared = members.where("id <> hub").where(fits).select(*ends).distinct()
     by_id = texts.withColumnRenamed("doc_id", "id")
     links = _links(stored(compared, "pairs"), by_id, width, similarity)
     found = stored(components(links), "components")
@@ -169,30 +170,30 @@ def near_duplicates(
     number = (F.expr(f"agree[0] * {2 * n_collections - 1} - agree[0] * agree[0]") / 2 + j - i - 1).cast("int")
     meets_first = F.xxhash64(number, F.get("minhash", i), F.get("minhash", j)) == F.col("key")
 
-    open_rows, turn = members.where("size > 2").select("key", "id", "n"), 0
+    open_rows, turn = members.where("size > 2").select("key", "hub", "id", "n", "score"), 0
     while True:
         placed = open_rows.join(small(found).withColumnsRenamed({"node": "id", "component": "c"}), "id", "left")
         placed = placed.withColumn("c", F.coalesce("c", "id"))
-        state = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.min(F.struct("id", "c")).alias("first"), F.count("*").alias("size"))
-        state = state.where("low < high").select("key", F.col("first.id").alias("first_id"), F.col("first.c").alias("first_c"), "size")
+        state = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.when(F.col("id") == F.col("hub"), F.col("c"))).alias("hub_c"), F.count("*").alias("size"))
+        state = state.where("low < high").select("key", "hub_c", "size")
         placed = placed.join(state, "key").join(classes.select("id", "minhash"), "id")
-        placed = stored(placed.withColumn("outside", F.col("c") != F.col("first_c")), "open")
+        placed = stored(placed.withColumn("outside", F.col("c") != F.col("hub_c")), "open")
         many = stored(placed.groupBy("key", "size").agg(F.count_if("outside").alias("k")).withColumn("pairs", F.col("k") * F.col("size")), "crowds")
         if many.isEmpty():
             break
         crowded = many.where(F.col("pairs") > CROWD).limit(1).count() > 0 if turn < TURNS else False
         limit = CROWD if crowded else AT_ONCE
         rows = placed.join(small(many.select("key", (F.col("pairs") > limit).alias("crowd"))), "key")
-        # In crowds a few members, other ones in each turn, are tried first; they link most others.
+        # In crowds a few members that meet many others are tried first.
         part = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
         pick = rows.where("crowd" if crowded else "crowd and outside")
-        pivots = pick.groupBy("key", part.alias("part")).agg(F.min_by(F.struct("id", "n", "c", "minhash"), F.xxhash64(F.lit(turn), F.col("id"))).alias("x"))
+        pivots = pick.groupBy("key", part.alias("part")).agg(F.max_by(F.struct("id", "n", "c", "minhash"), F.struct("score", "id")).alias("x"))
         every = rows.where(F.lit(not crowded) & ~F.col("crowd") & F.col("outside")).select("key", F.struct("id", "n", "c", "minhash").alias("x"))
         probe = stored(every.unionByName(pivots.select("key", "x")), "probes")
         pairs = (
-            rows.select("key", "first_id", F.struct("id", "n", "c", "minhash").alias("y"))
+            rows.select("key", "hub", F.struct("id", "n", "c", "minhash").alias("y"))
             .join(probe, "key")
-            .where("x.c <> y.c and x.id <> y.id and x.id <> first_id and y.id <> first_id")
+            .where("x.c <> y.c and x.id <> y.id and x.id <> hub and y.id <> hub")
             .where((F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & (F.size(agree) > 1))
             .select("key", F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), agree.alias("agree"), F.col("x.minhash").alias("minhash"))
         )
@@ -202,7 +203,7 @@ def near_duplicates(
         found = stored(components(links.unionByName(star)), "components")
         # Buckets whose open pairs were all formed, and members that have met all others, are done.
         if not crowded:
-            open_rows = rows.where("crowd").select("key", "id", "n")
+            open_rows = rows.where("crowd").select("key", "hub", "id", "n", "score")
             open_rows = open_rows.join(probe.select("key", F.col("x.id").alias("id")), ["key", "id"], "left_anti")
         turn += 1
 
