@@ -65,7 +65,8 @@ def verdicts(docs):
             if best is None or det < best[0]:
                 best = det, mean, low
         for k, d in docs.items():
-            if (d[1:] in groups) and (d[1:] == g or (d[0:0] == () and g == d[1] and len(groups[d[1:]]) < rules.MIN_GROUP)):
+            own = groups.get(d[1:])
+            if own and (d[1:] if len(own) >= rules.MIN_GROUP else d[1]) == g:
                 found[k] = (np.linalg.solve(best[2], vector[k] / rules.SCALE - best[1]) ** 2).sum()
     return {k: (*s, not s[5] and found.get(k, 0) <= rules.CUT, found.get(k)) for k, s in stats.items()}
 
