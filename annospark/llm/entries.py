@@ -25,7 +25,8 @@ def op1_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return lines.removed_lines(table(spark, sf_dir, "documents"))
+    rows = lines.removed_lines(table(spark, sf_dir, "documents"))
+    return rows.withColumn("removed", F.array_join("removed", ","))
 
 
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -103,4 +104,52 @@ ORACLES: dict[str, str] = {
             sum(length('<|im_start|>' || role || chr(10) || inner_text || '<|im_end|>' || chr(10)))::BIGINT AS formatted_chars
         FROM escaped GROUP BY conv_id
     """,
+    "op7_minhash": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingle AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 1 THEN w ELSE list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1]) END) AS s FROM split
+        ), size AS (
+            SELECT doc_id, count(s)::BIGINT AS n_shingles FROM split LEFT JOIN shingle USING (doc_id) GROUP BY doc_id
+        ), ranked AS (
+            SELECT doc_id, s, n_shingles, row_number() OVER (PARTITION BY doc_id ORDER BY k, s) AS place
+            FROM shingle JOIN (SELECT s, count(*) AS k FROM shingle GROUP BY s) USING (s) JOIN size USING (doc_id)
+        ), pair AS (
+            SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM ranked a JOIN ranked b USING (s)
+            WHERE a.doc_id <> b.doc_id AND 100 * a.place <= 20 * a.n_shingles + 100 AND 100 * b.place <= 20 * b.n_shingles + 100
+        ), link AS (
+            SELECT x, y FROM pair JOIN shingle a ON a.doc_id = x JOIN shingle b ON b.doc_id = y AND b.s = a.s
+            JOIN size m ON m.doc_id = x JOIN size n ON n.doc_id = y
+            GROUP BY x, y, m.n_shingles, n.n_shingles HAVING 100 * count(*) >= 80 * (m.n_shingles + n.n_shingles - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM size UNION SELECT doc_id, y FROM reach JOIN link ON x = other
+        )
+        SELECT doc_id, n_shingles, min(other) AS component_id, doc_id = min(other) AS kept FROM reach JOIN size USING (doc_id) GROUP BY doc_id, n_shingles
+    """,
+    "op2_lines": """
+        WITH text AS (
+            SELECT doc_id, string_split(text, chr(10)) AS l FROM documents
+        ), line AS (
+            SELECT doc_id, i - 1 AS line, list_distinct(regexp_extract_all(translate(l[i], 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+')) AS w
+            FROM (SELECT doc_id, l, unnest(range(1, len(l) + 1)) AS i FROM text)
+        ), class AS (
+            SELECT list_sort(w) AS w, min((doc_id, line)) AS first FROM line WHERE len(w) > 0 GROUP BY list_sort(w)
+        ), word AS (
+            SELECT first, len(w) AS n, unnest(w) AS s FROM class
+        ), ranked AS (
+            SELECT *, row_number() OVER (PARTITION BY first ORDER BY k, s) AS place FROM word JOIN (SELECT s, count(*) AS k FROM word GROUP BY s) USING (s)
+        ), pair AS (
+            SELECT DISTINCT a.first AS p, b.first AS q FROM ranked a JOIN ranked b USING (s)
+            WHERE b.first < a.first AND 5 * least(a.n, b.n) >= 4 * greatest(a.n, b.n) AND 5 * a.place <= a.n + 5 AND 5 * b.place <= b.n + 5
+        ), like_earlier AS (
+            SELECT DISTINCT p FROM pair JOIN class a ON a.first = p JOIN class b ON b.first = q
+            WHERE 9 * len(list_intersect(a.w, b.w)) >= 4 * (len(a.w) + len(b.w))
+        ), gone AS (
+            SELECT doc_id, line FROM line x JOIN class c ON list_sort(x.w) = c.w
+            WHERE (x.doc_id, x.line) <> c.first OR c.first IN (SELECT p FROM like_earlier)
+        )
+        SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(line)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line), '') AS removed
+        FROM text LEFT JOIN gone USING (doc_id) GROUP BY doc_id, l
+    """,
 }

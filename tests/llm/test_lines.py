@@ -1,6 +1,8 @@
 import random
 import re
 
+import duckdb
+
 from annospark.llm import entries, lines
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -32,8 +34,10 @@ def test_against_brute_force(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = {r.doc_id: r for r in entries.op2_lines(spark, sf).collect()}
     assert rows.keys() == docs.keys()
-    assert {k: r.removed for k, r in rows.items() if r.removed} == brute(docs)
-    assert all(r.n_lines == len(docs[k].split("\n")) and r.n_removed == len(r.removed) for k, r in rows.items())
+    assert {k: list(map(int, r.removed.split(","))) for k, r in rows.items() if r.removed} == brute(docs)
+    assert all(r.n_lines == len(docs[k].split("\n")) and r.n_removed == len(r.removed.split(",") if r.removed else ()) for k, r in rows.items())
+    duckdb.sql(f"create or replace temp view documents as select * from '{sf}/documents.parquet'")
+    assert {tuple(r) for r in rows.values()} == set(duckdb.sql(entries.ORACLES["op2_lines"]).fetchall())
 
 
 def test_crowds_and_odd_rows(spark, monkeypatch):

@@ -1,6 +1,8 @@
 import random
 import re
 
+import duckdb
+
 from annospark.llm import entries, minhash
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -37,6 +39,8 @@ def test_against_brute_force(spark, sf):
     rows = entries.op7_minhash(spark, sf).collect()
     assert {tuple(r) for r in rows} == brute(docs, 2) and len(rows) == len(docs)
     assert sum(not r.kept for r in rows) > 5
+    duckdb.sql(f"create or replace temp view documents as select * from '{sf}/documents.parquet'")
+    assert {tuple(r) for r in rows} == set(duckdb.sql(entries.ORACLES["op7_minhash"]).fetchall())
 
 
 def test_crowded_buckets(spark):
