@@ -1,6 +1,8 @@
 import random
 import re
 
+import duckdb
+
 from annospark.llm import entries, passages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -35,7 +37,8 @@ def test_against_brute_force(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = entries.op3_passages(spark, sf).collect()
     assert {tuple(r) for r in rows} == brute(docs, passages.UNIT)
-    assert len(rows) > 0
+    duckdb.sql(f"create or replace temp view documents as select * from '{sf}/documents.parquet'")
+    assert {tuple(r) for r in rows} == set(duckdb.sql(entries.ORACLES["op3_passages"]).fetchall()) and rows
 
 
 def test_small_units(spark):
