@@ -30,6 +30,10 @@ COLLECTIONS = 13
 ROWS = 2
 #: A bucket is a crowd if it has more open pairs, those of a member outside of its hub's component. In the first turns, PIVOTS members of a crowd are compared with all others.
 CROWD, PIVOTS, TURNS = 1024, 12, 1
+#: Words of 64 bits, a power of two, of the parities of a set's elements. An element that only one of
+#: two sets has changes one bit, so sets whose parities differ in more bits than similar sets have such
+#: elements are not compared.
+PARITY = 8
 #: Open pairs up to which they are formed at once after that.
 AT_ONCE = 1 << 22
 
@@ -37,9 +41,14 @@ _rng = np.random.Generator(np.random.PCG64(77))
 _SEEDS = _rng.integers(1, 2**63, (2, 256), dtype=np.uint64) * words.U(2) + words.U(1)
 
 
+def _lists(rows: np.ndarray) -> pa.Array:
+    bounds = np.arange(len(rows) + 1, dtype=np.int32) * rows.shape[1]
+    return pa.ListArray.from_arrays(pa.array(bounds), pa.array(rows.view(np.int64).ravel()))
+
+
 def _signatures(width: int, n_collections: int, rows: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "n_shingles", "d1", "d2", "minhash"]
+        names = ["doc_id", "n_shingles", "d1", "d2", "minhash", "parity"]
         for batch in batches:
             doc = batch["doc_id"]
             for p in words.pieces(batch["text"]):
@@ -50,10 +59,14 @@ def _signatures(width: int, n_collections: int, rows: int):
                 first = (np.cumsum(count) - count)[has]
                 digests = np.zeros((2, n), dtype=np.uint64)
                 bands = np.zeros((n, n_collections), dtype=np.uint64)
+                parity = np.zeros((n, PARITY), dtype=np.uint64)
                 if len(has):
                     spread = words.mix(element + words.ODD[40])
                     digests[0, has] = np.add.reduceat(spread, first)
                     digests[1, has] = np.add.reduceat(words.mix(element ^ words.ODD[41]), first)
+                    bit, of = words.U(1) << (spread & words.U(63)), spread >> words.U(6) & words.U(PARITY - 1)
+                    for k in range(PARITY):
+                        parity[has, k] = np.bitwise_xor.reduceat(np.where(of == k, bit, words.U(0)), first)
                     for c in range(n_collections):
                         band = np.zeros(len(has), dtype=np.uint64)
                         for r in range(rows):
@@ -61,9 +74,8 @@ def _signatures(width: int, n_collections: int, rows: int):
                             value ^= value >> words.U(32)
                             band = words.mix(band * words.ODD[42] + np.minimum.reduceat(value, first))
                         bands[has, c] = band
-                flat = pa.array(bands.view(np.int64).ravel())
-                lists = pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * n_collections), flat)
-                columns = [doc.slice(p.lo, n), pa.array(count.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in digests), lists]
+                columns = [doc.slice(p.lo, n), pa.array(count.astype(np.int64)), *(pa.array(x.view(np.int64)) for x in digests)]
+                columns += [_lists(bands), _lists(parity)]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
@@ -132,12 +144,12 @@ def near_duplicates(
     texts = docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     signed = stored(
         texts.mapInArrow(
-            _signatures(width, n_collections, rows), "doc_id long, n_shingles long, d1 long, d2 long, minhash array<long>"
+            _signatures(width, n_collections, rows), "doc_id long, n_shingles long, d1 long, d2 long, minhash array<long>, parity array<long>"
         ),
         "signatures",
     )
     full = signed.where("n_shingles > 0 and doc_id is not null")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("minhash").alias("minhash"))
+    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("minhash").alias("minhash"), F.first("parity").alias("parity"))
     classes = stored(classes, "classes")
 
     keys = [
@@ -168,6 +180,8 @@ def near_duplicates(
     agree = F.filter(F.sequence(F.lit(0), F.lit(n_collections - 1)), lambda k: F.get("x.minhash", k) == F.get("y.minhash", k))
     i, j = F.get("agree", F.lit(0)), F.get("agree", F.lit(1))
     number = (F.expr(f"agree[0] * {2 * n_collections - 1} - agree[0] * agree[0]") / 2 + j - i - 1).cast("int")
+    differ = sum((F.bit_count(F.get("x.parity", F.lit(k)).bitwiseXOR(F.get("y.parity", F.lit(k)))) for k in range(PARITY)), F.lit(0))
+    can_be = differ * (under + over) <= (F.col("x.n") + F.col("y.n")) * (under - over)
     meets_first = F.xxhash64(number, F.get("minhash", i), F.get("minhash", j)) == F.col("key")
 
     open_rows, turn = members.where("size > 2").select("key", "hub", "id", "n", "score"), 0
@@ -176,7 +190,7 @@ def near_duplicates(
         placed = placed.withColumn("c", F.coalesce("c", "id"))
         state = placed.groupBy("key").agg(F.min("c").alias("low"), F.max("c").alias("high"), F.max(F.when(F.col("id") == F.col("hub"), F.col("c"))).alias("hub_c"), F.count("*").alias("size"))
         state = state.where("low < high").select("key", "hub_c", "size")
-        placed = placed.join(state, "key").join(classes.select("id", "minhash"), "id")
+        placed = placed.join(state, "key").join(classes.select("id", "minhash", "parity"), "id")
         placed = stored(placed.withColumn("outside", F.col("c") != F.col("hub_c")), "open")
         many = stored(placed.groupBy("key", "size").agg(F.count_if("outside").alias("k")).withColumn("pairs", F.col("k") * F.col("size")), "crowds")
         if many.isEmpty():
@@ -187,14 +201,14 @@ def near_duplicates(
         # In crowds a few members that meet many others are tried first.
         part = F.pmod(F.xxhash64("id"), F.lit(PIVOTS))
         pick = rows.where("crowd" if crowded else "crowd and outside")
-        pivots = pick.groupBy("key", part.alias("part")).agg(F.max_by(F.struct("id", "n", "c", "minhash"), F.struct("score", "id")).alias("x"))
-        every = rows.where(F.lit(not crowded) & ~F.col("crowd") & F.col("outside")).select("key", F.struct("id", "n", "c", "minhash").alias("x"))
+        pivots = pick.groupBy("key", part.alias("part")).agg(F.max_by(F.struct("id", "n", "c", "minhash", "parity"), F.struct("score", "id")).alias("x"))
+        every = rows.where(F.lit(not crowded) & ~F.col("crowd") & F.col("outside")).select("key", F.struct("id", "n", "c", "minhash", "parity").alias("x"))
         probe = stored(every.unionByName(pivots.select("key", "x")), "probes")
         pairs = (
-            rows.select("key", "hub", F.struct("id", "n", "c", "minhash").alias("y"))
+            rows.select("key", "hub", F.struct("id", "n", "c", "minhash", "parity").alias("y"))
             .join(probe, "key")
             .where("x.c <> y.c and x.id <> y.id and x.id <> hub and y.id <> hub")
-            .where((F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & (F.size(agree) > 1))
+            .where((F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & can_be & (F.size(agree) > 1))
             .select("key", F.least("x.id", "y.id").alias("a"), F.greatest("x.id", "y.id").alias("b"), agree.alias("agree"), F.col("x.minhash").alias("minhash"))
         )
         fresh = stored(pairs.where(meets_first).select("a", "b").distinct(), "pairs")
