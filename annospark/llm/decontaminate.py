@@ -101,6 +101,7 @@ def _windows(table, lengths: list[int]):
             for p in words.pieces(batch["text"]):
                 n = len(p.hash)
                 by_place = _place_shingles(p)
+                point = None
                 upto = np.r_[0, np.cumsum(known[(by_place & words.U(TABLE_BITS - 1)).astype(np.int64)])]
                 longest = max(lengths, default=0)
                 near = np.flatnonzero(upto[np.minimum(np.arange(n) + max(longest - WIDTH + 1, 1), n)] > upto[:n])
@@ -121,11 +122,12 @@ def _windows(table, lengths: list[int]):
                             continue
                         elements = _elements(shingle)
                         content = words.mix(words.mix(elements.copy()).sum(axis=1) + words.U(length))
-                        base = words.code_points(p, p.bounds)[p.text[at]]
+                        point = words.code_points(p) if point is None else point
+                        base = point[p.bounds[p.text[at]]]
                         columns = [
                             pa.array(doc[p.lo + p.text[at]]),
-                            pa.array(words.code_points(p, p.start[at]) - base),
-                            pa.array(words.code_points(p, p.end[at + length - 1]) - base),
+                            pa.array(point[p.start[at]] - base),
+                            pa.array(point[p.end[at + length - 1]] - base),
                             pa.array(np.full(len(at), length, dtype=np.int32)),
                             pa.array(content.view(np.int64)),
                             pa.array(_fingerprints(shingle)),

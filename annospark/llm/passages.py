@@ -95,9 +95,10 @@ def _units(width: int, unit: int):
                 if not len(i):
                     continue
                 digest = words.runs(p.hash, unit)[i]
-                base = words.code_points(p, p.bounds)[p.text[i]]
-                begin = words.code_points(p, p.start[i]) - base
-                end = words.code_points(p, p.end[i + unit - 1]) - base
+                point = words.code_points(p)
+                base = point[p.bounds[p.text[i]]]
+                begin = point[p.start[i]] - base
+                end = point[p.end[i + unit - 1]] - base
                 order = np.lexsort((i, digest, p.text[i]))
                 new = np.r_[True, (digest[order][1:] != digest[order][:-1]) | (p.text[i][order][1:] != p.text[i][order][:-1])]
                 again = np.zeros(len(i), dtype=bool)

@@ -170,9 +170,8 @@ def sliding(value: np.ndarray, width: int, pick) -> np.ndarray:
     return pick(value[: max(len(value) - rest, 0)], value[rest:]) if rest else value
 
 
-def code_points(p: Piece, byte: np.ndarray) -> np.ndarray:
-    """Offsets in code points, from the start of the own text, of byte offsets (of the ends of
-    texts too) of a piece; ``byte`` belongs to the text that its word lies in."""
+def code_points(p: Piece) -> np.ndarray:
+    """For each byte offset of a piece, the code points before it."""
     lead = np.zeros(len(p.data) + 1, dtype=np.int64)
     np.cumsum((p.data & 0xC0) != 0x80, out=lead[1:])
-    return lead[byte]
+    return lead
