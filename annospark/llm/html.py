@@ -1,19 +1,23 @@
 """HTML extraction: wrapper induction over the pages of a host.
 
-Per host one page, that of the least page_id, is the reference. Every page's DOM tree is aligned with it by
-simple tree matching. Over all pages of the host it is counted how often a node of the reference has the
-same text: a block whose text nearly all pages share, copies of a page counted once, is template; the
-others are slots. Of each page the slots of the article are kept, without what the markup itself names
+A host's reference is a tree of all slots (places in the tree) that enough of its pages have. It is
+merged, by simple tree matching, from pages chosen so that each such slot is in one of them; null, empty
+and odd pages have no say. Every page's DOM tree is aligned with the reference by simple tree matching.
+Over all pages of the host it is counted how often a node of the reference has the same text: a block
+whose text nearly all pages share, copies of a page counted once, is template; the others are slots. Of each page the slots of the article are kept, without what the markup itself names
 as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments).
 
-The reference pages, one for each host, are broadcast only if their size, which is measured, allows it;
+The references, one for each host, are broadcast only if their size, which is measured, allows it;
 else they are joined by host.
 """
 
 from __future__ import annotations
 
+import json
 import re
+from collections import Counter
 from collections.abc import Iterator
+from functools import lru_cache
 from hashlib import blake2b
 from html import unescape
 
@@ -21,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import small, stored
 
 #: A text is template if so many different pages, and this share of those with the node, have it.
 LEAST_PAGES, SHARE = 12, 0.9
@@ -245,22 +249,140 @@ def article(root: Node, template: set[int]) -> str:
     return "\n\n".join(blocks)
 
 
+@lru_cache(maxsize=1 << 16)
+def _step(above: int, tag: str, names: str, nth: int) -> int:
+    return _digest(f"{above} {nth} {tag} {names}")
+
+
+def paths(nodes: list[Node]) -> list[int]:
+    """A digest of each element's place: the elements from the root to it, each with its number among
+    those of its name beside it. ``nodes`` are in page order."""
+    found = [0] * len(nodes)
+    for x in nodes:
+        nth: Counter = Counter()
+        for c in x.children:
+            if isinstance(c, Node):
+                nth[c.tag, c.names] += 1
+                found[c.number] = _step(found[x.number], c.tag, c.names, nth[c.tag, c.names])
+    return found
+
+
+def _slot(x: Node) -> bool:
+    return bool(x.text) and x.tag in BLOCK
+
+
+def pruned(root: Node, known: set[int]) -> Node:
+    """``root``'s elements without the blocks, and all inside, that hold text but no slot of ``known``."""
+    nodes = prepared(root)
+    at = paths(nodes)
+    kept, bearing = [False] * len(nodes), [False] * len(nodes)
+    for x in reversed(nodes):
+        inner = [c.number for c in x.children if isinstance(c, Node)]
+        kept[x.number] = _slot(x) and at[x.number] in known or any(kept[k] for k in inner)
+        bearing[x.number] = _slot(x) or any(bearing[k] for k in inner)
+    for x in nodes:
+        x.children = [c for c in x.children if isinstance(c, Node) and (kept[c.number] or not bearing[c.number])]
+    return root
+
+
+def merged(tree: Node, other: Node) -> None:
+    """What ``tree`` lacks of ``other`` is put into it, after what it follows there."""
+    nodes = prepared(tree)
+    theirs = prepared(other)
+    pairs = {i: nodes[j] for i, j in matched(other, tree).items()}
+    for x in theirs:
+        if x.number not in pairs:
+            continue
+        own, last = pairs[x.number], None
+        for c in x.children:
+            if c.number in pairs:
+                last = pairs[c.number]
+                continue
+            k = next((k for k, d in enumerate(own.children) if d is last), -1) + 1
+            own.children.insert(k, c)
+            last = c
+
+
+def dumped(root: Node) -> str:
+    rows, stack = [], [(root, 0)]
+    while stack:
+        x, depth = stack.pop()
+        rows.append((depth, x.tag, x.names))
+        stack += [(c, depth + 1) for c in reversed(x.children) if isinstance(c, Node)]
+    return json.dumps(rows, separators=(",", ":"))
+
+
+def loaded(tree: str) -> Node:
+    """The inverse of ``dumped``, prepared."""
+    chain: list[Node] = []
+    for depth, tag, names in json.loads(tree):
+        del chain[depth:]
+        x = Node(tag, names)
+        if chain:
+            chain[-1].children.append(x)
+        chain.append(x)
+    prepared(chain[0])
+    return chain[0]
+
+
 class _References:
-    """Parsed reference pages; a task keeps few at a time."""
+    """References; a task keeps few at a time."""
 
     def __init__(self):
         self.known: dict[str, Node] = {}
 
-    def __call__(self, html: str) -> Node:
-        root = self.known.get(html)
+    def __call__(self, tree: str) -> Node:
+        root = self.known.get(tree)
         if root is None:
             if len(self.known) > 64:
                 self.known.clear()
-            root = self.known[html] = parse(html)
-            prepared(root)
+            root = self.known[tree] = loaded(tree)
         return root
 
 
+def _batch(rows: list[tuple], **types: pa.DataType) -> pa.RecordBatch:
+    columns = list(zip(*rows, strict=True)) or [()] * len(types)
+    return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types.values(), strict=True)], names=list(types))
+
+
+def _page(nodes: list[Node]) -> int:
+    return _digest("\n".join(x.text for x in nodes))
+
+
+def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (host, path, page, size, key): the places of a page's blocks of text, their number, and
+    digests of the page's texts and of its html."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            rows = []
+            part = batch.slice(lo, 256)
+            for host, html, key in zip(part["host"].to_pylist(), part["html"].to_pylist(), part["key"].to_pylist(), strict=True):
+                nodes = prepared(parse(html))
+                at = paths(nodes)
+                own = [at[x.number] for x in nodes if _slot(x)]
+                page = _page(nodes) if own else 0
+                rows += [(host, k, page, len(own), key) for k in own]
+            yield _batch(rows, host=pa.string(), path=pa.int64(), page=pa.int64(), size=pa.int32(), key=pa.int64())
+
+
+def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for host, html, known in zip(batch["host"], batch["html"], batch["paths"], strict=True):
+            tree = pruned(parse(html.as_py()), set(known.as_py()))
+            size = len(prepared(tree))
+            yield _batch([(host.as_py(), -size, dumped(tree))], host=pa.string(), size=pa.int32(), tree=pa.string())
+
+
+def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for host, trees in zip(batch["host"], batch["trees"], strict=True):
+            first, *others = dict.fromkeys(t["tree"] for t in trees.as_py())
+            root = loaded(first)
+            for other in others:
+                merged(root, loaded(other))
+            yield _batch([(host.as_py(), dumped(root))], host=pa.string(), reference=pa.string())
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (host, node, text, page): the texts at the nodes of the reference, and a digest of the page."""
     reference = _References()
@@ -271,12 +393,9 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for host, html, other in zip(part["host"].to_pylist(), part["html"].to_pylist(), part["reference"].to_pylist(), strict=True):
                 root = parse(html)
                 nodes = prepared(root)
-                page = _digest("\n".join(x.text for x in nodes))
-                rows += [(host, j, _digest(nodes[i].text), page) for i, j in matched(root, reference(other)).items() if nodes[i].text and nodes[i].tag in BLOCK]
-            if rows:
-                columns = list(zip(*rows, strict=True))
-                types = [pa.string(), pa.int32(), pa.int64(), pa.int64()]
-                yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["host", "node", "text", "page"])
+                page = _page(nodes)
+                rows += [(host, j, _digest(nodes[i].text), page) for i, j in matched(root, reference(other)).items() if _slot(nodes[i])]
+            yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64())
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -293,22 +412,38 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
 
 
-def _joined(pages: DataFrame, by_host: DataFrame, size: int) -> DataFrame:
-    return pages.join(F.broadcast(by_host) if size <= BROADCAST_BYTES else by_host, "host")
+def _joined(pages: DataFrame, by_host: DataFrame, size: int, how: str = "inner") -> DataFrame:
+    return pages.join(F.broadcast(by_host) if size <= BROADCAST_BYTES else by_host, "host", how)
+
+
+def references(pages: DataFrame) -> DataFrame:
+    """host, reference (a tree as ``dumped`` gives it) of the hosts of ``pages`` (host, html) that have
+    slots in so many different pages that they can be template."""
+    keyed = pages.select("host", "html", F.xxhash64("html").alias("key"))
+    places = keyed.mapInArrow(_places, "host string, path long, page long, size int, key long")
+    by_page = places.groupBy("host", "path", "page").agg(F.max(F.struct("size", "key")).alias("x"))
+    # For each slot, the page with most blocks of those that have it: few pages are chosen for many slots.
+    slots = by_page.groupBy("host", "path").agg(F.count("*").alias("n"), F.max(F.struct("x.size", "x.key")).alias("x"))
+    slots = stored(slots.where(F.col("n") >= LEAST_PAGES).select("host", "path", "x.key"), "slots")
+    chosen = stored(slots.select("host", "key").distinct(), "chosen")
+    chosen = keyed.join(small(chosen), ["host", "key"]).groupBy("host", "key").agg(F.min("html").alias("html"))
+    known = slots.groupBy("host").agg(F.collect_list("path").alias("paths"))
+    trees = chosen.join(known, "host").select("host", "html", "paths").mapInArrow(_pruned, "host string, size int, tree string")
+    trees = trees.groupBy("host").agg(F.sort_array(F.collect_list(F.struct("size", "tree"))).alias("trees"))
+    return stored(trees.mapInArrow(_merged, "host string, reference string"), "references")
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, reference (html), template (array of node and text, a digest) of every host of ``pages``
-    (page_id, url, host, html)."""
-    first = pages.groupBy("host").agg(F.min(F.struct("page_id", "html")).alias("least"))
-    references = stored(first.select("host", F.col("least.html").alias("reference")), "references")
-    size = references.agg(F.sum(F.octet_length("reference"))).first()[0] or 0
-    seen = _joined(pages.select("host", "html"), references, size).mapInArrow(_observed, "host string, node int, text long, page long")
+    """host, reference, template (array of node and text, a digest) of every host of ``pages`` (host,
+    html) that has a reference."""
+    trees = references(pages)
+    size = trees.agg(F.sum(F.octet_length("reference"))).first()[0] or 0
+    seen = _joined(pages.select("host", "html"), trees, size).mapInArrow(_observed, "host string, node int, text long, page long")
     counts = seen.groupBy("host", "node", "text").agg(F.count_distinct("page").alias("n"))
     shares = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "text")).alias("most"))
     template = shares.where((F.col("most.n") >= LEAST_PAGES) & (F.col("most.n") >= SHARE * F.col("all")))
     template = template.groupBy("host").agg(F.collect_list(F.struct("node", F.col("most.text").alias("text"))).alias("template"))
-    return stored(references.join(template, "host", "left"), "wrappers")
+    return stored(trees.join(template, "host", "left"), "wrappers")
 
 
 def extract(pages: DataFrame) -> DataFrame:
@@ -325,5 +460,5 @@ def extract(pages: DataFrame) -> DataFrame:
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
     known = wrappers(rows)
     size = known.agg(F.sum(F.octet_length("reference") + 16 * F.size(F.coalesce("template", F.array().cast("array<struct<node:int,text:bigint>>"))))).first()[0] or 0
-    found = _joined(rows, known, size).mapInArrow(_extracted, "page_id long, url string, text string")
+    found = _joined(rows, known, size, "left").mapInArrow(_extracted, "page_id long, url string, text string")
     return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))

@@ -45,6 +45,21 @@ def test_wrappers_and_broken_pages(spark):
     assert len(out[208]) == 200_000 and out[209] == "deep"
 
 
+def test_reference_from_all_pages(spark):
+    rows = [(None, "http://a.example/", None), (1, "http://a.example/1", "<p>cut <a hre"), (2, "http://a.example/2", "")]
+    for k in range(26):  # two layouts; from the fifth page on a notice, not named as one
+        note = "<div class=top><p>Open day on Friday</p></div>" if k > 4 else ""
+        body = f"<article><p>Read on</p><p>own {k}</p></article>" if k % 2 else f"<section><div><h2>Head {k}</h2><div>Call us</div><p>text {k}</div></section>"
+        rows.append((10 + k, f"http://a.example/{k}", f"<body>{note}{body}"))
+    rows += [(60 + k, "http://a.example/x", f"<body><section><div><h2>Head x{k}</h2><div>Call us</div><p>text {k}</div><div class=late>Since May</div></section>") for k in range(12)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    for k in range(26):
+        want = f"own {k}" if k % 2 else f"Head {k}\n\ntext {k}"
+        assert out[10 + k] == want
+    assert [out[60 + k] for k in range(12)] == [f"Head x{k}\n\ntext {k}" for k in range(12)]
+    assert out[None] == out[2] == "" and out[1] == "cut"
+
+
 def test_matching():
     a, b = html.parse("<ul><li>1<li>2<li><b>3</b></ul><p>x"), html.parse("<ul><li>1<li><b>4</b></ul><div></div><p>y")
     left, right = html.prepared(a), html.prepared(b)
