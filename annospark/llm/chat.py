@@ -17,6 +17,10 @@ from pyspark.sql import functions as F
 CONTROLS = ["<s>", "</s>", "[INST]", "[/INST]", "<<SYS>>", "<</SYS>>", "<|im_start|>", "<|im_end|>", "<|endoftext|>"]
 START, END = "<|im_start|>", "<|im_end|>"
 TURN = "struct<role:string,text:string>"
+#: Records of more bytes get their fingerprint from a skeleton: a variant takes no text of over 20,000,000
+#: characters and no more than 128 MiB in all.
+WHOLE = 16_000_000
+_STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
 @dataclass(frozen=True)
@@ -55,15 +59,29 @@ MAPPINGS = (
 )
 
 
-def fingerprint(payload: Column) -> Column:
+def skeleton(payload: Column) -> Column:
+    """A JSON text with every text of a value empty, and of equal flat records that follow each other
+    one; its field paths and types are the same."""
+    # A key is kept, and what marks an empty text is taken away behind its colon.
+    short = F.regexp_replace(payload, f"(?s)({_STRING}\\s*+:)|{_STRING}", '$1\x01""')
+    short = F.replace(F.replace(short, F.lit(':\x01""'), F.lit(":")), F.lit("\x01"), F.lit(""))
+    return F.regexp_replace(short, '(\\{"[^{}\\[\\]\\\\]*+\\},)\\1++', "$1")
+
+
+def fingerprint(payload: Column, whole: int = WHOLE) -> Column:
     """Hash of the nested field paths and types of a JSON text; null if it is not JSON."""
-    return F.sha2(F.schema_of_variant(F.try_parse_json(payload)), 256)
+    short = F.when(F.octet_length(payload) <= whole, payload).otherwise(skeleton(payload))
+    return F.sha2(F.schema_of_variant(F.try_parse_json(short)), 256)
+
+
+#: Texts may be as long as a string can be.
+_ANY = {"maxStringLen": str(2**31 - 1)}
 
 
 def _turns(payload: Column, mapping: Mapping) -> Column:
     if mapping.messages:
         name, role, text = mapping.messages
-        rows = F.from_json(payload, f"struct<`{name}`:array<struct<`{role}`:string,`{text}`:string>>>")[name]
+        rows = F.from_json(payload, f"struct<`{name}`:array<struct<`{role}`:string,`{text}`:string>>>", _ANY)[name]
         renamed = dict(mapping.roles)
 
         def turn(x: Column) -> Column:
@@ -74,12 +92,13 @@ def _turns(payload: Column, mapping: Mapping) -> Column:
 
         return F.transform(rows, turn)
     fields = [(role, name.rstrip("?"), name.endswith("?")) for role, name in mapping.fields]
-    record = F.from_json(payload, "struct<" + ",".join(f"`{n}`:string" for _, n, _ in fields) + ">")
+    record = F.from_json(payload, "struct<" + ",".join(f"`{n}`:string" for _, n, _ in fields) + ">", _ANY)
     given = [
         F.when(F.lit(not maybe) | (record[name] != ""), F.struct(F.lit(role).alias("role"), F.coalesce(record[name], F.lit("")).alias("text")))
         for role, name, maybe in fields
     ]
-    return F.array_compact(F.array(*given))
+    # The layout has a text in each field; without one the record could not be read.
+    return F.when(record[fields[0][1]].isNotNull(), F.array_compact(F.array(*given)))
 
 
 def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:

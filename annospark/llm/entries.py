@@ -55,7 +55,11 @@ def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     own = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(turns).alias("t"))
     own = own.select("conv_id", "t.turn", "t.role", F.lit("</s>[INST] ok [/INST]").alias("text"))
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text").unionByName(own)
-    return chat.digests(chat.read_back(chat.formatted(chat.canonical(chat.records(rows)))))
+    canon = chat.canonical(chat.records(rows))
+    # Records made of rows are valid and of known layouts: none may come without turns.
+    unread = F.raise_error(F.concat(F.lit("op6_chat: record not read, conv_id "), F.coalesce(F.col("conv_id").cast("string"), F.lit("null"))))
+    canon = canon.withColumn("turns", F.when(F.col("turns").isNull(), unread).otherwise(F.col("turns")))
+    return chat.digests(chat.read_back(chat.formatted(canon)))
 
 
 def op7_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -52,3 +52,28 @@ def test_layouts(spark):
     assert turns(3) == turns(1) and turns(4) == [] and turns(5) is turns(6) is turns(7) is None
     assert out[1].layout == out[2].layout != out[3].layout and out[6].layout is None
     assert out[4].layout == sha256(b"OBJECT<messages: ARRAY<VOID>>").hexdigest()
+
+
+def test_long_records(spark):
+    from pyspark.sql import functions as F
+
+    text = F.concat(F.lit('a"<s>'), F.repeat(F.lit("0123456789"), 2_000_001))
+    roles = spark.createDataFrame([(2, 0, "user"), (2, 1, "assistant"), (3, 0, "user"), (3, 1, "user")], "conv_id long, turn long, role string")
+    rows = roles.withColumn("text", F.when(F.col("turn") == 1, text).otherwise("q"))
+    back = chat.read_back(chat.formatted(chat.canonical(chat.records(rows))))
+    out = {r.conv_id: r for r in back.select("conv_id", F.transform("turns", lambda t: F.length(t["text"])).alias("n"), F.length("loss_text").alias("loss")).collect()}
+    assert out[2].n == out[3].n == [1, 20_000_015] and out[2].loss == 20_000_015 and out[3].loss == 0
+
+
+def test_skeleton(spark):
+    from pyspark.sql import functions as F
+
+    given = [
+        {"messages": [{"role": "user", "content": 'a "b": {"c": [1]}, \\'}] * 5 + [{"role": ": \\", "content": "\n,{}", "x": None}]},
+        {'a "k": }{': ["x", 1, True, None, {"b": "\\\\"}], "": "", "n": -1.5e3, "d": {"e": [[], [""], [":"]]}},
+        {"instruction": "a", "input": "", "output": "c:"}, [], "x", 3, {}, [{"a": ""}, {"a": ""}, {"a": 1}],
+    ]
+    texts = [json.dumps(v, indent=i) for v in given for i in (None, 2)] + ["{", '{"a": "x', '{"a" "b"}', '{"a":}', '{"a": "b",}']
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for r in df.select("t", chat.fingerprint(F.col("t")).alias("a"), chat.fingerprint(F.col("t"), 0).alias("b")).collect():
+        assert r.a == r.b, r.t
