@@ -37,6 +37,9 @@ STAGE1_RAW = """
     FROM conversations WHERE turn < 9
 """
 
+#: What the stage-1 queries read: the same rows without the end at turn 9.
+STAGE1_LOG = STAGE1_RAW.replace(" WHERE turn < 9", "")
+
 
 def _stage2_raw() -> str:
     d, id_ = "doc_id % 13", "cast(floor(doc_id / 3) AS bigint)"

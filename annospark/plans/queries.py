@@ -182,7 +182,7 @@ _TEXT = rf"""WITH raw AS ({fx.STAGE1_RAW}), a AS (SELECT *, {_strip('raw_text')}
 
 
 def _stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.validated(frame(spark, sf_dir, fx.STAGE1_RAW))
+    return annotate.validated(frame(spark, sf_dir, fx.STAGE1_LOG))
 
 
 @query(f"{_TEXT} SELECT id, prompt_id, attempt, raw_text, array_to_string(errors, ';') AS errors, len(errors) = 0 AS prompt_valid FROM e")
@@ -194,7 +194,7 @@ def stage1_validate(spark, sf_dir):
 def truncation_flags(spark, sf_dir):
     c = F.col("raw_text")
     cut = text.truncated(c, F.col("finish_reason"), F.col("output_tokens"))
-    return frame(spark, sf_dir, fx.STAGE1_RAW).select("id", "prompt_id", "attempt", "raw_text", cut.alias("cut"), text.incomplete_bullet(c).alias("bullet"), text.label_only(c).alias("label_only"))
+    return frame(spark, sf_dir, fx.STAGE1_LOG).select("id", "prompt_id", "attempt", "raw_text", cut.alias("cut"), text.incomplete_bullet(c).alias("bullet"), text.label_only(c).alias("label_only"))
 
 
 @query(f"{_TEXT} SELECT reason, count(*) AS n FROM (SELECT unnest(errors) AS reason FROM e) GROUP BY 1")

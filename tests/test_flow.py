@@ -89,3 +89,16 @@ def test_roles(spark):
     assert profile.image_column(df.drop("image")) == "url"
     with pytest.raises(ValueError):
         profile.image_column(df.select("label"))
+
+
+def test_stage1_long_conversations(spark, tmp_path):
+    from annospark.plans import queries
+
+    rows = [(c, t, "user", f"text {t} of {c}") for c in (1, 2) for t in range(15)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    for name in ("documents", "labels", "pages", "events", "lineitem"):
+        spark.read.parquet(f"/root/testdata/sf0.001/{name}.parquet").limit(1).write.parquet(f"{tmp_path}/{name}.parquet")
+    found = queries.QUERIES["stage1_validate"](spark, str(tmp_path))
+    assert sorted((r.id, r.attempt) for r in found.collect()) == [(f"c{c}", k) for c in (1, 2) for k in range(5) for _ in range(3)]
+    assert queries.QUERIES["truncation_flags"](spark, str(tmp_path)).count() == 30
+    assert all(r.next_attempt < 3 for r in queries.QUERIES["stage1_retries"](spark, str(tmp_path)).collect())
