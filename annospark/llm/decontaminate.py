@@ -8,11 +8,13 @@ gives all items within the radius. What it gives is verified on the weighted shi
 
 A window that is similar enough holds at least 8/9 of its shingles from the benchmark. A bit table of
 fixed size tells which shingles can be of the benchmark; other windows are not fingerprinted. Windows
-with the same words are one class, fingerprinted and verified once.
+with the same words are one class, fingerprinted and verified once. A text with fewer words than an item
+is one window for it, if it has words enough to be similar.
 """
 
 from __future__ import annotations
 
+from bisect import bisect_right
 from collections.abc import Iterator
 from itertools import combinations
 
@@ -95,6 +97,32 @@ def _windows(table, lengths: list[int]):
     names = ["doc_id", "start", "end", "length", "content", "fingerprint", "elements"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def emitted(p: words.Piece, by_place: np.ndarray, start: np.ndarray, size: int, length: int) -> Iterator[pa.RecordBatch]:
+            """Windows of ``size`` words, to be compared with items of ``length`` words."""
+            nonlocal point
+            for lo in range(0, len(start), 4096):
+                at = start[lo : lo + 4096]
+                shingle = _window_shingles(p, by_place, at, size)
+                if size < WIDTH:
+                    hit = known[(shingle[:, 0] & words.U(TABLE_BITS - 1)).astype(np.int64)]
+                    at, shingle = at[hit], shingle[hit]
+                if not len(at):
+                    continue
+                elements = _elements(shingle)
+                content = words.mix(words.mix(elements.copy()).sum(axis=1) + words.U(size))
+                point = words.code_points(p) if point is None else point
+                base = point[p.bounds[p.text[at]]]
+                columns = [
+                    pa.array(doc[p.lo + p.text[at]]),
+                    pa.array(point[p.start[at]] - base),
+                    pa.array(point[p.end[at + size - 1]] - base),
+                    pa.array(np.full(len(at), length, dtype=np.int32)),
+                    pa.array(content.view(np.int64)),
+                    pa.array(_fingerprints(shingle)),
+                    _lists(elements),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, names=names)
+
         known = np.unpackbits(np.frombuffer(table.value, dtype=np.uint8), bitorder="little").view(bool)
         for batch in batches:
             doc = batch["doc_id"].to_numpy(zero_copy_only=False)
@@ -103,6 +131,8 @@ def _windows(table, lengths: list[int]):
                 by_place = _place_shingles(p)
                 point = None
                 upto = np.r_[0, np.cumsum(known[(by_place & words.U(TABLE_BITS - 1)).astype(np.int64)])]
+                words_of = np.bincount(p.text, minlength=p.hi - p.lo)
+                first = np.cumsum(words_of) - words_of
                 longest = max(lengths, default=0)
                 near = np.flatnonzero(upto[np.minimum(np.arange(n) + max(longest - WIDTH + 1, 1), n)] > upto[:n])
                 for length in lengths:
@@ -112,28 +142,16 @@ def _windows(table, lengths: list[int]):
                     start = start[p.text[start] == p.text[start + length - 1]]
                     if length >= WIDTH:
                         start = start[(upto[start + m] - upto[start]) * (OVER + UNDER) >= 2 * OVER * m]
-                    for lo in range(0, len(start), 4096):
-                        at = start[lo : lo + 4096]
-                        shingle = _window_shingles(p, by_place, at, length)
-                        if length < WIDTH:
-                            hit = known[(shingle[:, 0] & words.U(TABLE_BITS - 1)).astype(np.int64)]
-                            at, shingle = at[hit], shingle[hit]
-                        if not len(at):
-                            continue
-                        elements = _elements(shingle)
-                        content = words.mix(words.mix(elements.copy()).sum(axis=1) + words.U(length))
-                        point = words.code_points(p) if point is None else point
-                        base = point[p.bounds[p.text[at]]]
-                        columns = [
-                            pa.array(doc[p.lo + p.text[at]]),
-                            pa.array(point[p.start[at]] - base),
-                            pa.array(point[p.end[at + length - 1]] - base),
-                            pa.array(np.full(len(at), length, dtype=np.int32)),
-                            pa.array(content.view(np.int64)),
-                            pa.array(_fingerprints(shingle)),
-                            _lists(elements),
-                        ]
-                        yield pa.RecordBatch.from_arrays(columns, names=names)
+                    yield from emitted(p, by_place, start, length, length)
+                # Texts shorter than an item, whole: all their shingles have to be enough.
+                for k in np.flatnonzero(words_of >= WIDTH):
+                    m = int(words_of[k])
+                    at = first[k : k + 1]
+                    hits = int(upto[at[0] + m - WIDTH + 1] - upto[at[0]])
+                    for length in lengths[bisect_right(lengths, m) :]:
+                        if hits * UNDER < OVER * (length - WIDTH + 1):
+                            break
+                        yield from emitted(p, by_place, at, m, length)
 
     return run
 
@@ -153,7 +171,7 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start, end, n_windows of every document that holds an item.
 
     ``docs`` needs doc_id and text, ``benchmark`` item_id and text; other columns are not read. A window
-    has as many words (A-Z lower-cased) as the item; its shingles are its runs of five words, or, with
+    has as many words (A-Z lower-cased) as the item, or is the whole of a text with fewer words; its shingles are its runs of five words, or, with
     fewer words, the window itself, weighted by how often it has them. similarity is the sum of the
     lesser weights over that of the greater ones, at least 4/5, of the best window; of equal ones the
     first counts. start and end are its code points, end exclusive; n_windows counts the windows that

@@ -62,3 +62,14 @@ def test_edited_and_odd_rows(spark):
     assert left == docs.keys() - {x[0] for x in got}
     assert decontaminate.matches(df.limit(0), bench).count() == 0
     assert decontaminate.matches(df, bench.limit(0)).count() == 0
+
+
+def test_texts_shorter_than_an_item(spark):
+    w = [f"w{k}" for k in range(59)]
+    items = [(1, " ".join(w)), (2, " ".join(f"v{k}" for k in range(14)))]
+    docs = {1: " é " + " ".join(w[:54]), 2: " ".join(w[11:]), 3: " ".join(w[12:]), 4: " ".join(f"v{k}" for k in range(12)), 5: "v0 v1 v2 v3", 6: " ".join(w)}
+    docs[1] = docs[1].replace(" é ", " ")
+    rows = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    got = sorted(tuple(r) for r in decontaminate.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect())
+    end = len(docs[1])
+    assert got == [(1, 1, 50 / 55, 1, end, 1), (2, 1, 44 / 55, 0, len(docs[2]), 1), (4, 2, 0.8, 0, len(docs[4]), 1), (6, 1, 1.0, 0, len(docs[6]), 1)]
