@@ -5,7 +5,8 @@ merged, by simple tree matching, from pages chosen so that each such slot is in
 and odd pages have no say. Every page's DOM tree is aligned with the reference by simple tree matching.
 Over all pages of the host it is counted how often a node of the reference has the same text: a block
 whose text nearly all pages share, copies of a page counted once, is template; the others are slots. Of each page the slots of the article are kept, without what the markup itself names
-as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments).
+as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments); a class
+or id does so only by a whole token, on a slot of the wrapper, and never for what holds the article.
 
 The references, one for each host, are broadcast only if their size, which is measured, allows it;
 else they are joined by host.
@@ -193,18 +194,49 @@ def _digest(text: str) -> int:
     return int.from_bytes(blake2b(text.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def _not_article(x: Node) -> bool:
-    if x.tag in OTHER:
-        return True
+def _tokens(x: Node) -> Iterator[tuple[str, str]]:
+    kind = ""
+    for part in x.names.split():
+        head, is_kind, value = part.partition("=")
+        if is_kind and head in ("class", "id", "role", "hidden", "aria-hidden"):
+            kind, part = head, value
+        yield kind, part.lower()
+
+
+def _named_other(x: Node, framed: set[int]) -> bool:
+    """Whether its role, or on a slot of the wrapper its class or id, names an element as no article."""
     if not x.names or x.tag in ("html", "body", "article", "main"):
         return False
-    hidden = re.search(r"(?<![\w-])hidden=(?!\w)|aria-hidden=true", x.names)
-    return bool(hidden) or any(w.lower() in OTHER_WORDS for part in x.names.split() for w in _WORD.findall(part.partition("=")[2] or part))
+    return any(w in OTHER_WORDS and (kind == "role" or x.number in framed) for kind, w in _tokens(x) if kind in ("class", "id", "role"))
+
+
+def _hidden(x: Node) -> bool:
+    return bool(x.names) and x.tag not in ("html", "body", "article", "main") and bool(re.search(r"(?<![\w-])hidden=(?!\w)|aria-hidden=true", x.names))
+
+
+def _dropped(nodes: list[Node], template: set[int], framed: set[int]) -> set[int]:
+    """Elements that are no article by what they are or are named. A name doesn't count for what holds an
+    article or main element, or more than half of the page's text that is neither template nor in elements
+    that are no article."""
+    gone = {x.number for x in nodes if x.tag in OTHER or _hidden(x)}
+    named = [x for x in nodes if x.number not in gone and _named_other(x, framed)]
+    if not named:
+        return gone
+    held, holds = [0] * len(nodes), [False] * len(nodes)
+    for x in reversed(nodes):
+        if x.number in gone:
+            continue
+        inner = [c.number for c in x.children if isinstance(c, Node)]
+        own = 0 if x.number in template else sum(len(c.strip()) for c in x.children if isinstance(c, str))
+        held[x.number] = own + sum(held[k] for k in inner)
+        holds[x.number] = any(holds[k] or nodes[k].tag in ("article", "main") or ("role", "main") in _tokens(nodes[k]) for k in inner)
+    return gone | {x.number for x in named if not holds[x.number] and 2 * held[x.number] <= held[0]}
 
 
-def article(root: Node, template: set[int]) -> str:
+def article(root: Node, template: set[int], framed: set[int]) -> str:
     """Text of the article, without the elements whose numbers are in ``template``: its blocks, in page
-    order, joined by an empty line."""
+    order, joined by an empty line. ``framed`` has the elements that are on slots of the wrapper."""
+    gone = _dropped(prepared(root), template, framed)
 
     def inside(tag: str) -> list[Node]:
         found, stack = [], [root]
@@ -212,7 +244,7 @@ def article(root: Node, template: set[int]) -> str:
             x = stack.pop()
             if x.tag == tag or tag == "main" and "role=main" in x.names:
                 found.append(x)
-            elif not _not_article(x):
+            elif x.number not in gone:
                 stack += [c for c in reversed(x.children) if isinstance(c, Node)]
         return found
 
@@ -234,7 +266,7 @@ def article(root: Node, template: set[int]) -> str:
                 flush()
             elif isinstance(x, str):
                 line.append(x)
-            elif _not_article(x) and x is not top:
+            elif x.number in gone and x is not top:
                 if x.tag in BLOCK:
                     flush()
             elif x.tag == "br":
@@ -405,9 +437,10 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for html, other, template in zip(batch["html"], batch["reference"], batch["template"], strict=True):
             root = parse(html.as_py())
             nodes, constant = prepared(root), set()
+            pairs = matched(root, reference(other.as_py())) if other.is_valid else {}
             if known := {(t["node"], t["text"]) for t in template.as_py() or ()}:
-                constant = {i for i, j in matched(root, reference(other.as_py())).items() if nodes[i].tag in BLOCK and (j, _digest(nodes[i].text)) in known}
-            texts.append(article(root, constant))
+                constant = {i for i, j in pairs.items() if nodes[i].tag in BLOCK and (j, _digest(nodes[i].text)) in known}
+            texts.append(article(root, constant, pairs.keys()))
         columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string())]
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
 

@@ -60,6 +60,18 @@ def test_reference_from_all_pages(spark):
     assert out[None] == out[2] == "" and out[1] == "cut"
 
 
+def test_names_do_not_drop_the_article(spark):
+    rows = []
+    for k in range(14):
+        inner = f"<div class='entry-header'><p>by {k}</p></div><p>text {k}</p>" + ("<p class='social'>one such</p>" if k == 3 else "")
+        wrap = ("<div class='site has-sidebar'>", "<div id=page class='header-fixed sidebar'>", "<div class='content share-bar'>")[k % 3]
+        rows.append((k, f"http://n.example/{k}", f"<body><div class=related>see {k}</div>{wrap}<article>{inner}</article></div>"))
+    rows += [(50 + k, f"http://m.example/{k}", f"<body><div class=related>see {k}</div><div class=widget><p>a long own text {k}</p></div>") for k in range(14)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[k] for k in range(14)] == [f"by {k}\n\ntext {k}" + ("\n\none such" if k == 3 else "") for k in range(14)]
+    assert [out[50 + k] for k in range(14)] == [f"a long own text {k}" for k in range(14)]
+
+
 def test_matching():
     a, b = html.parse("<ul><li>1<li>2<li><b>3</b></ul><p>x"), html.parse("<ul><li>1<li><b>4</b></ul><div></div><p>y")
     left, right = html.prepared(a), html.prepared(b)
