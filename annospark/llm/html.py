@@ -8,6 +8,9 @@ whose text nearly all pages share, copies of a page counted once, is template; t
 as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments); a class
 or id does so only by a whole token, on a slot of the wrapper, and never for what holds the article.
 
+Hosts with too few pages are pooled with those whose pages have the same layout, the set of places (tags and
+names) of their blocks.
+
 The references, one for each host, are broadcast only if their size, which is measured, allows it;
 else they are joined by host.
 """
@@ -28,8 +31,9 @@ from pyspark.sql import functions as F
 
 from annospark.llm.scratch import small, stored
 
-#: A text is template if so many different pages, and this share of those with the node, have it.
-LEAST_PAGES, SHARE = 12, 0.9
+#: A text is template if this share of the different pages with the node have it, and so many at least:
+#: of pages whose longest other text differs, or of pages that differ at all, near copies included.
+LEAST_PAGES, LEAST_COPIES, SHARE = 3, 12, 0.9
 BROADCAST_BYTES = 16 << 20
 
 #: Names of HTML elements.
@@ -397,6 +401,25 @@ def _places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch(rows, host=pa.string(), path=pa.int64(), page=pa.int64(), size=pa.int32(), key=pa.int64())
 
 
+def layout(nodes: list[Node]) -> int:
+    """Digest of the set of places of blocks of text, whatever their number."""
+    at, seen = [0] * len(nodes), set()
+    for x in nodes:
+        if _slot(x):
+            seen.add(at[x.number])
+        for c in x.children:
+            if isinstance(c, Node):
+                at[c.number] = _step(at[x.number], c.tag, c.names, 0)
+    return _digest(str(sorted(seen)))
+
+
+def _pooled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows with the layout for the host; no host has a space."""
+    for batch in batches:
+        hosts = [f"layout {layout(prepared(parse(x.as_py())))}" for x in batch["html"]]
+        yield pa.RecordBatch.from_arrays([batch["page_id"], batch["url"], pa.array(hosts, pa.string()), batch["html"]], names=["page_id", "url", "host", "html"])
+
+
 def _pruned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for host, html, known in zip(batch["host"], batch["html"], batch["paths"], strict=True):
@@ -416,7 +439,8 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, node, text, page): the texts at the nodes of the reference, and a digest of the page."""
+    """Rows (host, node, text, page, other): the texts at the nodes of the reference, a digest of the page,
+    and one of its longest text besides."""
     reference = _References()
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
@@ -426,8 +450,13 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 root = parse(html)
                 nodes = prepared(root)
                 page = _page(nodes)
-                rows += [(host, j, _digest(nodes[i].text), page) for i, j in matched(root, reference(other)).items() if _slot(nodes[i])]
-            yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64())
+                texts = sorted({x.text for x in nodes if _slot(x)}, key=lambda x: (-len(x), x))[:2]
+                longest = [(x, _digest(x)) for x in texts] + [("", 0)]
+                for i, j in matched(root, reference(other)).items():
+                    if _slot(nodes[i]):
+                        text = nodes[i].text
+                        rows.append((host, j, _digest(text), page, longest[text == longest[0][0]][1]))
+            yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64(), other=pa.int64())
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -471,10 +500,10 @@ def wrappers(pages: DataFrame) -> DataFrame:
     html) that has a reference."""
     trees = references(pages)
     size = trees.agg(F.sum(F.octet_length("reference"))).first()[0] or 0
-    seen = _joined(pages.select("host", "html"), trees, size).mapInArrow(_observed, "host string, node int, text long, page long")
-    counts = seen.groupBy("host", "node", "text").agg(F.count_distinct("page").alias("n"))
-    shares = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "text")).alias("most"))
-    template = shares.where((F.col("most.n") >= LEAST_PAGES) & (F.col("most.n") >= SHARE * F.col("all")))
+    seen = _joined(pages.select("host", "html"), trees, size).mapInArrow(_observed, "host string, node int, text long, page long, other long")
+    counts = seen.groupBy("host", "node", "text").agg(F.count_distinct("page").alias("n"), F.count_distinct("other").alias("apart"))
+    shares = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "text", "apart")).alias("most"))
+    template = shares.where(((F.col("most.apart") >= LEAST_PAGES) | (F.col("most.n") >= LEAST_COPIES)) & (F.col("most.n") >= SHARE * F.col("all")))
     template = template.groupBy("host").agg(F.collect_list(F.struct("node", F.col("most.text").alias("text"))).alias("template"))
     return stored(trees.join(template, "host", "left"), "wrappers")
 
@@ -491,6 +520,10 @@ def extract(pages: DataFrame) -> DataFrame:
     """
     host = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), "^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)", 1))
     rows = pages.select("page_id", "url", host.alias("host"), F.coalesce("html", F.lit("")).alias("html"))
+    few = rows.groupBy("host").agg(F.count_distinct(F.xxhash64("html")).alias("n")).where(F.col("n") < LEAST_PAGES).select("host")
+    few = small(stored(few, "few"))
+    pooled = rows.join(few, "host", "left_semi").select("page_id", "url", "host", "html").mapInArrow(_pooled, "page_id long, url string, host string, html string")
+    rows = rows.join(few, "host", "left_anti").select("page_id", "url", "host", "html").unionByName(pooled)
     known = wrappers(rows)
     size = known.agg(F.sum(F.octet_length("reference") + 16 * F.size(F.coalesce("template", F.array().cast("array<struct<node:int,text:bigint>>"))))).first()[0] or 0
     found = _joined(rows, known, size, "left").mapInArrow(_extracted, "page_id long, url string, text string")

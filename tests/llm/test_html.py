@@ -72,6 +72,17 @@ def test_names_do_not_drop_the_article(spark):
     assert [out[50 + k] for k in range(14)] == [f"a long own text {k}" for k in range(14)]
 
 
+def test_small_hosts(spark):
+    rows = [(k, f"http://few.example/{k}", f"<body><p>Call us</p><p>own {k} text</p>") for k in range(4)]
+    rows += [(10 + k, f"http://alone{k}.example/", f"<body><section><p>Made with care</p><p>other text {k}</p></section>") for k in range(5)]
+    # Near copies: what they share is their own text.
+    rows += [(20 + k, f"http://near.example/{k}", f"<body><dl><dd>{'long ' * 20}</dd></dl><p>shared</p><p>no {k}</p>") for k in range(5)]
+    out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    assert [out[k] for k in range(4)] == [f"own {k} text" for k in range(4)]
+    assert [out[10 + k] for k in range(5)] == [f"other text {k}" for k in range(5)]
+    assert all("shared" in out[20 + k] for k in range(5))
+
+
 def test_matching():
     a, b = html.parse("<ul><li>1<li>2<li><b>3</b></ul><p>x"), html.parse("<ul><li>1<li><b>4</b></ul><div></div><p>y")
     left, right = html.prepared(a), html.prepared(b)
