@@ -35,6 +35,8 @@ from annospark.llm.scratch import small, stored
 #: of pages whose longest other text differs, or of pages that differ at all, near copies included.
 LEAST_PAGES, LEAST_COPIES, SHARE = 3, 12, 0.9
 BROADCAST_BYTES = 16 << 20
+#: Longer alignments are halved first.
+TABLE_CELLS = 250_000
 
 #: Names of HTML elements.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -65,7 +67,7 @@ _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 class Node:
     """An element; children are elements and strings, in order."""
 
-    __slots__ = ("tag", "names", "children", "number", "shape", "text")
+    __slots__ = ("tag", "names", "children", "number", "shape", "size", "text")
 
     def __init__(self, tag: str, names: str = ""):
         self.tag, self.names, self.children, self.number, self.text = tag, names, [], -1, ""
@@ -128,69 +130,103 @@ def prepared(root: Node) -> list[Node]:
     for x in reversed(nodes):
         text = "".join(c if isinstance(c, str) else " " if c.tag in BLOCK else c.text for c in x.children)
         x.text = " ".join(text.split()) if x.tag in BLOCK or x is root else text
+        x.size = 1 + sum(c.size for c in x.children if isinstance(c, Node))
         x.shape = hash((x.tag, x.names, *(c.shape for c in x.children if isinstance(c, Node))))
     return nodes
 
 
+def _aligned(xs: list[Node], ys: list[Node], weight) -> list[tuple[int, int]]:
+    """Places of the pairs, in order, whose weights have the greatest sum. Long lists are halved (Hirschberg),
+    so memory is bounded."""
+    found, parts = [], [(0, len(xs), 0, len(ys))]
+
+    def sums(rows, columns) -> list[int]:
+        row = [0] * (len(columns) + 1)
+        for c in rows:
+            above, row = row, [0]
+            for j, d in enumerate(columns):
+                row.append(max(above[j + 1], row[j], above[j] + weight(c, d)))
+        return row
+
+    while parts:
+        lo, hi, left, right = parts.pop()
+        if lo == hi or left == right:
+            continue
+        if hi - lo > 1 and (hi - lo) * (right - left) > TABLE_CELLS:
+            mid = (lo + hi) // 2
+            first, last = sums(xs[lo:mid], ys[left:right]), sums(xs[lo:hi][: mid - lo - 1 : -1], ys[left:right][::-1])
+            cut = max(range(right - left + 1), key=lambda k: first[k] + last[right - left - k])
+            parts += [(mid, hi, left + cut, right), (lo, mid, left, left + cut)]
+            continue
+        table = [[0] * (right - left + 1)]
+        for c in xs[lo:hi]:
+            above, row = table[-1], [0]
+            for j, d in enumerate(ys[left:right]):
+                row.append(max(above[j + 1], row[j], above[j] + weight(c, d)))
+            table.append(row)
+        i, j, pairs = hi - lo, right - left, []
+        while i and j:
+            if table[i][j] == table[i - 1][j]:
+                i -= 1
+            elif table[i][j] == table[i][j - 1]:
+                j -= 1
+            else:
+                i, j = i - 1, j - 1
+                pairs.append((lo + i, left + j))
+        found += reversed(pairs)
+    return found
+
+
 def matched(a: Node, b: Node) -> dict[int, int]:
     """Simple tree matching: numbers of ``a``'s elements to those of ``b``. Children are aligned in
-    order so that most elements match; equal beginnings and ends are aligned at once."""
-    sizes: dict[tuple[int, int], tuple[int, list]] = {}
-
-    def same(x: Node, y: Node) -> bool:
-        return x.tag == y.tag and x.names == y.names
-
-    def solve(x: Node, y: Node, depth: int) -> tuple[int, list]:
-        key = (x.number, y.number)
-        if key in sizes:
-            return sizes[key]
-        xs = [c for c in x.children if isinstance(c, Node)]
-        ys = [c for c in y.children if isinstance(c, Node)]
-        pairs, total = [], 1
-        if depth < 200:
-            lo = 0
-            while lo < min(len(xs), len(ys)) and xs[lo].shape == ys[lo].shape:
-                lo += 1
-            hi = 0
-            while hi < min(len(xs), len(ys)) - lo and xs[-1 - hi].shape == ys[-1 - hi].shape:
-                hi += 1
-            ends = [(xs[i], ys[i]) for i in range(lo)] + [(xs[len(xs) - k], ys[len(ys) - k]) for k in range(hi, 0, -1)]
-            xs, ys = xs[lo : len(xs) - hi], ys[lo : len(ys) - hi]
-            for c, d in ends:
-                total += solve(c, d, depth + 1)[0]
-                pairs.append((c, d))
-            if len(xs) * len(ys) > 250_000:  # very long lists: in order, as far as both go
-                inner = [(c, d) for c, d in zip(xs, ys) if same(c, d)]
-                total += sum(solve(c, d, depth + 1)[0] for c, d in inner)
-                pairs += inner
-            elif xs and ys:
-                table = [[0] * (len(ys) + 1) for _ in range(len(xs) + 1)]
-                for i, c in enumerate(xs):
-                    row, above = table[i + 1], table[i]
-                    for j, d in enumerate(ys):
-                        best = max(above[j + 1], row[j])
-                        if same(c, d):
-                            best = max(best, above[j] + solve(c, d, depth + 1)[0])
-                        row[j + 1] = best
-                total += table[-1][-1]
-                i, j = len(xs), len(ys)
-                while i and j:
-                    if table[i][j] == table[i - 1][j]:
-                        i -= 1
-                    elif table[i][j] == table[i][j - 1]:
-                        j -= 1
-                    else:
-                        i, j = i - 1, j - 1
-                        pairs.append((xs[i], ys[j]))
-        sizes[key] = (total, pairs)
-        return sizes[key]
-
-    solve(a, b, 0)
+    order so that most elements match; equal beginnings and ends are aligned at once. What two
+    elements have in common depends on their shapes alone and is found once for two shapes."""
+    known: dict[tuple[int, int], tuple[int, int, int, list]] = {}
+
+    def weight(x: Node, y: Node) -> int:
+        if x.shape == y.shape:
+            return x.size
+        return known[x.shape, y.shape][0] if x.tag == y.tag and x.names == y.names else 0
+
+    def inner(x: Node) -> list[Node]:
+        return [c for c in x.children if isinstance(c, Node)]
+
+    stack = [(a, b)]
+    while stack:
+        x, y = stack[-1]
+        if x.shape == y.shape or (x.shape, y.shape) in known:
+            stack.pop()
+            continue
+        xs, ys = inner(x), inner(y)
+        lo = hi = 0
+        while lo < min(len(xs), len(ys)) and xs[lo].shape == ys[lo].shape:
+            lo += 1
+        while hi < min(len(xs), len(ys)) - lo and xs[-1 - hi].shape == ys[-1 - hi].shape:
+            hi += 1
+        total = 1 + sum(c.size for c in xs[:lo] + xs[len(xs) - hi :])
+        xs, ys = xs[lo : len(xs) - hi], ys[lo : len(ys) - hi]
+        kinds: dict[tuple[str, str], list[Node]] = {}
+        for d in {d.shape: d for d in ys}.values():
+            kinds.setdefault((d.tag, d.names), []).append(d)
+        open_ = [(c, d) for c in {c.shape: c for c in xs}.values() for d in kinds.get((c.tag, c.names), ()) if c.shape != d.shape and (c.shape, d.shape) not in known]
+        if open_:
+            stack += open_
+            continue
+        pairs = _aligned(xs, ys, weight)
+        known[x.shape, y.shape] = (total + sum(weight(xs[i], ys[j]) for i, j in pairs), lo, hi, pairs)
+        stack.pop()
     found, stack = {}, [(a, b)]
     while stack:
         x, y = stack.pop()
         found[x.number] = y.number
-        stack += sizes[x.number, y.number][1]
+        xs, ys = inner(x), inner(y)
+        if x.shape == y.shape:
+            stack += zip(xs, ys, strict=True)
+            continue
+        _, lo, hi, pairs = known[x.shape, y.shape]
+        stack += zip(xs[:lo], ys[:lo], strict=True)
+        stack += [(xs[lo + i], ys[lo + j]) for i, j in pairs]
+        stack += zip(xs[len(xs) - hi :], ys[len(ys) - hi :], strict=True)
     return found
 
 

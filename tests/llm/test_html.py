@@ -90,5 +90,19 @@ def test_matching():
     assert {("p", "x", "y"), ("b", "3", "4"), ("li", "1", "1")} <= pairs
 
 
+def test_matching_of_long_and_deep_trees():
+    kinds = ["p", "h2", "pre", "hr", "ul"]
+    long = [kinds[k * k % 5] + f" class=k{k % 7}" for k in range(3000)]
+    def tree(xs):
+        return html.parse("".join(f"<{x}></{x.split()[0]}>" for x in xs))
+    a, b = tree(["div class=a", "div class=new", *long, "div class=z"]), tree(["div class=b", *long[1::30], "div class=last", "div class=y"])
+    left, right = html.prepared(a), html.prepared(b)
+    pairs = html.matched(a, b)
+    assert len(pairs) == 101 and all((left[i].tag, left[i].names) == (right[j].tag, right[j].names) for i, j in pairs.items())
+    a, b = html.parse("<div>" * 900 + "<p>x<b>1</b>"), html.parse("<div>" * 900 + "<p>x<i>1</i><b>2</b>")
+    html.prepared(a), html.prepared(b)
+    assert len(html.matched(a, b)) == 903
+
+
 def test_empty(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
