@@ -6,11 +6,13 @@ similar as 4/5 if their first ``n - ceil(4n/5) + 1`` words share one (prefix fil
 their words' bits differ in few places (a bound on the words that only one has). What passes is
 verified on the whole sets. A line that is similar to an earlier one, by doc_id and place, is removed.
 
-Rarity comes from counts of all words, summed in a table of fixed size; any order gives the same
-result, as long as it is one order. Lines with equal sets are one class, for which its earliest line
-stands. In a crowded group, lines are first compared with the earliest of the group, and what is left
-with the earliest of that, a few times; lines that are removed so do not look for further matches,
-so the pairs within a group are not all formed.
+Words that are too common to be a key alone are paired with a later word of a prefix longer by one: lines
+that share no rare prefix word share two of these. Lines with equal sets are one class, for which its
+earliest line stands. Lines with one key are sorted by size, so the lines a line can be like stand beside it.
+
+Only one similar earlier line has to be known of a line. So each line first takes a few candidates from
+each of its keys; lines whose candidates turn out unlike, and lines of keys with more lines than are compared
+in passing, are then compared with all others of their keys.
 """
 
 from __future__ import annotations
@@ -24,16 +26,36 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm import words
-from annospark.llm.scratch import small, stored
+from annospark.llm.scratch import drop, scoped, small, stored
 
 #: Cells of the table of word counts; its size is fixed whatever the corpus.
 CELLS = 1 << 20
-TOKEN_BITS = 44
-#: Lines with one prefix word from which the group's earliest line is tried first.
-CROWD = 64
-#: How often what is left of a crowd tries the earliest of what is left.
-TURNS = 4
+#: Rows that a task sends its counts in.
+CHUNKS = 64
+#: Words counted more often are common: they are keys in pairs. Lines of more words take single keys all the same.
+COMMON, PAIRED = 1024, 128
+#: Candidates that a line takes from a key, and places that two lines of a key may stand apart for it.
+CANDIDATES, WINDOW = 2, 1024
+#: Rows of a key up to which it is one group when all lines of keys are compared.
+GROUP = 4096
+CHUNK_ROWS = 1 << 17
 OVER, UNDER = 4, 5  # the similarity
+AT = ["doc_id", "part", "line"]
+
+
+def _order(line: np.ndarray, rank: np.ndarray | None, token: np.ndarray) -> np.ndarray:
+    """The order by line, rank (16 bits) and token; by the leading bits of all three first, and only if
+    these do not tell two tokens apart by the whole of them."""
+    bits = 0 if rank is None else 16
+    if len(line) and int(line[-1]) < 1 << 20:
+        key = (line.astype(np.uint64) << words.U(44)) | (token >> words.U(20 + bits))
+        if rank is not None:
+            key |= rank.astype(np.uint64) << words.U(28)
+        order = np.argsort(key)
+        key, value = key[order], token[order]
+        if not ((key[1:] == key[:-1]) & (value[1:] != value[:-1])).any():
+            return order
+    return np.lexsort((token, line) if rank is None else (token, rank, line))
 
 
 class Lines(NamedTuple):
@@ -43,7 +65,7 @@ class Lines(NamedTuple):
     number: np.ndarray
     size: np.ndarray
     first: np.ndarray  # index of the first token in `token`
-    token: np.ndarray  # 44-bit numbers, sorted within a line
+    token: np.ndarray  # sorted within a line
     line: np.ndarray  # of each token
 
 
@@ -56,14 +78,13 @@ def lines_of(p: words.Piece) -> Lines:
     before = np.searchsorted(breaks, p.bounds)
     text = p.text[first_word]
     number = np.searchsorted(breaks, p.start[first_word]) - before[text]
-    key = p.hash >> words.U(64 - TOKEN_BITS)
-    key |= own.astype(np.uint64) << words.U(TOKEN_BITS)
-    key.sort()
-    if len(key):
-        key = key[np.r_[True, key[1:] != key[:-1]]]
-    of = (key >> words.U(TOKEN_BITS)).astype(np.int64)
+    order = _order(own, None, p.hash)
+    of, token = own[order], p.hash[order]
+    if len(of):
+        distinct = np.r_[True, (token[1:] != token[:-1]) | (of[1:] != of[:-1])]
+        of, token = of[distinct], token[distinct]
     size = np.bincount(of, minlength=len(first_word))
-    return Lines(text, number, size, np.cumsum(size) - size, key & words.U((1 << TOKEN_BITS) - 1), of)
+    return Lines(text, number, size, np.cumsum(size) - size, token, of)
 
 
 def _cell(token: np.ndarray) -> np.ndarray:
@@ -74,160 +95,333 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     count = np.zeros(CELLS, dtype=np.int64)
     for batch in batches:
         for p in words.pieces(batch["text"]):
-            count += np.bincount(_cell(lines_of(p).token), minlength=CELLS)
-    cell = np.flatnonzero(count)
-    yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int32)), pa.array(count[cell])], names=["cell", "n"])
+            count += np.bincount(_cell(p.hash), minlength=CELLS)
+    lists = pa.ListArray.from_arrays(pa.array((np.arange(CHUNKS + 1) * (CELLS // CHUNKS)).astype(np.int32)), pa.array(count))
+    yield pa.RecordBatch.from_arrays([pa.array(np.arange(CHUNKS, dtype=np.int32)), lists], names=["chunk", "n"])
 
 
-def word_counts(texts: DataFrame) -> np.ndarray:
-    """For each cell, the number of (line, word) pairs whose word falls in it."""
-    summed = texts.mapInArrow(_count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
-    count = np.zeros(CELLS, dtype=np.int64)
-    count[summed["cell"].to_numpy()] = summed["n"].to_numpy()
-    return np.minimum(count, 2**31 - 1).astype(np.int32)
-
-
-def _described(count):
-    """Rows (doc_id, line, n, digest, low, high, prefix) of the lines with a word; low and high have
-    128 bits, each the parity of the number of words that fall on it."""
+def _summed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The sum of each chunk of counts in a task's rows."""
+    count = np.zeros((CHUNKS, CELLS // CHUNKS), dtype=np.int64)
+    for batch in batches:
+        for chunk, n in zip(batch["chunk"].to_numpy(), batch["n"], strict=True):
+            count[chunk] += n.values.to_numpy()
+    for chunk in np.flatnonzero(count.any(axis=1)):
+        lists = pa.ListArray.from_arrays(pa.array([0, count.shape[1]], pa.int32()), pa.array(count[chunk]))
+        yield pa.RecordBatch.from_arrays([pa.array([chunk], pa.int32()), lists], names=["chunk", "n"])
+
+
+def word_ranks(texts: DataFrame) -> np.ndarray:
+    """For each cell, 1024 times the logarithm (of 2) of 1 more than the number of words that fall in it."""
+    schema = "chunk int, n array<long>"
+    # Every task sums its own words; what is shuffled is CELLS numbers for each task.
+    summed = texts.mapInArrow(_count, schema).repartition("chunk").mapInArrow(_summed, schema).toArrow()
+    count = np.zeros((CHUNKS, CELLS // CHUNKS), dtype=np.int64)
+    for chunk, n in zip(summed["chunk"].to_pylist(), summed["n"], strict=True):
+        count[chunk] += n.values.to_numpy()
+    return (np.log2(count.ravel() + 1.0) * 1024).astype(np.uint16)
+
+
+def _prefix(size: np.ndarray) -> np.ndarray:
+    return size - (OVER * size + UNDER - 1) // UNDER + 1
+
+
+def _keys(x: Lines, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(line, key, place) of the prefix keys of the lines; place is that of the key's first word."""
+    rank = ranks[_cell(x.token)]
+    order = _order(x.line, rank, x.token)
+    token, common = x.token[order], rank[order] > int(np.log2(COMMON + 1.0) * 1024)
+    place = np.arange(len(order)) - np.repeat(x.first, x.size)
+    size = np.repeat(x.size, x.size)
+    prefix = (place < np.repeat(_prefix(x.size), x.size)) & (size >= OVER)
+    single = np.flatnonzero(prefix & ~common)
+    found = [(single, token[single] * words.ODD[43])]
+    # Lines of more than PAIRED words have single keys for common words too, and so do those they can be like.
+    single = np.flatnonzero(prefix & common & (UNDER * size > OVER * PAIRED))
+    found.append((single, token[single] * words.ODD[44]))
+    first = np.flatnonzero(prefix & common & (size <= PAIRED))
+    reach = np.minimum(np.repeat(_prefix(x.size), x.size) + 1, size)
+    step = 1
+    while len(first):
+        first = first[place[first] + step < reach[first]]
+        found.append((first, token[first] * words.ODD[45] + token[first + step] * words.ODD[46]))
+        step += 1
+    at, key = (np.concatenate(c) for c in zip(*found, strict=True))
+    back = np.argsort(x.line[at], kind="stable")
+    return x.line[at][back], words.mix(key)[back], place[at][back]
+
+
+def _described(ranks):
+    """Rows (doc_id, part, line, n, d1, d2, low, high, keys, places) of the lines with a word; d1 and d2 are a
+    digest of the set, low and high have 128 bits, each the parity of the number of words that fall on it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = ["doc_id", "line", "n", "digest", "low", "high", "prefix"]
+        names = [*AT, "n", "d1", "d2", "low", "high", "keys", "places"]
         for batch in batches:
-            doc = batch["doc_id"].to_numpy(zero_copy_only=False)
+            doc, part = (batch[c].to_numpy(zero_copy_only=False) for c in AT[:2])
             for p in words.pieces(batch["text"]):
                 x = lines_of(p)
                 if not len(x.size):
                     continue
                 spread = words.mix(x.token + words.ODD[40])
-                digest = np.add.reduceat(spread, x.first)
+                d1 = np.add.reduceat(spread, x.first)
+                d2 = np.add.reduceat(words.mix(x.token ^ words.ODD[41]), x.first)
                 bit, upper = words.U(1) << (spread & words.U(63)), (spread >> words.U(6) & words.U(1)).astype(bool)
                 low = np.bitwise_xor.reduceat(np.where(upper, words.U(0), bit), x.first)
                 high = np.bitwise_xor.reduceat(np.where(upper, bit, words.U(0)), x.first)
-                order = np.lexsort((x.token, count.value[_cell(x.token)], x.line))
-                place = np.arange(len(order)) - np.repeat(x.first, x.size)
-                length = x.size - (OVER * x.size + UNDER - 1) // UNDER + 1
-                prefix = x.token[order][place < np.repeat(length, x.size)]
-                lists = pa.ListArray.from_arrays(
-                    pa.array(np.r_[0, np.cumsum(length)].astype(np.int32)), pa.array((prefix & words.U(0xFFFFFFFF)).astype(np.uint32).view(np.int32))
-                )
-                columns = [pa.array(doc[p.lo + x.text]), pa.array(x.number.astype(np.int32)), pa.array(x.size.astype(np.int32))]
-                columns += [*(pa.array(v.view(np.int64)) for v in (digest, low, high)), lists]
+                line, key, place = _keys(x, ranks.value)
+                bounds = pa.array(np.searchsorted(line, np.arange(len(x.size) + 1)).astype(np.int32))
+                at = p.lo + x.text
+                columns = [pa.array(doc[at]), pa.array(part[at]), pa.array(x.number.astype(np.int32)), pa.array(x.size.astype(np.int32))]
+                columns += [pa.array(v.view(np.int64)) for v in (d1, d2, low, high)]
+                columns += [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (key.view(np.int64), place.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return run
 
 
-def _wanted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, line, words) of the lines listed in `lines`."""
+def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.ndarray]]:
+    held: list[pa.RecordBatch] = []
     for batch in batches:
-        doc = batch["doc_id"].to_numpy(zero_copy_only=False)
-        want, bound = batch["lines"].flatten().to_numpy(), np.r_[0, np.cumsum(batch["lines"].value_lengths().to_numpy())]
-        of = np.repeat(np.arange(len(doc)), np.diff(bound))
-        for p in words.pieces(batch["text"]):
-            x = lines_of(p)
-            lo, hi = bound[p.lo], bound[p.hi]
-            asked = (of[lo:hi] - p.lo) << 32 | want[lo:hi]
-            keep = np.isin(x.text << 32 | x.number, asked)
-            token = x.token[np.repeat(keep, x.size)].view(np.int64)
-            lists = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(x.size[keep])].astype(np.int32)), pa.array(token))
-            columns = [pa.array(doc[p.lo + x.text[keep]]), pa.array(x.number[keep].astype(np.int32)), lists]
-            yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "line", "words"])
+        held.append(batch)
+        if sum(x.num_rows for x in held) >= rows:
+            yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+            held = []
+    if held:
+        yield [c.to_numpy() for c in pa.Table.from_batches(held).columns]
+
+
+def _candidates(window: int, rows: int):
+    """Of rows (key, n, doc_id, part, line, place, low, high), sorted in this order, rows (doc_id, part, line,
+    other: such three, key). With other, a line and an earlier one that it can be like. Without, a line that
+    has taken its candidates from a key, or a key with more lines near in size than the window.
+
+    Lines of a key are compared with those up to ``window`` places away, a chunk of rows at a time and the last
+    rows of the chunk before."""
+
+    names = [*AT, "other", "key"]
+
+    def table(at: list[np.ndarray], other: list[np.ndarray] | None = None) -> pa.RecordBatch:
+        types = [pa.int64(), pa.int64(), pa.int32()]
+        columns = [pa.array(v, t) for v, t in zip(at, types, strict=True)]
+        fields = [pa.field(name, t) for name, t in zip(AT, types, strict=True)]
+        if other is None:
+            others = pa.nulls(len(at[0]), pa.struct(fields))
+        else:
+            others = pa.StructArray.from_arrays([pa.array(v, t) for v, t in zip(other, types, strict=True)], fields=fields)
+        return pa.RecordBatch.from_arrays([*columns, others, pa.nulls(len(at[0]), pa.int64())], names=names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        before: list[np.ndarray] | None = None
+        for part in _chunks(batches, rows):
+            known = 0 if before is None else len(before[0])
+            part = [*part, np.zeros(len(part[0]), dtype=np.int8)]
+            key, n, doc, sub, line, place, low, high, taken = part if before is None else [np.concatenate(c) for c in zip(before, part, strict=True)]
+            n, place = n.astype(np.int64), place.astype(np.int64)
+            low, high = low.view(np.uint64), high.view(np.uint64)
+            # Of two lines the smaller one has the shared word in a shorter prefix.
+            indexed = place < n - (2 * OVER * n + OVER + UNDER - 1) // (OVER + UNDER) + 1
+            left = n - place
+            index, lag, stopped = np.arange(known, len(key)), 0, []
+            while lag < window:
+                lag += 1
+                index = index[index >= lag]
+                other = index - lag
+                index = index[(key[index] == key[other]) & (UNDER * n[other] >= OVER * n[index])]
+                if not len(index):
+                    break
+                i = index[indexed[index - lag]]
+                j = i - lag
+                near = (OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * (n[i] + n[j])
+                i, j = i[near], j[near]
+                differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+                near = differ * (OVER + UNDER) <= n[i] + n[j]
+                i, j = i[near], j[near]
+                later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & ((sub[i] > sub[j]) | (sub[i] == sub[j]) & (line[i] > line[j]))
+                p, q = np.where(later, i, j), np.where(later, j, i)
+                full = taken[p] >= CANDIDATES
+                if full.any():
+                    stopped.append(np.unique(p[full]))
+                p, q = p[~full], q[~full]
+                # A row is in at most two pairs of one lag.
+                np.add.at(taken, p, 1)
+                if len(p):
+                    yield table([doc[p], sub[p], line[p]], [doc[q], sub[q], line[q]])
+            if stopped:
+                p = np.unique(np.concatenate(stopped))
+                yield table([doc[p], sub[p], line[p]])
+            index = index[index > window]
+            far = np.unique(key[index[(key[index] == key[index - window - 1]) & (UNDER * n[index - window - 1] >= OVER * n[index])]])
+            if len(far):
+                empty = [pa.nulls(len(far), t) for t in (pa.int64(), pa.int64(), pa.int32())]
+                others = table([np.zeros(0, dtype=np.int64)] * 3).schema.field("other").type
+                yield pa.RecordBatch.from_arrays([*empty, pa.nulls(len(far), others), pa.array(far)], names=names)
+            keep = max(int(np.searchsorted(key == key[-1], True)), len(key) - window - 1)
+            before = [v[keep:] for v in (key, n, doc, sub, line, place, low.view(np.int64), high.view(np.int64), taken)]
+
+    return run
+
+
+def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, part, line, text) of the lines listed in `lines`."""
+    for batch in batches:
+        for doc, part, text, lines in zip(*(batch[c] for c in ("doc_id", "part", "text", "lines")), strict=True):
+            own, lines = text.as_py().split("\n"), lines.values
+            columns = [pa.array([x.as_py()] * len(lines), pa.int64()) for x in (doc, part)]
+            yield pa.RecordBatch.from_arrays([*columns, lines, pa.array([own[k] for k in lines.to_pylist()], pa.string())], names=[*AT, "text"])
+
+
+def _token_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    row, token = [np.zeros(0, dtype=np.int64)], [np.zeros(0, dtype=np.uint64)]
+    for p in words.pieces(texts):
+        order = np.lexsort((p.hash, p.text))
+        text, value = p.text[order] + p.lo, p.hash[order]
+        distinct = np.r_[True, (text[1:] != text[:-1]) | (value[1:] != value[:-1])][: len(text)]
+        row.append(text[distinct])
+        token.append(value[distinct])
+    return np.concatenate(row), np.concatenate(token)
+
+
+def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The `p` of rows (p, text_p, text_q) whose texts are similar enough, on all their words."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 256):
+            part = batch.slice(lo, 256)
+            sides = [_token_sets(part[c]) for c in ("text_p", "text_q")]
+            sizes = sum(np.bincount(row, minlength=part.num_rows) for row, _ in sides)
+            row, token = (np.concatenate(c) for c in zip(*sides, strict=True))
+            order = np.lexsort((token, row))
+            row, token = row[order], token[order]
+            both = np.bincount(row[1:][(row[1:] == row[:-1]) & (token[1:] == token[:-1])], minlength=part.num_rows)
+            found = part.filter(pa.array(both * (OVER + UNDER) >= OVER * sizes))
+            if found.num_rows:
+                yield pa.RecordBatch.from_arrays(found["p"].flatten(), names=AT)
 
 
 def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """Later lines (doc_id, line) of those ``pairs`` (p later, q earlier) that are similar enough."""
-    lines = stored(pairs.select(F.col("p.*")).union(pairs.select("q.*")).distinct(), "asked")
-    lists = lines.groupBy("doc_id").agg(F.collect_list("line").alias("lines"))
-    lists = F.broadcast(lists) if lines.count() <= 400_000 else lists
-    known = texts.join(lists, "doc_id").mapInArrow(_wanted, "doc_id long, line int, words array<long>")
-    known = known.select(F.struct("doc_id", "line").alias("at"), "words")
-    both = pairs.join(known.select(F.col("at").alias("p"), F.col("words").alias("v")), "p")
-    both = both.join(known.select(F.col("at").alias("q"), F.col("words").alias("w")), "q")
-    shared = F.size(F.array_intersect("v", "w"))
-    both = both.where(shared * (OVER + UNDER) >= OVER * (F.size("v") + F.size("w")))
-    return stored(both.select("p.*").distinct(), "gone")
+    """The later lines (doc_id, part, line), stored, of those ``pairs`` (p later, q earlier) that are similar."""
+    lines = stored(pairs.select("p.*").union(pairs.select("q.*")).distinct(), "asked")
+    lists = lines.groupBy("doc_id", "part").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+    # A million numbers of lines are about 20 MB at most, with those of their documents.
+    lists = F.broadcast(lists) if lines.count() <= 1_000_000 else lists
+    known = texts.join(lists, ["doc_id", "part"]).select("doc_id", "part", "text", "lines")
+    known = stored(known.mapInArrow(_asked, "doc_id long, part long, line int, text string"), "known")
+    known = known.select(F.struct(*AT).alias("at"), "text")
+    both = pairs.join(known.select(F.col("at").alias("p"), F.col("text").alias("text_p")), "p")
+    both = both.join(known.select(F.col("at").alias("q"), F.col("text").alias("text_q")), "q").select("p", "text_p", "text_q")
+    return stored(both.mapInArrow(_similar, "doc_id long, part long, line int").distinct(), "gone")
 
 
 def _close() -> Column:
-    """What two rows p and q of prefix words need to be like; exact filters, in the cheapest order."""
+    """What two rows p and q of keys need to be like, q earlier; exact filters, in the cheapest order."""
     n, m = F.col("p.n"), F.col("q.n")
     differ = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low"))) + F.bit_count(F.col("p.high").bitwiseXOR(F.col("q.high")))
     follow = F.least(n - F.col("p.place"), m - F.col("q.place"))
     return (
-        ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.line") < F.col("p.line"))))
+        (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
+        & (F.struct(*[f"q.{c}" for c in AT]) < F.struct(*[f"p.{c}" for c in AT]))
         & (differ * (OVER + UNDER) <= n + m)
-        & (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
         & ((OVER + UNDER) * follow >= OVER * (n + m))
     )
 
 
-def _ends() -> tuple[Column, Column]:
-    return F.struct("p.doc_id", "p.line").alias("p"), F.struct("q.doc_id", "q.line").alias("q")
-
-
-def similar_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, line of the lines that are to be removed; lines are split at \\n and count from 0.
-
-    ``docs`` needs doc_id (one row each) and text; other columns are not read. A line is removed if
-    an earlier one, in a smaller doc_id or above it, has a word set with intersection / union >= 4/5;
-    the earlier one may itself be removed. Lines without a word, and so null and empty texts, are
-    never removed. Rows with a null doc_id are left out. No documents give no rows.
+def _all_pairs(rows: DataFrame, open_lines: DataFrame) -> DataFrame:
+    """Pairs (p, q) of ``open_lines`` and all earlier lines that they can be like. Keys of many rows are cut
+    into groups, each of which meets the key's open lines."""
+    asking = stored(rows.join(small(open_lines), AT), "asking")
+    sizes = asking.select("key").distinct()
+    sizes = rows.join(small(stored(sizes, "keys")), "key").groupBy("key").agg(F.count("*").alias("k"))
+    sizes = stored(sizes.where(F.col("k") > GROUP).select("key", F.ceil(F.col("k") / GROUP).cast("int").alias("cuts")), "sizes")
+    cuts = F.coalesce("cuts", F.lit(1))
+    p = asking.join(small(sizes), "key", "left").withColumn("cut", F.explode(F.sequence(F.lit(0), cuts - 1))).drop("cuts")
+    q = rows.join(small(sizes), "key", "left").withColumn("cut", F.pmod(F.xxhash64(*AT), cuts).cast("int")).drop("cuts")
+    p = small(stored(p, "open"), 100_000)
+    pairs = q.alias("q").join(p.alias("p"), (F.col("p.key") == F.col("q.key")) & (F.col("p.cut") == F.col("q.cut")) & _close())
+    ends = [F.struct(*[f"{x}.{c}" for c in AT]).alias(x) for x in ("p", "q")]
+    return stored(pairs.select(*ends).distinct(), "pairs")
+
+
+def _placed(docs: DataFrame, *columns: str | Column) -> DataFrame:
+    """Rows doc_id, part and ``columns`` of ``docs``. part is 0, but where a doc_id has several rows a hash of the text."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns)
+    repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id", F.lit(1).alias("again"))
+    repeated = stored(repeated, "repeated")
+    if repeated.isEmpty():
+        return rows.select("doc_id", F.lit(0).cast("long").alias("part"), *rows.columns[1:])
+    part = F.when(F.col("again").isNotNull(), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(0)
+    return rows.join(small(repeated), "doc_id", "left").select("doc_id", part.alias("part"), *rows.columns[1:])
+
+
+@scoped
+def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+    """doc_id, part, line of the lines that are to be removed; lines are split at \\n and count from 0.
+
+    ``docs`` needs doc_id and text; other columns are not read. A line is removed if an earlier one, in a
+    smaller doc_id or above it, has a word set with intersection / union >= 4/5; the earlier one may itself be
+    removed. Lines without a word, and so null and empty texts, are never removed. Rows with a null doc_id
+    are left out. Rows with one doc_id and different texts are told apart, and ordered, by part; such with
+    equal texts are one document. No documents give no rows. ``window`` bounds what is compared in passing,
+    not what is found.
     """
     spark = docs.sparkSession
-    texts = docs.where(F.col("doc_id").isNotNull()).select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    count = spark.sparkContext.broadcast(word_counts(texts))
-    schema = "doc_id long, line int, n int, digest long, low long, high long, prefix array<int>"
-    described = stored(texts.mapInArrow(_described(count), schema), "lines")
-    any_of = [F.first(c).alias(c) for c in ("low", "high", "prefix")]
-    classes = described.groupBy("digest", "n").agg(F.min(F.struct("doc_id", "line")).alias("at"), F.count("*").alias("k"), *any_of)
-    classes = stored(classes.select("digest", "n", "k", "at.*", "low", "high", "prefix"), "classes")
-
-    columns = ["doc_id", "line", "n", "low", "high"]
-    rows = classes.where("n > 3").select(*columns, F.posexplode("prefix").alias("place", "word"))
-    crowded = rows.groupBy("word").agg(F.count("*").alias("k")).where(F.col("k") > CROWD).select("word")
-    crowd = stored(rows.join(small(stored(crowded, "crowded")), "word"), "crowd")
-    gone = None
-    for _ in range(TURNS):
-        earliest = crowd.groupBy("word").agg(F.min(F.struct("doc_id", "line", "n", "low", "high", "place")).alias("q")).select("word", "q.*")
-        earliest = stored(earliest, "earliest")
-        tried = crowd.alias("p").join(earliest.alias("q"), "word").where(_close()).select(*_ends()).distinct()
-        found = _verified(stored(tried, "pairs"), texts)
-        gone = found if gone is None else gone.union(found)
-        # What is left tries the earliest of what is left.
-        crowd = crowd.join(small(found), ["doc_id", "line"], "left_anti")
-        crowd = stored(crowd.join(earliest.select("word", "doc_id", "line"), ["word", "doc_id", "line"], "left_anti"), "crowd")
-    gone = stored(gone.distinct(), "gone")
-
-    # A line that is removed already looks no further, but others may still be like it. So the sum
-    # is under 2 only if p is not gone, whatever q; both sides are the same rows, shuffled once.
-    marked = classes.join(small(gone).withColumn("gone", F.lit(1)), ["doc_id", "line"], "left").withColumn("gone", F.coalesce("gone", F.lit(0)))
-    rows = marked.where("n > 3").select(*columns, "gone", F.posexplode("prefix").alias("place", "word"))
-    pairs = rows.alias("p").join(rows.alias("q"), F.col("p.word") == F.col("q.word"))
-    pairs = pairs.where(_close() & (F.col("p.gone") * 2 + F.col("q.gone") < 2)).select(*_ends())
-    more = _verified(stored(pairs.distinct(), "pairs"), texts)
-    gone = stored(gone.union(more).distinct(), "gone")
-
-    # All lines of a class but the earliest go, and the earliest if it is like an earlier one.
-    copied = stored(classes.where("k > 1").select("digest", "n", F.struct("doc_id", "line").alias("first")), "copied")
-    copies = described.select("doc_id", "line", "n", "digest").join(small(copied), ["digest", "n"])
-    return copies.where(F.struct("doc_id", "line") != F.col("first")).select("doc_id", "line").union(gone)
+    texts = _placed(docs.where(F.col("doc_id").isNotNull()))
+    texts = texts.select("doc_id", "part", F.coalesce("text", F.lit("")).alias("text"))
+    ranks = spark.sparkContext.broadcast(word_ranks(texts.select("text")))
+    schema = "doc_id long, part long, line int, n int, d1 long, d2 long, low long, high long, keys array<long>, places array<int>"
+    described = stored(texts.mapInArrow(_described(ranks), schema), "lines")
+    any_of = [F.first(c).alias(c) for c in ("low", "high", "keys", "places")]
+    classes = described.groupBy("d1", "d2", "n").agg(F.min(F.struct(*AT)).alias("at"), F.count("*").alias("k"), *any_of)
+    classes = stored(classes.select("d1", "d2", "n", "k", "at.*", "low", "high", "keys", "places"), "classes")
+
+    # All lines of a class but the earliest go.
+    copied = stored(classes.where("k > 1").select("d1", "d2", "n", F.struct(*AT).alias("first")), "copied")
+    copies = described.select(*AT, "d1", "d2", "n").join(small(copied), ["d1", "d2", "n"])
+    copies = stored(copies.where(F.struct(*AT) != F.col("first")).select(*AT), "copies")
+    drop(described)
+
+    rows = classes.select("n", *AT, "low", "high", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
+    rows = rows.select("key", "n", *AT, "place", "low", "high")
+    by_key = rows.repartition("key").sortWithinPartitions("key", "n", *AT)
+    at = "doc_id:bigint,part:bigint,line:int"
+    taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), f"doc_id long, part long, line int, other struct<{at}>, key long"), "taken")
+    pairs = taken.where("other is not null").select(F.struct(*AT).alias("p"), F.col("other").alias("q"))
+    gone = _verified(stored(pairs.distinct(), "pairs"), texts)
+
+    stopped = taken.where("other is null and key is null").select(*AT)
+    crowded = stored(taken.where("key is not null").select("key").distinct(), "crowded")
+    if not crowded.isEmpty():
+        stopped = stopped.unionByName(rows.join(small(crowded), "key").select(*AT))
+    left = stored(stopped.distinct().join(small(gone), AT, "left_anti"), "left")
+    if not left.isEmpty():
+        gone = gone.unionByName(_verified(_all_pairs(rows, left), texts))
+    return copies.unionByName(gone).distinct()
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (of all that \\n splits), n_removed, removed (line numbers, ascending) of every
-    document; a null text has no line. Otherwise as ``similar_lines``."""
-    gone = similar_lines(docs).groupBy("doc_id").agg(F.sort_array(F.collect_list("line")).alias("removed"))
-    n_lines = F.coalesce(F.size(F.split("text", "\n", -1)), F.lit(0))
-    n_lines = F.when(F.col("text").isNull(), 0).otherwise(n_lines).cast("long")
-    every = docs.select(F.col("doc_id").cast("long"), n_lines.alias("n_lines")).join(gone, "doc_id", "left")
+    row; a null text has no line. Otherwise as ``similar_lines``."""
+    gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
+    every = _placed(docs).select("doc_id", "part", n_lines.alias("n_lines")).join(gone, ["doc_id", "part"], "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return every.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
 
+def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        texts = batch["text"].to_pylist()
+        for k, removed in enumerate(batch["_removed"]):
+            if removed.is_valid:
+                gone = set(removed.as_py())
+                texts[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in gone)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if name == "text" else batch[name] for name in batch.schema.names], names=batch.schema.names)
+
+
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs``, all columns and rows, with the lines of ``similar_lines`` cut out of text."""
-    gone = similar_lines(docs).groupBy("doc_id").agg(F.collect_list("line").alias("_removed"))
-    left = F.expr("filter(split(text, '\\n', -1), (x, i) -> not array_contains(_removed, i))")
-    text = F.when(F.col("_removed").isNull(), F.col("text")).otherwise(F.array_join(left, "\n"))
-    return docs.join(gone, "doc_id", "left").withColumn("text", text).select(*docs.columns)
+    gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.collect_list("line").alias("_removed"))
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    every = _placed(docs, row).select("doc_id", "part", "text", "_row").join(gone, ["doc_id", "part"], "left")
+    every = every.select("text", "_row", "_removed")
+    every = every.mapInArrow(_cut, every.schema)
+    return every.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

@@ -1,33 +1,91 @@
-"""Intermediate tables that survive the loss of an executor.
+"""Intermediate tables that survive the loss of an executor, and their removal.
 
 A table is written once as Parquet to the folder that ``spark.checkpoint.dir`` names, which all
-executors share, and read back; later stages then depend on files instead of on shuffle output.
+executors share, and read back; later stages then depend on files instead of on shuffle output. Tables that
+are written inside of a scope go when it ends.
 """
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_scopes: list[set[str]] = []
+_path: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
+
+
+@functools.cache
+def _local_folder() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="annospark-scratch-")
+
 
 def folder(spark: SparkSession) -> str:
-    """The shared folder. Only where the setting is missing (tests, local mode) is one made."""
+    """The shared folder. Where the setting is missing, one is made in local mode alone; a cluster has no
+    machine-local folder that all executors see, so there this is an error."""
     path = spark.conf.get("spark.checkpoint.dir", None)
-    if not path:
-        path = "file://" + tempfile.mkdtemp(prefix="annospark-scratch-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    return path.rstrip("/")
+    if not path and not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return (path or _local_folder()).rstrip("/")
+
+
+def _remove(spark: SparkSession, path: str) -> None:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables that are stored inside are removed at the end."""
+    _scopes.append(set())
+    try:
+        yield
+    finally:
+        for path in _scopes.pop():
+            _remove(spark, path)
+
+
+def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
+    """An operator of documents whose result is written, after which the tables it needed are removed. The
+    result's own table stays until the caller's scope ends, if there is one."""
+
+    @functools.wraps(operator)
+    def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
+        with scope(docs.sparkSession):
+            result = stored(operator(docs, *args, **kwargs), operator.__name__)
+            _scopes[-1].remove(_path[result])
+        if _scopes:
+            _scopes[-1].add(_path[result])
+        return result
+
+    return run
 
 
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back with the same schema."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
+    if _scopes:
+        _scopes[-1].add(path)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    _path[back] = path
+    return back
+
+
+def drop(*tables: DataFrame) -> None:
+    """Remove stored tables that nothing reads any more."""
+    for table in tables:
+        path = _path.pop(table)
+        _remove(table.sparkSession, path)
+        for scope_ in _scopes:
+            scope_.discard(path)
 
 
 def small(df: DataFrame, max_rows: int = 400_000) -> DataFrame:

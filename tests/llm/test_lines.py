@@ -2,8 +2,9 @@ import random
 import re
 
 import duckdb
+import pytest
 
-from annospark.llm import entries, lines
+from annospark.llm import entries, lines, scratch
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 LOW = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
@@ -40,8 +41,7 @@ def test_against_brute_force(spark, sf):
     assert {tuple(r) for r in rows.values()} == set(duckdb.sql(entries.ORACLES["op2_lines"]).fetchall())
 
 
-def test_crowds_and_odd_rows(spark, monkeypatch):
-    monkeypatch.setattr(lines, "CROWD", 5)
+def odd_docs():
     rng = random.Random(4)
     docs = {0: None, 1: "", 2: "\n \n", 3: "a\nb\nA\n", 4: "b\r\na", 9: "x " * 9000}
     base = [f"w{i}" for i in range(12)]
@@ -52,11 +52,53 @@ def test_crowds_and_odd_rows(spark, monkeypatch):
             for _ in range(rng.randint(0, 3)):
                 w[rng.randrange(12)] = f"x{rng.randrange(30)}"
             out.append(" ".join(rng.sample(w, len(w))))
-        docs[10 + k] = "\n".join([*out, " ".join(rng.choices("abcdefgh", k=rng.randint(1, 7)))])
+        out.append(" ".join(rng.choices("abcdefgh", k=rng.randint(1, 7))))
+        out.append(" ".join(f"v{rng.choice((i, i + 200))}" if rng.random() < 0.1 else f"v{i}" for i in range(rng.randint(95, 150))))
+        docs[10 + k] = "\n".join(out)
+    return docs
+
+
+@pytest.mark.parametrize(("window", "candidates", "common"), [(1024, 2, 1024), (2, 2, 1024), (40, 1, 3), (1, 1, 3)])
+def test_crowds_and_odd_rows(spark, monkeypatch, window, candidates, common):
+    """Whatever is compared in passing, and whichever words are common, the result is that of brute force."""
+    for name, value in {"CANDIDATES": candidates, "COMMON": common, "GROUP": 16, "CHUNK_ROWS": 100}.items():
+        monkeypatch.setattr(lines, name, value)
+    docs = odd_docs()
     df = spark.createDataFrame([(k, t, "c") for k, t in docs.items()], "doc_id long, text string, line string")
     want = brute(docs)
-    assert {r.doc_id: r.removed for r in lines.removed_lines(df).collect() if r.removed} == want
-    for r in lines.dedup(df).collect():
+    found = {}
+    for r in lines.similar_lines(df, window).collect():
+        found.setdefault(r.doc_id, []).append(r.line)
+    assert {k: sorted(v) for k, v in found.items()} == want
+
+
+def test_dedup_keeps_rows_and_columns(spark):
+    docs = odd_docs()
+    df = spark.createDataFrame([(k, t, "c", "d") for k, t in docs.items()], "doc_id long, text string, line string, part string")
+    want = brute(docs)
+    rows = lines.dedup(df).collect()
+    assert len(rows) == len(docs) and rows[0].__fields__ == df.columns
+    for r in rows:
         kept = None if docs[r.doc_id] is None else [x for i, x in enumerate(docs[r.doc_id].split("\n")) if i not in want.get(r.doc_id, ())]
         assert r.text == (None if kept is None else "\n".join(kept)) and r.line == "c"
-    assert lines.removed_lines(df.limit(0)).count() == 0
+    assert lines.removed_lines(df.limit(0)).count() == 0 and lines.dedup(df.limit(0)).count() == 0
+
+
+def test_repeated_and_null_ids(spark):
+    rows = [(1, "one two three four\nalpha"), (1, "one two three four\nbeta gamma"), (1, "one two three four\nbeta gamma"), (None, "alpha"), (2, "beta gamma\ndelta"), (2, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = sorted((r.doc_id is None, r.doc_id, r.text or "") for r in lines.dedup(df).collect())
+    # One of the texts of doc_id 1 is first; its equals are the same document.
+    first = [t for missing, k, t in texts if k == 1]
+    assert len(texts) == 6 and sum("one two" in t for t in first) in (1, 2)
+    assert [t for missing, k, t in texts if k == 2] == ["", "delta"]
+    assert [t for missing, k, t in texts if missing] == ["alpha"]
+
+
+def test_tables_are_removed(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(scratch, "folder", lambda spark: f"file://{tmp_path}")
+    df = spark.createDataFrame([(k, t) for k, t in odd_docs().items()], "doc_id long, text string")
+    with scratch.scope(spark):
+        assert lines.similar_lines(df).count() > 0
+        assert [p.name.split("-")[0] for p in tmp_path.iterdir() if p.is_dir()] == ["similar_lines"]
+    assert not any(p.is_dir() for p in tmp_path.iterdir())
