@@ -7,12 +7,13 @@ their words' bits differ in few places (a bound on the words that only one has).
 verified on the whole sets. A line that is similar to an earlier one, by doc_id and place, is removed.
 
 Words that are too common to be a key alone are paired with a later word of a prefix longer by one: lines
-that share no rare prefix word share two of these. Lines with equal sets are one class, for which its
-earliest line stands. Lines with one key are sorted by size, so the lines a line can be like stand beside it.
+that share no rare prefix word share two of these. Lines with equal sets are found by digests, and the earliest
+document's line stands for them. Lines with one key are sorted by size, so the lines a line can be like stand
+beside it.
 
-Only one similar earlier line has to be known of a line. So each line first takes a few candidates from
-each of its keys; lines whose candidates turn out unlike, and lines of keys with more lines than are compared
-in passing, are then compared with all others of their keys.
+Only one similar earlier line has to be known of a line. So of each of its keys a line takes the candidate whose
+parities differ least. Lines whose candidates turn out unlike, though others were there, and lines of keys with more
+lines than are compared in passing, are then compared with all others of their keys, in groups of bounded size.
 """
 
 from __future__ import annotations
@@ -22,11 +23,12 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm import words
-from annospark.llm.scratch import drop, scoped, small, stored
+from annospark.llm.places import joined, placed
+from annospark.llm.scratch import scoped, small, stored
 
 #: Cells of the table of word counts; its size is fixed whatever the corpus.
 CELLS = 1 << 20
@@ -34,13 +36,13 @@ CELLS = 1 << 20
 CHUNKS = 64
 #: Words counted more often are common: they are keys in pairs. Lines of more words take single keys all the same.
 COMMON, PAIRED = 1024, 128
-#: Candidates that a line takes from a key, and places that two lines of a key may stand apart for it.
-CANDIDATES, WINDOW = 2, 1024
-#: Rows of a key up to which it is one group when all lines of keys are compared.
-GROUP = 4096
-CHUNK_ROWS = 1 << 17
+#: Places that two lines of a key may stand apart to be compared in passing, and rows in a chunk of that.
+WINDOW, CHUNK_ROWS = 1024, 1 << 17
+#: Lines on each side of a group when all lines of a key are compared.
+GROUP = 2048
 OVER, UNDER = 4, 5  # the similarity
-AT = ["doc_id", "part", "line"]
+#: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
+AT = ["doc_id", "sub"]
 
 
 def _order(line: np.ndarray, rank: np.ndarray | None, token: np.ndarray) -> np.ndarray:
@@ -152,13 +154,14 @@ def _keys(x: Lines, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _described(ranks):
-    """Rows (doc_id, part, line, n, d1, d2, low, high, keys, places) of the lines with a word; d1 and d2 are a
-    digest of the set, low and high have 128 bits, each the parity of the number of words that fall on it."""
+    """Rows (doc_id, sub, d1, d2, again, low, high, size, keys, places) of the lines with a word. d1 and d2 are a
+    digest of the set, low and high have 128 bits, each the parity of the number of words that fall on it; again
+    tells that the text has the set in a line above, which has no keys. size is the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*AT, "n", "d1", "d2", "low", "high", "keys", "places"]
+        names = [*AT, "d1", "d2", "again", "low", "high", "size", "keys", "places"]
         for batch in batches:
-            doc, part = (batch[c].to_numpy(zero_copy_only=False) for c in AT[:2])
+            doc, part = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "part"))
             for p in words.pieces(batch["text"]):
                 x = lines_of(p)
                 if not len(x.size):
@@ -166,14 +169,19 @@ def _described(ranks):
                 spread = words.mix(x.token + words.ODD[40])
                 d1 = np.add.reduceat(spread, x.first)
                 d2 = np.add.reduceat(words.mix(x.token ^ words.ODD[41]), x.first)
+                order = np.lexsort((d2, d1, x.text))  # stable: lines of a text stay in order
+                again = np.zeros(len(d1), dtype=bool)
+                again[order[1:]] = (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1]) & (x.text[order][1:] == x.text[order][:-1])
                 bit, upper = words.U(1) << (spread & words.U(63)), (spread >> words.U(6) & words.U(1)).astype(bool)
                 low = np.bitwise_xor.reduceat(np.where(upper, words.U(0), bit), x.first)
                 high = np.bitwise_xor.reduceat(np.where(upper, bit, words.U(0)), x.first)
                 line, key, place = _keys(x, ranks.value)
+                new = ~again[line]
+                line, key, place = line[new], key[new], place[new]
                 bounds = pa.array(np.searchsorted(line, np.arange(len(x.size) + 1)).astype(np.int32))
                 at = p.lo + x.text
-                columns = [pa.array(doc[at]), pa.array(part[at]), pa.array(x.number.astype(np.int32)), pa.array(x.size.astype(np.int32))]
-                columns += [pa.array(v.view(np.int64)) for v in (d1, d2, low, high)]
+                columns = [pa.array(doc[at]), pa.array(part[at] << 32 | x.number), *(pa.array(v.view(np.int64)) for v in (d1, d2)), pa.array(again)]
+                columns += [*(pa.array(v.view(np.int64)) for v in (low, high)), pa.array(x.size.astype(np.int32))]
                 columns += [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (key.view(np.int64), place.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -192,37 +200,34 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.nd
 
 
 def _candidates(window: int, rows: int):
-    """Of rows (key, n, doc_id, part, line, place, low, high), sorted in this order, rows (doc_id, part, line,
-    other: such three, key). With other, a line and an earlier one that it can be like. Without, a line that
-    has taken its candidates from a key, or a key with more lines near in size than the window.
+    """Of rows (key, shape, doc_id, sub, low, high), sorted by key and shape (size and, in the lower bits, place), rows
+    (doc_id, sub, other_id, other_sub, more, key). The first five tell a line, the earlier line of a key that it can
+    be like and whose parities differ least, and whether there are more such. A key alone tells that it has more
+    lines near in size than the window.
 
     Lines of a key are compared with those up to ``window`` places away, a chunk of rows at a time and the last
     rows of the chunk before."""
 
-    names = [*AT, "other", "key"]
-
-    def table(at: list[np.ndarray], other: list[np.ndarray] | None = None) -> pa.RecordBatch:
-        types = [pa.int64(), pa.int64(), pa.int32()]
-        columns = [pa.array(v, t) for v, t in zip(at, types, strict=True)]
-        fields = [pa.field(name, t) for name, t in zip(AT, types, strict=True)]
-        if other is None:
-            others = pa.nulls(len(at[0]), pa.struct(fields))
-        else:
-            others = pa.StructArray.from_arrays([pa.array(v, t) for v, t in zip(other, types, strict=True)], fields=fields)
-        return pa.RecordBatch.from_arrays([*columns, others, pa.nulls(len(at[0]), pa.int64())], names=names)
+    names = [*AT, "other_id", "other_sub", "more", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def told(best: np.ndarray, doc, sub, other_id, other_sub, n_found) -> pa.RecordBatch:
+            columns = [pa.array(v[best]) for v in (doc, sub, other_id, other_sub, n_found > 1)]
+            return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(best), pa.int64())], names=names)
+
         before: list[np.ndarray] | None = None
         for part in _chunks(batches, rows):
+            size = len(part[0])
+            part = [*part, np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int32), np.full(size, 1 << 30)]
             known = 0 if before is None else len(before[0])
-            part = [*part, np.zeros(len(part[0]), dtype=np.int8)]
-            key, n, doc, sub, line, place, low, high, taken = part if before is None else [np.concatenate(c) for c in zip(before, part, strict=True)]
-            n, place = n.astype(np.int64), place.astype(np.int64)
+            state = part if before is None else [np.concatenate(c) for c in zip(before, part, strict=True)]
+            key, shape, doc, sub, low, high, other_id, other_sub, n_found, least = state
+            n, place = shape >> 32, shape & 0xFFFFFFFF
             low, high = low.view(np.uint64), high.view(np.uint64)
             # Of two lines the smaller one has the shared word in a shorter prefix.
             indexed = place < n - (2 * OVER * n + OVER + UNDER - 1) // (OVER + UNDER) + 1
             left = n - place
-            index, lag, stopped = np.arange(known, len(key)), 0, []
+            index, lag = np.arange(known, len(key)), 0
             while lag < window:
                 lag += 1
                 index = index[index >= lag]
@@ -232,43 +237,41 @@ def _candidates(window: int, rows: int):
                     break
                 i = index[indexed[index - lag]]
                 j = i - lag
-                near = (OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * (n[i] + n[j])
-                i, j = i[near], j[near]
+                both = n[i] + n[j]
+                near = (OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * both
+                i, j, both = i[near], j[near], both[near]
                 differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
-                near = differ * (OVER + UNDER) <= n[i] + n[j]
-                i, j = i[near], j[near]
-                later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & ((sub[i] > sub[j]) | (sub[i] == sub[j]) & (line[i] > line[j]))
-                p, q = np.where(later, i, j), np.where(later, j, i)
-                full = taken[p] >= CANDIDATES
-                if full.any():
-                    stopped.append(np.unique(p[full]))
-                p, q = p[~full], q[~full]
-                # A row is in at most two pairs of one lag.
-                np.add.at(taken, p, 1)
-                if len(p):
-                    yield table([doc[p], sub[p], line[p]], [doc[q], sub[q], line[q]])
-            if stopped:
-                p = np.unique(np.concatenate(stopped))
-                yield table([doc[p], sub[p], line[p]])
+                # Rows that repeat a document have its lines once more.
+                near = (differ * (OVER + UNDER) <= both) & ((doc[i] != doc[j]) | (sub[i] != sub[j]))
+                i, j, score = i[near], j[near], (differ[near] << 20) // both[near]
+                later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & (sub[i] > sub[j])
+                for p, q, x in ((i[later], j[later], score[later]), (j[~later], i[~later], score[~later])):
+                    n_found[p] += 1
+                    better = x < least[p]
+                    p, q = p[better], q[better]
+                    least[p], other_id[p], other_sub[p] = x[better], doc[q], sub[q]
             index = index[index > window]
             far = np.unique(key[index[(key[index] == key[index - window - 1]) & (UNDER * n[index - window - 1] >= OVER * n[index])]])
             if len(far):
-                empty = [pa.nulls(len(far), t) for t in (pa.int64(), pa.int64(), pa.int32())]
-                others = table([np.zeros(0, dtype=np.int64)] * 3).schema.field("other").type
-                yield pa.RecordBatch.from_arrays([*empty, pa.nulls(len(far), others), pa.array(far)], names=names)
+                types = [pa.int64()] * 4 + [pa.bool_()]
+                yield pa.RecordBatch.from_arrays([*(pa.nulls(len(far), t) for t in types), pa.array(far)], names=names)
+            # The last rows of the last key meet those of the next chunk.
             keep = max(int(np.searchsorted(key == key[-1], True)), len(key) - window - 1)
-            before = [v[keep:] for v in (key, n, doc, sub, line, place, low.view(np.int64), high.view(np.int64), taken)]
+            yield told(np.flatnonzero(n_found[:keep]), doc, sub, other_id, other_sub, n_found)
+            before = [v[keep:] for v in state]
+        if before is not None:
+            yield told(np.flatnonzero(before[8]), before[2], before[3], *before[6:9])
 
     return run
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, part, line, text) of the lines listed in `lines`."""
+    """Rows (doc_id, sub, text) of the lines listed in `subs`."""
     for batch in batches:
-        for doc, part, text, lines in zip(*(batch[c] for c in ("doc_id", "part", "text", "lines")), strict=True):
-            own, lines = text.as_py().split("\n"), lines.values
-            columns = [pa.array([x.as_py()] * len(lines), pa.int64()) for x in (doc, part)]
-            yield pa.RecordBatch.from_arrays([*columns, lines, pa.array([own[k] for k in lines.to_pylist()], pa.string())], names=[*AT, "text"])
+        for doc, text, subs in zip(batch["doc_id"], batch["text"], batch["subs"], strict=True):
+            own, subs = text.as_py().split("\n"), subs.values
+            lines = pa.array([own[k & 0xFFFFFFFF] for k in subs.to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([doc.as_py()] * len(subs), pa.int64()), subs, lines], names=[*AT, "text"])
 
 
 def _token_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -283,11 +286,11 @@ def _token_sets(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The `p` of rows (p, text_p, text_q) whose texts are similar enough, on all their words."""
+    """The (doc_id, sub) of rows (doc_id, sub, text, other) whose texts are similar enough, on all their words."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
             part = batch.slice(lo, 256)
-            sides = [_token_sets(part[c]) for c in ("text_p", "text_q")]
+            sides = [_token_sets(part[c]) for c in ("text", "other")]
             sizes = sum(np.bincount(row, minlength=part.num_rows) for row, _ in sides)
             row, token = (np.concatenate(c) for c in zip(*sides, strict=True))
             order = np.lexsort((token, row))
@@ -295,61 +298,76 @@ def _similar(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             both = np.bincount(row[1:][(row[1:] == row[:-1]) & (token[1:] == token[:-1])], minlength=part.num_rows)
             found = part.filter(pa.array(both * (OVER + UNDER) >= OVER * sizes))
             if found.num_rows:
-                yield pa.RecordBatch.from_arrays(found["p"].flatten(), names=AT)
+                yield found.select(AT)
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The later lines (doc_id, part, line), stored, of those ``pairs`` (p later, q earlier) that are similar."""
-    lines = stored(pairs.select("p.*").union(pairs.select("q.*")).distinct(), "asked")
-    lists = lines.groupBy("doc_id", "part").agg(F.sort_array(F.collect_list("line")).alias("lines"))
+def _texts_of(lines: DataFrame, texts: DataFrame) -> DataFrame:
+    """doc_id, sub, text of distinct ``lines`` (doc_id, sub), stored."""
+    lines = stored(lines, "asked")
+    part = F.shiftright("sub", 32)
+    lists = lines.groupBy("doc_id", part.alias("part")).agg(F.sort_array(F.collect_list("sub")).alias("subs"))
     # A million numbers of lines are about 20 MB at most, with those of their documents.
     lists = F.broadcast(lists) if lines.count() <= 1_000_000 else lists
-    known = texts.join(lists, ["doc_id", "part"]).select("doc_id", "part", "text", "lines")
-    known = stored(known.mapInArrow(_asked, "doc_id long, part long, line int, text string"), "known")
-    known = known.select(F.struct(*AT).alias("at"), "text")
-    both = pairs.join(known.select(F.col("at").alias("p"), F.col("text").alias("text_p")), "p")
-    both = both.join(known.select(F.col("at").alias("q"), F.col("text").alias("text_q")), "q").select("p", "text_p", "text_q")
-    return stored(both.mapInArrow(_similar, "doc_id long, part long, line int").distinct(), "gone")
-
-
-def _close() -> Column:
-    """What two rows p and q of keys need to be like, q earlier; exact filters, in the cheapest order."""
-    n, m = F.col("p.n"), F.col("q.n")
-    differ = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low"))) + F.bit_count(F.col("p.high").bitwiseXOR(F.col("q.high")))
-    follow = F.least(n - F.col("p.place"), m - F.col("q.place"))
-    return (
-        (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
-        & (F.struct(*[f"q.{c}" for c in AT]) < F.struct(*[f"p.{c}" for c in AT]))
-        & (differ * (OVER + UNDER) <= n + m)
-        & ((OVER + UNDER) * follow >= OVER * (n + m))
-    )
-
-
-def _all_pairs(rows: DataFrame, open_lines: DataFrame) -> DataFrame:
-    """Pairs (p, q) of ``open_lines`` and all earlier lines that they can be like. Keys of many rows are cut
-    into groups, each of which meets the key's open lines."""
-    asking = stored(rows.join(small(open_lines), AT), "asking")
-    sizes = asking.select("key").distinct()
-    sizes = rows.join(small(stored(sizes, "keys")), "key").groupBy("key").agg(F.count("*").alias("k"))
-    sizes = stored(sizes.where(F.col("k") > GROUP).select("key", F.ceil(F.col("k") / GROUP).cast("int").alias("cuts")), "sizes")
-    cuts = F.coalesce("cuts", F.lit(1))
-    p = asking.join(small(sizes), "key", "left").withColumn("cut", F.explode(F.sequence(F.lit(0), cuts - 1))).drop("cuts")
-    q = rows.join(small(sizes), "key", "left").withColumn("cut", F.pmod(F.xxhash64(*AT), cuts).cast("int")).drop("cuts")
-    p = small(stored(p, "open"), 100_000)
-    pairs = q.alias("q").join(p.alias("p"), (F.col("p.key") == F.col("q.key")) & (F.col("p.cut") == F.col("q.cut")) & _close())
-    ends = [F.struct(*[f"{x}.{c}" for c in AT]).alias(x) for x in ("p", "q")]
-    return stored(pairs.select(*ends).distinct(), "pairs")
-
-
-def _placed(docs: DataFrame, *columns: str | Column) -> DataFrame:
-    """Rows doc_id, part and ``columns`` of ``docs``. part is 0, but where a doc_id has several rows a hash of the text."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", *columns)
-    repeated = rows.where("doc_id is not null").groupBy("doc_id").agg(F.count("*").alias("k")).where("k > 1").select("doc_id", F.lit(1).alias("again"))
-    repeated = stored(repeated, "repeated")
-    if repeated.isEmpty():
-        return rows.select("doc_id", F.lit(0).cast("long").alias("part"), *rows.columns[1:])
-    part = F.when(F.col("again").isNotNull(), F.xxhash64(F.coalesce("text", F.lit("")))).otherwise(0)
-    return rows.join(small(repeated), "doc_id", "left").select("doc_id", part.alias("part"), *rows.columns[1:])
+    known = texts.join(lists, ["doc_id", "part"]).select("doc_id", "text", "subs")
+    return stored(known.mapInArrow(_asked, "doc_id long, sub long, text string"), "known")
+
+
+def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The lines (doc_id, sub), stored, of ``pairs`` (doc_id, sub, other_id, other_sub) that are similar."""
+    pairs = stored(pairs.distinct(), "pairs")
+    known = _texts_of(pairs.select(*AT).union(pairs.select("other_id", "other_sub")).distinct(), texts)
+    both = pairs.join(known, AT).join(known.toDF("other_id", "other_sub", "other"), ["other_id", "other_sub"])
+    return stored(both.select(*AT, "text", "other").mapInArrow(_similar, "doc_id long, sub long").distinct(), "gone")
+
+
+def _compared(group: pa.Table) -> pa.Table:
+    """The (doc_id, sub) of the asking lines of a group that are similar to an earlier one of its others."""
+    ask = group["ask"].to_numpy()
+    row, token = _token_sets(group["text"].combine_chunks())
+    size = np.bincount(row, minlength=len(ask))
+    first = np.cumsum(size) - size
+    doc, sub = (group[c].to_numpy() for c in AT)
+    parity = np.zeros((2, len(ask)), dtype=np.uint64)
+    spread = words.mix(token.copy())
+    for k in range(2):
+        bit = np.where(spread >> words.U(6) & words.U(1) == k, words.U(1) << (spread & words.U(63)), words.U(0))
+        parity[k, size > 0] = np.bitwise_xor.reduceat(bit, first[size > 0])
+    others, found = np.flatnonzero(~ask), []
+    for p in np.flatnonzero(ask):
+        q = others[(doc[others] < doc[p]) | (doc[others] == doc[p]) & (sub[others] < sub[p])]
+        q = q[(UNDER * np.minimum(size[q], size[p]) >= OVER * np.maximum(size[q], size[p]))]
+        differ = np.bitwise_count(parity[0, q] ^ parity[0, p]).astype(np.int64) + np.bitwise_count(parity[1, q] ^ parity[1, p])
+        q = q[differ * (OVER + UNDER) <= size[q] + size[p]]
+        if not len(q):
+            continue
+        own = token[first[p] : first[p] + size[p]]
+        of = np.repeat(np.arange(len(q)), size[q])
+        all_ = token[np.repeat(first[q] - (np.cumsum(size[q]) - size[q]), size[q]) + np.arange(len(of))]
+        at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
+        both = np.bincount(of[own[at] == all_], minlength=len(q))
+        if (both * (OVER + UNDER) >= OVER * (size[q] + size[p])).any():
+            found.append(p)
+    return group.select(AT).take(pa.array(found, pa.int64()))
+
+
+def _like_any(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """Those of ``lines`` (doc_id, sub) that are similar to any earlier line with one of their keys, stored. The
+    lines of a key that ask and all its lines are dealt into parts; each two parts meet in one group."""
+    own = stored(rows.join(small(lines), AT).select("key", *AT), "asking")
+    keys = stored(own.groupBy("key").agg(F.count("*").alias("asking")), "keys")
+    every = stored(rows.join(small(keys), "key").select("key", *AT, "asking"), "members")
+    sizes = every.groupBy("key").agg(F.first("asking").alias("asking"), F.count("*").alias("all"))
+    deal = stored(sizes.select("key", *[F.ceil(F.col(c) / GROUP).cast("int").alias(c) for c in ("asking", "all")]), "deal")
+    known = _texts_of(every.select(*AT).distinct(), texts)
+
+    def dealt(side: DataFrame, mine: str, theirs: str, ask: bool) -> DataFrame:
+        number = F.pmod(F.xxhash64(*AT), F.col(mine)).cast("int").alias(mine)
+        met = F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(theirs)
+        return side.select("key", *AT).join(small(deal), "key").select("key", *AT, number, met, F.lit(ask).alias("ask"))
+
+    both = dealt(own, "asking", "all", True).unionByName(dealt(every, "all", "asking", False)).join(known, AT)
+    found = both.groupBy("key", "asking", "all").applyInArrow(_compared, "doc_id long, sub long")
+    return stored(found.distinct(), "gone")
 
 
 @scoped
@@ -364,37 +382,38 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     not what is found.
     """
     spark = docs.sparkSession
-    texts = _placed(docs.where(F.col("doc_id").isNotNull()))
+    texts = placed(docs.where(F.col("doc_id").isNotNull()))
     texts = texts.select("doc_id", "part", F.coalesce("text", F.lit("")).alias("text"))
     ranks = spark.sparkContext.broadcast(word_ranks(texts.select("text")))
-    schema = "doc_id long, part long, line int, n int, d1 long, d2 long, low long, high long, keys array<long>, places array<int>"
+    schema = "doc_id long, sub long, d1 long, d2 long, again boolean, low long, high long, size int, keys array<long>, places array<int>"
     described = stored(texts.mapInArrow(_described(ranks), schema), "lines")
-    any_of = [F.first(c).alias(c) for c in ("low", "high", "keys", "places")]
-    classes = described.groupBy("d1", "d2", "n").agg(F.min(F.struct(*AT)).alias("at"), F.count("*").alias("k"), *any_of)
-    classes = stored(classes.select("d1", "d2", "n", "k", "at.*", "low", "high", "keys", "places"), "classes")
-
-    # All lines of a class but the earliest go.
-    copied = stored(classes.where("k > 1").select("d1", "d2", "n", F.struct(*AT).alias("first")), "copied")
-    copies = described.select(*AT, "d1", "d2", "n").join(small(copied), ["d1", "d2", "n"])
-    copies = stored(copies.where(F.struct(*AT) != F.col("first")).select(*AT), "copies")
-    drop(described)
-
-    rows = classes.select("n", *AT, "low", "high", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
-    rows = rows.select("key", "n", *AT, "place", "low", "high")
-    by_key = rows.repartition("key").sortWithinPartitions("key", "n", *AT)
-    at = "doc_id:bigint,part:bigint,line:int"
-    taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), f"doc_id long, part long, line int, other struct<{at}>, key long"), "taken")
-    pairs = taken.where("other is not null").select(F.struct(*AT).alias("p"), F.col("other").alias("q"))
-    gone = _verified(stored(pairs.distinct(), "pairs"), texts)
-
-    stopped = taken.where("other is null and key is null").select(*AT)
+
+    # Of documents with an equal line the first stands for all.
+    new = described.where("not again")
+    copied = new.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")).where("k > 1")
+    copied = stored(copied, "copied")
+    copies = joined(new.select(*AT, "d1", "d2"), copied, ["d1", "d2"]).where("doc_id > first").select(*AT)
+    copies = stored(copies.unionByName(described.where("again").select(*AT)), "copies")
+
+    few = small(copied.select("d1", "d2", "first"))
+    rows = new.where(f"size >= {OVER}").join(few, ["d1", "d2"], "left").where("first is null or first = doc_id")
+    rows = rows.select(*AT, "low", "high", "size", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
+    shape = F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")
+    rows = rows.select("key", shape.alias("shape"), *AT, "low", "high")
+    by_key = rows.repartition("key").sortWithinPartitions("key", "shape")
+    schema = "doc_id long, sub long, other_id long, other_sub long, more boolean, key long"
+    taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), schema), "taken")
+    gone = _verified(taken.where("key is null").select(*AT, "other_id", "other_sub"), texts)
+
+    left = taken.where("more").select(*AT)
     crowded = stored(taken.where("key is not null").select("key").distinct(), "crowded")
     if not crowded.isEmpty():
-        stopped = stopped.unionByName(rows.join(small(crowded), "key").select(*AT))
-    left = stored(stopped.distinct().join(small(gone), AT, "left_anti"), "left")
+        left = left.unionByName(rows.join(small(crowded), "key").select(*AT))
+    left = stored(left.distinct().join(small(gone), AT, "left_anti"), "left")
     if not left.isEmpty():
-        gone = gone.unionByName(_verified(_all_pairs(rows, left), texts))
-    return copies.unionByName(gone).distinct()
+        gone = gone.unionByName(_like_any(left, rows, texts))
+    every = copies.unionByName(gone).distinct()
+    return every.select("doc_id", F.shiftright("sub", 32).alias("part"), F.col("sub").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line"))
 
 
 def removed_lines(docs: DataFrame) -> DataFrame:
@@ -402,7 +421,7 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     row; a null text has no line. Otherwise as ``similar_lines``."""
     gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.sort_array(F.collect_list("line")).alias("removed"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
-    every = _placed(docs).select("doc_id", "part", n_lines.alias("n_lines")).join(gone, ["doc_id", "part"], "left")
+    every = placed(docs, n_lines.alias("n_lines")).join(gone, ["doc_id", "part"], "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
     return every.select("doc_id", "n_lines", F.size(removed).cast("long").alias("n_removed"), removed.alias("removed"))
 
@@ -414,14 +433,13 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if removed.is_valid:
                 gone = set(removed.as_py())
                 texts[k] = "\n".join(x for i, x in enumerate(texts[k].split("\n")) if i not in gone)
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if name == "text" else batch[name] for name in batch.schema.names], names=batch.schema.names)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()), *batch.columns[1:]], names=batch.schema.names)
 
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs``, all columns and rows, with the lines of ``similar_lines`` cut out of text."""
     gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.collect_list("line").alias("_removed"))
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    every = _placed(docs, row).select("doc_id", "part", "text", "_row").join(gone, ["doc_id", "part"], "left")
-    every = every.select("text", "_row", "_removed")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")
+    every = placed(docs, row).join(gone, ["doc_id", "part"], "left").select("text", "_row", "_removed")
     every = every.mapInArrow(_cut, every.schema)
     return every.select(*[F.col("text") if c == "text" else F.col(f"_row.`{c}`") for c in docs.columns])

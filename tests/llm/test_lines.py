@@ -58,10 +58,10 @@ def odd_docs():
     return docs
 
 
-@pytest.mark.parametrize(("window", "candidates", "common"), [(1024, 2, 1024), (2, 2, 1024), (40, 1, 3), (1, 1, 3)])
-def test_crowds_and_odd_rows(spark, monkeypatch, window, candidates, common):
+@pytest.mark.parametrize(("window", "common"), [(1024, 1024), (2, 1024), (40, 3), (1, 3)])
+def test_crowds_and_odd_rows(spark, monkeypatch, window, common):
     """Whatever is compared in passing, and whichever words are common, the result is that of brute force."""
-    for name, value in {"CANDIDATES": candidates, "COMMON": common, "GROUP": 16, "CHUNK_ROWS": 100}.items():
+    for name, value in {"COMMON": common, "GROUP": 16, "CHUNK_ROWS": 100}.items():
         monkeypatch.setattr(lines, name, value)
     docs = odd_docs()
     df = spark.createDataFrame([(k, t, "c") for k, t in docs.items()], "doc_id long, text string, line string")
