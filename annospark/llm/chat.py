@@ -1,7 +1,7 @@
 """Chat formatting: records of many layouts become canonical turns, then one marked text.
 
-The layout of a JSON record is told by a fingerprint, the hash of its nested field paths and types. A
-fingerprint selects a declarative mapping, which names where the turns of such records are. The template
+The layout of a JSON record is told by a fingerprint, the hash of its nested field paths; what a field holds (text,
+number, null) has no say in it. A fingerprint selects a declarative mapping, which names where the turns of such records are. The template
 marks turns; control strings inside texts are escaped so that they can be restored exactly. Only
 DataFrame functions are used.
 """
@@ -23,16 +23,20 @@ WHOLE = 16_000_000
 _STRING = r'"[^"\\]*+(?:\\.[^"\\]*+)*+"'
 
 
+#: Types of what is no object or array, as ``schema_of_variant`` names them.
+SCALARS = "STRING VOID BOOLEAN TINYINT SMALLINT INT BIGINT FLOAT DOUBLE BINARY DATE TIMESTAMP TIMESTAMP_NTZ VARIANT UUID"
+
+
 @dataclass(frozen=True)
 class Mapping:
     """How the turns of one layout are read.
 
-    ``schema`` is the layout's type as ``schema_of_variant`` gives it. A layout with a list of messages
-    names the list and the fields of its elements, and may rename roles. One with fixed fields names,
-    for each turn in order, its role and field; a field whose name ends in ``?`` gives no turn if it is empty.
+    ``paths`` are the layout's field paths; ``[]`` after a name stands for the elements of a list. A layout with a
+    list of messages names the list and the fields of its elements, and may rename roles. One with fixed fields
+    names, for each turn in order, its role and field; a field whose name ends in ``?`` gives no turn if it is empty.
     """
 
-    schema: str
+    paths: tuple[str, ...]
     messages: tuple[str, str, str] | None = None
     roles: tuple[tuple[str, str], ...] = ()
     fields: tuple[tuple[str, str], ...] = ()
@@ -40,25 +44,43 @@ class Mapping:
 
 #: Layouts that are known at first; others are added by passing more mappings.
 MAPPINGS = (
-    Mapping("OBJECT<messages: ARRAY<OBJECT<content: STRING, role: STRING>>>", messages=("messages", "role", "content")),
+    Mapping(("messages[].content", "messages[].role"), messages=("messages", "role", "content")),
     Mapping(
-        "OBJECT<conversations: ARRAY<OBJECT<from: STRING, value: STRING>>>",
+        ("conversations[].from", "conversations[].value"),
         messages=("conversations", "from", "value"),
         roles=(("human", "user"), ("gpt", "assistant")),
     ),
-    Mapping("OBJECT<completion: STRING, prompt: STRING>", fields=(("user", "prompt"), ("assistant", "completion"))),
-    Mapping("OBJECT<instruction: STRING, output: STRING>", fields=(("user", "instruction"), ("assistant", "output"))),
+    Mapping(("completion", "prompt"), fields=(("user", "prompt"), ("assistant", "completion"))),
+    Mapping(("instruction", "output"), fields=(("user", "instruction"), ("assistant", "output"))),
     Mapping(
-        "OBJECT<input: STRING, instruction: STRING, output: STRING>",
+        ("input", "instruction", "output"),
         fields=(("user", "instruction"), ("user", "input?"), ("assistant", "output")),
     ),
     Mapping(
-        "OBJECT<instruction: STRING, output: STRING, system: STRING>",
+        ("instruction", "output", "system"),
         fields=(("system", "system"), ("user", "instruction"), ("assistant", "output")),
     ),
 )
 
 
+def layout_of(paths: tuple[str, ...]) -> str:
+    """The text that ``fingerprint`` hashes for records with these field paths."""
+    tree: dict = {}
+    for path in paths:
+        at = tree
+        for name in path.split("."):
+            at = at.setdefault(name, {})
+
+    def written(fields: dict) -> str:
+        inner = []
+        for name in sorted(fields, key=lambda x: x.removesuffix("[]").encode()):
+            value = written(fields[name]) if fields[name] else "*"
+            inner.append(f"{name.removesuffix('[]')}: " + (f"ARRAY<{value}>" if name.endswith("[]") else value))
+        return f"OBJECT<{', '.join(inner)}>"
+
+    return written(tree)
+
+
 def skeleton(payload: Column) -> Column:
     """A JSON text with every text of a value empty, and of equal flat records that follow each other
     one; its field paths and types are the same."""
@@ -69,9 +91,11 @@ def skeleton(payload: Column) -> Column:
 
 
 def fingerprint(payload: Column, whole: int = WHOLE) -> Column:
-    """Hash of the nested field paths and types of a JSON text; null if it is not JSON."""
+    """Hash of the nested field paths of a JSON text; null if it is not JSON."""
     short = F.when(F.octet_length(payload) <= whole, payload).otherwise(skeleton(payload))
-    return F.sha2(F.schema_of_variant(F.try_parse_json(short)), 256)
+    typed = F.schema_of_variant(F.try_parse_json(short))
+    scalar = f"(`(?:[^`]|``)*`)|\\b(?:{'|'.join(SCALARS.split())}|DECIMAL\\([0-9]+, ?[0-9]+\\))(?=[,>]|$)"
+    return F.sha2(F.regexp_replace(typed, scalar, "$1*"), 256)
 
 
 #: Texts may be as long as a string can be.
@@ -88,7 +112,7 @@ def _turns(payload: Column, mapping: Mapping) -> Column:
             value = x[role]
             for old, new in renamed.items():
                 value = F.when(x[role] == old, new).otherwise(value)
-            return F.struct(value.alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))
+            return F.struct(F.coalesce(value, F.lit("")).alias("role"), F.coalesce(x[text], F.lit("")).alias("text"))
 
         return F.transform(rows, turn)
     fields = [(role, name.rstrip("?"), name.endswith("?")) for role, name in mapping.fields]
@@ -97,24 +121,24 @@ def _turns(payload: Column, mapping: Mapping) -> Column:
         F.when(F.lit(not maybe) | (record[name] != ""), F.struct(F.lit(role).alias("role"), F.coalesce(record[name], F.lit("")).alias("text")))
         for role, name, maybe in fields
     ]
-    # The layout has a text in each field; without one the record could not be read.
-    return F.when(record[fields[0][1]].isNotNull(), F.array_compact(F.array(*given)))
+    return F.when(record.isNotNull(), F.array_compact(F.array(*given)))
 
 
 def canonical(records: DataFrame, mappings: tuple[Mapping, ...] = MAPPINGS) -> DataFrame:
     """``records`` (conv_id, payload; JSON texts) with layout (the fingerprint) and turns (array of
     role and text).
 
-    A payload that is not JSON, or whose layout no mapping has, gets null turns, to be looked at.
+    A payload that is not JSON, or whose layout no mapping has, gets null turns, to be looked at. A null
+    field counts as an empty text, a number or other value as its JSON text.
     A record without turns gets an empty array where its layout shows a list of no elements.
     """
     payload = F.col("payload")
     turns = F.lit(None).cast(f"array<{TURN}>")
     named = F.when(F.lit(False), turns)
     for m in mappings:
-        named = named.when(F.col("layout") == F.sha2(F.lit(m.schema), 256), _turns(payload, m))
+        named = named.when(F.col("layout") == F.sha2(F.lit(layout_of(m.paths)), 256), _turns(payload, m))
         if m.messages:
-            none = f"OBJECT<{m.messages[0]}: ARRAY<VOID>>"
+            none = layout_of((f"{m.messages[0]}[]",))
             named = named.when(F.col("layout") == F.sha2(F.lit(none), 256), F.array().cast(f"array<{TURN}>"))
     return records.select("*", fingerprint(payload).alias("layout")).select("*", named.alias("turns"))
 

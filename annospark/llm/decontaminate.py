@@ -6,8 +6,8 @@ shingles. The bits are cut into blocks, so many that two fingerprints within the
 bits of one of them; items are indexed under every such neighbour of each of their blocks, so the index
 gives all items within the radius. What it gives is verified on the weighted shingles themselves.
 
-A window that is similar enough holds at least 8/9 of its shingles from the benchmark. A bit table of
-fixed size tells which shingles can be of the benchmark; other windows are not fingerprinted. Windows
+A window that is similar enough holds at least 8/9 of its shingles from the benchmark. A bit table, sized by the
+benchmark, tells which shingles can be of it; other windows are not fingerprinted. Windows
 with the same words are one class, fingerprinted and verified once. A text with fewer words than an item
 is one window for it, if it has words enough to be similar.
 """
@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm import words
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import scoped, stored
 
 WIDTH = 5
 #: Similarity over / under, of two windows of equal length.
@@ -33,8 +33,10 @@ OVER, UNDER = 4, 5
 #: of places the same, 15 % of bits differ on average; more than 20 of 64 do so once in 3,000.
 RADIUS = 20
 BLOCKS = 7
-#: Bits of the table of benchmark shingles, whatever the benchmark.
-TABLE_BITS = 1 << 22
+#: Bits of the table for each benchmark shingle, and the bounds of their number in all (a power of two).
+BITS_EACH, LEAST_BITS, MOST_BITS = 64, 1 << 20, 1 << 30
+#: Shingles of windows that are handled at once.
+AT_ONCE = 1 << 18
 
 _EDGES = [64 * k // BLOCKS for k in range(BLOCKS + 1)]
 
@@ -79,7 +81,7 @@ def _lists(rows: np.ndarray) -> pa.Array:
 
 
 def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = ["item_id", "length", "fingerprint", "elements", "cells"]
+    names = ["item_id", "length", "fingerprint", "elements", "shingles"]
     for batch in batches:
         for p in words.pieces(batch["text"]):
             by_place = _place_shingles(p)
@@ -87,9 +89,8 @@ def _items(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = np.cumsum(count) - count
             for k in np.flatnonzero(count):
                 shingle = _window_shingles(p, by_place, first[k : k + 1], int(count[k]))
-                cells = (shingle & words.U(TABLE_BITS - 1)).astype(np.int64)
                 columns = [batch["item_id"].slice(p.lo + k, 1), pa.array([int(count[k])], pa.int32()), pa.array(_fingerprints(shingle))]
-                yield pa.RecordBatch.from_arrays([*columns, _lists(_elements(shingle)), _lists(cells)], names=names)
+                yield pa.RecordBatch.from_arrays([*columns, _lists(_elements(shingle)), _lists(shingle)], names=names)
 
 
 def _windows(table, lengths: list[int]):
@@ -100,11 +101,12 @@ def _windows(table, lengths: list[int]):
         def emitted(p: words.Piece, by_place: np.ndarray, start: np.ndarray, size: int, length: int) -> Iterator[pa.RecordBatch]:
             """Windows of ``size`` words, to be compared with items of ``length`` words."""
             nonlocal point
-            for lo in range(0, len(start), 4096):
-                at = start[lo : lo + 4096]
+            step = max(AT_ONCE // size, 1)
+            for lo in range(0, len(start), step):
+                at = start[lo : lo + step]
                 shingle = _window_shingles(p, by_place, at, size)
                 if size < WIDTH:
-                    hit = known[(shingle[:, 0] & words.U(TABLE_BITS - 1)).astype(np.int64)]
+                    hit = known[(shingle[:, 0] & last).astype(np.int64)]
                     at, shingle = at[hit], shingle[hit]
                 if not len(at):
                     continue
@@ -124,13 +126,14 @@ def _windows(table, lengths: list[int]):
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
         known = np.unpackbits(np.frombuffer(table.value, dtype=np.uint8), bitorder="little").view(bool)
+        last = words.U(len(known) - 1)
         for batch in batches:
             doc = batch["doc_id"].to_numpy(zero_copy_only=False)
             for p in words.pieces(batch["text"]):
                 n = len(p.hash)
                 by_place = _place_shingles(p)
                 point = None
-                upto = np.r_[0, np.cumsum(known[(by_place & words.U(TABLE_BITS - 1)).astype(np.int64)])]
+                upto = np.r_[0, np.cumsum(known[(by_place & last).astype(np.int64)])]
                 words_of = np.bincount(p.text, minlength=p.hi - p.lo)
                 first = np.cumsum(words_of) - words_of
                 longest = max(lengths, default=0)
@@ -167,6 +170,7 @@ def _neighbours(k: int) -> list[int]:
     return [sum(1 << b for b in c) for r in range(RADIUS // BLOCKS + 1) for c in combinations(bits, r)]
 
 
+@scoped
 def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """doc_id, item_id, similarity, start, end, n_windows of every document that holds an item.
 
@@ -177,15 +181,19 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     first counts. start and end are its code points, end exclusive; n_windows counts the windows that
     match. Null and empty texts, and items without words, match nothing. Equal items are told each by
     its id, and rows with the same doc_id are told together.
-    Pairs whose fingerprints differ in more than RADIUS bits are not found.
+    Pairs whose fingerprints differ in more than RADIUS bits are not found; rows with a null doc_id are told
+    under it. Without documents or items there are no rows.
     """
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
-    schema = "item_id long, length int, fingerprint long, elements array<long>, cells array<long>"
+    schema = "item_id long, length int, fingerprint long, elements array<long>, shingles array<long>"
     items = stored(items.mapInArrow(_items, schema), "items")
-    # Both are bounded, by TABLE_BITS and by the length of the longest item.
-    bits = np.zeros(TABLE_BITS, dtype=np.uint8)
-    bits[items.select(F.explode("cells").alias("cell")).distinct().toArrow()["cell"].to_numpy()] = 1
+    n_shingles = items.agg(F.sum(F.size("shingles"))).first()[0] or 0
+    n_bits = min(max(1 << (BITS_EACH * n_shingles).bit_length(), LEAST_BITS), MOST_BITS)
+    # Both are bounded, by n_bits and by the length of the longest item.
+    bits = np.zeros(n_bits, dtype=np.uint8)
+    cells = items.select(F.explode("shingles").alias("s")).select(F.col("s").bitwiseAND(F.lit(n_bits - 1).cast("long")).alias("cell"))
+    bits[cells.distinct().toArrow()["cell"].to_numpy()] = 1
     lengths = sorted(items.select("length").distinct().toArrow()["length"].to_pylist())
     table = spark.sparkContext.broadcast(np.packbits(bits, bitorder="little").tobytes())
 

@@ -30,7 +30,7 @@ def op2_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return passages.repeated(table(spark, sf_dir, "documents"))
+    return passages.repeated(table(spark, sf_dir, "documents")).drop("part")
 
 
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -47,6 +47,7 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.sha2(secrets.joined(["assign", "access", "hex"]), 256).alias("base_sha256"),
         secrets.joined(secrets.KINDS).alias("spans"),
         F.size("markov").cast("long").alias("n_markov"),
+        "n_random",
     )
 
 
@@ -156,32 +157,4 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(line)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line), '') AS removed
         FROM text LEFT JOIN gone USING (doc_id) GROUP BY doc_id, l
     """,
-    "op3_passages": """
-        WITH split AS (
-            SELECT doc_id, text, string_split_regex(text, '[^\\x20\\x09-\\x0D]+') AS gap,
-                regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
-            FROM documents WHERE text IS NOT NULL
-        ), copied AS (
-            SELECT doc_id, min(doc_id) OVER (PARTITION BY text) AS kept FROM documents WHERE text IS NOT NULL
-        ), place AS (
-            SELECT doc_id, i, length(word) AS n, sum(length(before) + length(word)) OVER (PARTITION BY doc_id ORDER BY i) AS finish
-            FROM (SELECT doc_id, unnest(w) AS word, unnest(gap[1:len(w)]) AS before, unnest(range(1, len(w) + 1)) AS i FROM split)
-        ), unit AS (
-            SELECT doc_id, i, md5(array_to_string(w[i:i + 49], ' ')) AS u
-            FROM (SELECT doc_id, w, unnest(range(1, len(w) - 48)) AS i FROM split WHERE len(w) >= 50) JOIN copied USING (doc_id) WHERE doc_id = kept
-        ), later AS (
-            SELECT doc_id, i, kept FROM (
-                SELECT *, min(doc_id) OVER (PARTITION BY u) AS kept, min(i) OVER (PARTITION BY u, doc_id) AS own FROM unit
-            ) WHERE kept < doc_id OR i >= own + 50
-        ), island AS (
-            SELECT *, sum(new) OVER (PARTITION BY doc_id ORDER BY i) AS span
-            FROM (SELECT *, CASE WHEN i - lag(i, 1, -100) OVER (PARTITION BY doc_id ORDER BY i) > 50 THEN 1 ELSE 0 END AS new FROM later)
-        ), span AS (
-            SELECT doc_id, min(i) AS a, max(i) + 49 AS b, arg_min(kept, i) AS kept_doc_id FROM island GROUP BY doc_id, span
-            UNION ALL
-            SELECT doc_id, 1, len(w), kept FROM split JOIN copied USING (doc_id) WHERE doc_id > kept AND len(w) >= 50
-        )
-        SELECT s.doc_id, (x.finish - x.n)::BIGINT AS start, y.finish::BIGINT AS "end", (b - a + 1)::BIGINT AS n_words, kept_doc_id
-        FROM span s JOIN place x ON x.doc_id = s.doc_id AND x.i = a JOIN place y ON y.doc_id = s.doc_id AND y.i = b
-    """,
 }

@@ -4,7 +4,8 @@ A host's reference is a tree of all slots (places in the tree) that enough of it
 merged, by simple tree matching, from pages chosen so that each such slot is in one of them; null, empty
 and odd pages have no say. Every page's DOM tree is aligned with the reference by simple tree matching.
 Over all pages of the host it is counted how often a node of the reference has the same text: a block
-whose text nearly all pages share, copies of a page counted once, is template; the others are slots. Of each page the slots of the article are kept, without what the markup itself names
+whose text nearly all pages share, copies of a page counted once, is template; the others are slots. A slot that holds
+nothing but links on nearly all pages is a menu, whatever it is called. Of each page the slots of the article are kept, without what the markup itself names
 as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments); a class
 or id does so only by a whole token, on a slot of the wrapper, and never for what holds the article.
 
@@ -34,6 +35,8 @@ from annospark.llm.scratch import small, stored
 #: A text is template if this share of the different pages with the node have it, and so many at least:
 #: of pages whose longest other text differs, or of pages that differ at all, near copies included.
 LEAST_PAGES, LEAST_COPIES, SHARE = 3, 12, 0.9
+#: A slot outside of articles is a menu if this share of its characters, over all pages, is in links.
+LINKED = 0.9
 BROADCAST_BYTES = 16 << 20
 #: Longer alignments are halved first.
 TABLE_CELLS = 250_000
@@ -67,10 +70,10 @@ _WORD = re.compile(r"[a-z]+|[A-Z]+(?![a-z])|[A-Z][a-z]+")
 class Node:
     """An element; children are elements and strings, in order."""
 
-    __slots__ = ("tag", "names", "children", "number", "shape", "size", "text")
+    __slots__ = ("tag", "names", "children", "number", "shape", "size", "text", "links")
 
     def __init__(self, tag: str, names: str = ""):
-        self.tag, self.names, self.children, self.number, self.text = tag, names, [], -1, ""
+        self.tag, self.names, self.children, self.number, self.text, self.links = tag, names, [], -1, "", 0
 
 
 def parse(html: str) -> Node:
@@ -130,6 +133,8 @@ def prepared(root: Node) -> list[Node]:
     for x in reversed(nodes):
         text = "".join(c if isinstance(c, str) else " " if c.tag in BLOCK else c.text for c in x.children)
         x.text = " ".join(text.split()) if x.tag in BLOCK or x is root else text
+        inner = [c for c in x.children if isinstance(c, Node) and c.tag not in BLOCK]
+        x.links = sum(len(" ".join(c.text.split())) if c.tag == "a" else c.links for c in inner)
         x.size = 1 + sum(c.size for c in x.children if isinstance(c, Node))
         x.shape = hash((x.tag, x.names, *(c.shape for c in x.children if isinstance(c, Node))))
     return nodes
@@ -474,9 +479,22 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch([(host.as_py(), dumped(root))], host=pa.string(), reference=pa.string())
 
 
+def _of_articles(root: Node) -> set[int]:
+    """Numbers of the elements in article and main elements, these included."""
+    found, stack = set(), [(root, False)]
+    while stack:
+        x, inside = stack.pop()
+        inside = inside or x.tag in ("article", "main") or ("role", "main") in _tokens(x)
+        if inside:
+            found.add(x.number)
+        stack += [(c, inside) for c in x.children if isinstance(c, Node)]
+    return found
+
+
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (host, node, text, page, other): the texts at the nodes of the reference, a digest of the page,
-    and one of its longest text besides."""
+    """Rows (host, node, text, page, other, chars, links): the texts at the nodes of the reference, a digest of the
+    page, one of its longest text besides, and the characters of the text, in all and in links. Slots of articles
+    count as such without links."""
     reference = _References()
     for batch in batches:
         for lo in range(0, batch.num_rows, 256):
@@ -488,26 +506,32 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = _page(nodes)
                 texts = sorted({x.text for x in nodes if _slot(x)}, key=lambda x: (-len(x), x))[:2]
                 longest = [(x, _digest(x)) for x in texts] + [("", 0)]
+                own = _of_articles(root)
                 for i, j in matched(root, reference(other)).items():
                     if _slot(nodes[i]):
                         text = nodes[i].text
-                        rows.append((host, j, _digest(text), page, longest[text == longest[0][0]][1]))
-            yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64(), other=pa.int64())
+                        links = 0 if i in own else nodes[i].links
+                        rows.append((host, j, _digest(text), page, longest[text == longest[0][0]][1], len(text), links))
+            yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64(), other=pa.int64(), chars=pa.int64(), links=pa.int64())
 
 
 def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     reference = _References()
     for batch in batches:
-        texts = []
-        for html, other, template in zip(batch["html"], batch["reference"], batch["template"], strict=True):
+        texts, left_out = [], []
+        for html, other, template, menus in zip(batch["html"], batch["reference"], batch["template"], batch["menus"], strict=True):
             root = parse(html.as_py())
             nodes, constant = prepared(root), set()
             pairs = matched(root, reference(other.as_py())) if other.is_valid else {}
             if known := {(t["node"], t["text"]) for t in template.as_py() or ()}:
                 constant = {i for i, j in pairs.items() if nodes[i].tag in BLOCK and (j, _digest(nodes[i].text)) in known}
+            if linked := set(menus.as_py() or ()):
+                own = _of_articles(root)
+                constant |= {i for i, j in pairs.items() if j in linked and i not in own and _slot(nodes[i])}
             texts.append(article(root, constant, pairs.keys()))
-        columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string())]
-        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text"])
+            left_out.append(len(constant))
+        columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(left_out, pa.int32())]
+        yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_template"])
 
 
 def _joined(pages: DataFrame, by_host: DataFrame, size: int, how: str = "inner") -> DataFrame:
@@ -532,20 +556,25 @@ def references(pages: DataFrame) -> DataFrame:
 
 
 def wrappers(pages: DataFrame) -> DataFrame:
-    """host, reference, template (array of node and text, a digest) of every host of ``pages`` (host,
-    html) that has a reference."""
+    """host, reference, template (array of node and text, a digest), menus (array of nodes) of every host of
+    ``pages`` (host, html) that has a reference."""
     trees = references(pages)
     size = trees.agg(F.sum(F.octet_length("reference"))).first()[0] or 0
-    seen = _joined(pages.select("host", "html"), trees, size).mapInArrow(_observed, "host string, node int, text long, page long, other long")
-    counts = seen.groupBy("host", "node", "text").agg(F.count_distinct("page").alias("n"), F.count_distinct("other").alias("apart"))
-    shares = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "text", "apart")).alias("most"))
+    seen = _joined(pages.select("host", "html"), trees, size).mapInArrow(_observed, "host string, node int, text long, page long, other long, chars long, links long")
+    sums = [F.sum(c).alias(c) for c in ("chars", "links")]
+    counts = seen.groupBy("host", "node", "text").agg(F.count_distinct("page").alias("n"), F.count_distinct("other").alias("apart"), *sums)
+    shares = counts.groupBy("host", "node").agg(F.sum("n").alias("all"), F.max(F.struct("n", "text", "apart")).alias("most"), *sums)
+    shares = stored(shares, "shares")
+    menus = shares.where((F.col("all") >= LEAST_PAGES) & (F.col("links") >= LINKED * F.col("chars")))
+    menus = menus.groupBy("host").agg(F.collect_list("node").alias("menus"))
     template = shares.where(((F.col("most.apart") >= LEAST_PAGES) | (F.col("most.n") >= LEAST_COPIES)) & (F.col("most.n") >= SHARE * F.col("all")))
     template = template.groupBy("host").agg(F.collect_list(F.struct("node", F.col("most.text").alias("text"))).alias("template"))
-    return stored(trees.join(template, "host", "left"), "wrappers")
+    return stored(trees.join(template, "host", "left").join(menus, "host", "left"), "wrappers")
 
 
 def extract(pages: DataFrame) -> DataFrame:
-    """page_id, url, text, n_chars (code points) of every row of ``pages``.
+    """page_id, url, text, n_chars (code points), n_template of every row of ``pages``. n_template counts the
+    blocks that the wrapper takes for template or menus; 0 also tells a page without a wrapper, where markup alone decides.
 
     ``pages`` needs page_id, url and html; other columns are not read. The host is that of the url, in
     lower case; pages of urls that are null or have no host are taken together. Blocks are the texts
@@ -561,6 +590,6 @@ def extract(pages: DataFrame) -> DataFrame:
     pooled = rows.join(few, "host", "left_semi").select("page_id", "url", "host", "html").mapInArrow(_pooled, "page_id long, url string, host string, html string")
     rows = rows.join(few, "host", "left_anti").select("page_id", "url", "host", "html").unionByName(pooled)
     known = wrappers(rows)
-    size = known.agg(F.sum(F.octet_length("reference") + 16 * F.size(F.coalesce("template", F.array().cast("array<struct<node:int,text:bigint>>"))))).first()[0] or 0
-    found = _joined(rows, known, size, "left").mapInArrow(_extracted, "page_id long, url string, text string")
-    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+    size = known.agg(F.sum(F.octet_length("reference") + 16 * F.greatest(F.size("template"), F.lit(0)) + 8 * F.greatest(F.size("menus"), F.lit(0)))).first()[0] or 0
+    found = _joined(rows, known, size, "left").mapInArrow(_extracted, "page_id long, url string, text string, n_template int")
+    return found.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"), "n_template")

@@ -13,7 +13,7 @@ beside it.
 
 Only one similar earlier line has to be known of a line. So of each of its keys a line takes the candidate whose
 parities differ least. Lines whose candidates turn out unlike, though others were there, and lines of keys with more
-lines than are compared in passing, are then compared with all others of their keys, in groups of bounded size.
+lines than are compared in passing, are then compared with all others of their keys.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from annospark.llm import words
@@ -38,7 +38,7 @@ CHUNKS = 64
 COMMON, PAIRED = 1024, 128
 #: Places that two lines of a key may stand apart to be compared in passing, and rows in a chunk of that.
 WINDOW, CHUNK_ROWS = 1024, 1 << 17
-#: Lines on each side of a group when all lines of a key are compared.
+#: Rows of a key up to which it is one group when all lines of many keys are compared.
 GROUP = 2048
 OVER, UNDER = 4, 5  # the similarity
 #: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
@@ -238,7 +238,8 @@ def _candidates(window: int, rows: int):
                 i = index[indexed[index - lag]]
                 j = i - lag
                 both = n[i] + n[j]
-                near = (OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * both
+                # Different sets of one size differ in two words at least.
+                near = ((OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * both) & ((n[i] != n[j]) | (both >= 2 * (OVER + UNDER)))
                 i, j, both = i[near], j[near], both[near]
                 differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
                 # Rows that repeat a document have its lines once more.
@@ -247,7 +248,8 @@ def _candidates(window: int, rows: int):
                 later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & (sub[i] > sub[j])
                 for p, q, x in ((i[later], j[later], score[later]), (j[~later], i[~later], score[~later])):
                     n_found[p] += 1
-                    better = x < least[p]
+                    # Of lines that differ as little the earliest: copies are edited from one that stands before them.
+                    better = (x < least[p]) | (x == least[p]) & ((doc[q] < other_id[p]) | (doc[q] == other_id[p]) & (sub[q] < other_sub[p]))
                     p, q = p[better], q[better]
                     least[p], other_id[p], other_sub[p] = x[better], doc[q], sub[q]
             index = index[index > window]
@@ -320,54 +322,34 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.select(*AT, "text", "other").mapInArrow(_similar, "doc_id long, sub long").distinct(), "gone")
 
 
-def _compared(group: pa.Table) -> pa.Table:
-    """The (doc_id, sub) of the asking lines of a group that are similar to an earlier one of its others."""
-    ask = group["ask"].to_numpy()
-    row, token = _token_sets(group["text"].combine_chunks())
-    size = np.bincount(row, minlength=len(ask))
-    first = np.cumsum(size) - size
-    doc, sub = (group[c].to_numpy() for c in AT)
-    parity = np.zeros((2, len(ask)), dtype=np.uint64)
-    spread = words.mix(token.copy())
-    for k in range(2):
-        bit = np.where(spread >> words.U(6) & words.U(1) == k, words.U(1) << (spread & words.U(63)), words.U(0))
-        parity[k, size > 0] = np.bitwise_xor.reduceat(bit, first[size > 0])
-    others, found = np.flatnonzero(~ask), []
-    for p in np.flatnonzero(ask):
-        q = others[(doc[others] < doc[p]) | (doc[others] == doc[p]) & (sub[others] < sub[p])]
-        q = q[(UNDER * np.minimum(size[q], size[p]) >= OVER * np.maximum(size[q], size[p]))]
-        differ = np.bitwise_count(parity[0, q] ^ parity[0, p]).astype(np.int64) + np.bitwise_count(parity[1, q] ^ parity[1, p])
-        q = q[differ * (OVER + UNDER) <= size[q] + size[p]]
-        if not len(q):
-            continue
-        own = token[first[p] : first[p] + size[p]]
-        of = np.repeat(np.arange(len(q)), size[q])
-        all_ = token[np.repeat(first[q] - (np.cumsum(size[q]) - size[q]), size[q]) + np.arange(len(of))]
-        at = np.minimum(np.searchsorted(own, all_), len(own) - 1)
-        both = np.bincount(of[own[at] == all_], minlength=len(q))
-        if (both * (OVER + UNDER) >= OVER * (size[q] + size[p])).any():
-            found.append(p)
-    return group.select(AT).take(pa.array(found, pa.int64()))
-
-
-def _like_any(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
-    """Those of ``lines`` (doc_id, sub) that are similar to any earlier line with one of their keys, stored. The
-    lines of a key that ask and all its lines are dealt into parts; each two parts meet in one group."""
-    own = stored(rows.join(small(lines), AT).select("key", *AT), "asking")
-    keys = stored(own.groupBy("key").agg(F.count("*").alias("asking")), "keys")
-    every = stored(rows.join(small(keys), "key").select("key", *AT, "asking"), "members")
-    sizes = every.groupBy("key").agg(F.first("asking").alias("asking"), F.count("*").alias("all"))
-    deal = stored(sizes.select("key", *[F.ceil(F.col(c) / GROUP).cast("int").alias(c) for c in ("asking", "all")]), "deal")
-    known = _texts_of(every.select(*AT).distinct(), texts)
-
-    def dealt(side: DataFrame, mine: str, theirs: str, ask: bool) -> DataFrame:
-        number = F.pmod(F.xxhash64(*AT), F.col(mine)).cast("int").alias(mine)
-        met = F.explode(F.sequence(F.lit(0), F.col(theirs) - 1)).alias(theirs)
-        return side.select("key", *AT).join(small(deal), "key").select("key", *AT, number, met, F.lit(ask).alias("ask"))
-
-    both = dealt(own, "asking", "all", True).unionByName(dealt(every, "all", "asking", False)).join(known, AT)
-    found = both.groupBy("key", "asking", "all").applyInArrow(_compared, "doc_id long, sub long")
-    return stored(found.distinct(), "gone")
+def _close() -> Column:
+    """What two rows p and q of keys need to be like, q earlier: the exact filters, in the cheapest order."""
+    n, m = F.shiftright("p.shape", 32), F.shiftright("q.shape", 32)
+    place = [F.col(f"{x}.shape").bitwiseAND(F.lit(0xFFFFFFFF)) for x in "pq"]
+    differ = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low"))) + F.bit_count(F.col("p.high").bitwiseXOR(F.col("q.high")))
+    return (
+        (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
+        & ((n != m) | (n + m >= 2 * (OVER + UNDER)))
+        & ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.sub") < F.col("p.sub"))))
+        & (differ * (OVER + UNDER) <= n + m)
+        & ((OVER + UNDER) * F.least(n - place[0], m - place[1]) >= OVER * (n + m))
+    )
+
+
+def _all_pairs(lines: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (doc_id, sub, other_id, other_sub) of ``lines`` and all earlier ones that they can be like. Few lines
+    are broadcast with their keys. Of more, the keys with many rows are dealt into parts, each of which meets the
+    key's lines."""
+    own = stored(rows.join(small(lines), AT), "asking")
+    if own.count() <= 200_000:
+        pairs = rows.alias("q").join(F.broadcast(own.alias("p")), (F.col("p.key") == F.col("q.key")) & _close())
+    else:
+        sizes = rows.join(small(stored(own.select("key").distinct(), "keys")), "key").groupBy("key").agg(F.count("*").alias("k"))
+        cuts = small(stored(sizes.select("key", F.ceil(F.col("k") / GROUP).cast("int").alias("cuts")), "sizes"))
+        p = own.join(cuts, "key").withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
+        q = rows.join(cuts, "key").withColumn("cut", F.pmod(F.xxhash64(*AT), "cuts").cast("int"))
+        pairs = q.alias("q").join(p.alias("p"), (F.col("p.key") == F.col("q.key")) & (F.col("p.cut") == F.col("q.cut")) & _close())
+    return pairs.select("p.doc_id", "p.sub", F.col("q.doc_id").alias("other_id"), F.col("q.sub").alias("other_sub"))
 
 
 @scoped
@@ -388,15 +370,17 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     schema = "doc_id long, sub long, d1 long, d2 long, again boolean, low long, high long, size int, keys array<long>, places array<int>"
     described = stored(texts.mapInArrow(_described(ranks), schema), "lines")
 
-    # Of documents with an equal line the first stands for all.
+    # Of documents with an equal line the first stands for all. A number is summed faster than two.
+    single = texts.where("part <> 0").isEmpty()
+    own = F.col("doc_id") if single else F.struct("doc_id", F.shiftright("sub", 32).alias("part"))
     new = described.where("not again")
-    copied = new.groupBy("d1", "d2").agg(F.min("doc_id").alias("first"), F.count("*").alias("k")).where("k > 1")
+    copied = new.groupBy("d1", "d2").agg(F.min(own).alias("first"), F.count("*").alias("k")).where("k > 1")
     copied = stored(copied, "copied")
-    copies = joined(new.select(*AT, "d1", "d2"), copied, ["d1", "d2"]).where("doc_id > first").select(*AT)
+    copies = joined(new.select(*AT, "d1", "d2"), copied, ["d1", "d2"]).where(own > F.col("first")).select(*AT)
     copies = stored(copies.unionByName(described.where("again").select(*AT)), "copies")
 
     few = small(copied.select("d1", "d2", "first"))
-    rows = new.where(f"size >= {OVER}").join(few, ["d1", "d2"], "left").where("first is null or first = doc_id")
+    rows = new.where(f"size >= {OVER}").join(few, ["d1", "d2"], "left").where(F.col("first").isNull() | (F.col("first") == own))
     rows = rows.select(*AT, "low", "high", "size", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
     shape = F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")
     rows = rows.select("key", shape.alias("shape"), *AT, "low", "high")
@@ -411,7 +395,7 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         left = left.unionByName(rows.join(small(crowded), "key").select(*AT))
     left = stored(left.distinct().join(small(gone), AT, "left_anti"), "left")
     if not left.isEmpty():
-        gone = gone.unionByName(_like_any(left, rows, texts))
+        gone = gone.unionByName(_verified(_all_pairs(left, rows), texts))
     every = copies.unionByName(gone).distinct()
     return every.select("doc_id", F.shiftright("sub", 32).alias("part"), F.col("sub").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line"))
 

@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from annospark.llm import words
 from annospark.llm.graph import components
-from annospark.llm.scratch import small, stored
+from annospark.llm.scratch import drop, scoped, small, stored
 
 COLLECTIONS = 13
 ROWS = 2
@@ -128,6 +128,7 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, similarity: tuple[int
     return both.mapInArrow(_verified(width, similarity), "a long, b long")
 
 
+@scoped
 def near_duplicates(
     docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100), n_collections: int = COLLECTIONS, rows: int = ROWS
 ) -> DataFrame:

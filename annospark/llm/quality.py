@@ -5,12 +5,13 @@ words and hashed character pairs and encoded by a learned layer. Gated attention
 weight, the weighted mean of the encodings represents the document, and a logistic unit scores it.
 Attention is learned from the labels of documents alone.
 
-The model is fitted on the driver, on at most ``max_documents`` labelled documents, chosen by a hash of
-doc_id. Scoring reads every word of every document, inside Spark tasks.
+The model is fitted in one task, on at most ``max_documents`` labelled documents, chosen by a hash of doc_id, and of
+each on at most ``max_passages`` passages, evenly spaced. Scoring reads every word of every document.
 """
 
 from __future__ import annotations
 
+import pickle
 from collections.abc import Iterator
 from typing import NamedTuple
 
@@ -127,11 +128,10 @@ def fit(bag: np.ndarray, x: np.ndarray, label: np.ndarray, code: int = 24, gates
     """Adam on the cross entropy with a small weight decay. ``bag`` numbers the passages' documents from 0, in
     order; ``label`` is 0 or 1 for each document."""
     rng = np.random.default_rng(seed)
-    x = x.astype(np.float64)
-    scale = x.std(axis=0)
+    scale = x.std(axis=0, dtype=np.float64)
     n = x.shape[1]
     start = lambda *shape: rng.normal(0, 1 / np.sqrt(shape[0]), shape)
-    m = Model(x.mean(axis=0), np.where(scale > 1e-6, scale, 1.0), start(n + 1, code), start(code + 1, gates), start(code + 1, gates), start(gates), start(code + 1) * 0.1)
+    m = Model(x.mean(axis=0, dtype=np.float64), np.where(scale > 1e-6, scale, 1.0), start(n + 1, code), start(code + 1, gates), start(code + 1, gates), start(gates), start(code + 1) * 0.1)
     first = np.searchsorted(bag, np.arange(len(label) + 1))
     slow = [[np.zeros_like(v), np.zeros_like(v)] for v in m[2:]]
     step = 0
@@ -142,7 +142,7 @@ def fit(bag: np.ndarray, x: np.ndarray, label: np.ndarray, code: int = 24, gates
             rows = np.concatenate([np.arange(first[b], first[b + 1]) for b in some])
             size = first[some + 1] - first[some]
             begin, own = np.cumsum(size) - size, np.repeat(np.arange(len(some)), size)
-            f = _forward(m, x[rows], begin, own)
+            f = _forward(m, x[rows].astype(np.float64), begin, own)
             d_logit = (_sigmoid(f["logit"]) - label[some]) / len(some)
             d_out = np.r_[f["bags"].T @ d_logit, d_logit.sum()]
             d_bags = d_logit[:, None] * m.out[:-1]
@@ -163,6 +163,14 @@ def fit(bag: np.ndarray, x: np.ndarray, label: np.ndarray, code: int = 24, gates
     return m
 
 
+def constant(label: np.ndarray) -> Model:
+    """The model for labels of at most one kind: every document gets the share of label 1, of one more document of
+    each kind too."""
+    n, share = N_STATS + PAIRS, (label.sum() + 1) / (len(label) + 2)
+    zero = np.zeros
+    return Model(zero(n), np.ones(n), zero((n + 1, 1)), zero((2, 1)), zero((2, 1)), zero(1), np.array([0.0, np.log(share / (1 - share))]))
+
+
 def held_out(doc_id: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5 == 0, F.lit(False))
 
@@ -171,35 +179,48 @@ def _texts(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
 
 
-def train(docs: DataFrame, labels: DataFrame, max_documents: int = 6000) -> Model:
+def train(docs: DataFrame, labels: DataFrame, max_documents: int = 6000, max_passages: int = 32) -> Model:
     """A model of labels.quality, from documents that are not held out.
 
-    Labels other than 0 and 1, rows with nulls, and doc_ids with both labels do not count. Without
-    both labels among the documents, ``ValueError`` is raised.
+    Labels other than 0 and 1, rows with nulls, and doc_ids with both labels do not count; rows of one doc_id are
+    one document. Without documents of both labels, the model is ``constant``.
     """
     known = labels.where("quality in (0, 1) and doc_id is not null").groupBy(F.col("doc_id").cast("long").alias("doc_id"))
     known = known.agg(F.min("quality").cast("int").alias("label"), F.max("quality").alias("high")).where("label = high")
     sample = known.where(~held_out()).orderBy(F.xxhash64("doc_id"), "doc_id").limit(max_documents).select("doc_id", "label")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def described(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for p in words.pieces(batch["text"], lower=True):
                 text, x = features(p)
-                at = pa.array(p.lo + text)
+                size = np.bincount(text)
+                place = np.arange(len(text)) - (np.cumsum(size) - size)[text]
+                step = -(-size // max_passages)[text]
+                keep = np.flatnonzero(place % step == 0)
+                at, x = pa.array(p.lo + text[keep]), x[keep]
                 lists = pa.ListArray.from_arrays(pa.array((np.arange(len(x) + 1) * x.shape[1]).astype(np.int32)), pa.array(x.ravel()))
-                columns = [batch["doc_id"].take(at), batch["label"].take(at), pa.array(np.arange(len(x))), lists]
+                columns = [batch["doc_id"].take(at), batch["label"].take(at), pa.array(place[keep]), lists]
                 yield pa.RecordBatch.from_arrays(columns, names=["doc_id", "label", "place", "x"])
 
-    # At most max_documents rows are broadcast.
+    def learned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = list(batches)
+        if held:
+            rows = pa.Table.from_batches(held)
+            size = N_STATS + PAIRS
+            x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(rows), size)
+            doc, label, place = (rows[c].to_numpy() for c in ("doc_id", "label", "place"))
+            order = np.lexsort((*x.T[:3], place, doc))
+            doc, label, x = doc[order], label[order], x[order]
+            new = np.r_[True, doc[1:] != doc[:-1]]
+            label = label[new].astype(np.float64)
+            model = fit(np.cumsum(new) - 1, x, label) if 0 < label.sum() < len(label) else constant(label)
+            yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(tuple(model))], pa.binary())], names=["model"])
+
+    # At most max_documents rows are broadcast, and as many times max_passages reach the task that learns.
     chosen = _texts(docs).join(F.broadcast(sample), "doc_id")
-    rows = chosen.mapInArrow(run, "doc_id long, label int, place long, x array<float>").toArrow()
-    rows = rows.sort_by([("doc_id", "ascending"), ("place", "ascending")])
-    doc, label = rows["doc_id"].to_numpy(), rows["label"].to_numpy()
-    new = np.r_[True, doc[1:] != doc[:-1]] if len(doc) else np.zeros(0, dtype=bool)
-    if len(np.unique(label)) < 2:
-        raise ValueError("quality labels of both kinds are needed")
-    x = rows["x"].combine_chunks().flatten().to_numpy().reshape(len(doc), -1)
-    return fit(np.cumsum(new) - 1, x, label[new].astype(np.float64))
+    rows = chosen.mapInArrow(described, "doc_id long, label int, place long, x array<float>")
+    found = rows.repartition(1).mapInArrow(learned, "model binary").collect()
+    return Model(*pickle.loads(found[0].model)) if found else constant(np.zeros(0))
 
 
 def scored(docs: DataFrame, model: Model, threshold: float = 0.3) -> DataFrame:

@@ -13,17 +13,20 @@ is summed before it is shuffled, and what is joined back has one row per group.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import scoped, small, stored
 
 #: Share of a group that the estimate rests on, and steps.
 SHARE, STEPS = 0.75, 3
-#: Groups of fewer documents are joined to one per language; one still smaller rejects nothing.
+#: Groups of fewer documents are joined to one per language, and such of fewer are judged by all documents.
 MIN_GROUP = 60
-#: Squared distance beyond which a document is rejected.
-CUT = 60.0
+#: Share of normal vectors that would be rejected. The statistics have longer tails than normal ones, and what is
+#: rejected must be far out, so this is small.
+LEVEL = 1e-11
 #: Fixed value: 0.75 / P(chi2(7) <= chi2 quantile(5, 0.75)), which makes the scatter of the nearest
 #: three quarters that of the whole, for normal statistics.
 CONSISTENCY = 1.413
@@ -31,6 +34,8 @@ CONSISTENCY = 1.413
 FLOORS = {"length": 0.5, "word": 0.08, "symbols": 0.03, "lines": 0.35, "repeats": 0.12}
 NAMES = list(FLOORS)
 SCALE = 10_000
+#: Name of the group of all documents; others hold a line feed.
+ALL = "*"
 WORD_BREAK = "[ \\t-\\r]+"
 
 
@@ -68,6 +73,20 @@ def statistics(docs: DataFrame) -> DataFrame:
     return counted.select("*", F.coalesce(covered, F.lit(0)).cast("long").alias("n_repeat_words")).drop("p")
 
 
+def cut(level: float = LEVEL) -> float:
+    """The squared distance that a normal vector of five statistics exceeds with probability ``level``: the chi-square
+    quantile, by halving."""
+
+    def beyond(x: float) -> float:
+        return math.erfc(math.sqrt(x / 2)) + math.sqrt(2 * x / math.pi) * math.exp(-x / 2) * (1 + x / 3)
+
+    low, high = 0.0, 1000.0
+    for _ in range(100):
+        mid = (low + high) / 2
+        low, high = (mid, high) if beyond(mid) > level else (low, mid)
+    return high
+
+
 def base_failed() -> Column:
     return (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
 
@@ -112,7 +131,7 @@ def _nearest(rows: DataFrame) -> DataFrame:
     binned = rows.withColumn("bin", F.floor(F.log(F.col("d2") + 1e-6) * 20))
     counts = binned.groupBy("grp", "start", "bin").agg(F.count("*").alias("k"))
     limit = stored(_at_share(counts, ["grp", "start"], {"most": SHARE}), "limits")
-    return binned.join(limit, ["grp", "start"]).where("bin <= most")
+    return binned.join(small(limit), ["grp", "start"]).where("bin <= most")
 
 
 def _estimate(rows: DataFrame) -> DataFrame:
@@ -140,7 +159,7 @@ def _estimate(rows: DataFrame) -> DataFrame:
 
 def _distances(rows: DataFrame, estimate: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
     """``rows`` with d2, the squared Mahalanobis distance."""
-    found = rows.join(estimate, keys, how)
+    found = rows.join(small(estimate), keys, how)
     for i, a in enumerate(NAMES):
         value = F.col(a) / SCALE - F.col(f"m_{a}")
         for b in NAMES[:i]:
@@ -150,6 +169,7 @@ def _distances(rows: DataFrame, estimate: DataFrame, keys: list[str], how: str =
     return found.select(*rows.columns, d2.alias("d2"))
 
 
+@scoped
 def check(docs: DataFrame) -> DataFrame:
     """doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, kept,
     distance2 of every row of ``docs``, which needs doc_id, text, lang and source.
@@ -159,7 +179,8 @@ def check(docs: DataFrame) -> DataFrame:
     the text has twice or more (windows are told apart by 64-bit hashes). A document fails the base
     rules with fewer than 50 words, or with more than half of them repeated; only others enter the
     estimates. Null texts count as empty; a null lang or source is a value of its own. Rows with
-    equal or null doc_id are judged each. distance2 is null where no estimate is made.
+    equal or null doc_id are judged each. distance2 is null for documents of a language and source none of whose
+    documents pass the base rules. No documents give no rows.
     """
     rows = statistics(docs).withColumn("base_failed", base_failed())
     named = lambda c: F.coalesce(F.concat(F.lit("="), c), F.lit("-"))
@@ -168,12 +189,15 @@ def check(docs: DataFrame) -> DataFrame:
     rows = stored(rows, "statistics")
     sizes = rows.where(~F.col("base_failed")).groupBy("pool", "own").agg(F.count("*").alias("size"))
     sizes = sizes.withColumn("grp", F.when(F.col("size") >= MIN_GROUP, F.col("own")).otherwise(F.col("pool")))
-    large = sizes.groupBy("grp").agg(F.sum("size").alias("size")).where(F.col("size") >= MIN_GROUP).select("grp")
-    groups = stored(sizes.select("own", "grp").join(large, "grp"), "groups")
-    rows = rows.join(groups, "own", "left").drop("own", "pool")
-
-    fit = stored(rows.where(~F.col("base_failed") & F.col("grp").isNotNull()).select("grp", *NAMES), "fit")
-    middle = fit.join(stored(_medians(fit), "medians"), "grp")
+    sizes = sizes.select("own", "grp", F.sum("size").over(Window.partitionBy("grp")).alias("size"))
+    groups = stored(sizes.select("own", F.when(F.col("size") >= MIN_GROUP, F.col("grp")).otherwise(ALL).alias("grp")), "groups")
+    rows = rows.join(small(groups), "own", "left").drop("own", "pool")
+
+    fit = rows.where(~F.col("base_failed")).select("grp", *NAMES)
+    if not groups.where(F.col("grp") == ALL).isEmpty():
+        fit = fit.where(F.col("grp") != ALL).unionByName(fit.withColumn("grp", F.lit(ALL)))
+    fit = stored(fit, "fit")
+    middle = fit.join(small(stored(_medians(fit), "medians")), "grp")
     off = [(F.col(k) / SCALE - F.col(f"mid_{k}")) / F.col(f"spread_{k}") for k in NAMES]
     total, most = sum((z * z for z in off[1:]), off[0] * off[0]), F.greatest(*[z * z for z in off])
     starts = F.explode(F.array(F.struct(F.lit(0).alias("start"), total.alias("d2")), F.struct(F.lit(1).alias("start"), most.alias("d2"))))
@@ -185,6 +209,6 @@ def check(docs: DataFrame) -> DataFrame:
     fields = [c for c in final.columns if c not in ("grp", "start", "n", "logdet")]
     best = final.groupBy("grp").agg(F.min(F.struct("logdet", "start", *fields)).alias("b")).select("grp", "b.*")
     judged = _distances(rows, stored(best, "estimates"), ["grp"], "left")
-    kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= CUT, F.lit(True))
+    kept = ~F.col("base_failed") & F.coalesce(F.col("d2") <= cut(), F.lit(True))
     counts = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     return judged.select("doc_id", *counts, "base_failed", kept.alias("kept"), F.col("d2").alias("distance2"))

@@ -58,15 +58,19 @@ def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
     @functools.wraps(operator)
     def run(docs: DataFrame, *args, **kwargs) -> DataFrame:
         with scope(docs.sparkSession):
-            result = stored(operator(docs, *args, **kwargs), operator.__name__)
-            _scopes[-1].remove(_path[result])
-        if _scopes:
-            _scopes[-1].add(_path[result])
-        return result
+            return keep(stored(operator(docs, *args, **kwargs), operator.__name__))
 
     return run
 
 
+def keep(table: DataFrame) -> DataFrame:
+    """A stored table that outlives the scope and belongs to the one around it, if there is one."""
+    _scopes[-1].discard(_path[table])
+    if len(_scopes) > 1:
+        _scopes[-2].add(_path[table])
+    return table
+
+
 def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back with the same schema."""
     spark = df.sparkSession

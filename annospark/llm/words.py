@@ -1,7 +1,7 @@
 """Words and word shingles of whole texts as 64-bit numbers, for a batch of texts at once.
 
 A word is a run of bytes other than the six ASCII white-space characters; A-Z may be lower-cased.
-A batch is handled in pieces of about a megabyte (at least one text), so the arrays stay small
+A batch is handled in pieces of a quarter of a megabyte (at least one text), so the arrays stay small
 whatever the batch holds. Everything here is a function of the text alone, the same in any process.
 """
 
@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 
 U = np.uint64
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 18
 #: Texts in a piece: sets() puts the number of the text into the upper bits of a sort key.
 PIECE_TEXTS = 1024
 SPACE = np.zeros(256, dtype=bool)
@@ -27,16 +27,21 @@ _LOWER = _BYTE.copy()
 _LOWER[65:91] = _BYTE[97:123]
 ODD = _rng.integers(1, 2**63, 64, dtype=np.uint64) * U(2) + U(1)
 _STEP = int(ODD[0])
-_power = np.ones(1, dtype=np.uint64)
+_BACK = pow(_STEP, -1, 1 << 64)
+#: Longer lists of powers, for longer texts, are not kept.
+_KEPT = 1 << 20
+_known: dict[int, np.ndarray] = {}
 
 
-def powers(n: int) -> np.ndarray:
-    global _power
-    if len(_power) < n:
-        size = max(1024, 2 * n)
-        with np.errstate(over="ignore"):
-            _power = np.multiply.accumulate(np.r_[U(1), np.full(size - 1, _STEP, dtype=np.uint64)])
-    return _power
+def powers(n: int, base: int = _STEP) -> np.ndarray:
+    """The first powers of ``base`` modulo 2**64, ``n`` at least."""
+    found = _known.get(base)
+    if found is None or len(found) < n:
+        size = max(1024, n if n > _KEPT else 2 * n)
+        found = np.multiply.accumulate(np.r_[U(1), np.full(size - 1, base, dtype=np.uint64)])
+        if size <= 2 * _KEPT:
+            _known[base] = found
+    return found
 
 
 def mix(x: np.ndarray) -> np.ndarray:
@@ -100,14 +105,15 @@ def _piece(data: np.ndarray, bounds: np.ndarray, lo: int, hi: int, lower: bool)
     if not len(start):
         none = np.zeros(0, dtype=np.int64)
         return Piece(lo, hi, data, bounds, none, none, none, np.zeros(0, dtype=np.uint64))
-    at = np.arange(start[0], len(data))
-    at -= np.repeat(start, np.diff(np.r_[start, len(data)]))
-    # A word's numbers: its bytes' numbers times a power of their place, summed modulo 2**64.
-    longest = int((end - start).max())
-    np.minimum(at, longest, out=at)
-    value = (_LOWER if lower else _BYTE)[data[start[0] :]]
-    value *= powers(longest + 1)[at]
-    hashed = mix(np.add.reduceat(value, start - start[0]))
+    # A word's numbers: its bytes' numbers times a power of their place, summed modulo 2**64. The powers count
+    # from the start of the piece in the sum, and from that of the word after it is divided by the first of them.
+    value = (_LOWER if lower else _BYTE)[data]
+    value *= powers(len(data))[: len(data)]
+    upto = np.zeros(len(data) + 1, dtype=np.uint64)
+    np.cumsum(value, out=upto[1:])
+    hashed = upto[end] - upto[start]
+    hashed *= powers(len(data), _BACK)[start]
+    hashed = mix(hashed)
     text = np.searchsorted(bounds, start, side="right") - 1
     return Piece(lo, hi, data, bounds, text, start, end, hashed)
 

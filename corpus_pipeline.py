@@ -2,7 +2,9 @@
 
 STAGES are (name, function) pairs. Each function takes (spark, docs, sf_dir) and returns a DataFrame,
 which is written as Parquet and read again as the next one's docs. All but the last return the columns
-of documents. A document that two stages could take out is judged by the first; rows keep their doc_id.
+of documents; other columns than these are left out. A document that two stages could take out is judged by the
+first; rows keep their doc_id. Rows with a null doc_id pass all filters but the classifier's, null texts are empty
+to it, and no documents give no rows.
 """
 
 from __future__ import annotations
@@ -11,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.llm import decontaminate, entries, lines, minhash, packing, quality
-from annospark.llm.scratch import stored
+from annospark.llm.scratch import drop, keep, scope, stored
 
 COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
@@ -61,9 +63,13 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for k, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if k < len(STAGES) - 1:
-            docs = stored(docs, "stage")
-    return docs
+    """The pieces of the last stage. A stage's tables are removed when its result is written, and that when the
+    next stage's is; the documents that are packed stay, as the result reads them."""
+    docs = before = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for k, (_, stage) in enumerate(STAGES[:-1]):
+        with scope(spark):
+            docs = keep(stored(stage(spark, before, sf_dir), "stage"))
+        if k:
+            drop(before)
+        before = docs
+    return STAGES[-1][1](spark, docs, sf_dir)

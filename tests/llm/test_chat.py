@@ -43,6 +43,12 @@ def test_layouts(spark):
         3: {"conversations": [{"from": "human", "value": "a"}, {"from": "gpt", "value": "c"}]},
         4: {"messages": []},
         5: {"unknown": 1},
+        # What a field holds is no matter of the layout.
+        8: {"prompt": None, "completion": "c"},
+        9: {"prompt": 3.5, "completion": None},
+        10: {"messages": [{"role": "user", "content": None}, {"role": None, "content": 7}]},
+        11: {"messages": [{"role": "user", "content": "a", "weight": 1}]},
+        12: {"prompt": {"text": "a"}, "completion": "c"},
     }
     rows = [(k, json.dumps(v)) for k, v in given.items()] + [(6, "{"), (7, None)]
     out = {r.conv_id: r for r in chat.canonical(spark.createDataFrame(rows, "conv_id long, payload string")).collect()}
@@ -51,7 +57,11 @@ def test_layouts(spark):
     assert turns(2) == [("user", "a"), ("user", "b"), ("assistant", "c")]
     assert turns(3) == turns(1) and turns(4) == [] and turns(5) is turns(6) is turns(7) is None
     assert out[1].layout == out[2].layout != out[3].layout and out[6].layout is None
-    assert out[4].layout == sha256(b"OBJECT<messages: ARRAY<VOID>>").hexdigest()
+    assert out[4].layout == sha256(b"OBJECT<messages: ARRAY<*>>").hexdigest()
+    assert turns(8) == [("user", ""), ("assistant", "c")] and turns(9) == [("user", "3.5"), ("assistant", "")]
+    assert turns(10) == [("user", ""), ("", "7")] and turns(11) is turns(12) is None
+    assert out[8].layout == out[9].layout == sha256(b"OBJECT<completion: *, prompt: *>").hexdigest() != out[12].layout
+    assert chat.layout_of(("a b", "c[].d", "c[].e.f")) == "OBJECT<a b: *, c: ARRAY<OBJECT<d: *, e: OBJECT<f: *>>>>"
 
 
 def test_long_records(spark):

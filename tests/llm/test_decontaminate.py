@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter
 
+import pytest
+
 from annospark.llm import decontaminate, entries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -73,3 +75,35 @@ def test_texts_shorter_than_an_item(spark):
     got = sorted(tuple(r) for r in decontaminate.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect())
     end = len(docs[1])
     assert got == [(1, 1, 50 / 55, 1, end, 1), (2, 1, 44 / 55, 0, len(docs[2]), 1), (4, 2, 0.8, 0, len(docs[4]), 1), (6, 1, 1.0, 0, len(docs[6]), 1)]
+
+
+def test_repeated_null_and_long_rows(spark):
+    item = " ".join(f"w{k}" for k in range(30))
+    long = " ".join(f"v{k % 7001}" for k in range(20_000))
+    docs = [(1, item), (1, "x " + item), (1, None), (None, item), (2, long + " end"), (3, "other words " * 50_000)]
+    items = [(1, item), (1, item), (None, item), (7, long), (8, "x")]
+    rows = spark.createDataFrame(docs, "doc_id long, text string")
+    found = sorted((tuple(r)[:3] + (r.n_windows,) for r in decontaminate.matches(rows, spark.createDataFrame(items, "item_id long, text string")).collect()), key=str)
+    assert {x[:2] for x in found} >= {(1, 1), (1, None), (None, 1), (2, 7)} and {x[0] for x in found} == {None, 1, 2}
+    assert decontaminate.clean(rows, spark.createDataFrame(items, "item_id long, text string")).count() == 2
+
+
+@pytest.mark.parametrize("length", [12, 40, 150, 600])
+def test_recall_at_the_least_similarity(spark, length):
+    """Windows at 0.8 to 0.85, for items of several lengths: the fingerprints of nearly all are within the radius."""
+    rng = random.Random(length)
+    docs, items = {}, {}
+    while len(docs) < 120:
+        own = [f"w{rng.randrange(10**6)}" for _ in range(length)]
+        new = list(own)
+        while True:
+            at = rng.randrange(length)
+            changed = [*new[:at], f"n{rng.randrange(10**6)}", *new[at + 1 :]]
+            both = sum((shingles(changed) & shingles(own)).values())
+            if 5 * both < 4 * (2 * (length - 4) - both):
+                break
+            new = changed
+        if new != own or length < 30:
+            docs[len(docs)], items[len(items)] = " ".join(new), " ".join(own)
+    found = decontaminate.matches(spark.createDataFrame(list(docs.items()), "doc_id long, text string"), spark.createDataFrame(list(items.items()), "item_id long, text string"))
+    assert found.where("doc_id = item_id").count() >= 0.98 * len(docs)

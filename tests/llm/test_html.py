@@ -1,6 +1,8 @@
 import html as H
 import re
 
+import pytest
+
 from annospark.llm import entries, html
 
 
@@ -83,6 +85,39 @@ def test_small_hosts(spark):
     assert all("shared" in out[20 + k] for k in range(5))
 
 
+def bare(k):
+    """A page without article and without telling names; menu, heading, byline and remarks vary or not."""
+    menu = "".join(f"<li><a href=/{x}>{x}</a></li>" for x in (f"part {k}", f"see {k + 1}", f"by {k % 5}"))
+    paragraphs = "".join(f"<p>own text {k} {i} with <a href=x>a link</a></p>" for i in range(1 + k % 3))
+    return f"<body><div class=x1><ul>{menu}</ul></div><div class=x2><h2>Head {k}</h2>{paragraphs}</div><div class=x3><p>All rights with us</p></div>"
+
+
+@pytest.mark.parametrize("n", [3, 7, 40])
+def test_wrapper_decides_without_names(spark, monkeypatch, n):
+    """Menu and constants go by the wrapper alone: without templates they stay."""
+    df = spark.createDataFrame([(k, f"http://bare.example/{k}", bare(k)) for k in range(n)], "page_id long, url string, html string")
+    out = {r.page_id: r for r in html.extract(df).collect()}
+    for k in range(n):
+        assert out[k].text == "\n\n".join([f"Head {k}", *(f"own text {k} {i} with a link" for i in range(1 + k % 3))]) and out[k].n_template >= 4
+    monkeypatch.setattr(html, "LEAST_PAGES", 10**6)
+    monkeypatch.setattr(html, "LEAST_COPIES", 10**6)
+    assert all("All rights with us" in r.text and "part" in r.text and r.n_template == 0 for r in html.extract(df).collect())
+
+
+def test_wrappers_on_given_hosts(spark):
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    hosts = pages.selectExpr("regexp_extract(url, '//([^/?#]*)', 1) host", "html")
+    found = {r.host: r for r in html.wrappers(hosts).collect()}
+    several = [r.host for r in hosts.groupBy("host").count().where("count >= 3").collect()]
+    assert sum(bool(h in found and (found[h].menus or found[h].template)) for h in several) >= 0.9 * len(several)
+
+
+def test_odd_rows(spark):
+    rows = [(None, None, None, 1), (None, "http://r.example/", "<p>x", 2), (None, "http://r.example/", "<p>x", 2), (1, "http://r.example/", "<div>" * 5000 + "deep", 3)]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, text int")).collect()
+    assert sorted(r.text for r in out) == ["", "deep", "x", "x"] and [r.page_id for r in out].count(None) == 3
+
+
 def test_matching():
     a, b = html.parse("<ul><li>1<li>2<li><b>3</b></ul><p>x"), html.parse("<ul><li>1<li><b>4</b></ul><div></div><p>y")
     left, right = html.prepared(a), html.prepared(b)

@@ -33,3 +33,19 @@ def test_stages_against_brute_force(spark, sf, tmp_path):
         assert {r.doc_id: r.text for r in rows} == want and all(r.n_chars == len(r.text) for r in rows)
     assert corpus_pipeline.run(spark, sf).count() > 0
     assert decontaminate.RADIUS == 20
+
+
+def test_odd_tables(spark, sf, tmp_path):
+    """Empty tables, nulls in every column, repeated rows and extra columns that clash with those of operators."""
+    rows = [(1, "good text " * 30, "en", "s", 300), (1, "good text " * 30, "en", "s", 300), (1, "another text", None, None, None)]
+    rows += [(None, "no id " * 20, "en", "s", 120), (2, None, None, None, None), (3, "", "en", "s", 0), (4, "long " * 60_000, "en", "s", 0)]
+    extra = [f"'{c}' {c}" for c in ("score", "predicted", "line", "part", "size", "key", "id", "kept", "component", "length", "start")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").selectExpr("*", *extra)
+    labels = spark.createDataFrame([(1, 1, 0), (None, 0, 0), (2, None, None)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, None), (None, "no id no id no id no id no id")], "item_id long, text string")
+    for name, part in (("full", 100), ("empty", 0)):
+        for table, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
+            df.limit(part).write.parquet(f"{tmp_path}/{name}/{table}.parquet")
+    out = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
+    assert {r.doc_id for r in out} == {1, 2, 3, 4}
+    assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0

@@ -1,3 +1,4 @@
+import math
 import zlib
 
 import numpy as np
@@ -43,3 +44,44 @@ def test_features_do_not_depend_on_neighbours():
     for k, t in enumerate(texts):
         (alone,) = [quality.features(p)[1] for p in words.pieces(pa.array([t]))]
         assert np.allclose(whole[1][whole[0] == k], alone)
+
+
+def test_scores_by_loops(spark):
+    """The forward pass, passage by passage and number by number."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").limit(25)
+    rng = np.random.default_rng(2)
+    n = quality.N_STATS + quality.PAIRS
+    model = quality.Model(rng.normal(size=n), rng.uniform(0.5, 2, n), *(rng.normal(size=s) for s in ((n + 1, 5), (6, 3), (6, 3), 3, 6)))
+    sigmoid = lambda v: 1 / (1 + math.exp(-v))
+    got = {r.doc_id: r.score for r in quality.scored(docs, model).collect()}
+    for r in docs.collect():
+        weights, codes = [], []
+        for x in quality.features(next(words.pieces(pa.array([r.text]))))[1].astype(float):
+            z = [max(-8.0, min(8.0, (x[i] - model.mean[i]) / model.scale[i])) for i in range(n)] + [1.0]
+            code = [math.tanh(sum(z[i] * model.encode[i, c] for i in range(n + 1))) for c in range(5)]
+            one = [*code, 1.0]
+            gated = [math.tanh(sum(one[i] * model.tanh[i, g] for i in range(6))) * sigmoid(sum(one[i] * model.gate[i, g] for i in range(6))) for g in range(3)]
+            weights.append(math.exp(sum(gated[g] * model.attend[g] for g in range(3))))
+            codes.append(code)
+        bag = [sum(w * c[k] for w, c in zip(weights, codes)) / sum(weights) for k in range(5)]
+        assert abs(got[r.doc_id] - sigmoid(sum(bag[k] * model.out[k] for k in range(5)) + model.out[5])) < 1e-9
+
+
+def test_labels_of_one_kind_and_empty_tables(spark):
+    docs = spark.createDataFrame([(i, f"text {i}", 1) for i in range(40)] + [(None, "x", 1), (3, None, 1), (3, "again", 2)], "doc_id long, text string, predicted int")
+    none = spark.createDataFrame([], "doc_id long, quality int")
+    one = spark.createDataFrame([(i, 1) for i in range(40)] + [(None, 0), (5, None), (6, 7)], "doc_id long, quality int")
+    held = sum(zlib.crc32(str(i).encode()) % 5 == 0 for i in range(40))
+    for labels, want in ((none, 0.5), (one, (40 - held + 1) / (40 - held + 2))):
+        model = quality.train(docs, labels)
+        assert all(abs(r.score - want) < 1e-9 and r.predicted == 1 for r in quality.scored(docs, model).collect())
+    assert quality.annotated(docs.limit(0), quality.train(docs.limit(0), one)).count() == 0
+    assert quality.annotated(docs, quality.train(docs, one)).columns == ["doc_id", "text", "score", "predicted"]
+
+
+def test_long_documents_are_bounded_in_training(spark):
+    docs = spark.createDataFrame([(i, ("good words " if i % 2 else "bad$ stuff# ") * 5000) for i in range(12)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(12)], "doc_id long, quality int")
+    rows = quality.scored(docs, quality.train(docs, labels, max_passages=4)).collect()
+    assert all((r.score > 0.5) == (r.doc_id % 2 == 1) for r in rows)

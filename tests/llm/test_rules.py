@@ -3,6 +3,7 @@ import re
 from collections import Counter, defaultdict
 
 import numpy as np
+import pytest
 
 from annospark.llm import entries, rules
 
@@ -35,6 +36,9 @@ def verdicts(docs):
     pools = defaultdict(list)
     for g, keys in groups.items():
         pools[g if len(keys) >= rules.MIN_GROUP else g[0]] += keys
+    small = {g for g, keys in pools.items() if len(keys) < rules.MIN_GROUP}
+    judged = {g: g if len(keys) >= rules.MIN_GROUP else "*" if g[0] in small else g[0] for g, keys in groups.items()}
+    pools = {g: keys for g, keys in pools.items() if g not in small} | {"*": [k for keys in groups.values() for k in keys]} 
     floors = np.array(list(rules.FLOORS.values()))
     found = {}
 
@@ -50,7 +54,7 @@ def verdicts(docs):
         return x.mean(axis=0), low
 
     for g, keys in pools.items():
-        if len(keys) < rules.MIN_GROUP:
+        if g not in judged.values():
             continue
         x = np.array([vector[k] for k in keys]) / rules.SCALE
         bins = np.sort(np.floor(np.array([vector[k] for k in keys]) * 200 / rules.SCALE), axis=0)
@@ -65,13 +69,20 @@ def verdicts(docs):
             if best is None or det < best[0]:
                 best = det, mean, low
         for k, d in docs.items():
-            own = groups.get(d[1:])
-            if own and (d[1:] if len(own) >= rules.MIN_GROUP else d[1]) == g:
+            if judged.get(d[1:]) == g:
                 found[k] = (np.linalg.solve(best[2], vector[k] / rules.SCALE - best[1]) ** 2).sum()
-    return {k: (*s, not s[5] and found.get(k, 0) <= rules.CUT, found.get(k)) for k, s in stats.items()}
+    return {k: (*s, not s[5] and found.get(k, 0) <= rules.cut(), found.get(k)) for k, s in stats.items()}
 
 
-def test_against_numpy(spark):
+def test_cut():
+    # Quantiles of the chi-square distribution of five degrees of freedom, from tables.
+    assert abs(rules.cut(0.05) - 11.0705) < 1e-3 and abs(rules.cut(0.001) - 20.515) < 1e-3 and 55 < rules.cut() < 65
+
+
+@pytest.mark.parametrize("least", [60, 200])
+def test_against_numpy(spark, monkeypatch, least):
+    """Groups of their own, of a language, and of all documents."""
+    monkeypatch.setattr(rules, "MIN_GROUP", least)
     sf = "/root/testdata/sf0.01"
     docs = {r.doc_id: (r.text, r.lang, r.source) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = {r.doc_id: tuple(r)[1:] for r in entries.op9_rules(spark, sf).collect()}
@@ -85,7 +96,7 @@ def test_against_numpy(spark):
 
 
 def test_odd_rows(spark):
-    texts = [None, "", " \n\t", "a", "a b c a b c a b c d", "x\nx\n\nx y", "é# $|" * 30, "w " * 20_000]
+    texts = [None, "", " \n\t", "a", "a b c a b c a b c d", "x\nx\n\nx y", "é# $|" * 30, "w " * 20_000, "long text " * 300_000]
     rows = [(i, t, None if i % 2 else "en", "s", 7) for i, t in enumerate(texts)] + [(0, "a b", None, None, 1), (None, "b", "en", "s", 2)]
     df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, grp int")
     out = rules.check(df).collect()
