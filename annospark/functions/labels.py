@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: The terms of each category, in the order in which the categories are tried.
+#: The terms of each category, in the order in which the categories are tried. Terms are a set.
 TERMS = {
     "real": ["authentic", "genuine", "real"],
     "tampered": ["edited", "manipulated", "tampered"],
@@ -21,6 +21,8 @@ NUMBERS = {
     2: ["2", "tampered", "manipulated"],
 }
 LABEL_COLUMNS = ["label", "labels", "class", "target"]
+#: What ids of the two classes begin with.
+ID_PREFIXES = ("sidset_real_", "sidset_fake_")
 IMAGE_ENDS = [".jpg", ".jpeg", ".png", ".webp", ".bmp"]
 MIMES = {".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".webp": "image/webp", ".bmp": "image/bmp"}
 
@@ -78,17 +80,23 @@ def binary(kind: Column, include_tampered: bool = False) -> Column:
     return F.when(kind == "real", "REAL").when(kind.isin(fake), "AI-GENERATED")
 
 
-def sample_id(label: Column, rank: Column) -> Column:
-    """Ids with six digits at least. lpad would cut longer numbers."""
-    stem = F.when(label == "REAL", "sidset_real_").otherwise("sidset_fake_")
+def sample_id(label: Column, rank: Column, prefixes: tuple[str, str] = ID_PREFIXES) -> Column:
+    """Ids with six digits at least. lpad would cut longer numbers. ``prefixes`` are those of real and of others."""
+    stem = F.when(label == "REAL", prefixes[0]).otherwise(prefixes[1])
     return F.concat(stem, F.format_string("%06d", rank))
 
 
-def kept_or_ranked_id(name: Column, label: Column, rank: Column) -> Column:
+def kept_or_ranked_id(name: Column, label: Column, rank: Column, prefixes: tuple[str, str] = ID_PREFIXES) -> Column:
     """A file's stem if it is an id of its own class, else an id by rank."""
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
-    own = F.when(label == "REAL", stem.rlike("^sidset_real_[0-9]{6}$")).otherwise(stem.rlike("^sidset_fake_[0-9]{6}$"))
-    return F.when(own, stem).otherwise(sample_id(label, rank))
+    own = F.when(label == "REAL", stem.rlike(f"^{prefixes[0]}[0-9]{{6}}$")).otherwise(stem.rlike(f"^{prefixes[1]}[0-9]{{6}}$"))
+    return F.when(own, stem).otherwise(sample_id(label, rank, prefixes))
+
+
+def original(c: Column, text_or_whole: bool) -> Column:
+    """A label as it is told beside the derived ones: texts and whole numbers (``text_or_whole``) as they are, other
+    values cut to a whole number where they can be, else as text."""
+    return c.cast("string") if text_or_whole else F.coalesce(c.try_cast("bigint").cast("string"), c.cast("string"))
 
 
 def image_like(c: Column) -> Column:

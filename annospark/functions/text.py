@@ -41,7 +41,11 @@ def collapse(c: Column) -> Column:
 
 
 def label_only(c: Column) -> Column:
-    bare = F.regexp_replace(collapse(F.lower(strip(c))), r"""^[ .!?"']+|[ .!?"']+$""", "")
+    return _label_only(F.lower(strip(c)))
+
+
+def _label_only(lower: Column) -> Column:
+    bare = F.regexp_replace(collapse(lower), r"""^[ .!?"']+|[ .!?"']+$""", "")
     words = F.split(bare, " ")
     few = (bare != "") & (F.size(words) <= 6)
     return bare.isin(LABEL_PHRASES) | (few & F.forall(words, lambda w: w.isin(LABEL_WORDS)))
@@ -49,47 +53,77 @@ def label_only(c: Column) -> Column:
 
 def last_line(c: Column) -> Column:
     """The last line that is not blank, stripped; empty if there is none."""
-    lines = F.filter(F.transform(F.split(strip(c), EOL), strip), lambda x: x != "")
-    return F.coalesce(F.try_element_at(lines, F.lit(-1)), F.lit(""))
+    return _last_line(strip(c))
+
+
+def _last_line(text: Column) -> Column:
+    # A stripped text ends in a line that is not blank; only white space within can be left before it.
+    return F.coalesce(F.regexp_replace(F.regexp_extract(text, f"(?s)(?:^|{EOL})((?:(?!{EOL}).)*+)$", 1), f"^{WS}+", ""), F.lit(""))
 
 
 def incomplete_bullet(c: Column) -> Column:
     """The last line is an empty bullet or number, or one whose text is not closed; so is no line."""
-    line = last_line(c)
-    marker = r"(?:[-*]|[0-9]+[.)])"
+    return _incomplete_bullet(last_line(c))
+
+
+def _incomplete_bullet(line: Column) -> Column:
+    marker = r"(?:[-*]|\p{Nd}+[.)])"
     return (line == "") | line.rlike(f"^{marker}$") | (line.rlike(f"^{marker}{WS}+[^\\s]") & ~line.rlike(f"{CLOSING}$"))
 
 
 def truncated(c: Column, finish_reason: Column, output_tokens: Column, limit: int = TOKEN_LIMIT) -> Column:
-    """Whether an answer looks cut. ``limit`` is the most tokens it could have."""
+    """Whether an answer looks cut. ``limit`` is the most tokens it could have; 0 stands for none."""
     text = strip(c)
-    lower = F.regexp_replace(collapse(F.lower(text)), r"""[ .!?"')\]}]+$""", "")
-    last_word = F.try_element_at(F.regexp_extract_all(lower, F.lit("[a-z]+(?:-[a-z]+)?"), 0), F.lit(-1))
-    open_end = lower.rlike(f"(?:{'|'.join(OPEN_PHRASES)})$") | F.coalesce(last_word.isin(OPEN_WORDS), F.lit(False))
-    near_limit = F.coalesce(output_tokens >= limit * 95 // 100, F.lit(False)) & ~text.rlike(f"{CLOSING}$")
+    return _truncated(text, F.lower(text), _last_line(text), finish_reason, output_tokens, limit)
+
+
+def _truncated(text: Column, lower: Column, line: Column, finish_reason: Column, output_tokens: Column, limit: int) -> Column:
+    bare = F.regexp_replace(collapse(lower), r"""[ .!?"')\]}]+$""", "")
+    last_word = F.try_element_at(F.regexp_extract_all(bare, F.lit("[a-z]+(?:-[a-z]+)?"), 0), F.lit(-1))
+    open_end = bare.rlike(f"(?:{'|'.join(OPEN_PHRASES)})$") | F.coalesce(last_word.isin(OPEN_WORDS), F.lit(False))
+    near_limit = F.lit(limit > 0) & F.coalesce(output_tokens >= limit * 95 // 100, F.lit(False)) & ~text.rlike(f"{CLOSING}$")
     return (
         F.coalesce(finish_reason.isin(CUT_REASONS), F.lit(False))
         | (text == "")
         | text.rlike(r"(?:\.\.\.|[,:])$")
         | open_end
-        | incomplete_bullet(text)
+        | _incomplete_bullet(line)
         | near_limit
     )
 
 
+def parts(c: Column) -> list[Column]:
+    """What the rules look at, to be columns of their own so that each is found once: the stripped text."""
+    return [strip(c).alias("_text")]
+
+
+def more_parts() -> list[Column]:
+    """From the stripped text: lower case and the last line."""
+    return [F.lower("_text").alias("_lower"), _last_line(F.col("_text")).alias("_line")]
+
+
+def errors_of_parts(finish_reason: Column, output_tokens: Column, limit: int = TOKEN_LIMIT) -> Column:
+    """``free_text_errors`` from the columns of ``parts`` and ``more_parts``."""
+    return _errors(F.col("_text"), F.col("_lower"), F.col("_line"), finish_reason, output_tokens, limit)
+
+
 def free_text_errors(c: Column, finish_reason: Column, output_tokens: Column, limit: int = TOKEN_LIMIT) -> Column:
     """The ordered error codes of a free-text annotation; none if it is valid."""
     text = strip(c)
+    return _errors(text, F.lower(text), _last_line(text), finish_reason, output_tokens, limit)
+
+
+def _errors(text: Column, lower: Column, line: Column, finish_reason: Column, output_tokens: Column, limit: int) -> Column:
     rules = [
         ("empty_output", text == ""),
         ("too_short_lt_30_chars", F.length(text) < MIN_CHARS),
-        ("label_only_or_short_answer", label_only(text)),
+        ("label_only_or_short_answer", _label_only(lower)),
         ("json_like_output_not_allowed", text.rlike(r"^[{\[]")),
         ("markdown_code_fence_not_allowed", text.contains("```")),
-        ("suspected_truncation_or_incomplete_sentence", truncated(text, finish_reason, output_tokens, limit)),
+        ("suspected_truncation_or_incomplete_sentence", _truncated(text, lower, line, finish_reason, output_tokens, limit)),
     ]
     found = F.array_compact(F.array(*[F.when(holds, F.lit(code)) for code, holds in rules]))
-    return F.when(c.isNull(), F.array(F.lit("output_not_string"))).otherwise(found)
+    return F.when(text.isNull(), F.array(F.lit("output_not_string"))).otherwise(found)
 
 
 def with_call_errors(errors: Column, error: Column, code: str) -> Column:

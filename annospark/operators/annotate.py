@@ -68,8 +68,10 @@ def annotate(work: DataFrame, call: Callable[[pd.DataFrame], pd.DataFrame], sche
 
 def validated(log: DataFrame, call_error: str = "api_error") -> DataFrame:
     """``log`` with validation_errors and prompt_valid by the free-text rules."""
-    found = text.with_call_errors(text.free_text_errors(F.col("raw_text"), F.col("finish_reason"), F.col("output_tokens")), F.col("error"), call_error)
-    return log.withColumn("validation_errors", found).withColumn("prompt_valid", F.size("validation_errors") == 0)
+    rows = log.select("*", *text.parts(F.col("raw_text"))).select("*", *text.more_parts())
+    found = text.with_call_errors(text.errors_of_parts(F.col("finish_reason"), F.col("output_tokens")), F.col("error"), call_error)
+    rows = rows.select(*[F.col(f"`{c}`") for c in log.columns if c not in ("validation_errors", "prompt_valid")], found.alias("validation_errors"))
+    return rows.withColumn("prompt_valid", F.size("validation_errors") == 0)
 
 
 def missing_images(manifest: DataFrame, files: DataFrame) -> DataFrame:
@@ -98,18 +100,17 @@ def assembled(log: DataFrame, keep: str = "first") -> DataFrame:
 
 def failures(manifest: DataFrame, log: DataFrame) -> DataFrame:
     """id, errors of the samples without all three prompts: for each missing one, in order, the errors of
-    its last attempt, or that there was none."""
+    its last attempt, or that there was none; where the attempts tell no error, that they were not valid."""
     good = log.where("prompt_valid").select("id", "prompt_id").distinct()
     prompts = F.explode(F.array(*map(F.lit, PROMPTS))).alias("prompt_id")
     open_ = manifest.select("id", prompts).join(good, ["id", "prompt_id"], "left_anti")
-    last = log.groupBy("id", "prompt_id").agg(F.max_by("validation_errors", "attempt").alias("errors"))
+    last = log.groupBy("id", "prompt_id").agg(F.max_by("validation_errors", "attempt").alias("errors"), F.lit(True).alias("seen"))
     rows = open_.join(last, ["id", "prompt_id"], "left")
-    said: Column = F.transform(
-        F.when(F.coalesce(F.size("errors"), F.lit(0)) > 0, F.col("errors")).otherwise(F.array(F.lit("missing_output"))),
-        lambda e: F.concat_ws(": ", "prompt_id", e),
-    )
+    missing = F.when(F.col("seen"), F.array().cast("array<string>")).otherwise(F.array(F.lit("missing_output")))
+    said: Column = F.transform(F.coalesce("errors", missing), lambda e: F.concat_ws(": ", "prompt_id", e))
     listed = rows.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("prompt_id", said.alias("e")))).alias("all"))
-    return listed.select("id", F.flatten(F.transform("all", lambda x: x["e"])).alias("errors"))
+    errors = F.flatten(F.transform("all", lambda x: x["e"]))
+    return listed.select("id", F.when(F.size(errors) > 0, errors).otherwise(F.array(F.lit("stage1_not_valid_after_retries"))).alias("errors"))
 
 
 def retries(log: DataFrame) -> DataFrame:

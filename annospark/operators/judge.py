@@ -43,11 +43,19 @@ def best_attempts(rows: DataFrame) -> DataFrame:
     return ranked.where("_n = 1").drop("_n")
 
 
+def judgement_text(columns: list[str]) -> Column:
+    """The text of a judgement: the string as given, else the struct written as JSON, else the raw answer."""
+    own = F.col("stage2_json_string") if "stage2_json_string" in columns else F.lit(None).cast("string")
+    struct = F.to_json("stage2_json", {"ignoreNullFields": "false"}) if "stage2_json" in columns else F.lit(None).cast("string")
+    raw = F.col("raw_text") if "raw_text" in columns else F.lit(None).cast("string")
+    return F.coalesce(own, struct, raw, F.lit(""))
+
+
 def source_of_attempts(log: DataFrame, valid: DataFrame) -> DataFrame:
     """The log, or, if it is empty, what was found valid before, as attempts to validate again."""
     if not log.isEmpty():
         return log
-    return valid.withColumn("raw_text", F.coalesce("stage2_json_string", F.lit(""))).drop("stage2_json_string")
+    return valid.withColumn("raw_text", judgement_text(valid.columns)).drop("stage2_json_string", "stage2_json")
 
 
 def revalidated(log: DataFrame, manifest: DataFrame) -> DataFrame:
@@ -108,27 +116,39 @@ def exhausted(stage1: DataFrame, log: DataFrame) -> DataFrame:
     return rows.where(F.col("attempt") >= MAX_ATTEMPTS).select("id", F.array(F.lit("stage2_not_valid_after_retries")).alias("errors"))
 
 
+def well_formed(messages: Column) -> Column:
+    """Two messages, of a user and of an assistant, both with content."""
+    first, second = F.get(messages, F.lit(0)), F.get(messages, F.lit(1))
+    shape = (F.size(messages) == 2) & (first["role"] == "user") & (second["role"] == "assistant")
+    return F.coalesce(shape & first["content"].isNotNull() & second["content"].isNotNull(), F.lit(False))
+
+
 def sft_rows(stage2: DataFrame, stage1: DataFrame, manifest: DataFrame, generator: str) -> DataFrame:
     """Training records and what was skipped, with the reason in skip (null for a record).
 
-    ``stage2`` has id, label, image_path, stage2_json_string and perhaps model and reasoning_effort,
-    each id once; where the manifest has the id, its label and image count. The judgement is
-    validated again. Empty strings count as not given.
+    ``stage2`` has id, label, image_path, the judgement as stage2_json (struct) or stage2_json_string, and perhaps
+    model and reasoning_effort, each id once; where the manifest has the id, its label and image count.
+    The judgement is validated again, a struct before a string. Empty strings count as not given.
     """
     known = manifest.select("id", F.col("label").alias("_label"), F.col("image_path").alias("_image"), F.lit(True).alias("_known"))
     rows = stage2.join(stage1.select("id", "stage1"), "id", "left").join(known, "id", "left")
     rows = rows.withColumn("label", F.when(F.col("_known"), F.col("_label")).otherwise(F.col("label")))
-    rows = rows.withColumn("image", F.coalesce("_image", "image_path")).withColumn("raw_text", F.col("stage2_json_string"))
-    rows = validated(rows)
+    rows = rows.withColumn("image", F.coalesce("_image", "image_path"))
+    struct = F.to_json("stage2_json", {"ignoreNullFields": "false"}) if "stage2_json" in stage2.columns else F.lit(None).cast("string")
+    text = F.col("stage2_json_string") if "stage2_json_string" in stage2.columns else F.lit(None).cast("string")
+    rows = validated(rows.withColumn("raw_text", F.coalesce(struct, text)))
     given = lambda c, default: F.coalesce(F.nullif(F.col(c), F.lit("")), F.lit(default)) if c in stage2.columns else F.lit(default)
     full = F.coalesce(F.size(F.filter(F.array(*[F.col(f"stage1.{p}.output") for p in PROMPTS]), lambda x: x.isNotNull())) == 3, F.lit(False))
     skip = F.when(~full, F.array(F.lit("missing_stage1_prompt_outputs"))).when(~F.col("valid"), F.col("validation_errors"))
     message = lambda role, content: F.struct(F.lit(role).alias("role"), content.alias("content"))
+    said = F.array(message("user", F.lit(QUESTION)), message("assistant", F.col("shape.compact")))
+    rows = rows.withColumn("messages", said)
+    skip = F.coalesce(skip, F.when(~well_formed(F.col("messages")), F.array(F.lit("invalid_messages_shape"))))
     return rows.select(
         "id",
         "image",
         "label",
-        F.array(message("user", F.lit(QUESTION)), message("assistant", F.col("shape.compact"))).alias("messages"),
+        "messages",
         F.struct(*[F.col(f"stage1.{p}.output").alias(p) for p in PROMPTS]).alias("stage1_outputs"),
         given("model", generator).alias("generator_model"),
         given("reasoning_effort", NO_EFFORT).alias("reasoning_effort"),

@@ -40,3 +40,28 @@ def class_directories(files: DataFrame, path: str = "path", names: tuple[str, ..
 def overlap(files: DataFrame, path: str = "path") -> DataFrame:
     """Paths that belong to both classes."""
     return class_members(files, path).where("is_real and is_fake").select(path).distinct()
+
+
+def prepare_report(files: DataFrame, path: str = "path") -> DataFrame:
+    """One row: n_directories, n_images, found_real, found_fake, overlap_count of a listing."""
+    seen = class_members(images(files, path), path)
+    counts = seen.agg(
+        F.count("*").alias("n_images"),
+        F.count_if("is_real").alias("found_real"),
+        F.count_if("is_fake").alias("found_fake"),
+        F.count_if(F.col("is_real") & F.col("is_fake")).alias("overlap_count"),
+    )
+    # Two tables of one row.
+    return files.select(F.explode(parents(F.col(path))).alias("d")).agg(F.count_distinct("d").alias("n_directories")).crossJoin(counts)
+
+
+def gate_violations(files: DataFrame, path: str = "path") -> DataFrame:
+    """gate, value, n of what a strict run stops at: images of both classes, and classes without any."""
+    report = prepare_report(files, path)
+    rules = [
+        ("class_overlap", "both", F.col("overlap_count"), F.col("overlap_count") > 0),
+        ("missing_class_folder", "real", F.col("found_real"), F.col("found_real") == 0),
+        ("missing_class_folder", "fake", F.col("found_fake"), F.col("found_fake") == 0),
+    ]
+    found = F.array_compact(F.array(*[F.when(holds, F.struct(F.lit(gate).alias("gate"), F.lit(value).alias("value"), n.alias("n"))) for gate, value, n, holds in rules]))
+    return report.select(F.inline(found))

@@ -35,10 +35,14 @@ def fill(pool: DataFrame, by: str, key: str, k: int, ok: str, preference: str, s
 
 
 def fill_errors(pool: DataFrame, by: str, key: str, k: int, ok: str, preference: str, seed: int = 42) -> DataFrame:
-    """Rows that ``fill`` met and passed over: those that fail before the class is full."""
-    order = Window.partitionBy(by).orderBy(preference, F.desc("_priority"), key).rowsBetween(Window.unboundedPreceding, -1)
-    seen = pool.withColumn("_priority", priority(seed, key)).withColumn("_good", F.coalesce(F.sum(F.col(ok).cast("int")).over(order), F.lit(0)))
-    return seen.where(~F.col(ok) & (F.col("_good") < k)).drop("_priority", "_good")
+    """Rows that ``fill`` met and passed over: those that fail before the class is full. A class gives its last
+    filled row, one at most, to the join; its rows are not ordered as a whole."""
+    place = F.struct(F.col(preference).alias("a"), F.translate("_priority", "0123456789abcdef", "fedcba9876543210").alias("b"), F.col(key).alias("c"))
+    rows = pool.withColumn("_priority", priority(seed, key)).withColumn("_place", place).drop("_priority")
+    last = fill(pool, by, key, k, ok, preference, seed).where(F.col("rank") == k).select(by, key)
+    last = rows.join(last, [by, key]).groupBy(by).agg(F.max("_place").alias("_last"))
+    failed = rows.where(~F.col(ok)).join(last, by, "left")
+    return failed.where(F.col("_last").isNull() | (F.col("_place") < F.col("_last"))).drop("_place", "_last")
 
 
 def first_of_class(rows: DataFrame, by: str, order: str, k: int) -> DataFrame:
@@ -47,6 +51,69 @@ def first_of_class(rows: DataFrame, by: str, order: str, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k)
 
 
+def ranked(rows: DataFrame, by: str, order: str, parts: int = 200) -> DataFrame:
+    """``rows`` with rank, their place from 1 in their class by the number ``order``, without one task for a class:
+    classes are cut at quantiles, rows are ranked within the cuts, and counts of the cuts before are added.
+    Rows with a null order come first."""
+    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
+    cuts = rows.groupBy(by).agg(F.percentile_approx(order, shares, F.lit(20 * parts)).alias("_cuts"))
+    # A class is a row of numbers; where classes are many, the join is a shuffle, of small classes.
+    placed = rows.join(cuts, rows[by].eqNullSafe(cuts[by]), "left").drop(cuts[by])
+    part = F.coalesce(F.size(F.filter(F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType)), lambda c: c < F.col(order))), F.lit(0))
+    placed = placed.withColumn("_part", F.when(F.col(order).isNull(), -1).otherwise(part)).drop("_cuts")
+    counts = placed.groupBy(by, "_part").agg(F.count("*").alias("_n"))
+    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(F.col(by).alias("_by"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    both = placed.join(counts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_of")))
+    own = F.row_number().over(Window.partitionBy(by, "_part").orderBy(order))
+    return both.withColumn("rank", F.col("_before") + own).drop("_by", "_of", "_before", "_part")
+
+
+def payload(source: DataFrame, chosen: DataFrame, key: str, max_rows: int = 1_000_000) -> DataFrame:
+    """The rows of ``source``, with all their columns, that ``chosen`` (key, and what it adds) names. A draw needs
+    keys alone; the rest of a row is read for those that it chose."""
+    few = chosen.select(key).limit(max_rows + 1).count() <= max_rows
+    extra = [c for c in chosen.columns if c == key or c not in source.columns]
+    return source.join(F.broadcast(chosen.select(*extra)) if few else chosen.select(*extra), key)
+
+
+def file_sample(files: DataFrame, by: str, name: str, path: str, k: int, seed: int = 42) -> DataFrame:
+    """Exactly k files of each class, all where a class has k, with rank from 1 by file name, then path;
+    ``ValueError`` if a class has fewer."""
+    short = files.groupBy(by).count().where(F.col("count") < k).first()
+    if short:
+        raise ValueError(f"{short[by]} has {short['count']} files of {k}")
+    order = Window.partitionBy(by).orderBy(name, path)
+    return draw(files, by, path, k, seed).withColumn("rank", F.row_number().over(order))
+
+
+def ordered(sample: DataFrame) -> DataFrame:
+    """A manifest as it is written: real before others, each by its place in the source."""
+    return sample.orderBy("label_id", "source_original_index", "id")
+
+
+def draw_summary(sample: DataFrame) -> DataFrame:
+    """One row: n, n_real, n_fake, n_sources of a manifest, first_index and last_index of what it was drawn from."""
+    return sample.agg(
+        F.count("*").alias("n"),
+        F.count_if(F.col("label") == "REAL").alias("n_real"),
+        F.count_if(F.col("label") == "AI-GENERATED").alias("n_fake"),
+        F.count_distinct("source_dataset").alias("n_sources"),
+        F.min("source_original_index").alias("first_index"),
+        F.max("source_original_index").alias("last_index"),
+    )
+
+
+def label_names(rows: DataFrame, raw: str, card: DataFrame, classes: DataFrame) -> DataFrame:
+    """``rows`` with label_name: that of the card (raw_value, label_name), else that of the class names (class_id,
+    class_name), else the raw value; null stays null. Both are small tables with each value once."""
+    value = F.col(raw).cast("string")
+    names = card.select(F.col("raw_value").alias("_raw"), F.col("label_name").alias("_card"))
+    own = classes.select(F.col("class_id").cast("string").alias("_class"), F.col("class_name").alias("_name"))
+    both = rows.join(names, value == F.col("_raw"), "left").join(own, value == F.col("_class"), "left")
+    return both.withColumn("label_name", F.coalesce("_card", "_name", value)).drop("_raw", "_card", "_class", "_name")
+
+
 def until_complete(rows: DataFrame, by: str, order: str, k: int, classes: list[str]) -> DataFrame:
     """``rows`` up to the one with which the last class gets its k-th row; all, if one never does."""
     nth = first_of_class(rows.where(F.col(by).isin(classes)), by, order, k).groupBy(by).agg(F.count("*").alias("n"), F.max(order).alias("at"))

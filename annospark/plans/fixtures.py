@@ -28,18 +28,15 @@ STAGE1_RAW = """
         CASE WHEN turn % 5 = 4 THEN 'max_output_tokens' END AS finish_reason,
         cast(length(text) % 500 AS int) AS output_tokens,
         CASE WHEN (conv_id + turn) % 11 = 5 THEN 'timeout' END AS error,
-        CASE turn % 7 WHEN 0 THEN concat(substring(text, 1, 60), ' due to')
-            WHEN 1 THEN concat('- ', substring(text, 1, 60))
+        CASE turn % 7 WHEN 0 THEN concat(text, ' due to')
+            WHEN 1 THEN concat('- ', text)
             WHEN 2 THEN text
             WHEN 3 THEN 'This image is real.'
-            WHEN 4 THEN concat(substring(text, 1, 80), '...')
+            WHEN 4 THEN concat(text, '...')
             ELSE concat(text, ' The shadows are consistent.') END AS raw_text
-    FROM conversations WHERE turn < 9
+    FROM conversations
 """
 
-#: What the stage-1 queries read: the same rows without the end at turn 9.
-STAGE1_LOG = STAGE1_RAW.replace(" WHERE turn < 9", "")
-
 
 def _stage2_raw() -> str:
     d, id_ = "doc_id % 13", "cast(floor(doc_id / 3) AS bigint)"

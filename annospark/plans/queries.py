@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annospark.functions import judgement, labels, responses, text
@@ -35,11 +35,28 @@ def _in(values) -> str:
     return "(" + ", ".join("'" + str(v).replace("'", "''") + "'" for v in values) + ")"
 
 
+# What the SQL expects, written out once more so that a wrong value in the library shows.
+_TERMS = {
+    "real": "authentic genuine real",
+    "tampered": "edited manipulated tampered",
+    "synthetic": "ai-generated ai_generated aigenerated full-synthetic full_synthetic fully-synthetic fully_synthetic generated synthetic",
+}
+_NUMBER_NAMES = {0: "0 real real_image", 1: "1 full_synthetic fullsynthetic synthetic ai_generated", 2: "2 tampered manipulated"}
+_LABEL_ANSWERS = [
+    "real", "fake", "ai-generated", "ai generated", "this image is real", "this image is fake", "this image is ai-generated",
+    "this image is ai generated", "the image is real", "the image is fake", "the image is ai-generated", "the image is ai generated",
+]
+_ANSWER_WORDS = "real fake ai-generated ai generated image this is the".split()
+_OPEN_ENDS = "and or but because with without while although however therefore to of for from in on by as at into".split()
+_OPEN_GROUPS = ["due to", "such as", "including", "based on"]
+_CUTS = ["length", "max_tokens", "max_output_tokens", "token_limit"]
+
+
 # Labels ---------------------------------------------------------------------------------------------
 
 _NORM = "trim(regexp_replace(lower(raw_label), '[^a-z0-9]+', '_', 'g'), '_')"
 _TOKENS = f"list_filter(list_concat(string_split({_NORM}, '_'), [{_NORM}, replace({_NORM}, '_', '-')]), lambda x: x <> '')"
-_KIND = "CASE " + " ".join(f"WHEN list_has_any(tokens, [{_in(t)[1:-1]}]) THEN '{k}'" for k, t in labels.TERMS.items()) + " END"
+_KIND = "CASE " + " ".join(f"WHEN list_has_any(tokens, [{_in(t)[1:-1]}]) THEN '{k}'" for k, t in ((k, t.split()) for k, t in _TERMS.items())) + " END"
 _LABELLED = f"labelled AS (SELECT *, {_KIND} AS category FROM (SELECT *, {_NORM} AS normal, {_TOKENS} AS tokens FROM src))"
 _BINARY = "CASE category WHEN 'real' THEN 'REAL' WHEN 'synthetic' THEN 'AI-GENERATED' END"
 _SRC = f"WITH src AS ({fx.SRC}), {_LABELLED}"
@@ -67,7 +84,7 @@ def label_classify(spark, sf_dir):
     return _src(spark, sf_dir).select("global_index", "category", "label", labels.representative(F.col("raw_label")).alias("name"))
 
 
-_NUMBER = "CASE {c} " + " ".join(f"WHEN '{x}' THEN {v}" for v, names in labels.NUMBERS.items() for x in names) + " END"
+_NUMBER = "CASE {c} " + " ".join(f"WHEN '{x}' THEN {v}" for v, names in _NUMBER_NAMES.items() for x in names.split()) + " END"
 _BARE = "replace(replace(lower(trim({c})), '-', '_'), ' ', '_')"
 
 
@@ -84,7 +101,7 @@ _SAMPLE = "CASE {label} WHEN 'REAL' THEN 'sidset_real_' ELSE 'sidset_fake_' END
     SELECT global_index, {_SAMPLE.format(label='label', rank='r')} AS id, {_SAMPLE.format(label='label', rank='r * 100000')} AS long_id,
     CASE WHEN global_index % 2 = 0 AND label = 'REAL' THEN 'sidset_real_' || printf('%06d', global_index) ELSE {_SAMPLE.format(label='label', rank='r')} END AS kept_id FROM ranked""")
 def make_ids(spark, sf_dir):
-    rows = sampling.first_of_class(_src(spark, sf_dir).where("label is not null"), "label", "global_index", 1 << 40)
+    rows = sampling.ranked(_src(spark, sf_dir).where("label is not null"), "label", "global_index")
     stem = F.when(F.col("global_index") % 2 == 0, F.concat(F.lit("sidset_real_"), F.format_string("%06d", "global_index"), F.lit(".jpg"))).otherwise("x.jpg")
     label, rank = F.col("label"), F.col("rank")
     return rows.select("global_index", labels.sample_id(label, rank).alias("id"), labels.sample_id(label, rank * 100000).alias("long_id"), labels.kept_or_ranked_id(stem, label, rank).alias("kept_id"))
@@ -137,13 +154,18 @@ def gate_violations(spark, sf_dir):
 _DRAWN = f"drawn AS (SELECT * FROM (SELECT *, {_BINARY} AS label, row_number() OVER (PARTITION BY {_BINARY} ORDER BY {_PRIORITY.format(c='global_index')} DESC, global_index) AS p FROM labelled WHERE {_BINARY} IS NOT NULL) WHERE p <= {QUOTA})"
 
 
+def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    drawn = sampling.draw(_src(spark, sf_dir).where("label is not null"), "label", "global_index", QUOTA, SEED)
+    path = F.concat(F.lit("/images/"), F.col("global_index").cast("string"), F.lit(".jpg"))
+    return sampling.manifest(drawn, "label", "global_index", path, F.col("source"))
+
+
 @query(f"""{_SRC}, {_DRAWN}, m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY global_index) AS r FROM drawn)
     SELECT {_SAMPLE.format(label='label', rank='r')} AS id, '/images/' || global_index || '.jpg' AS image_path, label, CASE label WHEN 'REAL' THEN 0 ELSE 1 END AS label_id,
     CASE WHEN global_index % 3 = 0 THEN 'extra-' || split ELSE source END AS source_dataset, global_index AS source_original_index FROM m""")
 def manifest(spark, sf_dir):
-    drawn = sampling.draw(_src(spark, sf_dir).where("label is not null"), "label", "global_index", QUOTA, SEED)
     path = F.concat(F.lit("/images/"), F.col("global_index").cast("string"), F.lit(".jpg"))
-    rows = sampling.manifest(drawn, "label", "global_index", path, F.col("source"))
+    rows = _manifest(spark, sf_dir)
     extra = _src(spark, sf_dir).where("global_index % 3 = 0").select(path.alias("image_path"), F.concat(F.lit("extra-"), "split").alias("source_dataset"), "global_index")
     return sampling.with_metadata(rows, extra, "global_index")
 
@@ -157,6 +179,64 @@ def verified_fill(spark, sf_dir):
     return sampling.fill(pool, "class", "global_index", QUOTA, "ok", "preference", SEED).select("global_index", F.col("rank").cast("long").alias("rank"))
 
 
+@query(f"""{_SRC}, pool AS (SELECT *, n_chars % 4 <> 0 AS ok, CASE category WHEN 'synthetic' THEN 0 ELSE 1 END AS pref, {_PRIORITY.format(c='global_index')} AS p FROM labelled WHERE category IN ('synthetic', 'tampered')),
+    seen AS (SELECT *, coalesce(sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (ORDER BY pref, p DESC, global_index ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS good FROM pool)
+    SELECT global_index, n_chars FROM seen WHERE NOT ok AND good < {QUOTA}""")
+def verified_fill_errors(spark, sf_dir):
+    pool = _src(spark, sf_dir).where("category in ('synthetic', 'tampered')").withColumns(
+        {"ok": F.col("n_chars") % 4 != 0, "preference": F.when(F.col("category") == "synthetic", 0).otherwise(1), "class": F.lit("AI-GENERATED")}
+    )
+    return sampling.fill_errors(pool, "class", "global_index", QUOTA, "ok", "preference", SEED).select("global_index", "n_chars")
+
+
+@query(f"""{_SRC}, {_DRAWN} SELECT drawn.label, drawn.global_index, md5(d.text) AS payload, length(d.text) AS n FROM drawn JOIN documents d ON d.doc_id = drawn.global_index""")
+def selected_payload(spark, sf_dir):
+    keys = _src(spark, sf_dir).where("label is not null").select("label", "global_index")
+    chosen = sampling.draw(keys, "label", "global_index", QUOTA, SEED)
+    source = spark.read.parquet(f"{sf_dir}/documents.parquet").withColumnRenamed("doc_id", "global_index")
+    rows = sampling.payload(source, chosen, "global_index")
+    return rows.select("label", "global_index", F.md5("text").alias("payload"), F.length("text").cast("long").alias("n"))
+
+
+@query(f"""{_SRC}, {_DRAWN}, m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY global_index) AS r FROM drawn)
+    SELECT row_number() OVER (ORDER BY label <> 'REAL', global_index) - 1 AS place, {_SAMPLE.format(label='label', rank='r')} AS id FROM m""")
+def output_order(spark, sf_dir):
+    rows = sampling.ordered(_manifest(spark, sf_dir)).select("id")
+    # The order of a manifest, one row for each of the drawn samples.
+    return rows.withColumn("place", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(Window.orderBy("place")).cast("long") - 1)
+
+
+@query(f"""{_SRC}, {_DRAWN} SELECT count(*) AS n, count(*) FILTER (label = 'REAL') AS n_real, count(*) FILTER (label <> 'REAL') AS n_fake, count(DISTINCT source) AS n_sources,
+    min(global_index) AS first_index, max(global_index) AS last_index FROM drawn""")
+def draw_summary(spark, sf_dir):
+    return sampling.draw_summary(_manifest(spark, sf_dir))
+
+
+@query(f"""WITH p AS ({fx.PATHS}), f AS (SELECT CASE WHEN contains(path, '/Fake/') THEN 'fake' ELSE 'real' END AS class, path, string_split(path, '/')[-1] AS name FROM p WHERE regexp_matches(lower(path), '\\.(jpg|jpeg|png|webp|bmp)$')),
+    d AS (SELECT * FROM f QUALIFY row_number() OVER (PARTITION BY class ORDER BY md5('42:' || path) DESC, path) <= 10)
+    SELECT class, path, row_number() OVER (PARTITION BY class ORDER BY name, path) AS rank FROM d""")
+def file_sample(spark, sf_dir):
+    files = paths.images(frame(spark, sf_dir, f"SELECT DISTINCT path FROM ({fx.PATHS})"))
+    files = files.withColumn("class", F.when(F.contains("path", F.lit("/Fake/")), "fake").otherwise("real")).withColumn("name", F.element_at(F.split("path", "/"), -1))
+    return sampling.file_sample(files, "class", "name", "path", 10, SEED).select("class", "path", F.col("rank").cast("long").alias("rank"))
+
+
+_CARD_MAP = f"""WITH c AS ({fx.CARD}), p AS (SELECT event_id, regexp_extract(line, '^- ([0-9]+) : (.*)$', 1) AS raw_value, regexp_extract(line, '^- ([0-9]+) : (.*)$', 2) AS label_text FROM c),
+    k AS (SELECT *, CASE label_text WHEN 'real photo' THEN 'real' WHEN 'fully synthetic' THEN 'synthetic' WHEN 'edited' THEN 'tampered' END AS category FROM p),
+    card AS (SELECT raw_value, CASE arg_max(category, event_id) WHEN 'real' THEN 'real' WHEN 'synthetic' THEN 'fully_synthetic' ELSE 'edited' END AS label_name FROM k WHERE category IS NOT NULL GROUP BY 1)"""
+
+
+@query(f"""{_CARD_MAP} SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE coalesce(card.label_name, n_name, cast(doc_id % 60 AS varchar)) END AS label_name,
+    cast(cast(trunc(n_chars / 4.0) AS bigint) AS varchar) AS original_number, lang AS original_text
+    FROM documents LEFT JOIN card ON card.raw_value = cast(doc_id % 60 AS varchar) LEFT JOIN (SELECT n_nationkey AS k, n_name FROM nation) ON k = doc_id % 60""")
+def label_names(spark, sf_dir):
+    card = io.card_labels(frame(spark, sf_dir, fx.CARD), "line", "event_id")
+    classes = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey class_id", "n_name class_name")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "lang", "n_chars / 4.0D quarter", "case when doc_id % 7 <> 0 then doc_id % 60 end raw")
+    rows = sampling.label_names(docs, "raw", card, classes)
+    return rows.select("doc_id", "label_name", labels.original(F.col("quarter"), False).alias("original_number"), labels.original(F.col("lang"), True).alias("original_text"))
+
+
 # Free-text annotations ------------------------------------------------------------------------------
 
 _WS = r"[\t-\r\x{1c}-\x{20}\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
@@ -171,10 +251,10 @@ _TEXT = rf"""WITH raw AS ({fx.STAGE1_RAW}), a AS (SELECT *, {_strip('raw_text')}
     b AS (SELECT *, regexp_replace(regexp_replace(lower(t), '{_WS}+', ' ', 'g'), '[ .!?"'')\]}}]+$', '') AS low,
         regexp_replace(regexp_replace(lower(t), '{_WS}+', ' ', 'g'), '^[ .!?"'']+|[ .!?"'']+$', '', 'g') AS bare,
         coalesce(list_filter(list_transform(string_split_regex(t, '\r\n|[\n\r\x{{0b}}\x{{0c}}\x{{1c}}-\x{{1e}}\x{{85}}\x{{2028}}\x{{2029}}]'), lambda x: {_strip('x')}), lambda x: x <> '')[-1], '') AS line FROM a),
-    c AS (SELECT *, line = '' OR regexp_matches(line, '^(?:[-*]|[0-9]+[.)])$') OR (regexp_matches(line, '^(?:[-*]|[0-9]+[.)]){_WS}+[^ \t-\r]') AND NOT regexp_matches(line, '{_END}$')) AS bullet,
-        bare IN {_in(text.LABEL_PHRASES)} OR (bare <> '' AND len(string_split(bare, ' ')) <= 6 AND len(list_filter(string_split(bare, ' '), lambda w: w NOT IN {_in(text.LABEL_WORDS)})) = 0) AS is_label FROM b),
-    d AS (SELECT *, coalesce(finish_reason IN {_in(text.CUT_REASONS)}, false) OR t = '' OR regexp_matches(t, '(?:\.\.\.|[,:])$')
-        OR regexp_matches(low, '(?:{'|'.join(text.OPEN_PHRASES)})$') OR coalesce(regexp_extract_all(low, '[a-z]+(?:-[a-z]+)?')[-1] IN {_in(text.OPEN_WORDS)}, false)
+    c AS (SELECT *, line = '' OR regexp_matches(line, '^(?:[-*]|\p{{Nd}}+[.)])$') OR (regexp_matches(line, '^(?:[-*]|\p{{Nd}}+[.)]){_WS}+[^ \t-\r]') AND NOT regexp_matches(line, '{_END}$')) AS bullet,
+        bare IN {_in(_LABEL_ANSWERS)} OR (bare <> '' AND len(string_split(bare, ' ')) <= 6 AND len(list_filter(string_split(bare, ' '), lambda w: w NOT IN {_in(_ANSWER_WORDS)})) = 0) AS is_label FROM b),
+    d AS (SELECT *, coalesce(finish_reason IN {_in(_CUTS)}, false) OR t = '' OR regexp_matches(t, '(?:\.\.\.|[,:])$')
+        OR regexp_matches(low, '(?:{'|'.join(_OPEN_GROUPS)})$') OR coalesce(regexp_extract_all(low, '[a-z]+(?:-[a-z]+)?')[-1] IN {_in(_OPEN_ENDS)}, false)
         OR bullet OR (output_tokens >= 475 AND NOT regexp_matches(t, '{_END}$')) AS cut FROM c),
     e AS (SELECT *, CASE WHEN coalesce(error, '') <> '' THEN ['api_error'] ELSE list_filter([CASE WHEN t = '' THEN 'empty_output' END, CASE WHEN length(t) < 30 THEN 'too_short_lt_30_chars' END,
         CASE WHEN is_label THEN 'label_only_or_short_answer' END, CASE WHEN t[1] IN ('{{', '[') THEN 'json_like_output_not_allowed' END,
@@ -182,7 +262,7 @@ _TEXT = rf"""WITH raw AS ({fx.STAGE1_RAW}), a AS (SELECT *, {_strip('raw_text')}
 
 
 def _stage1(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return annotate.validated(frame(spark, sf_dir, fx.STAGE1_LOG))
+    return annotate.validated(frame(spark, sf_dir, fx.STAGE1_RAW))
 
 
 @query(f"{_TEXT} SELECT id, prompt_id, attempt, raw_text, array_to_string(errors, ';') AS errors, len(errors) = 0 AS prompt_valid FROM e")
@@ -194,7 +274,7 @@ def stage1_validate(spark, sf_dir):
 def truncation_flags(spark, sf_dir):
     c = F.col("raw_text")
     cut = text.truncated(c, F.col("finish_reason"), F.col("output_tokens"))
-    return frame(spark, sf_dir, fx.STAGE1_LOG).select("id", "prompt_id", "attempt", "raw_text", cut.alias("cut"), text.incomplete_bullet(c).alias("bullet"), text.label_only(c).alias("label_only"))
+    return frame(spark, sf_dir, fx.STAGE1_RAW).select("id", "prompt_id", "attempt", "raw_text", cut.alias("cut"), text.incomplete_bullet(c).alias("bullet"), text.label_only(c).alias("label_only"))
 
 
 @query(f"{_TEXT} SELECT reason, count(*) AS n FROM (SELECT unnest(errors) AS reason FROM e) GROUP BY 1")
@@ -409,6 +489,21 @@ def overlap(spark, sf_dir):
     return paths.overlap(frame(spark, sf_dir, fx.PATHS))
 
 
+_REPORT = f"""{_UP}, i AS (SELECT path, regexp_matches('/' || path, '/real/') AS is_real, regexp_matches('/' || path, '/Fake/') AS is_fake FROM p WHERE regexp_matches(lower(path), '\\.(jpg|jpeg|png|webp|bmp)$')),
+    r AS (SELECT (SELECT count(DISTINCT directory) FROM up) AS n_directories, count(*) AS n_images, count(*) FILTER (is_real) AS found_real, count(*) FILTER (is_fake) AS found_fake, count(*) FILTER (is_real AND is_fake) AS overlap_count FROM i)"""
+
+
+@query(f"{_REPORT} SELECT * FROM r")
+def prepare_report(spark, sf_dir):
+    return paths.prepare_report(frame(spark, sf_dir, fx.PATHS))
+
+
+@query(f"""{_REPORT} SELECT 'class_overlap' AS gate, 'both' AS value, overlap_count AS n FROM r WHERE overlap_count > 0 UNION ALL SELECT 'missing_class_folder', 'real', found_real FROM r WHERE found_real = 0
+    UNION ALL SELECT 'missing_class_folder', 'fake', found_fake FROM r WHERE found_fake = 0""")
+def path_gates(spark, sf_dir):
+    return paths.gate_violations(frame(spark, sf_dir, fx.PATHS))
+
+
 @query(f"{_PATHS} SELECT page_id, regexp_matches(string_split(lower(path), '?')[1], '\\.(jpg|jpeg|png|webp|bmp)$') AS by_path, regexp_matches(string_split(lower(link), '?')[1], '\\.(jpg|jpeg|png|webp|bmp)$') AS by_link FROM p")
 def image_like(spark, sf_dir):
     return frame(spark, sf_dir, fx.PATHS).select("page_id", labels.image_like(F.col("path")).alias("by_path"), labels.image_like(F.col("link")).alias("by_link"))

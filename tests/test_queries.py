@@ -7,7 +7,7 @@ import pytest
 
 from annospark.plans import queries
 
-TABLES = ["documents", "labels", "conversations", "pages", "events", "lineitem"]
+TABLES = ["documents", "labels", "conversations", "pages", "events", "lineitem", "nation"]
 
 
 @pytest.fixture(scope="module")
