@@ -201,9 +201,9 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.nd
 
 def _candidates(window: int, rows: int):
     """Of rows (key, shape, doc_id, sub, low, high), sorted by key and shape (size and, in the lower bits, place), rows
-    (doc_id, sub, other_id, other_sub, more, key). The first five tell a line, the earlier line of a key that it can
-    be like and whose parities differ least, and whether there are more such. A key alone tells that it has more
-    lines near in size than the window.
+    (doc_id, sub, other_id, other_sub, more, key). They tell a line, the earlier line of a key that it can be like and
+    whose parities differ least, and whether the key has more such. A key alone tells that it has more lines near in
+    size than the window.
 
     Lines of a key are compared with those up to ``window`` places away, a chunk of rows at a time and the last
     rows of the chunk before."""
@@ -211,9 +211,9 @@ def _candidates(window: int, rows: int):
     names = [*AT, "other_id", "other_sub", "more", "key"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def told(best: np.ndarray, doc, sub, other_id, other_sub, n_found) -> pa.RecordBatch:
-            columns = [pa.array(v[best]) for v in (doc, sub, other_id, other_sub, n_found > 1)]
-            return pa.RecordBatch.from_arrays([*columns, pa.nulls(len(best), pa.int64())], names=names)
+        def told(best: np.ndarray, key, doc, sub, other_id, other_sub, n_found) -> pa.RecordBatch:
+            columns = [pa.array(v[best]) for v in (doc, sub, other_id, other_sub, n_found > 1, key)]
+            return pa.RecordBatch.from_arrays(columns, names=names)
 
         before: list[np.ndarray] | None = None
         for part in _chunks(batches, rows):
@@ -259,10 +259,10 @@ def _candidates(window: int, rows: int):
                 yield pa.RecordBatch.from_arrays([*(pa.nulls(len(far), t) for t in types), pa.array(far)], names=names)
             # The last rows of the last key meet those of the next chunk.
             keep = max(int(np.searchsorted(key == key[-1], True)), len(key) - window - 1)
-            yield told(np.flatnonzero(n_found[:keep]), doc, sub, other_id, other_sub, n_found)
+            yield told(np.flatnonzero(n_found[:keep]), key, doc, sub, other_id, other_sub, n_found)
             before = [v[keep:] for v in state]
         if before is not None:
-            yield told(np.flatnonzero(before[8]), before[2], before[3], *before[6:9])
+            yield told(np.flatnonzero(before[8]), before[0], before[2], before[3], *before[6:9])
 
     return run
 
@@ -337,10 +337,10 @@ def _close() -> Column:
 
 
 def _all_pairs(lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (doc_id, sub, other_id, other_sub) of ``lines`` and all earlier ones that they can be like. Few lines
-    are broadcast with their keys. Of more, the keys with many rows are dealt into parts, each of which meets the
-    key's lines."""
-    own = stored(rows.join(small(lines), AT), "asking")
+    """Pairs (doc_id, sub, other_id, other_sub) of ``lines`` (key, doc_id, sub) and all earlier ones of their keys
+    that they can be like. Few lines are broadcast. Of more, the keys with many rows are dealt into parts, each of
+    which meets the key's lines."""
+    own = stored(rows.join(small(lines), ["key", *AT]), "asking")
     if own.count() <= 200_000:
         pairs = rows.alias("q").join(F.broadcast(own.alias("p")), (F.col("p.key") == F.col("q.key")) & _close())
     else:
@@ -387,13 +387,14 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     by_key = rows.repartition("key").sortWithinPartitions("key", "shape")
     schema = "doc_id long, sub long, other_id long, other_sub long, more boolean, key long"
     taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), schema), "taken")
-    gone = _verified(taken.where("key is null").select(*AT, "other_id", "other_sub"), texts)
+    gone = _verified(taken.where("doc_id is not null").select(*AT, "other_id", "other_sub"), texts)
 
-    left = taken.where("more").select(*AT)
-    crowded = stored(taken.where("key is not null").select("key").distinct(), "crowded")
+    # A key in which a line has one candidate, which was unlike, is done with.
+    left = taken.where("more").select("key", *AT)
+    crowded = stored(taken.where("doc_id is null").select("key").distinct(), "crowded")
     if not crowded.isEmpty():
-        left = left.unionByName(rows.join(small(crowded), "key").select(*AT))
-    left = stored(left.distinct().join(small(gone), AT, "left_anti"), "left")
+        left = left.unionByName(rows.join(small(crowded), "key").select("key", *AT)).distinct()
+    left = stored(left.join(small(gone), AT, "left_anti"), "left")
     if not left.isEmpty():
         gone = gone.unionByName(_verified(_all_pairs(left, rows), texts))
     every = copies.unionByName(gone).distinct()
