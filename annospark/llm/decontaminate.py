@@ -115,7 +115,7 @@ def _windows(table, lengths: list[int]):
                 point = words.code_points(p) if point is None else point
                 base = point[p.bounds[p.text[at]]]
                 columns = [
-                    pa.array(doc[p.lo + p.text[at]]),
+                    doc.take(pa.array(p.lo + p.text[at])),
                     pa.array(point[p.start[at]] - base),
                     pa.array(point[p.end[at + size - 1]] - base),
                     pa.array(np.full(len(at), length, dtype=np.int32)),
@@ -128,7 +128,7 @@ def _windows(table, lengths: list[int]):
         known = np.unpackbits(np.frombuffer(table.value, dtype=np.uint8), bitorder="little").view(bool)
         last = words.U(len(known) - 1)
         for batch in batches:
-            doc = batch["doc_id"].to_numpy(zero_copy_only=False)
+            doc = batch["doc_id"]
             for p in words.pieces(batch["text"]):
                 n = len(p.hash)
                 by_place = _place_shingles(p)
@@ -187,7 +187,8 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     items = benchmark.select(F.col("item_id").cast("long"), F.coalesce("text", F.lit("")).alias("text"))
     schema = "item_id long, length int, fingerprint long, elements array<long>, shingles array<long>"
-    items = stored(items.mapInArrow(_items, schema), "items")
+    # A struct is equal to another where both hold null.
+    items = stored(items.mapInArrow(_items, schema).withColumn("item", F.struct("item_id")), "items")
     n_shingles = items.agg(F.sum(F.size("shingles"))).first()[0] or 0
     n_bits = min(max(1 << (BITS_EACH * n_shingles).bit_length(), LEAST_BITS), MOST_BITS)
     # Both are bounded, by n_bits and by the length of the longest item.
@@ -209,20 +210,20 @@ def matches(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
         for k in range(BLOCKS)
         for x in _neighbours(k)
     ]
-    index = items.select("item_id", "length", F.col("fingerprint").alias("other"), F.explode(F.array(*held)).alias("key"))
+    index = items.select("item", "length", F.col("fingerprint").alias("other"), F.explode(F.array(*held)).alias("key"))
     probe = classes.select("length", "content", "fingerprint", F.explode(asked).alias("key"))
     near = probe.join(index, ["length", "key"]).where(F.bit_count(F.col("fingerprint").bitwiseXOR(F.col("other"))) <= RADIUS)
-    near = near.select("length", "content", "item_id").distinct()
+    near = near.select("length", "content", "item").distinct()
     pairs = near.join(classes.select("length", "content", "v"), ["length", "content"]).join(
-        items.select("item_id", F.col("elements").alias("w")), "item_id"
+        items.select("item", F.col("elements").alias("w")), "item"
     )
     both = F.size(F.array_intersect("v", "w"))
     union = F.size("v") + F.size("w") - both
-    similar = pairs.where(both * UNDER >= union * OVER).select("length", "content", "item_id", (both / union).alias("similarity"))
+    similar = pairs.where(both * UNDER >= union * OVER).select("length", "content", "item", (both / union).alias("similarity"))
     found = windows.select("doc_id", "start", "end", "length", "content").join(stored(similar, "similar"), ["length", "content"])
     best = F.min(F.struct((-F.col("similarity")).alias("s"), "start", "end"))
-    found = found.groupBy("doc_id", "item_id").agg(best.alias("best"), F.count("*").alias("n_windows"))
-    return found.select("doc_id", "item_id", (-F.col("best.s")).alias("similarity"), "best.start", "best.end", "n_windows")
+    found = found.groupBy("doc_id", "item").agg(best.alias("best"), F.count("*").alias("n_windows"))
+    return found.select("doc_id", "item.item_id", (-F.col("best.s")).alias("similarity"), "best.start", "best.end", "n_windows")
 
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:

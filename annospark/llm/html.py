@@ -131,12 +131,21 @@ def prepared(root: Node) -> list[Node]:
         nodes.append(x)
         stack += [c for c in reversed(x.children) if isinstance(c, Node)]
     for x in reversed(nodes):
-        text = "".join(c if isinstance(c, str) else " " if c.tag in BLOCK else c.text for c in x.children)
+        size, links, parts, shape = 1, 0, [], [x.tag, x.names]
+        for c in x.children:
+            if c.__class__ is str:
+                parts.append(c)
+                continue
+            size += c.size
+            shape.append(c.shape)
+            if c.tag in BLOCK:
+                parts.append(" ")
+            else:
+                parts.append(c.text)
+                links += len(c.text.strip()) if c.tag == "a" else c.links
+        text = "".join(parts)
         x.text = " ".join(text.split()) if x.tag in BLOCK or x is root else text
-        inner = [c for c in x.children if isinstance(c, Node) and c.tag not in BLOCK]
-        x.links = sum(len(" ".join(c.text.split())) if c.tag == "a" else c.links for c in inner)
-        x.size = 1 + sum(c.size for c in x.children if isinstance(c, Node))
-        x.shape = hash((x.tag, x.names, *(c.shape for c in x.children if isinstance(c, Node))))
+        x.size, x.links, x.shape = size, links, hash(tuple(shape))
     return nodes
 
 
@@ -271,23 +280,27 @@ def _dropped(nodes: list[Node], template: set[int], framed: set[int]) -> set[int
     for x in reversed(nodes):
         if x.number in gone:
             continue
-        inner = [c.number for c in x.children if isinstance(c, Node)]
-        own = 0 if x.number in template else sum(len(c.strip()) for c in x.children if isinstance(c, str))
-        held[x.number] = own + sum(held[k] for k in inner)
-        holds[x.number] = any(holds[k] or nodes[k].tag in ("article", "main") or ("role", "main") in _tokens(nodes[k]) for k in inner)
+        total, inside = 0, False
+        for c in x.children:
+            if c.__class__ is str:
+                total += 0 if x.number in template else len(c.strip())
+            else:
+                total += held[c.number]
+                inside = inside or holds[c.number] or c.tag in ("article", "main") or "role=main" in c.names.split()
+        held[x.number], holds[x.number] = total, inside
     return gone | {x.number for x in named if not holds[x.number] and 2 * held[x.number] <= held[0]}
 
 
-def article(root: Node, template: set[int], framed: set[int]) -> str:
-    """Text of the article, without the elements whose numbers are in ``template``: its blocks, in page
+def article(nodes: list[Node], template: set[int], framed: set[int]) -> str:
+    """Text of the article of a page's ``prepared`` elements, without the elements whose numbers are in ``template``: its blocks, in page
     order, joined by an empty line. ``framed`` has the elements that are on slots of the wrapper."""
-    gone = _dropped(prepared(root), template, framed)
+    root, gone = nodes[0], _dropped(nodes, template, framed)
 
     def inside(tag: str) -> list[Node]:
         found, stack = [], [root]
         while stack:
             x = stack.pop()
-            if x.tag == tag or tag == "main" and "role=main" in x.names:
+            if x.tag == tag or tag == "main" and "role=main" in x.names.split():
                 found.append(x)
             elif x.number not in gone:
                 stack += [c for c in reversed(x.children) if isinstance(c, Node)]
@@ -479,16 +492,9 @@ def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield _batch([(host.as_py(), dumped(root))], host=pa.string(), reference=pa.string())
 
 
-def _of_articles(root: Node) -> set[int]:
-    """Numbers of the elements in article and main elements, these included."""
-    found, stack = set(), [(root, False)]
-    while stack:
-        x, inside = stack.pop()
-        inside = inside or x.tag in ("article", "main") or ("role", "main") in _tokens(x)
-        if inside:
-            found.add(x.number)
-        stack += [(c, inside) for c in x.children if isinstance(c, Node)]
-    return found
+def _articles(nodes: list[Node]) -> list[tuple[int, int]]:
+    """Ranges of the numbers of elements in article and main elements, these included."""
+    return [(x.number, x.number + x.size) for x in nodes if x.tag in ("article", "main") or "role=main" in x.names.split()]
 
 
 def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -506,11 +512,11 @@ def _observed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 page = _page(nodes)
                 texts = sorted({x.text for x in nodes if _slot(x)}, key=lambda x: (-len(x), x))[:2]
                 longest = [(x, _digest(x)) for x in texts] + [("", 0)]
-                own = _of_articles(root)
+                own = _articles(nodes)
                 for i, j in matched(root, reference(other)).items():
                     if _slot(nodes[i]):
                         text = nodes[i].text
-                        links = 0 if i in own else nodes[i].links
+                        links = 0 if any(lo <= i < hi for lo, hi in own) else nodes[i].links
                         rows.append((host, j, _digest(text), page, longest[text == longest[0][0]][1], len(text), links))
             yield _batch(rows, host=pa.string(), node=pa.int32(), text=pa.int64(), page=pa.int64(), other=pa.int64(), chars=pa.int64(), links=pa.int64())
 
@@ -526,9 +532,9 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             if known := {(t["node"], t["text"]) for t in template.as_py() or ()}:
                 constant = {i for i, j in pairs.items() if nodes[i].tag in BLOCK and (j, _digest(nodes[i].text)) in known}
             if linked := set(menus.as_py() or ()):
-                own = _of_articles(root)
-                constant |= {i for i, j in pairs.items() if j in linked and i not in own and _slot(nodes[i])}
-            texts.append(article(root, constant, pairs.keys()))
+                own = _articles(nodes)
+                constant |= {i for i, j in pairs.items() if j in linked and _slot(nodes[i]) and not any(lo <= i < hi for lo, hi in own)}
+            texts.append(article(nodes, constant, pairs.keys()))
             left_out.append(len(constant))
         columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(left_out, pa.int32())]
         yield pa.RecordBatch.from_arrays(columns, names=["page_id", "url", "text", "n_template"])

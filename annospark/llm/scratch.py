@@ -17,6 +17,7 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
 _scopes: list[set[str]] = []
 _path: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
@@ -42,11 +43,15 @@ def _remove(spark: SparkSession, path: str) -> None:
 
 @contextmanager
 def scope(spark: SparkSession) -> Iterator[None]:
-    """Tables that are stored inside are removed at the end."""
+    """Tables that are stored inside are removed at the end. Jobs inside hand texts to Python in batches of at most
+    ``BATCH_BYTES``, of which a task holds a few at a time."""
     _scopes.append(set())
+    before = spark.conf.get(_BATCH, None)
+    spark.conf.set(_BATCH, BATCH_BYTES)
     try:
         yield
     finally:
+        spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
         for path in _scopes.pop():
             _remove(spark, path)
 

@@ -71,11 +71,13 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
     """The words of ``texts`` (no nulls), piece by piece, every text whole."""
     if isinstance(texts, pa.ChunkedArray):
         texts = texts.combine_chunks()
-    texts = texts.cast(pa.large_binary())
     n = len(texts)
     if not n:
         return
-    offsets = np.frombuffer(texts.buffers()[1], dtype=np.int64)[texts.offset : texts.offset + n + 1]
+    if not pa.types.is_string(texts.type):
+        texts = texts.cast(pa.large_string())
+    kind = np.int32 if pa.types.is_string(texts.type) else np.int64
+    offsets = np.frombuffer(texts.buffers()[1], dtype=kind)[texts.offset : texts.offset + n + 1].astype(np.int64)
     body = texts.buffers()[2]
     data = np.frombuffer(body, dtype=np.uint8) if body is not None and body.size else np.zeros(0, np.uint8)
     lo = 0
@@ -84,6 +86,7 @@ def pieces(texts: pa.Array, lower: bool = True) -> Iterator[Piece]:
         hi = min(max(hi, lo + 1), lo + PIECE_TEXTS, n)
         yield _piece(data[offsets[lo] : offsets[hi]], offsets[lo : hi + 1] - offsets[lo], lo, hi, lower)
         lo = hi
+    pa.default_memory_pool().release_unused()
 
 
 def _piece(data: np.ndarray, bounds: np.ndarray, lo: int, hi: int, lower: bool) -> Piece:
