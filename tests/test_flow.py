@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from annospark.operators import annotate, judge, profile, sampling
+from annospark.operators import annotate, judge, paths, profile, sampling
 from annospark.plans import queries
 from annospark.sources import io
 from annospark.streaming import incremental
@@ -102,3 +102,84 @@ def test_stage1_long_conversations(spark, tmp_path):
     assert sorted((r.id, r.attempt) for r in found.collect()) == [(f"c{c}", k) for c in (1, 2) for k in range(5) for _ in range(3)]
     assert queries.QUERIES["truncation_flags"](spark, str(tmp_path)).count() == 30
     assert all(r.next_attempt < 3 for r in queries.QUERIES["stage1_retries"](spark, str(tmp_path)).collect())
+
+
+def test_missing_images_and_rewritten_prompts(spark):
+    manifest = spark.createDataFrame([("a", "/x/1.jpg"), ("b", "/x/2.jpg"), ("c", None)], "id string, image_path string")
+    gone = annotate.missing_images(manifest, spark.createDataFrame([("/x/1.jpg",), ("/x/1.jpg",)], "path string")).collect()
+    assert {r.id for r in gone} == {"b", "c"} and all(r.validation_errors == ["image_not_found"] for r in gone)
+    prompts = annotate.rewritten(annotate.prompt_dim(spark, queries.TEMPLATES), "Look closely. ", {"Ground truth": "Given", "Part": "Section"})
+    assert prompts.where("prompt_id = 'prompt2'").first().template == "Look closely. Given: {LABEL}. Section 2."
+
+
+def test_first_and_last_valid(spark):
+    rows = [("a", "prompt1", 0, "x", False), ("a", "prompt1", 1, "y", True), ("a", "prompt1", 2, "z", True), ("b", "prompt1", 0, "q", False)]
+    log = spark.createDataFrame(rows, "id string, prompt_id string, attempt int, raw_text string, prompt_valid boolean")
+    assert [r.raw_text for r in annotate.chosen(log).collect()] == ["y"]
+    assert [r.raw_text for r in annotate.chosen(log, "last").collect()] == ["z"]
+
+
+def test_failures_without_an_error(spark):
+    manifest = spark.createDataFrame([("a", "REAL")], "id string, label string")
+    rows = [("a", f"prompt{k}", 2, [], False) for k in (1, 2, 3)]
+    log = spark.createDataFrame(rows, "id string, prompt_id string, attempt int, validation_errors array<string>, prompt_valid boolean")
+    assert annotate.failures(manifest, log).first().errors == ["stage1_not_valid_after_retries"]
+    assert annotate.failures(manifest, log.limit(0)).first().errors == [f"prompt{k}: missing_output" for k in (1, 2, 3)]
+
+
+JUDGED = {"per_criterion": [{"criterion": c, "evidence": "e", "aigc score": 0} for c in judge.judgement.CRITERIA], "overall_likelihood": "Real"}
+STRUCT = "struct<per_criterion:array<struct<criterion:string,evidence:string,`aigc score`:int>>,overall_likelihood:string>"
+
+
+def test_judgements_as_structs(spark):
+    """Without a log, what was valid before is read again: the string, else the struct, else the raw answer."""
+    text = json.dumps(JUDGED)
+    rows = [("a", text, None, None), ("b", None, text, None), ("c", None, None, "raw"), ("d", None, None, None)]
+    valid = spark.createDataFrame(rows, "id string, stage2_json_string string, s string, raw_text string")
+    valid = valid.withColumn("stage2_json", F.from_json("s", STRUCT)).drop("s")
+    log = spark.createDataFrame([], "id string, raw_text string")
+    again = {r.id: r.raw_text for r in judge.source_of_attempts(log, valid).collect()}
+    assert json.loads(again["a"]) == json.loads(again["b"]) == JUDGED and (again["c"], again["d"]) == ("raw", "")
+    given = spark.createDataFrame([("q", "w")], "id string, raw_text string")
+    assert judge.source_of_attempts(given, valid).first().raw_text == "w"
+    said = F.struct(*[F.struct(F.lit("o").alias("output")).alias(f"prompt{k}") for k in (1, 2, 3)])
+    stage1 = valid.select("id", said.alias("stage1"))
+    stage2 = valid.where("id in ('a', 'b')").select("id", F.lit("REAL").alias("label"), F.lit("/i.jpg").alias("image_path"), "stage2_json_string", "stage2_json")
+    out = judge.sft_rows(stage2, stage1, stage2.select("id", "label", "image_path").limit(0), "g").collect()
+    assert all(r.skip is None and json.loads(r.messages[1].content) == JUDGED for r in out) and len(out) == 2
+
+
+def test_message_shapes(spark):
+    message = "struct<role:string,content:string>"
+    rows = [([("user", "q"), ("assistant", "a")],), ([("assistant", "a"), ("user", "q")],), ([("user", "q")],), ([("user", "q"), ("assistant", None)],), (None,)]
+    df = spark.createDataFrame(rows, f"m array<{message}>")
+    assert [r.ok for r in df.select(judge.well_formed(F.col("m")).alias("ok")).collect()] == [True, False, False, False, False]
+
+
+def test_ranks_payloads_and_files(spark):
+    rows = spark.range(3000).select((F.col("id") % 3).cast("string").alias("c"), F.pmod(F.hash("id"), F.lit(500)).cast("long").alias("o"), "id")
+    rows = rows.withColumn("c", F.when(F.col("c") != "2", F.col("c"))).withColumn("o", F.when(F.col("id") % 50 != 0, F.col("o")))
+    found = {}
+    for r in sampling.ranked(rows, "c", "o", 20).collect():
+        found.setdefault(r.c, []).append((r["rank"], r.o))
+    for c, own in found.items():
+        own.sort()
+        assert [k for k, _ in own] == list(range(1, 1001)) and [o for _, o in own] == sorted((o for _, o in own), key=lambda o: (o is not None, o))
+    source = rows.withColumn("text", F.repeat(F.lit("x"), 50))
+    chosen = spark.createDataFrame([(5, 1), (7, 2)], "id long, rank int")
+    for most in (10, 1):
+        assert sorted((r.id, r["rank"], len(r.text)) for r in sampling.payload(source, chosen, "id", most).collect()) == [(5, 1, 50), (7, 2, 50)]
+    files = spark.createDataFrame([("real", "b.jpg", "/2/b.jpg"), ("real", "a.jpg", "/9/a.jpg"), ("fake", "c.jpg", "/1"), ("fake", "c.jpg", "/0"), ("fake", "d.jpg", "/5")], "class string, name string, path string")
+    ranks = {(r["class"], r.path): r["rank"] for r in sampling.file_sample(files, "class", "name", "path", 2).collect()}
+    assert ranks["real", "/9/a.jpg"] == 1 and ranks["real", "/2/b.jpg"] == 2 and len(ranks) == 4
+    with pytest.raises(ValueError, match="real has 2 files of 3"):
+        sampling.file_sample(files, "class", "name", "path", 3)
+
+
+def test_path_gates(spark):
+    files = spark.createDataFrame([("real/Fake/1.jpg",), ("real/2.png",), ("x/3.txt",)], "path string")
+    assert [tuple(r) for r in paths.gate_violations(files).collect()] == [("class_overlap", "both", 1)]
+    none = paths.gate_violations(files.limit(0)).collect()
+    assert {(r.gate, r.value) for r in none} == {("missing_class_folder", "real"), ("missing_class_folder", "fake")}
+    with pytest.raises(ValueError):
+        sampling.strict(paths.gate_violations(files))
