@@ -47,5 +47,5 @@ def test_odd_tables(spark, sf, tmp_path):
         for table, df in (("documents", docs), ("labels", labels), ("benchmark", bench)):
             df.limit(part).write.parquet(f"{tmp_path}/{name}/{table}.parquet")
     out = corpus_pipeline.run(spark, f"{tmp_path}/full").collect()
-    assert {r.doc_id for r in out} == {1, 2, 3, 4}
+    assert {r.doc_id for r in out} == {None, 1, 2, 3, 4}
     assert corpus_pipeline.run(spark, f"{tmp_path}/empty").count() == 0
