@@ -10,6 +10,7 @@ functions are used; a text is scanned where it lies, without a shuffle.
 from __future__ import annotations
 
 import math
+from collections.abc import Callable
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
@@ -37,8 +38,13 @@ class Model(NamedTuple):
     cut: float
 
 
+def _bound(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of ``value``, which is found once, however often and wherever the body uses it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _parts(array: Column) -> Column:
-    """An array cut into about as many arrays as each has elements."""
+    """An array, bound, cut into about as many arrays as each has elements."""
     size = F.greatest(F.ceil(F.sqrt(F.size(array))), F.lit(1)).cast("int")
     parts = F.sequence(F.lit(0), F.greatest(F.ceil(F.size(array) / size), F.lit(1)).cast("int") - 1)
     return F.transform(parts, lambda k: F.slice(array, k * size + 1, size))
@@ -56,29 +62,40 @@ def _found(text: Column, pattern: str, hint: Column) -> Column:
         end = begin + x["m"]
         return F.struct(end.alias("at"), F.concat(acc["spans"], F.array(F.struct(begin.alias("start"), end.alias("end")))).alias("spans"))
 
-    # An array that grows is copied for each element; in parts, with what lies before each, that stays little.
-    parts = _parts(F.filter(pairs, lambda x: x["m"].isNotNull()))
-    lengths = F.transform(parts, lambda p: F.aggregate(p, F.lit(0).cast("bigint"), lambda acc, x: acc + x["b"] + x["m"]))
-    zero = F.array(F.lit(0).cast("bigint"))
-    before = F.aggregate(lengths, zero, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
-    spans = F.zip_with(
-        parts,
-        F.slice(before, F.lit(1), F.size(parts)),
-        lambda p, at: F.aggregate(p, F.struct(at.alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"]),
-    )
-    return F.when(hint, F.flatten(spans)).otherwise(empty)
+    def placed(parts: Column) -> Column:
+        # An array that grows is copied for each element; in parts, with what lies before each, that stays little.
+        lengths = F.transform(parts, lambda p: F.aggregate(p, F.lit(0).cast("bigint"), lambda acc, x: acc + x["b"] + x["m"]))
+        zero = F.array(F.lit(0).cast("bigint"))
+        before = F.aggregate(lengths, zero, lambda acc, x: F.concat(acc, F.array(F.element_at(acc, -1) + x)))
+        spans = F.zip_with(
+            parts,
+            F.slice(before, F.lit(1), F.size(parts)),
+            lambda p, at: F.aggregate(p, F.struct(at.alias("at"), empty.alias("spans")), step, lambda acc: acc["spans"]),
+        )
+        return F.flatten(spans)
+
+    whole = F.filter(pairs, lambda x: x["m"].isNotNull())
+    return F.when(hint, _bound(whole, lambda a: _bound(_parts(a), placed))).otherwise(empty)
 
 
 def _with_base(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text) with the spans of the patterns: assign, access, hex."""
+    """``docs`` (doc_id, text) with the spans of the patterns, assign, access, hex, and their values: group 2 of the
+    first, the matches of the others."""
     text = F.col("text")
     hint = text.rlike(ASSIGN)
     value = F.regexp_extract_all(text, F.lit(ASSIGN), 2)
     spans = _found(text, ASSIGN, hint)
     assign = F.filter(F.zip_with(spans, F.when(hint, value).otherwise(F.array().cast("array<string>")), lambda s, v: F.struct(s["start"].alias("start"), s["end"].alias("end"), F.length(v).alias("n"))), lambda x: x["n"] >= 8)
+    none = F.array().cast("array<string>")
+    values = F.concat(
+        F.when(hint, F.filter(value, lambda v: F.length(v) >= 8)).otherwise(none),
+        F.when(text.contains("AKIA"), F.regexp_extract_all(text, F.lit(ACCESS), 0)).otherwise(none),
+        F.when(text.rlike(HEX), F.regexp_extract_all(text, F.lit(HEX), 0)).otherwise(none),
+    )
     return docs.select(
         "doc_id",
         "text",
+        values.alias("values"),
         F.transform(assign, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end"))).alias("assign"),
         _found(text, ACCESS, text.contains("AKIA")).alias("access"),
         _found(text, HEX, text.rlike(HEX)).alias("hex"),
@@ -88,15 +105,15 @@ def _with_base(docs: DataFrame) -> DataFrame:
 def _pairs(s: Column) -> Column:
     """The pairs of neighbouring characters, as numbers; null where one is not of the alphabet."""
     place = F.transform(F.split(s, ""), lambda c: F.nullif(F.position(c, F.lit(ALPHABET)), F.lit(0)) - 1)
-    return F.zip_with(F.slice(place, F.lit(1), F.greatest(F.size(place) - 1, F.lit(0))), F.slice(place, F.lit(2), F.greatest(F.size(place) - 1, F.lit(0))), lambda a, b: a * len(ALPHABET) + b)
+    n = len(ALPHABET)
+    return _bound(place, lambda p: F.zip_with(F.slice(p, F.lit(1), F.greatest(F.size(p) - 1, F.lit(0))), F.slice(p, F.lit(2), F.greatest(F.size(p) - 1, F.lit(0))), lambda a, b: a * n + b))
 
 
 def _mean(s: Column, ratios: list[float]) -> Column:
     """Mean log-likelihood ratio of the pairs of a string of the alphabet's characters."""
     table = F.split(F.lit(",".join(map(repr, ratios))), ",").cast("array<double>")
-    pairs = _pairs(s)
-    total = F.aggregate(pairs, F.lit(0.0), lambda acc, k: acc + F.coalesce(F.get(table, k), F.lit(0.0)))
-    return total / F.greatest(F.size(pairs), F.lit(1))
+    total = F.aggregate(_pairs(s), F.lit(0.0), lambda acc, k: acc + F.coalesce(F.get(table, k), F.lit(0.0)))
+    return total / F.greatest(F.length(s) - 1, F.lit(1))
 
 
 def _made(df: DataFrame) -> DataFrame:
@@ -165,20 +182,26 @@ def scan(docs: DataFrame, model: Model) -> DataFrame:
     text, hint = F.col("text"), F.col("text").rlike(RUN)
     runs = F.when(hint, F.regexp_extract_all(text, F.lit(RUN), 0)).otherwise(F.array().cast("array<string>"))
     named = F.zip_with(_found(text, RUN, hint), runs, lambda s, v: F.struct(s["start"].alias("start"), s["end"].alias("end"), v.alias("s")))
-    rows = rows.select("*", named.alias("runs"), F.sort_array(F.concat("assign", "access", "hex")).alias("base"))
-    # Spans in parts with the range of each: a run looks into few of them.
-    parts = F.transform(_parts(F.col("base")), lambda p: F.struct(p[0]["start"].alias("lo"), F.array_max(F.transform(p, lambda b: b["end"])).alias("hi"), p.alias("spans")))
-    rows = rows.select("*", F.when(F.size("base") > 0, parts).otherwise(F.array()).alias("parts"))
-    meets = lambda r: F.exists(
-        "parts",
-        lambda p: (p["lo"] < r["end"]) & (p["hi"] > r["start"]) & F.exists(p["spans"], lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])),
-    )
-    rows = rows.select("*", F.filter("runs", lambda r: ~meets(r) & (_mean(r["s"], model.ratios) >= model.cut)).alias("random"))
+    base = F.sort_array(F.concat("assign", "access", "hex"))
+
+    def ranged(spans: Column) -> Column:
+        # Spans in parts with the range of each: a run looks into few of them.
+        parts = F.filter(_parts(spans), lambda p: F.size(p) > 0)
+        return F.transform(parts, lambda p: F.struct(p[0]["start"].alias("lo"), F.array_max(F.transform(p, lambda b: b["end"])).alias("hi"), p.alias("spans")))
+
+    def free(x: Column) -> Column:
+        meets = lambda r: F.exists(
+            x["parts"],
+            lambda p: (p["lo"] < r["end"]) & (p["hi"] > r["start"]) & F.exists(p["spans"], lambda b: (b["start"] < r["end"]) & (b["end"] > r["start"])),
+        )
+        return F.filter(x["runs"], lambda r: ~meets(r) & (_mean(r["s"], model.ratios) >= model.cut))
+
+    both = F.struct(named.alias("runs"), _bound(base, ranged).alias("parts"))
+    rows = rows.select("*", F.when(hint, _bound(both, free)).alias("random"))
+    rows = rows.withColumn("random", F.coalesce("random", F.array().cast("array<struct<start:bigint,end:bigint,s:string>>")))
     markov = F.transform("random", lambda r: F.struct(r["start"].alias("start"), r["end"].alias("end")))
-    longest = lambda b: F.array_max(
-        F.transform(F.split(F.substring(text, (b["start"] + 1).cast("int"), (b["end"] - b["start"]).cast("int")), "[^A-Za-z0-9+/_=-]+"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w")))
-    )["w"]
-    n_random = F.size(F.filter("base", lambda b: _mean(longest(b), model.ratios) >= model.cut)).cast("long")
+    longest = lambda v: F.array_max(F.transform(F.split(v, "[.]+"), lambda w: F.struct(F.length(w).alias("n"), w.alias("w"))))["w"]
+    n_random = F.size(F.filter("values", lambda v: _mean(longest(v), model.ratios) >= model.cut)).cast("long")
     return rows.select("doc_id", "assign", "access", "hex", markov.alias("markov"), n_random.alias("n_random"))
 
 
