@@ -19,6 +19,7 @@ lines than are compared in passing, are then compared with all others of their k
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 from typing import NamedTuple
 
 import numpy as np
@@ -43,6 +44,7 @@ GROUP = 2048
 OVER, UNDER = 4, 5  # the similarity
 #: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
 AT = ["doc_id", "sub"]
+PARITY = ["p0", "p1", "p2"]
 
 
 def _order(line: np.ndarray, rank: np.ndarray | None, token: np.ndarray) -> np.ndarray:
@@ -154,12 +156,12 @@ def _keys(x: Lines, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarr
 
 
 def _described(ranks):
-    """Rows (doc_id, sub, d1, d2, again, low, high, size, keys, places) of the lines with a word. d1 and d2 are a
-    digest of the set, low and high have 128 bits, each the parity of the number of words that fall on it; again
+    """Rows (doc_id, sub, d1, d2, again, p0, p1, p2, size, keys, places) of the lines with a word. d1 and d2 are a
+    digest of the set, p0 to p2 have 192 bits, each the parity of the number of words that fall on it; again
     tells that the text has the set in a line above, which has no keys. size is the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        names = [*AT, "d1", "d2", "again", "low", "high", "size", "keys", "places"]
+        names = [*AT, "d1", "d2", "again", *PARITY, "size", "keys", "places"]
         for batch in batches:
             doc, part = (batch[c].to_numpy(zero_copy_only=False) for c in ("doc_id", "part"))
             for p in words.pieces(batch["text"]):
@@ -172,16 +174,15 @@ def _described(ranks):
                 order = np.lexsort((d2, d1, x.text))  # stable: lines of a text stay in order
                 again = np.zeros(len(d1), dtype=bool)
                 again[order[1:]] = (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1]) & (x.text[order][1:] == x.text[order][:-1])
-                bit, upper = words.U(1) << (spread & words.U(63)), (spread >> words.U(6) & words.U(1)).astype(bool)
-                low = np.bitwise_xor.reduceat(np.where(upper, words.U(0), bit), x.first)
-                high = np.bitwise_xor.reduceat(np.where(upper, bit, words.U(0)), x.first)
+                bit, of = words.U(1) << (spread & words.U(63)), (spread >> words.U(6)) % words.U(len(PARITY))
+                parity = [np.bitwise_xor.reduceat(np.where(of == k, bit, words.U(0)), x.first) for k in range(len(PARITY))]
                 line, key, place = _keys(x, ranks.value)
                 new = ~again[line]
                 line, key, place = line[new], key[new], place[new]
                 bounds = pa.array(np.searchsorted(line, np.arange(len(x.size) + 1)).astype(np.int32))
                 at = p.lo + x.text
                 columns = [pa.array(doc[at]), pa.array(part[at] << 32 | x.number), *(pa.array(v.view(np.int64)) for v in (d1, d2)), pa.array(again)]
-                columns += [*(pa.array(v.view(np.int64)) for v in (low, high)), pa.array(x.size.astype(np.int32))]
+                columns += [*(pa.array(v.view(np.int64)) for v in parity), pa.array(x.size.astype(np.int32))]
                 columns += [pa.ListArray.from_arrays(bounds, pa.array(v)) for v in (key.view(np.int64), place.astype(np.int32))]
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 
@@ -200,7 +201,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.nd
 
 
 def _candidates(window: int, rows: int):
-    """Of rows (key, shape, doc_id, sub, low, high), sorted by key and shape (size and, in the lower bits, place), rows
+    """Of rows (key, shape, doc_id, sub, p0, p1, p2), sorted by key and shape (size and, in the lower bits, place), rows
     (doc_id, sub, other_id, other_sub, more, key). They tell a line, the earlier line of a key that it can be like and
     whose parities differ least, and whether the key has more such. A key alone tells that it has more lines near in
     size than the window.
@@ -221,9 +222,9 @@ def _candidates(window: int, rows: int):
             part = [*part, np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int32), np.full(size, 1 << 30)]
             known = 0 if before is None else len(before[0])
             state = part if before is None else [np.concatenate(c) for c in zip(before, part, strict=True)]
-            key, shape, doc, sub, low, high, other_id, other_sub, n_found, least = state
+            key, shape, doc, sub, *parity, other_id, other_sub, n_found, least = state
+            parity = [v.view(np.uint64) for v in parity]
             n, place = shape >> 32, shape & 0xFFFFFFFF
-            low, high = low.view(np.uint64), high.view(np.uint64)
             # Of two lines the smaller one has the shared word in a shorter prefix.
             indexed = place < n - (2 * OVER * n + OVER + UNDER - 1) // (OVER + UNDER) + 1
             left = n - place
@@ -241,7 +242,7 @@ def _candidates(window: int, rows: int):
                 # Different sets of one size differ in two words at least.
                 near = ((OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * both) & ((n[i] != n[j]) | (both >= 2 * (OVER + UNDER)))
                 i, j, both = i[near], j[near], both[near]
-                differ = np.bitwise_count(low[i] ^ low[j]).astype(np.int64) + np.bitwise_count(high[i] ^ high[j])
+                differ = sum(np.bitwise_count(v[i] ^ v[j]).astype(np.int64) for v in parity)
                 # Rows that repeat a document have its lines once more.
                 near = (differ * (OVER + UNDER) <= both) & ((doc[i] != doc[j]) | (sub[i] != sub[j]))
                 i, j, score = i[near], j[near], (differ[near] << 20) // both[near]
@@ -262,7 +263,7 @@ def _candidates(window: int, rows: int):
             yield told(np.flatnonzero(n_found[:keep]), key, doc, sub, other_id, other_sub, n_found)
             before = [v[keep:] for v in state]
         if before is not None:
-            yield told(np.flatnonzero(before[8]), before[0], before[2], before[3], *before[6:9])
+            yield told(np.flatnonzero(before[-2]), before[0], before[2], before[3], *before[-4:-1])
 
     return run
 
@@ -326,7 +327,7 @@ def _close() -> Column:
     """What two rows p and q of keys need to be like, q earlier: the exact filters, in the cheapest order."""
     n, m = F.shiftright("p.shape", 32), F.shiftright("q.shape", 32)
     place = [F.col(f"{x}.shape").bitwiseAND(F.lit(0xFFFFFFFF)) for x in "pq"]
-    differ = F.bit_count(F.col("p.low").bitwiseXOR(F.col("q.low"))) + F.bit_count(F.col("p.high").bitwiseXOR(F.col("q.high")))
+    differ = reduce(Column.__add__, (F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in PARITY))
     return (
         (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
         & ((n != m) | (n + m >= 2 * (OVER + UNDER)))
@@ -367,7 +368,7 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = placed(docs.where(F.col("doc_id").isNotNull()))
     texts = texts.select("doc_id", "part", F.coalesce("text", F.lit("")).alias("text"))
     ranks = spark.sparkContext.broadcast(word_ranks(texts.select("text")))
-    schema = "doc_id long, sub long, d1 long, d2 long, again boolean, low long, high long, size int, keys array<long>, places array<int>"
+    schema = "doc_id long, sub long, d1 long, d2 long, again boolean, p0 long, p1 long, p2 long, size int, keys array<long>, places array<int>"
     described = stored(texts.mapInArrow(_described(ranks), schema), "lines")
 
     # Of documents with an equal line the first stands for all. A number is summed faster than two.
@@ -381,9 +382,9 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
 
     few = small(copied.select("d1", "d2", "first"))
     rows = new.where(f"size >= {OVER}").join(few, ["d1", "d2"], "left").where(F.col("first").isNull() | (F.col("first") == own))
-    rows = rows.select(*AT, "low", "high", "size", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
+    rows = rows.select(*AT, *PARITY, "size", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
     shape = F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")
-    rows = rows.select("key", shape.alias("shape"), *AT, "low", "high")
+    rows = rows.select("key", shape.alias("shape"), *AT, *PARITY)
     by_key = rows.repartition("key").sortWithinPartitions("key", "shape")
     schema = "doc_id long, sub long, other_id long, other_sub long, more boolean, key long"
     taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), schema), "taken")
