@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import importlib.util
 import os
+import string
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from annospark.llm import chat, decontaminate, html, lines, minhash, packing, passages, quality, rules, secrets
+from annospark.llm import chat, decontaminate, html, jaccard, lines, merkle, minhash, packing, passages, periodic, quality, rules, secrets
+from annospark.llm.scratch import keep, scope, stored
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -79,6 +81,46 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
 
+def _crc(value: Column) -> Column:
+    """Unsigned CRC-32 of a number written in decimal; null for null."""
+    return F.crc32(value.cast("string").cast("binary"))
+
+
+def op11_periodic(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    h = _crc(F.col("doc_id"))
+    # Only the digests are written; texts reach Python in small batches.
+    with scope(spark):
+        found = periodic.find(docs, planted=F.when(h % 10 == 0, F.floor(h / 10)))
+        best = periodic.longest(F.col("runs"))
+        line = F.transform("runs", lambda r: F.concat_ws(",", *[r[c].cast("string") for c in ("start", "length", "period")]))
+        digests = found.withColumn("best", best).select(
+            "doc_id",
+            F.size("runs").cast("long").alias("n_runs"),
+            *[F.col(f"best.{c}").alias(c) for c in ("start", "length", "period")],
+            F.floor(1000 * F.col("best.length") / F.col("best.period")).cast("long").alias("exponent_milli"),
+            F.sha2(F.array_join(F.transform(line, lambda x: F.concat(x, F.lit("\n"))), ""), 256).alias("runs_sha256"),
+            F.sha2("collapsed", 256).alias("collapsed_sha256"),
+        )
+        return keep(stored(digests, "periodic"))
+
+
+def op12_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op13_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    # What a reader of a copy whose capitals were lost claims for a fifth of the rows.
+    lowered = F.translate("text", string.ascii_uppercase, string.ascii_lowercase)
+    claimed = F.when(_crc(F.col("doc_id")) % 5 == 0, merkle.leaf(text=lowered))
+    with scope(spark):
+        rows = merkle.manifest(docs, claimed.alias("claimed"))
+        folded = merkle.folded(F.coalesce("claimed", "leaf"), F.col("path"))
+        digests = rows.select("doc_id", "leaf", "subroot", "root", merkle.proof(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"))
+        return keep(stored(digests.withColumn("verified", F.col("folded_root") == F.col("root")), "manifest"))
+
+
 QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
@@ -90,8 +132,16 @@ QUERIES = {
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
     "op10_html": op10_html,
+    "op11_periodic": op11_periodic,
+    "op12_jaccard": op12_jaccard,
+    "op13_manifest": op13_manifest,
 }
 
+#: CRC-32 of a number written in decimal, bit by bit.
+CRC = """(SELECT doc_id AS of, xor(list_reduce(list_concat([4294967295], flatten(list_transform(range(1, len(doc_id::VARCHAR) + 1),
+            lambda i: [ord((doc_id::VARCHAR)[i])::BIGINT, 0, 0, 0, 0, 0, 0, 0]))), lambda c, b: xor(xor(c, b) >> 1, 3988292384 * (xor(c, b) & 1))), 4294967295) AS h
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL))"""
+
 ORACLES: dict[str, str] = {
     "op6_chat": """
         WITH rows AS (
@@ -157,4 +207,108 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(line)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line), '') AS removed
         FROM text LEFT JOIN gone USING (doc_id) GROUP BY doc_id, l
     """,
+    "op11_periodic": """
+        WITH split AS (
+            SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+        ), planted AS (
+            SELECT doc_id, w, len(w) AS n, CASE WHEN h % 10 = 0 AND len(w) > 0 THEN (h // 10) % len(w) END AS a, h // 10 AS g
+            FROM split LEFT JOIN CRC c ON of = doc_id
+        ), words AS (
+            SELECT doc_id, CASE WHEN a IS NULL THEN w
+                ELSE list_transform(range(n), lambda i: w[1 + CASE WHEN i < a THEN i ELSE a + (i - a) % (1 + (n - a) // (3 + g % 8)) END]) END AS w FROM planted
+        ), word AS (
+            SELECT doc_id, unnest(range(len(w))) AS i, unnest(w) AS w FROM words
+        ), gram AS (
+            SELECT doc_id, i, w || ' ' || lead(w, 1) OVER o || ' ' || lead(w, 2) OVER o || ' ' || lead(w, 3) OVER o || ' ' || lead(w, 4) OVER o AS s
+            FROM word WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+        ), diagonal AS (
+            SELECT a.doc_id, b.i - a.i AS q, a.i, a.i - row_number() OVER (PARTITION BY a.doc_id, b.i - a.i ORDER BY a.i) AS part
+            FROM gram a JOIN gram b ON a.doc_id = b.doc_id AND a.s = b.s AND a.i < b.i
+        ), stretch AS (
+            SELECT doc_id, q, min(i) AS s, max(i) + 5 + q - min(i) AS l FROM diagonal GROUP BY doc_id, q, part HAVING l >= greatest(6, 4 * q)
+        ), run AS (
+            SELECT * FROM stretch x WHERE NOT EXISTS (
+                SELECT 1 FROM stretch y WHERE y.doc_id = x.doc_id AND y.q < x.q AND x.q % y.q = 0 AND y.s <= x.s AND x.s + x.l <= y.s + y.l)
+        ), found AS (
+            SELECT doc_id, count(*) AS n_runs, min({'l': -l, 's': s, 'q': q}) AS b, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS r FROM run GROUP BY doc_id
+        ), kept AS (
+            SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM word x
+            WHERE NOT EXISTS (SELECT 1 FROM run y WHERE y.doc_id = x.doc_id AND x.i >= y.s + y.q AND x.i < y.s + y.l) GROUP BY doc_id
+        )
+        SELECT doc_id, coalesce(n_runs, 0)::BIGINT AS n_runs, b.s::BIGINT AS start, (-b.l)::BIGINT AS length, b.q::BIGINT AS period,
+            (-1000 * b.l // b.q)::BIGINT AS exponent_milli, sha256(coalesce(r, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+        FROM documents LEFT JOIN found USING (doc_id) LEFT JOIN kept USING (doc_id)
+    """.replace("CRC", CRC),
+    "op12_jaccard": """
+        WITH RECURSIVE split AS (
+            SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w
+            FROM documents
+        ), shingle AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) BETWEEN 1 AND 4 THEN [array_to_string(w, ' ')]
+                ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i : i + 4], ' ')) END) AS s FROM split
+        ), size AS (
+            SELECT doc_id, count(s)::BIGINT AS n_shingles FROM split LEFT JOIN shingle USING (doc_id) GROUP BY doc_id
+        ), ranked AS (
+            SELECT doc_id, s, n_shingles, row_number() OVER (PARTITION BY doc_id ORDER BY k, s) AS place
+            FROM shingle JOIN (SELECT s, count(*) AS k FROM shingle GROUP BY s) USING (s) JOIN size USING (doc_id)
+        ), pair AS (
+            SELECT DISTINCT a.doc_id AS x, b.doc_id AS y FROM ranked a JOIN ranked b USING (s)
+            WHERE a.doc_id <> b.doc_id AND 100 * a.place <= 20 * a.n_shingles + 100 AND 100 * b.place <= 20 * b.n_shingles + 100
+        ), link AS (
+            SELECT x, y FROM pair JOIN shingle a ON a.doc_id = x JOIN shingle b ON b.doc_id = y AND b.s = a.s
+            JOIN size m ON m.doc_id = x JOIN size n ON n.doc_id = y
+            GROUP BY x, y, m.n_shingles, n.n_shingles HAVING 100 * count(*) >= 80 * (m.n_shingles + n.n_shingles - count(*))
+        ), reach AS (
+            SELECT doc_id, doc_id AS other FROM size UNION SELECT doc_id, y FROM reach JOIN link ON x = other
+        )
+        SELECT doc_id, n_shingles, min(other) AS component_id FROM reach JOIN size USING (doc_id) GROUP BY doc_id, n_shingles
+    """,
+    "op13_manifest": """
+        WITH RECURSIVE fields AS (
+            SELECT doc_id, source, coalesce(octet_length(encode(doc_id::VARCHAR)) || ':' || doc_id, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-')
+                || coalesce(octet_length(encode(lang)) || ':' || lang, '-') || coalesce(octet_length(encode(n_chars::VARCHAR)) || ':' || n_chars, '-') AS head,
+                text, CASE WHEN h % 5 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS claimed
+            FROM documents LEFT JOIN CRC c ON of = doc_id
+        ), leaf AS (
+            SELECT doc_id, coalesce('=' || source, '') AS src, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS h,
+                sha256(head || coalesce(octet_length(encode(claimed)) || ':' || claimed, '-')) AS claimed FROM fields
+        ), placed AS (
+            SELECT *, row_number() OVER (PARTITION BY src ORDER BY doc_id NULLS FIRST, h) - 1 AS pos FROM leaf
+        ), node AS (
+            SELECT 0 AS level, src, pos, h FROM placed
+            UNION ALL
+            SELECT level + 1, src, pos // 16, sha256(string_agg(h, '' ORDER BY pos))
+            FROM (SELECT *, count(*) OVER (PARTITION BY src) AS n FROM node) WHERE n > 1 GROUP BY level, src, pos // 16
+        ), height AS (
+            SELECT src, max(level) AS top FROM node GROUP BY src
+        ), subroot AS (
+            SELECT src, h, row_number() OVER (ORDER BY src) - 1 AS pos FROM node JOIN height USING (src) WHERE level = top
+        ), above AS (
+            SELECT 0 AS level, pos, h FROM subroot
+            UNION ALL
+            SELECT level + 1, pos // 16, sha256(string_agg(h, '' ORDER BY pos)) FROM (SELECT *, count(*) OVER () AS n FROM above) WHERE n > 1 GROUP BY level, pos // 16
+        ), root AS (
+            SELECT h AS root, level AS top FROM above WHERE level = (SELECT max(level) FROM above)
+        ), step AS (
+            SELECT p.src, p.pos, k.level, coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < p.pos // pow(16, k.level)::BIGINT), '') AS l,
+                coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > p.pos // pow(16, k.level)::BIGINT), '') AS r
+            FROM placed p JOIN height USING (src) JOIN (SELECT unnest(range(12)) AS level) k ON k.level < top
+            JOIN node s ON s.src = p.src AND s.level = k.level AND s.pos // 16 = p.pos // pow(16, k.level + 1)::BIGINT
+            GROUP BY p.src, p.pos, k.level
+            UNION ALL
+            SELECT q.src, q.pos, o.top + k.level, coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos < p.pos // pow(16, k.level)::BIGINT), ''),
+                coalesce(string_agg(s.h, '' ORDER BY s.pos) FILTER (s.pos > p.pos // pow(16, k.level)::BIGINT), '')
+            FROM placed q JOIN height o USING (src) JOIN subroot p USING (src) JOIN (SELECT unnest(range(12)) AS level) k ON k.level < (SELECT top FROM root)
+            JOIN above s ON s.level = k.level AND s.pos // 16 = p.pos // pow(16, k.level + 1)::BIGINT
+            GROUP BY q.src, q.pos, o.top, k.level
+        ), fold AS (
+            SELECT src, pos, 0 AS level, claimed AS h, '' AS proof FROM placed
+            UNION ALL
+            SELECT src, pos, level + 1, sha256(l || h || r), proof || l || r FROM fold JOIN step USING (src, pos, level)
+        ), last AS (
+            SELECT src, pos, arg_max(h, level) AS folded_root, sha256(arg_max(proof, level)) AS proof_sha256 FROM fold GROUP BY src, pos
+        )
+        SELECT p.doc_id, p.h AS leaf, s.h AS subroot, root, proof_sha256, folded_root, folded_root = root AS verified
+        FROM placed p JOIN subroot s USING (src) JOIN last f ON f.src = p.src AND f.pos = p.pos, root
+    """.replace("CRC", CRC),
 }
