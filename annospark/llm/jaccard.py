@@ -34,8 +34,11 @@ from annospark.llm.scratch import drop, scoped, small, stored
 PARITY = 8
 #: Elements of the first filter beyond spare: one of so many.
 EXTRA = 16
-#: Members of a bucket that are compared with all others in the first turn, and how many times more in each next one.
-FIRST, MORE = 1, 4
+#: Members of a bucket that are compared with all others in the first turn, how many times more in each next one, and
+#: pairs left in all buckets up to which they are compared at once, by their parities where they are joined.
+FIRST, MORE, AT_ONCE = 1, 16, 1 << 25
+#: Links that one task joins to components.
+FEW = 50_000
 #: Pairs of one set that one task verifies with it.
 TOGETHER = 2_000
 
@@ -91,16 +94,15 @@ def _elements(width: int):
     return run
 
 
-def _candidates(signed: DataFrame) -> DataFrame:
-    """id, n, parity of a document of each different set that may have a similar one: enough of its first elements
-    are in another set too."""
+def _candidates(signed: DataFrame, classes: DataFrame) -> DataFrame:
+    """id, n, parity of those of ``classes``, the different sets, that may have a similar one: enough of their first
+    elements are in another set too."""
     full = signed.where("n_shingles > 1 and doc_id is not null")
-    classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("parity").alias("parity"), F.first(F.size("first")).alias("n_first"))
     of = F.struct("d1", "d2")
     owners = full.select("d1", "d2", F.explode("first").alias("e")).groupBy("e").agg(F.min(of).alias("a"), F.max(of).alias("b"))
     alone = owners.where("a = b").groupBy("a.d1", "a.d2").agg(F.count("*").alias("alone"))
     shared = F.col("n_first") - F.coalesce("alone", F.lit(0))
-    return classes.join(alone, ["d1", "d2"], "left").where(shared >= F.greatest(F.lit(1), F.floor(F.col("n_shingles") / EXTRA))).select("id", F.col("n_shingles").alias("n"), "parity")
+    return classes.where("n_shingles > 1 and id is not null").join(alone, ["d1", "d2"], "left").where(shared >= F.greatest(F.lit(1), F.floor(F.col("n_shingles") / EXTRA))).select("id", F.col("n_shingles").alias("n"), "parity")
 
 
 def _prefixes(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
@@ -150,12 +152,15 @@ def _buckets(prefixes: DataFrame, x: int, similarity: tuple[int, int]) -> DataFr
 
 def _beside(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
     """``pairs`` with n_<side> and set_<side>. A set that many pairs have is copied, and these are dealt out among the copies."""
-    often = pairs.groupBy(side).agg(F.count("*").alias("_k"))
-    hot = stored(often.where(F.col("_k") > TOGETHER).select(F.col(side).alias("id"), F.ceil(F.col("_k") / TOGETHER).cast("int").alias("copies")), "hot")
-    needed = sets.join(often.select(F.col(side).alias("id")), "id", "left_semi").join(small(hot), "id", "left")
-    copies = needed.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("elements").alias(f"set_{side}"), F.explode(F.sequence(F.lit(1), F.coalesce("copies", F.lit(1)))).alias("_copy"))
-    dealt = pairs.join(small(hot).withColumnRenamed("id", side), side, "left")
-    dealt = dealt.withColumn("_copy", F.when(F.col("copies").isNull(), 1).otherwise(F.pmod(F.xxhash64(other), "copies").cast("int") + 1)).drop("copies")
+    ids = pairs.select(F.col(side).alias("id")).distinct()
+    needed, dealt = sets.join(small(stored(ids, "ids")), "id", "left_semi").withColumn("copies", F.lit(1)), pairs.withColumn("_copy", F.lit(1))
+    if pairs.count() > TOGETHER:
+        often = pairs.groupBy(F.col(side).alias("id")).agg(F.count("*").alias("_k")).where(F.col("_k") > TOGETHER)
+        hot = stored(often.select("id", F.ceil(F.col("_k") / TOGETHER).cast("int").alias("copies")), "hot")
+        needed = needed.drop("copies").join(small(hot), "id", "left").withColumn("copies", F.coalesce("copies", F.lit(1)))
+        dealt = pairs.join(small(hot).withColumnRenamed("id", side), side, "left")
+        dealt = dealt.withColumn("_copy", F.pmod(F.xxhash64(other), F.coalesce("copies", F.lit(1))).cast("int") + 1).drop("copies")
+    copies = needed.select(F.col("id").alias(side), F.col("n").alias(f"n_{side}"), F.col("elements").alias(f"set_{side}"), F.explode(F.sequence(F.lit(1), "copies")).alias("_copy"))
     return dealt.join(copies, [side, "_copy"]).drop("_copy")
 
 
@@ -179,28 +184,32 @@ def _resolved(members: DataFrame, parities: DataFrame, sets: DataFrame, similari
         placed = open_.withColumn("c", F.col("id"))
         if found is not None:
             placed = open_.join(small(found).select(F.col("node").alias("id"), "component"), "id", "left").withColumn("c", F.coalesce("component", "id")).drop("component")
-        parts = placed.groupBy("key", "c").agg(F.count("*").alias("n"))
-        state = parts.groupBy("key").agg(F.max_by("c", F.struct("n", "c")).alias("main"), F.sum("n").alias("k"), F.count("*").alias("parts")).where("parts > 1").select("key", "main", "k")
-        state = stored(state, "state")
+        # The main component of a bucket is that of the member with the best score; any would do.
+        state = placed.groupBy("key").agg(F.max_by("c", F.struct("score", "id")).alias("main"), F.min("c").alias("low"), F.max("c").alias("high"), F.count("*").alias("k"))
+        state = stored(state.where("low < high").select("key", "main", "k", F.col("k").alias("size")), "state")
         if state.isEmpty():
             break
         rows = joined(placed, state, ["key"])
         if turn:
             # From the second turn on, sets whose parities differ too much aren't compared.
-            rows = rows.join(parities, "id")
+            rows = rows.join(small(parities, 100_000), "id")
         rows = stored(rows, "open")
         item = F.struct(*[c for c in ("id", "n", "c", "role", "parity") if c in rows.columns])
-        slot = F.pmod(F.xxhash64("id"), F.lit(FIRST * MORE**turn))
+        outside = rows.where("c <> main")
+        last = turn > 0 and outside.agg(F.sum("size").alias("n")).first().n <= AT_ONCE
+        slot = F.col("id") if last else F.pmod(F.xxhash64("id"), F.lit(FIRST * MORE**turn))
         # Members outside of the main component are done with in turn; once they all are, one component is left.
-        pick = rows.where("c <> main") if turn else rows
+        pick = outside if turn else rows
         picked = stored(pick.groupBy("key", slot.alias("slot")).agg(F.max_by(item, F.struct(F.col("role") < 2, "score", "id")).alias("x"), F.count("*").alias("k")), "picked")
         tried = joined(rows.select("key", item.alias("y")), picked.select("key", "x", "k"), ["key"]).where("x.c <> y.c").where(fits)
         pairs = stored((tried.where(can_be) if turn else tried).select(F.col("x.id").alias("a"), F.col("y.id").alias("b")).distinct(), "pairs")
         links = _links(pairs, sets, similarity)
         if found is not None:
             links = links.unionByName(found.select(F.col("node").alias("a"), F.col("component").alias("b")))
-        found = stored(components(links), "components")
-        rest = rows.drop("c", "main", "parity").join(picked.select("key", F.col("x.id").alias("id")), ["key", "id"], "left_anti")
+        found = stored(components(links, FEW), "components")
+        if last:
+            break
+        rest = rows.drop("c", "main", "size", "parity").join(picked.select("key", F.col("x.id").alias("id")), ["key", "id"], "left_anti")
         drop(open_, pairs)
         open_, turn = stored(rest, "open"), turn + 1
     return found if found is not None else components(members.select(F.col("id").alias("a"), F.col("id").alias("b")))
@@ -220,8 +229,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     shape = "doc_id long, n_shingles long, d1 long, d2 long, parity array<long>, first array<long>"
     signed = stored(texts.mapInArrow(_signed(width, similarity), shape), "signed")
-    able = stored(_candidates(signed), "candidates")
-    own = stored(signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id")), "classes")
+    of_set = F.min("doc_id").alias("id"), F.first("parity").alias("parity"), F.first(F.size("first")).alias("n_first")
+    own = stored(signed.where("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(*of_set), "classes")
+    able = stored(_candidates(signed, own), "candidates")
     rows = stored(signed.select("doc_id", "n_shingles", "d1", "d2"), "rows")
     drop(signed)
     chosen = texts.join(small(able.select(F.col("id").alias("doc_id")).distinct()), "doc_id", "left_semi")
@@ -231,9 +241,9 @@ def near_duplicates(docs: DataFrame, width: int = 5, similarity: tuple[int, int]
     prefixes = _prefixes(sets, similarity)
     members = _buckets(prefixes, boundary(prefixes, similarity), similarity)
     # A doc_id with several texts has no parities of its own.
-    parities = able.groupBy("id").agg(F.when(F.count("*") == 1, F.first("parity")).alias("parity"))
+    parities = stored(able.groupBy("id").agg(F.when(F.count("*") == 1, F.first("parity")).alias("parity")), "parities")
     found = _resolved(members, parities, sets, similarity)
-    of_class = own.join(found.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("component"))
+    of_class = own.drop("parity", "n_first").join(found.withColumnRenamed("node", "id"), "id", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "id").alias("component"))
     named = rows.join(stored(of_class, "classes"), ["d1", "d2", "n_shingles"], "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return named.select("doc_id", "n_shingles", component.alias("component_id"))
