@@ -14,6 +14,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
+from annospark.functions import json_text
 from annospark.functions.text import strip
 
 #: The criteria in order, the keys in order, and the verdicts.
@@ -97,6 +98,52 @@ def describe(raw: Column) -> Column:
     return pandas_udf(_described, SHAPE)(raw)
 
 
+def describe_native(raw: Column) -> Column:
+    """The same description by variants, without Python: a second opinion. It differs where the strict parse is the looser
+    one: objects with repeated keys and the numbers NaN and Infinity are no JSON here; ``compact`` has sorted keys, and
+    ``problem`` says only what ``json_text.problem`` tells."""
+    text = strip(F.coalesce(raw, F.lit("")))
+    value = json_text.variant(text)
+    is_object = json_text.kind(value) == "object"
+    top = F.from_json(text, "struct<per_criterion:array<string>,overall_likelihood:string>")
+    member = lambda name: F.try_variant_get(value, f"$.{name}", "variant")
+    of = lambda v: F.coalesce(json_text.kind(v), F.lit("null"))
+    values = F.try_variant_get(value, "$.per_criterion", "array<variant>")
+
+    def item(own: Column, v: Column) -> Column:
+        key = lambda name: F.try_variant_get(v, f'$["{name}"]', "variant")
+        as_text = F.from_json(own, "map<string,string>")
+        score = F.try_element_at(as_text, F.lit("aigc score"))
+        numeric = of(key("aigc score")).isin("int", "float")
+        whole = numeric & score.rlike("^-?[0-9]+$")
+        score_kind = F.when(whole, "int").when(numeric, "float").otherwise(of(key("aigc score")))
+        string = lambda name: F.when(of(key(name)) == "string", F.try_variant_get(v, f'$["{name}"]', "string"))
+        entry = F.struct(
+            F.lit("object").alias("kind"),
+            F.json_object_keys(own).alias("keys"),
+            string("criterion").alias("criterion"),
+            of(key("evidence")).alias("evidence_kind"),
+            string("evidence").alias("evidence"),
+            score_kind.alias("score_kind"),
+            F.when(whole, F.coalesce(score.try_cast("bigint"), F.lit(-1).cast("bigint"))).alias("score"),
+        ).cast(ITEM)
+        other = F.struct(of(v).alias("kind"), *[F.lit(None).alias(n) for n in ("keys", "criterion", "evidence_kind", "evidence", "score_kind", "score")]).cast(ITEM)
+        return F.when(of(v) == "object", entry).otherwise(other)
+
+    items = F.when(json_text.kind(member("per_criterion")) == "list", F.zip_with(top["per_criterion"], values, item))
+    found = F.when(is_object, True)
+    return F.struct(
+        json_text.problem(raw).alias("problem"),
+        json_text.kind(value).alias("kind"),
+        F.when(is_object, F.json_object_keys(text)).alias("keys"),
+        F.when(found, of(member("per_criterion"))).alias("list_kind"),
+        F.when(found, items).alias("items"),
+        F.when(found, of(member("overall_likelihood"))).alias("overall_kind"),
+        F.when(found & (of(member("overall_likelihood")) == "string"), F.try_variant_get(value, "$.overall_likelihood", "string")).alias("overall"),
+        F.when(value.isNotNull(), F.to_json(value)).alias("compact"),
+    )
+
+
 def _only(*rules: tuple[Column, Column | str]) -> Column:
     return F.array_compact(F.array(*[F.when(holds, F.lit(code) if isinstance(code, str) else code) for holds, code in rules]))
 

@@ -24,6 +24,14 @@ def directory_counts(files: DataFrame, path: str = "path") -> DataFrame:
     return rows.groupBy("directory").agg(F.count_if(F.col("directory") == F.col("own")).alias("n_direct"), F.count("*").alias("n_recursive"))
 
 
+def every_directory(directories: DataFrame, files: DataFrame, path: str = "path") -> DataFrame:
+    """``directories`` (directory, and other columns) with n_direct and n_recursive images, 0 where there are none: what
+    ``directory_counts`` can't tell of paths alone. ``files`` lie in directories of the table."""
+    counts = directory_counts(files, path)
+    found = directories.join(counts, "directory", "left")
+    return found.withColumns({c: F.coalesce(c, F.lit(0)).cast("long") for c in ("n_direct", "n_recursive")})
+
+
 def class_members(files: DataFrame, path: str = "path", real: str = "real", fake: str = "fake") -> DataFrame:
     """``files`` with is_real and is_fake: beneath a directory whose normal name is that of the class."""
     above = F.transform(F.slice(F.split(path, "/"), F.lit(1), F.size(F.split(path, "/")) - 1), lambda d: labels.normalize(d, "-"))

@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
 from annospark.functions import labels
+from annospark.operators import profile
+from annospark.sources import work
 
 
 def priority(seed: int, *keys: str) -> Column:
@@ -45,6 +51,43 @@ def fill_errors(pool: DataFrame, by: str, key: str, k: int, ok: str, preference:
     return failed.where(F.col("_last").isNull() | (F.col("_place") < F.col("_last"))).drop("_place", "_last")
 
 
+def fill_lazily(
+    pool: DataFrame, by: str, key: str, k: int, verify: Callable[[DataFrame], DataFrame], preference: str, seed: int = 42
+) -> tuple[DataFrame, DataFrame]:
+    """(chosen, failed) as ``fill`` and ``fill_errors`` give them, but without knowing ``ok`` of the whole pool: rows of
+    ``pool`` are verified in ranges of rank, and no more ranges than a class needs.
+
+    ``verify`` takes rows and returns them with a boolean ok, and what else it tells; null counts as false. Of each class as
+    many rows as it lacks are verified, a half more for each share that failed so far, until k are ok or none is left.
+    A class is a row to the driver. Rows of a round are written before the next. chosen has rank from 1 within its class.
+    """
+    order = Window.partitionBy(by).orderBy(preference, F.desc("_priority"), key)
+    rows = pool.withColumn("_priority", priority(seed, key)).withColumn("_place", F.row_number().over(order)).drop("_priority")
+    rows = work.written(rows, "pool")
+    # One row for each class.
+    sizes = {r[by]: r["n"] for r in rows.groupBy(by).agg(F.count("*").alias("n")).collect()}
+    seen, good, done = dict.fromkeys(sizes, 0), dict.fromkeys(sizes, 0), []
+    while short := [c for c in sizes if good[c] < k and seen[c] < sizes[c]]:
+        upto = {}
+        for c in short:
+            rate = max(good[c], 1) / max(seen[c], 1) if seen[c] else 1.0
+            upto[c] = min(seen[c] + max(1, round((k - good[c]) / max(rate, 0.1))), sizes[c])
+        wanted = reduce(Column.__or__, [F.col(by).eqNullSafe(F.lit(c)) & F.col("_place").between(seen[c] + 1, upto[c]) for c in short])
+        told = work.written(verify(rows.where(wanted)).withColumn("ok", F.coalesce("ok", F.lit(False))), "verified")
+        for r in told.where("ok").groupBy(by).agg(F.count("*").alias("n")).collect():
+            good[r[by]] += r["n"]
+        seen |= upto
+        done.append(told)
+    if not done:
+        done = [verify(rows.limit(0))]
+    told = reduce(DataFrame.unionByName, done)
+    # The verified rows alone are ranked again: about k for each class.
+    so_far = Window.partitionBy(by).orderBy("_place").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    counted = told.withColumn("rank", F.count_if("ok").over(so_far).cast("int"))
+    chosen = counted.where(F.col("ok") & (F.col("rank") <= k)).drop("_place", "ok")
+    return chosen, counted.where(~F.col("ok") & (F.col("rank") < k)).drop("_place", "ok", "rank")
+
+
 def first_of_class(rows: DataFrame, by: str, order: str, k: int) -> DataFrame:
     """The first k rows of each class in stream order, with rank from 1."""
     ranked = rows.withColumn("rank", F.row_number().over(Window.partitionBy(by).orderBy(order)))
@@ -104,14 +147,20 @@ def draw_summary(sample: DataFrame) -> DataFrame:
     )
 
 
-def label_names(rows: DataFrame, raw: str, card: DataFrame, classes: DataFrame) -> DataFrame:
+def label_names(rows: DataFrame, raw: str, card: DataFrame, classes: DataFrame | None, others: list[str] | None = None) -> DataFrame:
     """``rows`` with label_name: that of the card (raw_value, label_name), else that of the class names (class_id,
-    class_name), else the raw value; null stays null. Both are small tables with each value once."""
+    class_name), where the label has such, else the raw value if it is a string. Values that have none get the explicit
+    name of the string columns ``others``, if these are given and agree. Card and classes are small tables with each value once."""
     value = F.col(raw).cast("string")
     names = card.select(F.col("raw_value").alias("_raw"), F.col("label_name").alias("_card"))
-    own = classes.select(F.col("class_id").cast("string").alias("_class"), F.col("class_name").alias("_name"))
-    both = rows.join(names, value == F.col("_raw"), "left").join(own, value == F.col("_class"), "left")
-    return both.withColumn("label_name", F.coalesce("_card", "_name", value)).drop("_raw", "_card", "_class", "_name")
+    both = rows.join(names, value == F.col("_raw"), "left").withColumn("_name", F.lit(None).cast("string"))
+    if classes is not None:
+        own = classes.select(F.col("class_id").cast("long").alias("_class"), F.col("class_name").alias("_own"))
+        both = both.join(own, F.btrim(value).try_cast("long") == F.col("_class"), "left").withColumn("_name", F.col("_own")).drop("_class", "_own")
+    given = [F.col("_card"), F.col("_name")] + ([value] if isinstance(rows.schema[raw].dataType, StringType) else [])
+    if others:
+        given.append(profile.explicit_name(others, raw)[0])
+    return both.withColumn("label_name", F.coalesce(*given)).drop("_raw", "_card", "_name")
 
 
 def until_complete(rows: DataFrame, by: str, order: str, k: int, classes: list[str]) -> DataFrame:

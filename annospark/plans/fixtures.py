@@ -101,6 +101,33 @@ RESPONSES = """
     FROM conversations
 """
 
+#: JSON lines: good ones, with text after the object, with a key twice, blank, cut off, with a key twice further in, and not an object.
+LINES = """
+    SELECT doc_id, doc_id % 7 AS form, CASE doc_id % 7
+        WHEN 0 THEN concat('{"a":', cast(n_chars AS varchar(20)), ',"b":"', lang, '"}')
+        WHEN 1 THEN concat('  {"b":"', lang, '", "a" : ', cast(n_chars AS varchar(20)), '} done')
+        WHEN 2 THEN concat('{"a":1,"b":"x","a":', cast(n_chars AS varchar(20)), '}')
+        WHEN 3 THEN '   '
+        WHEN 4 THEN concat('{"a":', cast(n_chars AS varchar(20)), ',"b":"', lang)
+        WHEN 5 THEN concat('{"a":', cast(n_chars AS varchar(20)), ',"c":[{"d":1,"d":2}]}')
+        ELSE concat('{"a":', cast(n_chars AS varchar(20)), '}]') END AS value
+    FROM documents
+"""
+
+
+def _byte(x: str) -> str:
+    digits = "0123456789abcdef"
+    return f"concat(substring('{digits}', cast(floor(({x}) / 16) AS int) + 1, 1), substring('{digits}', cast(({x}) % 16 AS int) + 1, 1))"
+
+
+#: Images written in hex: BMP of 24 bits, whole, cut off or without width; nothing; text.
+PAYLOADS = f"""
+    SELECT page_id, CASE page_id % 5 WHEN 2 THEN NULL WHEN 4 THEN '3c68746d6c3e'
+        ELSE concat('424d', '00000000', '00000000', '36000000', '28000000', {_byte("w")}, '000000', {_byte("h")}, '000000', '0100', '1800',
+            repeat('00', 24), repeat('ff', cast(CASE WHEN page_id % 5 = 1 THEN 1 ELSE 4 * floor((w * 24 + 31) / 32) * h END AS int))) END AS content
+    FROM (SELECT page_id, CASE WHEN page_id % 5 = 3 THEN 0 ELSE 1 + page_id % 40 END AS w, 1 + length(url) % 30 AS h FROM pages) p
+"""
+
 CARD = """
     SELECT event_id, concat('- ', cast(event_id % 40 AS varchar(20)), ' : ',
         CASE event_id % 5 WHEN 0 THEN 'real photo' WHEN 1 THEN 'fully synthetic' WHEN 2 THEN 'edited' WHEN 3 THEN 'unreal thing' ELSE event_type END) AS line

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from annospark.functions import judgement, labels, responses, text
-from annospark.operators import annotate, judge, paths, profile, sampling
+from annospark.operators import annotate, judge, paths, payloads, profile, sampling
 from annospark.plans import fixtures as fx
 from annospark.plans.fixtures import frame
 from annospark.sources import io
@@ -189,6 +189,17 @@ def verified_fill_errors(spark, sf_dir):
     return sampling.fill_errors(pool, "class", "global_index", QUOTA, "ok", "preference", SEED).select("global_index", "n_chars")
 
 
+@query(f"""{_SRC}, pool AS (SELECT *, n_chars % 4 <> 0 AS ok, CASE category WHEN 'synthetic' THEN 0 ELSE 1 END AS pref, {_PRIORITY.format(c='global_index')} AS p FROM labelled WHERE {_BINARY} IS NOT NULL OR category = 'tampered'),
+    seen AS (SELECT *, CASE category WHEN 'real' THEN 'REAL' ELSE 'AI-GENERATED' END AS class, sum(CASE WHEN ok THEN 1 ELSE 0 END) OVER (PARTITION BY category = 'real' ORDER BY pref, p DESC, global_index) AS good FROM pool)
+    SELECT class, global_index, CASE WHEN ok THEN good::INT END AS rank, ok AS filled FROM seen WHERE good <= {QUOTA} AND (ok OR good < {QUOTA})""")
+def verified_fill_lazy(spark, sf_dir):
+    pool = _src(spark, sf_dir).where("category is not null").withColumns(
+        {"preference": F.when(F.col("category") == "synthetic", 0).otherwise(1), "class": F.when(F.col("category") == "real", "REAL").otherwise("AI-GENERATED")}
+    )
+    chosen, failed = sampling.fill_lazily(pool, "class", "global_index", QUOTA, lambda rows: rows.withColumn("ok", F.col("n_chars") % 4 != 0), "preference", SEED)
+    return chosen.select("class", "global_index", "rank", F.lit(True).alias("filled")).unionByName(failed.select("class", "global_index", F.lit(None).cast("int").alias("rank"), F.lit(False).alias("filled")))
+
+
 @query(f"""{_SRC}, {_DRAWN} SELECT drawn.label, drawn.global_index, md5(d.text) AS payload, length(d.text) AS n FROM drawn JOIN documents d ON d.doc_id = drawn.global_index""")
 def selected_payload(spark, sf_dir):
     keys = _src(spark, sf_dir).where("label is not null").select("label", "global_index")
@@ -226,15 +237,23 @@ _CARD_MAP = f"""WITH c AS ({fx.CARD}), p AS (SELECT event_id, regexp_extract(lin
     card AS (SELECT raw_value, CASE arg_max(category, event_id) WHEN 'real' THEN 'real' WHEN 'synthetic' THEN 'fully_synthetic' ELSE 'edited' END AS label_name FROM k WHERE category IS NOT NULL GROUP BY 1)"""
 
 
-@query(f"""{_CARD_MAP} SELECT doc_id, CASE WHEN doc_id % 7 = 0 THEN NULL ELSE coalesce(card.label_name, n_name, cast(doc_id % 60 AS varchar)) END AS label_name,
-    cast(cast(trunc(n_chars / 4.0) AS bigint) AS varchar) AS original_number, lang AS original_text
-    FROM documents LEFT JOIN card ON card.raw_value = cast(doc_id % 60 AS varchar) LEFT JOIN (SELECT n_nationkey AS k, n_name FROM nation) ON k = doc_id % 60""")
+_HINT = "CASE lang WHEN 'en' THEN 'Authentic / photo' WHEN 'de' THEN 'Fully-Synthetic' ELSE lang END"
+
+
+@query(f"""{_CARD_MAP}, d AS (SELECT *, CASE WHEN doc_id % 7 <> 0 THEN doc_id % 60 END AS raw, CASE lang WHEN 'en' THEN 'authentic' WHEN 'de' THEN 'fully_synthetic' END AS hint FROM documents)
+    SELECT doc_id, coalesce(card.label_name, n_name) AS label_name, coalesce(card.label_name, n_name, hint) AS explicit_name,
+    coalesce(card.label_name, n_name, cast(raw AS varchar), hint) AS text_name, cast(cast(trunc(n_chars / 4.0) AS bigint) AS varchar) AS original_number, lang AS original_text
+    FROM d LEFT JOIN card ON card.raw_value = cast(raw AS varchar) LEFT JOIN (SELECT n_nationkey AS k, n_name FROM nation) ON k = raw""")
 def label_names(spark, sf_dir):
     card = io.card_labels(frame(spark, sf_dir, fx.CARD), "line", "event_id")
     classes = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey class_id", "n_name class_name")
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "lang", "n_chars / 4.0D quarter", "case when doc_id % 7 <> 0 then doc_id % 60 end raw")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", "lang", "n_chars / 4.0D quarter", "case when doc_id % 7 <> 0 then doc_id % 60 end raw", f"{_HINT} hint")
     rows = sampling.label_names(docs, "raw", card, classes)
-    return rows.select("doc_id", "label_name", labels.original(F.col("quarter"), False).alias("original_number"), labels.original(F.col("lang"), True).alias("original_text"))
+    rows = sampling.label_names(rows.withColumnRenamed("label_name", "first_name"), "raw", card, classes, ["hint"]).withColumnRenamed("label_name", "explicit_name")
+    rows = rows.withColumn("raw", F.col("raw").cast("string"))
+    rows = sampling.label_names(rows, "raw", card, classes, ["hint"]).withColumnRenamed("label_name", "text_name")
+    originals = labels.original(F.col("quarter"), False).alias("original_number"), labels.original(F.col("lang"), True).alias("original_text")
+    return rows.select("doc_id", F.col("first_name").alias("label_name"), "explicit_name", "text_name", *originals)
 
 
 # Free-text annotations ------------------------------------------------------------------------------
@@ -373,6 +392,22 @@ def stage2_validate(spark, sf_dir):
     return _stage2(spark, sf_dir).select("id", "attempt", _codes("validation_errors"), "valid")
 
 
+@query(f"{_JUDGED} SELECT id, attempt, array_to_string(errors, ';') AS errors, len(errors) = 0 AS valid FROM v")
+def stage2_validate_native(spark, sf_dir):
+    raw = frame(spark, sf_dir, fx.STAGE2_RAW).withColumn("shape", judgement.describe_native(F.col("raw_text")))
+    told = raw.withColumn("e", judgement.errors("shape", F.col("label")))
+    return told.select("id", "attempt", _codes("e"), (F.size("e") == 0).alias("valid"))
+
+
+@query(f"{_JUDGED} SELECT 0 AS n_differ, count(*) AS n FROM v")
+def stage2_opinions(spark, sf_dir):
+    """How often the strict parse and the native one tell other errors."""
+    raw = frame(spark, sf_dir, fx.STAGE2_RAW)
+    both = raw.withColumn("strict", judgement.describe(F.col("raw_text"))).withColumn("native", judgement.describe_native(F.col("raw_text")))
+    told = both.select(*[_codes(judgement.errors(c, F.col("label"))).alias(c) for c in ("strict", "native")])
+    return told.agg(F.count_if(F.col("strict") != F.col("native")).cast("int").alias("n_differ"), F.count("*").alias("n"))
+
+
 @query(f"{_JUDGED} SELECT id, attempt, len(errors) = 0 AS valid, array_to_string(errors, ';') AS errors FROM v QUALIFY row_number() OVER (PARTITION BY id {_BEST}) = 1")
 def stage2_best_attempt(spark, sf_dir):
     return judge.best_attempts(_stage2(spark, sf_dir)).select("id", "attempt", "valid", _codes("validation_errors"))
@@ -537,3 +572,48 @@ def data_url(spark, sf_dir):
     rows = spark.read.parquet(f"{sf_dir}/documents.parquet")
     name = F.when(F.col("doc_id") % 3 == 0, "a.JPG").when(F.col("doc_id") % 3 == 1, "b.webp").otherwise("c.gif")
     return rows.select("doc_id", labels.data_url(name, F.encode("text", "UTF-8")).alias("url"))
+
+
+# Sources and payloads -------------------------------------------------------------------------------
+
+
+@query(f"""WITH l AS ({fx.LINES}) SELECT doc_id, CASE WHEN form IN (1, 4, 6) THEN 'not_json' WHEN form IN (2, 5) THEN 'repeated_key' END AS problem,
+    CASE WHEN form = 0 THEN cast(regexp_extract(value, '"a":([0-9]+)', 1) AS int) END AS a, CASE WHEN form = 0 THEN regexp_extract(value, '"b":"([a-z]+)"', 1) END AS b FROM l WHERE form <> 3""")
+def jsonl_quarantine(spark, sf_dir):
+    rows, bad = io.parsed(frame(spark, sf_dir, fx.LINES), "a int, b string", unique_keys=True)
+    none = F.lit(None)
+    return rows.select("doc_id", none.cast("string").alias("problem"), "a", "b").unionByName(bad.select("doc_id", "problem", none.cast("int").alias("a"), none.cast("string").alias("b")))
+
+
+@query("""WITH l AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM labels), d AS (SELECT doc_id, row_number() OVER (ORDER BY doc_id) - 1 AS i FROM documents)
+    SELECT 'labels' AS split, doc_id, i AS split_index, i AS global_index FROM l UNION ALL SELECT 'documents', doc_id, i, i + (SELECT count(*) FROM l) FROM d""")
+def split_index(spark, sf_dir):
+    found = io.read_splits(spark, {t: f"{sf_dir}/{t}.parquet" for t in ("labels", "documents")}, ["doc_id"])
+    return found.select("split", "doc_id", "split_index", "global_index")
+
+
+@query(f"""WITH p AS ({fx.PATHS}), f AS (SELECT DISTINCT path FROM p), up AS (SELECT path, unnest(list_transform(range(len(string_split(path, '/'))), lambda k: array_to_string(string_split(path, '/')[1 : k], '/'))) AS directory FROM f),
+    i AS (SELECT directory, path, regexp_replace(path, '/?[^/]*$', '') = directory AS own FROM up WHERE regexp_matches(lower(path), '\\.(jpg|jpeg|png|webp|bmp)$'))
+    SELECT directory, count(path) FILTER (own) AS n_direct, count(path) AS n_recursive FROM (SELECT DISTINCT directory FROM up) LEFT JOIN i USING (directory) GROUP BY 1""")
+def dir_rollup_all(spark, sf_dir):
+    """Counts of images for every directory, of those without any too."""
+    files = frame(spark, sf_dir, f"SELECT DISTINCT path FROM ({fx.PATHS})")
+    every = files.select(F.explode(paths.parents(F.col("path"))).alias("directory")).distinct()
+    return paths.every_directory(every, paths.images(files))
+
+
+@query("""SELECT doc_id, CASE doc_id % 4 WHEN 1 THEN 'remote_path' WHEN 2 THEN 'image_missing_bytes_or_path' WHEN 3 THEN 'unsupported_image_value' END AS problem,
+    CASE WHEN doc_id % 4 = 0 THEN octet_length(encode(text)) END AS n_bytes FROM documents""")
+def payload_forms(spark, sf_dir):
+    image = "CASE doc_id % 4 WHEN 0 THEN struct(encode(text, 'UTF-8') AS bytes, 'ignored.png' AS path) WHEN 1 THEN struct(cast(null AS binary) AS bytes, concat('https://host/', doc_id) AS path) WHEN 2 THEN struct(cast(null AS binary) AS bytes, '' AS path) END"
+    rows = spark.read.parquet(f"{sf_dir}/documents.parquet").selectExpr("doc_id", f"{image} AS image")
+    found = payloads.resolved(rows, "image", sf_dir)
+    return found.select("doc_id", "problem", F.octet_length("content").cast("long").alias("n_bytes"))
+
+
+@query("""WITH p AS (SELECT page_id, 1 + page_id % 40 AS w, 1 + length(url) % 30 AS h FROM pages)
+    SELECT page_id, CASE page_id % 5 WHEN 2 THEN NULL WHEN 4 THEN NULL ELSE 'bmp' END AS format, CASE page_id % 5 WHEN 0 THEN w WHEN 3 THEN 0 END::INT AS width, CASE WHEN page_id % 5 IN (0, 3) THEN h END::INT AS height,
+    CASE WHEN page_id % 5 IN (0, 3) THEN 'RGB' END AS mode, CASE page_id % 5 WHEN 1 THEN 'truncated' WHEN 2 THEN 'empty' WHEN 3 THEN 'non_positive_dimensions' WHEN 4 THEN 'unknown_format' END AS reason FROM p""")
+def payload_verify(spark, sf_dir):
+    rows = frame(spark, sf_dir, fx.PAYLOADS).select("page_id", F.unhex("content").alias("content"))
+    return payloads.verified(rows).select("page_id", "format", "width", "height", "mode", "reason")
