@@ -21,8 +21,8 @@ NUMBERS = {
     2: ["2", "tampered", "manipulated"],
 }
 LABEL_COLUMNS = ["label", "labels", "class", "target"]
-#: What ids of the two classes begin with.
-ID_PREFIXES = ("sidset_real_", "sidset_fake_")
+#: What ids of real and of other samples begin with, unless the caller says otherwise.
+ID_PREFIXES = ("real_", "fake_")
 IMAGE_ENDS = [".jpg", ".jpeg", ".png", ".webp", ".bmp"]
 MIMES = {".jpg": "image/jpeg", ".jpeg": "image/jpeg", ".png": "image/png", ".webp": "image/webp", ".bmp": "image/bmp"}
 
@@ -59,8 +59,10 @@ def representative(c: Column) -> Column:
     return found
 
 
-def number(c: Column) -> Column:
-    """0, 1 or 2 of a label given as a number or a name; null for others."""
+def number(c: Column, whole: bool = False) -> Column:
+    """0, 1 or 2 of a label given as a name; null for others. ``whole`` numbers are passed on as they are."""
+    if whole:
+        return c.cast("bigint")
     bare = F.replace(F.replace(F.lower(F.btrim(c)), F.lit("-"), F.lit("_")), F.lit(" "), F.lit("_"))
     found = F.lit(None).cast("int")
     for value, names in NUMBERS.items():
@@ -69,7 +71,7 @@ def number(c: Column) -> Column:
 
 
 def first_number(columns: list[str]) -> Column:
-    """``number`` of the first of the known label columns that has one; ``columns`` are those at hand."""
+    """``number`` of the first of the known label columns that has one of the three; ``columns`` are those at hand."""
     given = [number(F.col(f"`{c}`").cast("string")) for c in LABEL_COLUMNS if c in columns]
     return F.coalesce(*given) if given else F.lit(None).cast("int")
 

@@ -14,6 +14,20 @@ def parents(path: Column) -> Column:
     return F.transform(F.sequence(F.lit(0), F.size(parts) - 1), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
 
 
+def resolved(path: Column, root: str = "/") -> Column:
+    """An absolute path without empty parts, ``.`` and ``..``; relative ones lie below ``root``. Links are not followed, and
+    a scheme stays as it is."""
+    whole = F.when(path.rlike("^([a-zA-Z][a-zA-Z0-9+.-]*:)?/"), path).otherwise(F.concat(F.lit(root.rstrip("/") + "/"), path))
+    scheme = F.regexp_extract(whole, "^([a-zA-Z][a-zA-Z0-9+.-]*:(?://[^/]+)?)?", 0)
+    parts = F.split(F.substring(whole, F.length(scheme) + 1, F.length(whole)), "/")
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.slice(kept, F.lit(1), F.greatest(F.size(kept) - 1, F.lit(0)))
+        return F.when(part.isin("", "."), kept).when(part == "..", up).otherwise(F.concat(kept, F.array(part)))
+
+    return F.concat(scheme, F.lit("/"), F.array_join(F.aggregate(parts, F.array().cast("array<string>"), step), "/"))
+
+
 def images(files: DataFrame, path: str = "path") -> DataFrame:
     return files.where(labels.extension(F.col(path)).isin(labels.IMAGE_ENDS))
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
 from annospark.functions import labels
-from annospark.operators import profile
+from annospark.operators import paths, profile
 from annospark.sources import work
 
 
@@ -94,30 +94,31 @@ def first_of_class(rows: DataFrame, by: str, order: str, k: int) -> DataFrame:
     return ranked.where(F.col("rank") <= k)
 
 
-def ranked(rows: DataFrame, by: str, order: str, parts: int = 200) -> DataFrame:
-    """``rows`` with rank, their place from 1 in their class by the number ``order``, without one task for a class:
-    classes are cut at quantiles, rows are ranked within the cuts, and counts of the cuts before are added.
-    Rows with a null order come first."""
-    shares = F.array(*[F.lit(i / parts) for i in range(1, parts)])
-    cuts = rows.groupBy(by).agg(F.percentile_approx(order, shares, F.lit(20 * parts)).alias("_cuts"))
-    # A class is a row of numbers; where classes are many, the join is a shuffle, of small classes.
-    placed = rows.join(cuts, rows[by].eqNullSafe(cuts[by]), "left").drop(cuts[by])
-    part = F.coalesce(F.size(F.filter(F.coalesce("_cuts", F.array().cast(cuts.schema["_cuts"].dataType)), lambda c: c < F.col(order))), F.lit(0))
-    placed = placed.withColumn("_part", F.when(F.col(order).isNull(), -1).otherwise(part)).drop("_cuts")
-    counts = placed.groupBy(by, "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    counts = counts.select(F.col(by).alias("_by"), F.col("_part").alias("_of"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
-    both = placed.join(counts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_of")))
-    own = F.row_number().over(Window.partitionBy(by, "_part").orderBy(order))
-    return both.withColumn("rank", F.col("_before") + own).drop("_by", "_of", "_before", "_part")
-
-
-def payload(source: DataFrame, chosen: DataFrame, key: str, max_rows: int = 1_000_000) -> DataFrame:
+def ranked(rows: DataFrame, by: str, order: str, tie: str | None = None) -> DataFrame:
+    """``rows`` with rank, their place from 1 in their class by ``order``, then ``tie``, without one task for a class: rows
+    are dealt out by ranges of class, order and tie, so a class, or a value that many rows share, lies in many tasks; each
+    row's place in its range is known there, and the counts of the ranges before, a row for each range and class, are
+    added. Rows with a null order come first. Without ``tie`` rows of equal order take any place among themselves, the
+    same for one reading of the rows."""
+    keys = [by, order, tie or "_row"]
+    placed = rows.withColumn("_row", F.monotonically_increasing_id()).repartitionByRange(*keys).sortWithinPartitions(*keys)
+    # Written, so that places are those of one run, whatever is lost.
+    placed = work.written(placed.withColumn("_at", F.monotonically_increasing_id()).withColumn("_part", F.shiftright("_at", 33)).drop("_row"), "ranked")
+    counts = placed.groupBy(by, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = F.coalesce(F.sum("_n").over(Window.partitionBy(by).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    starts = counts.select(F.col(by).alias("_by"), F.col("_part").alias("_of"), (before - F.col("_first")).alias("_move"))
+    both = placed.join(starts, F.col(by).eqNullSafe(F.col("_by")) & (F.col("_part") == F.col("_of")))
+    return both.withColumn("rank", F.col("_at") + F.col("_move") + 1).drop("_by", "_of", "_move", "_at", "_part")
+
+
+def payload(source: DataFrame, chosen: DataFrame, key: str, max_bytes: int = 64 << 20) -> DataFrame:
     """The rows of ``source``, with all their columns, that ``chosen`` (key, and what it adds) names. A draw needs
-    keys alone; the rest of a row is read for those that it chose."""
-    few = chosen.select(key).limit(max_rows + 1).count() <= max_rows
+    keys alone; the rest of a row is read for those that it chose. ``chosen`` is evaluated once, into a table, and
+    broadcast if its rows, by the length of their JSON, have at most ``max_bytes``; else rows are joined by a shuffle."""
     extra = [c for c in chosen.columns if c == key or c not in source.columns]
-    return source.join(F.broadcast(chosen.select(*extra)) if few else chosen.select(*extra), key)
+    keys = work.written(chosen.select(*extra), "chosen")
+    size = keys.agg(F.sum(F.octet_length(F.to_json(F.struct(*extra))) + 16).alias("n")).first()["n"] or 0
+    return source.join(F.broadcast(keys) if size <= max_bytes else keys, key)
 
 
 def file_sample(files: DataFrame, by: str, name: str, path: str, k: int, seed: int = 42) -> DataFrame:
@@ -130,9 +131,13 @@ def file_sample(files: DataFrame, by: str, name: str, path: str, k: int, seed: i
     return draw(files, by, path, k, seed).withColumn("rank", F.row_number().over(order))
 
 
+#: A manifest's order: real before others, each by its place in the source.
+ORDER = ["label_id", "source_original_index"]
+
+
 def ordered(sample: DataFrame) -> DataFrame:
-    """A manifest as it is written: real before others, each by its place in the source."""
-    return sample.orderBy("label_id", "source_original_index", "id")
+    """A manifest as it is written."""
+    return sample.orderBy(*ORDER, "id")
 
 
 def draw_summary(sample: DataFrame) -> DataFrame:
@@ -171,13 +176,13 @@ def until_complete(rows: DataFrame, by: str, order: str, k: int, classes: list[s
     return rows.join(F.broadcast(full)).where(F.col("cutoff").isNull() | (F.col(order) <= F.col("cutoff"))).drop("cutoff")
 
 
-def manifest(sample: DataFrame, label: str, order: str, path: Column, source: Column) -> DataFrame:
+def manifest(sample: DataFrame, label: str, order: str, path: Column, source: Column, prefixes: tuple[str, str] = labels.ID_PREFIXES) -> DataFrame:
     """id, image_path, label, label_id, source_dataset and source_original_index of sampled rows:
-    ids by rank in ``order`` within the label."""
+    ids by rank in ``order`` within the label, after one of ``prefixes``."""
     rank = F.row_number().over(Window.partitionBy(label).orderBy(order))
     rows = sample.withColumn("_rank", rank)
     return rows.select(
-        labels.sample_id(F.col(label), F.col("_rank")).alias("id"),
+        labels.sample_id(F.col(label), F.col("_rank"), prefixes).alias("id"),
         path.alias("image_path"),
         F.col(label).alias("label"),
         F.when(F.col(label) == "REAL", 0).otherwise(1).alias("label_id"),
@@ -186,16 +191,16 @@ def manifest(sample: DataFrame, label: str, order: str, path: Column, source: Co
     )
 
 
-def with_metadata(rows: DataFrame, metadata: DataFrame, order: str) -> DataFrame:
-    """``rows`` with what ``metadata`` has for their image_path; of several rows the last counts.
-    Values of rows that metadata doesn't have stay."""
+def with_metadata(rows: DataFrame, metadata: DataFrame, order: str, root: str = "/") -> DataFrame:
+    """``rows`` with what ``metadata`` has for their image_path; of several rows the last counts. Paths are compared as
+    ``paths.resolved`` makes them, relative ones below ``root``; metadata without a path says nothing. Values of rows
+    that metadata doesn't have stay."""
     extra = [c for c in metadata.columns if c not in ("image_path", order)]
-    last = Window.partitionBy("image_path").orderBy(F.desc(order))
-    one = metadata.withColumn("_n", F.row_number().over(last)).where("_n = 1")
-    one = one.select("image_path", *[F.col(c).alias(f"_{c}") for c in extra])
-    joined = rows.join(one, "image_path", "left")
+    named = metadata.where(F.col("image_path") != "").withColumn("_key", paths.resolved(F.col("image_path"), root))
+    one = named.groupBy("_key").agg(F.max_by(F.struct(*[F.col(c).alias(f"_{c}") for c in extra]), order).alias("_last"))
+    joined = rows.withColumn("_key", paths.resolved(F.col("image_path"), root)).join(one, "_key", "left").select("*", "_last.*")
     kept = {c: F.coalesce(f"_{c}", c) if c in rows.columns else F.col(f"_{c}") for c in extra}
-    return joined.withColumns(kept).drop(*[f"_{c}" for c in extra])
+    return joined.withColumns(kept).drop("_key", "_last", *[f"_{c}" for c in extra])
 
 
 def shuffled(rows: DataFrame, seed: int, key: str = "id") -> DataFrame:

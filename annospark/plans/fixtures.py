@@ -38,13 +38,22 @@ STAGE1_RAW = """
 """
 
 
+def _escaped(text: str) -> str:
+    """A text as it stands inside of a JSON string; the given texts have no other control characters."""
+    for code, letter in ((92, "chr(92)"), (34, "chr(34)"), (10, "'n'"), (9, "'t'"), (13, "'r'")):
+        text = f"replace({text}, chr({code}), concat(chr(92), {letter}))"
+    return text
+
+
 def _stage2_raw() -> str:
     d, id_ = "doc_id % 13", "cast(floor(doc_id / 3) AS bigint)"
     fake = f"{id_} % 2 = 1"
     items = []
     for i, name in enumerate(CRITERIA):
         shown = f"CASE WHEN {d} = 3 THEN 'Wrong' ELSE '{name}' END" if i == 2 else f"'{name}'"
-        evidence = "concat('Region ', cast(n_chars AS varchar(20)), ' shows ', lang, ' cues')"
+        # The first criterion's evidence holds the document's whole text.
+        said = _escaped("text") if i == 0 else "lang"
+        evidence = f"concat('Region ', cast(n_chars AS varchar(20)), ' shows ', {said}, ' cues')"
         evidence = f"CASE WHEN {d} = 8 THEN ' ' ELSE {evidence} END" if i == 4 else evidence
         score = f"CASE WHEN {fake} AND {d} <> 7 AND (doc_id + {i}) % 5 = 0 THEN '1' ELSE '0' END"
         if i == 1:

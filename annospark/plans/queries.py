@@ -2,16 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from annospark.functions import judgement, labels, responses, text
 from annospark.operators import annotate, judge, paths, payloads, profile, sampling
 from annospark.plans import fixtures as fx
 from annospark.plans.fixtures import frame
-from annospark.sources import io
+from annospark.sources import io, work
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -94,6 +95,8 @@ def label_to_int(spark, sf_dir):
     return rows.select("global_index", labels.number(F.col("raw_label")).alias("number"), labels.first_number(rows.columns).alias("either"))
 
 
+#: What ids of the two classes begin with.
+PREFIXES = ("sidset_real_", "sidset_fake_")
 _SAMPLE = "CASE {label} WHEN 'REAL' THEN 'sidset_real_' ELSE 'sidset_fake_' END || printf('%06d', {rank})"
 
 
@@ -104,7 +107,7 @@ def make_ids(spark, sf_dir):
     rows = sampling.ranked(_src(spark, sf_dir).where("label is not null"), "label", "global_index")
     stem = F.when(F.col("global_index") % 2 == 0, F.concat(F.lit("sidset_real_"), F.format_string("%06d", "global_index"), F.lit(".jpg"))).otherwise("x.jpg")
     label, rank = F.col("label"), F.col("rank")
-    return rows.select("global_index", labels.sample_id(label, rank).alias("id"), labels.sample_id(label, rank * 100000).alias("long_id"), labels.kept_or_ranked_id(stem, label, rank).alias("kept_id"))
+    return rows.select("global_index", labels.sample_id(label, rank, PREFIXES).alias("id"), labels.sample_id(label, rank * 100000, PREFIXES).alias("long_id"), labels.kept_or_ranked_id(stem, label, rank, PREFIXES).alias("kept_id"))
 
 
 # Draws and counts -----------------------------------------------------------------------------------
@@ -151,13 +154,28 @@ def gate_violations(spark, sf_dir):
     return sampling.gate_violations(_src(spark, sf_dir), "raw_label", "category", "label", 200)
 
 
+@query(f"""{_SRC}, k AS (SELECT raw_label, CASE WHEN raw_label = 'REAL' AND global_index % 2 = 0 THEN 'synthetic' ELSE category END AS kind, CASE WHEN {_BINARY} = 'REAL' THEN 'REAL' ELSE 'AI-GENERATED' END AS label FROM labelled)
+    SELECT 'two_categories' AS gate, raw_label AS value, count(DISTINCT kind) AS n FROM k GROUP BY 2 HAVING count(DISTINCT kind) > 1
+    UNION ALL SELECT 'unknown_label', coalesce(raw_label, 'null'), count(*) FROM k WHERE kind IS NULL GROUP BY 2""")
+def gate_two_categories(spark, sf_dir):
+    mixed = F.when((F.col("raw_label") == "REAL") & (F.col("global_index") % 2 == 0), "synthetic").otherwise(F.col("category"))
+    rows = _src(spark, sf_dir).withColumn("kind", mixed).withColumn("label", F.when(F.col("label") == "REAL", "REAL").otherwise("AI-GENERATED"))
+    return sampling.gate_violations(rows, "raw_label", "kind", "label", 0)
+
+
+@query(f"""{_SRC} SELECT label, global_index FROM (SELECT global_index, {_BINARY} AS label, row_number() OVER (PARTITION BY {_BINARY} ORDER BY {_PRIORITY.format(c='global_index')} DESC, global_index) AS p FROM labelled WHERE {_BINARY} IS NOT NULL) WHERE p <= 110""")
+def pool_draw(spark, sf_dir):
+    """A pool that leaves room for unreadable rows: for a quota of 10."""
+    return sampling.draw(_src(spark, sf_dir).where("label is not null"), "label", "global_index", sampling.pool_size(10), SEED).select("label", "global_index")
+
+
 _DRAWN = f"drawn AS (SELECT * FROM (SELECT *, {_BINARY} AS label, row_number() OVER (PARTITION BY {_BINARY} ORDER BY {_PRIORITY.format(c='global_index')} DESC, global_index) AS p FROM labelled WHERE {_BINARY} IS NOT NULL) WHERE p <= {QUOTA})"
 
 
 def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     drawn = sampling.draw(_src(spark, sf_dir).where("label is not null"), "label", "global_index", QUOTA, SEED)
     path = F.concat(F.lit("/images/"), F.col("global_index").cast("string"), F.lit(".jpg"))
-    return sampling.manifest(drawn, "label", "global_index", path, F.col("source"))
+    return sampling.manifest(drawn, "label", "global_index", path, F.col("source"), PREFIXES)
 
 
 @query(f"""{_SRC}, {_DRAWN}, m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY global_index) AS r FROM drawn)
@@ -166,8 +184,10 @@ def _manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def manifest(spark, sf_dir):
     path = F.concat(F.lit("/images/"), F.col("global_index").cast("string"), F.lit(".jpg"))
     rows = _manifest(spark, sf_dir)
-    extra = _src(spark, sf_dir).where("global_index % 3 = 0").select(path.alias("image_path"), F.concat(F.lit("extra-"), "split").alias("source_dataset"), "global_index")
-    return sampling.with_metadata(rows, extra, "global_index")
+    # Metadata names the same files by other spellings.
+    other = F.concat(F.lit("up/.././"), F.col("global_index").cast("string"), F.lit(".jpg"))
+    extra = _src(spark, sf_dir).where("global_index % 3 = 0").select(F.when(F.col("global_index") % 2 == 0, other).otherwise(path).alias("image_path"), F.concat(F.lit("extra-"), "split").alias("source_dataset"), "global_index")
+    return sampling.with_metadata(rows, extra, "global_index", "/images")
 
 
 @query(f"""{_SRC}, pool AS (SELECT *, category <> 'real' AND category IS NOT NULL AS use_it, n_chars % 4 <> 0 AS ok, CASE category WHEN 'synthetic' THEN 0 ELSE 1 END AS pref, {_PRIORITY.format(c='global_index')} AS p FROM labelled WHERE category IN ('synthetic', 'tampered'))
@@ -212,9 +232,8 @@ def selected_payload(spark, sf_dir):
 @query(f"""{_SRC}, {_DRAWN}, m AS (SELECT *, row_number() OVER (PARTITION BY label ORDER BY global_index) AS r FROM drawn)
     SELECT row_number() OVER (ORDER BY label <> 'REAL', global_index) - 1 AS place, {_SAMPLE.format(label='label', rank='r')} AS id FROM m""")
 def output_order(spark, sf_dir):
-    rows = sampling.ordered(_manifest(spark, sf_dir)).select("id")
-    # The order of a manifest, one row for each of the drawn samples.
-    return rows.withColumn("place", F.monotonically_increasing_id()).withColumn("place", F.row_number().over(Window.orderBy("place")).cast("long") - 1)
+    rows = _manifest(spark, sf_dir).select("id", F.struct(*sampling.ORDER).alias("order"), F.lit("all").alias("all"))
+    return sampling.ranked(rows, "all", "order", "id").select((F.col("rank") - 1).alias("place"), "id")
 
 
 @query(f"""{_SRC}, {_DRAWN} SELECT count(*) AS n, count(*) FILTER (label = 'REAL') AS n_real, count(*) FILTER (label <> 'REAL') AS n_fake, count(DISTINCT source) AS n_sources,
@@ -311,6 +330,26 @@ def stage1_assemble(spark, sf_dir):
     return done.select("id", "attempt", *[F.col(f"stage1.prompt{k}.output").alias(f"o{k}") for k in (1, 2, 3)])
 
 
+@query(f"""{_TEXT} SELECT id, prompt_id, attempt, raw_text FROM e WHERE len(errors) = 0 QUALIFY row_number() OVER (PARTITION BY id, prompt_id ORDER BY attempt DESC, md5(raw_text) DESC) = 1""")
+def stage1_last_valid(spark, sf_dir):
+    return annotate.chosen(_stage1(spark, sf_dir), "last").select("id", "prompt_id", "attempt", "raw_text")
+
+
+@query(f"""WITH m AS ({fx.STAGE1_MANIFEST}) SELECT id, 'prompt' || k AS prompt_id, 'Look closely. Given label: ' || label || '. Section ' || k || '.' AS prompt FROM m, (VALUES (1), (2), (3)) t(k)""")
+def rewritten_prompts(spark, sf_dir):
+    prompts = annotate.rewritten(annotate.prompt_dim(spark, TEMPLATES), "Look closely. ", {"Ground truth": "Given label", "Part": "Section"})
+    return annotate.fan_out(frame(spark, sf_dir, fx.STAGE1_MANIFEST), prompts).select("id", "prompt_id", "prompt")
+
+
+_LISTED = "SELECT concat('/images/', cast(cast(floor(doc_id / 3) AS bigint) AS varchar(20)), '.jpg') AS path FROM documents WHERE doc_id % 5 <> 0 AND doc_id % 3 = 1"
+
+
+@query(f"""WITH m AS ({fx.MANIFEST}), f AS ({_LISTED}) SELECT id, 'image_not_found' AS errors FROM m WHERE image_path NOT IN (SELECT path FROM f)""")
+def missing_images(spark, sf_dir):
+    gone = annotate.missing_images(frame(spark, sf_dir, fx.MANIFEST), frame(spark, sf_dir, _LISTED))
+    return gone.select("id", F.array_join("validation_errors", ";").alias("errors"))
+
+
 _PLAN = """, m AS ({m}), pairs AS (SELECT id, label, 'prompt' || k AS prompt_id, k FROM m, (VALUES (1), (2), (3)) t(k))"""
 
 
@@ -350,12 +389,28 @@ def annotate_stub(spark, sf_dir):
 # Judgements -----------------------------------------------------------------------------------------
 
 
+# Fixed values once more: what the SQL expects to be asked, and the keys and criteria.
+_QUESTION = "<image>\nIs this image real or generated by AI? Please analyze visual forensic evidence and output the structured JSON judgment."
+_RETRY_SUFFIX = "\n\nReturn only the JSON object, complete and with the exact keys and order."
+_TOP_KEYS = ["per_criterion", "overall_likelihood"]
+_CRITERIA = [
+    "Lighting & Shadows Consistency",
+    "Edges & Boundaries",
+    "Texture & Resolution",
+    "Perspective & Spatial Relationships",
+    "Physical & Common Sense Logic",
+    "Text & Symbols",
+    "Human & Biological Structure Integrity",
+    "Material & Object Details",
+]
+
+
 def _judged(raw: str, label: str) -> str:
     """DuckDB expression of the error list; json_valid has been checked where the paths are read."""
     j = f"CASE WHEN json_valid({raw}) THEN {raw} ELSE '{{}}' END"
     n = f"json_array_length({j}, '$.per_criterion')"
-    rules = [f"CASE WHEN json_keys({j}) <> {_in(judgement.TOP_KEYS).replace('(', '[').replace(')', ']')} THEN 'top_level_keys_or_order_invalid' END"]
-    for i, name in enumerate(judgement.CRITERIA):
+    rules = [f"CASE WHEN json_keys({j}) <> {_in(_TOP_KEYS).replace('(', '[').replace(')', ']')} THEN 'top_level_keys_or_order_invalid' END"]
+    for i, name in enumerate(_CRITERIA):
         at, p = f"$.per_criterion[{i}]", f"per_criterion[{i}]_"
         score = f"json_type({j}, '{at}.\"aigc score\"')"
         rules += [
@@ -463,7 +518,7 @@ def render_stage2_prompt(spark, sf_dir):
 _LEFT = f"{_JUDGED}, {_STAGE1_DONE}, good AS (SELECT DISTINCT id FROM v WHERE len(errors) = 0 AND coalesce(error, '') = ''), nxt AS (SELECT id, max(attempt) + 1 AS a FROM raw WHERE id <> 'x' GROUP BY id)"
 
 
-@query(f"""{_LEFT} SELECT id, label, coalesce(a, 0) AS attempt, {_RENDER} || CASE WHEN coalesce(a, 0) > 0 THEN '{judge.RETRY_SUFFIX}' ELSE '' END AS prompt FROM done ANTI JOIN good USING (id) LEFT JOIN nxt USING (id) WHERE coalesce(a, 0) < 3""")
+@query(f"""{_LEFT} SELECT id, label, coalesce(a, 0) AS attempt, {_RENDER} || CASE WHEN coalesce(a, 0) > 0 THEN '{_RETRY_SUFFIX}' ELSE '' END AS prompt FROM done ANTI JOIN good USING (id) LEFT JOIN nxt USING (id) WHERE coalesce(a, 0) < 3""")
 def stage2_plan(spark, sf_dir):
     return judge.work_list(_stage1_done(spark, sf_dir), frame(spark, sf_dir, fx.STAGE2_RAW), JUDGE_TEMPLATE)
 
@@ -485,13 +540,33 @@ def _sft(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge.sft_rows(stage2, _stage1_done(spark, sf_dir), frame(spark, sf_dir, fx.MANIFEST), "generator")
 
 
-@query(f"""{_SFT} SELECT id, image, label, '{judge.QUESTION}' AS user_content, raw_text AS assistant_content, o1, o2, o3, CASE WHEN attempt = 0 THEN 'generator' ELSE 'm' || attempt END AS generator_model, 'xhigh' AS reasoning_effort FROM t WHERE skip IS NULL""")
+@query(f"""{_SFT} SELECT id, image, label, '{_QUESTION}' AS user_content, raw_text AS assistant_content, o1, o2, o3, CASE WHEN attempt = 0 THEN 'generator' ELSE 'm' || attempt END AS generator_model, 'xhigh' AS reasoning_effort FROM t WHERE skip IS NULL""")
 def sft_build(spark, sf_dir):
     rows = _sft(spark, sf_dir).where("skip is null")
     outputs = [F.col(f"stage1_outputs.prompt{k}").alias(f"o{k}") for k in (1, 2, 3)]
     return rows.select("id", "image", "label", F.col("messages")[0]["content"].alias("user_content"), F.col("messages")[1]["content"].alias("assistant_content"), *outputs, "generator_model", "reasoning_effort")
 
 
+@query(f"""{_SFT} SELECT id, raw_text AS assistant_content FROM t WHERE skip IS NULL""")
+def sft_from_structs(spark, sf_dir):
+    """Records whose judgements are given as structs, not as texts."""
+    best = judge.best_attempts(_stage2(spark, sf_dir)).where("valid")
+    shape = "struct<per_criterion:array<struct<criterion:string,evidence:string,`aigc score`:int>>,overall_likelihood:string>"
+    stage2 = best.select("id", "label", F.lit("/raw").alias("image_path"), F.from_json("raw_text", shape).alias("stage2_json"))
+    rows = judge.sft_rows(stage2, _stage1_done(spark, sf_dir), frame(spark, sf_dir, fx.MANIFEST), "generator").where("skip is null")
+    return rows.select("id", F.col("messages")[1]["content"].alias("assistant_content"))
+
+
+@query(f"""WITH raw AS ({fx.STAGE2_RAW}) SELECT id, attempt, raw_text FROM raw WHERE attempt <> 1 UNION ALL SELECT id, attempt, '{{"per_criterion":null,"overall_likelihood":"Real"}}' FROM raw WHERE attempt = 1""")
+def attempts_fallback(spark, sf_dir):
+    """Without a log, what was found valid before is taken: texts, structs, or the raw answers."""
+    raw = frame(spark, sf_dir, fx.STAGE2_RAW)
+    shape = "struct<per_criterion:array<string>,overall_likelihood:string>"
+    struct = F.from_json(F.when(F.col("attempt") == 1, '{"overall_likelihood":"Real"}'), shape)
+    valid = raw.select("id", "attempt", F.when(F.col("attempt") == 0, F.col("raw_text")).alias("stage2_json_string"), struct.alias("stage2_json"), "raw_text")
+    return judge.source_of_attempts(raw.limit(0), valid).select("id", "attempt", "raw_text")
+
+
 @query(f"{_SFT} SELECT id, array_to_string(skip, ';') AS errors FROM t WHERE skip IS NOT NULL")
 def sft_skips(spark, sf_dir):
     return _sft(spark, sf_dir).where("skip is not null").select("id", _codes("skip"))
@@ -617,3 +692,20 @@ def payload_forms(spark, sf_dir):
 def payload_verify(spark, sf_dir):
     rows = frame(spark, sf_dir, fx.PAYLOADS).select("page_id", F.unhex("content").alias("content"))
     return payloads.verified(rows).select("page_id", "format", "width", "height", "mode", "reason")
+
+
+@query("""SELECT split, doc_id FROM (SELECT 'labels' AS split, doc_id, row_number() OVER (ORDER BY doc_id) AS i FROM labels UNION ALL SELECT 'documents', doc_id, row_number() OVER (ORDER BY doc_id) FROM documents) WHERE i <= 100""")
+def quick_scan(spark, sf_dir):
+    """The first 100 rows of each split, which is what a quick scan is."""
+    rows = io.read_splits(spark, {t: f"{sf_dir}/{t}.parquet" for t in ("labels", "documents")}, ["doc_id"])
+    return io.quick_scan(rows, 100).select("split", "doc_id")
+
+
+@query("""SELECT '{"doc_id":' || doc_id || ',"lang":"' || lang || '","quality":' || coalesce(cast(quality AS varchar), 'null') || '}' AS value FROM documents LEFT JOIN labels USING (doc_id)""")
+def jsonl_written(spark, sf_dir):
+    """Lines as they are written, keys that are null kept."""
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "lang")
+    rows = docs.join(spark.read.parquet(f"{sf_dir}/labels.parquet").select("doc_id", "quality"), "doc_id", "left")
+    path = f"{work.folder(spark)}/lines-{uuid.uuid4().hex}"
+    io.write_jsonl(rows, path)
+    return spark.read.text(path)

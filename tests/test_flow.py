@@ -160,11 +160,16 @@ def test_ranks_payloads_and_files(spark):
     rows = spark.range(3000).select((F.col("id") % 3).cast("string").alias("c"), F.pmod(F.hash("id"), F.lit(500)).cast("long").alias("o"), "id")
     rows = rows.withColumn("c", F.when(F.col("c") != "2", F.col("c"))).withColumn("o", F.when(F.col("id") % 50 != 0, F.col("o")))
     found = {}
-    for r in sampling.ranked(rows, "c", "o", 20).collect():
-        found.setdefault(r.c, []).append((r["rank"], r.o))
+    for r in sampling.ranked(rows, "c", "o", "id").collect():
+        found.setdefault(r.c, []).append((r["rank"], r.o, r.id))
     for c, own in found.items():
         own.sort()
+        assert [i for _, _, i in own] == [i for _, i in sorted(((o is not None, o or 0), i) for _, o, i in own)]
+        own = [(k, o) for k, o, _ in own]
         assert [k for k, _ in own] == list(range(1, 1001)) and [o for _, o in own] == sorted((o for _, o in own), key=lambda o: (o is not None, o))
+    # One value and one class for all rows: still many ranges, and each place once.
+    hot = spark.range(5000).repartition(7).select(F.lit(1).alias("o"), F.lit("c").alias("c"))
+    assert sorted(r["rank"] for r in sampling.ranked(hot, "c", "o").collect()) == list(range(1, 5001))
     source = rows.withColumn("text", F.repeat(F.lit("x"), 50))
     chosen = spark.createDataFrame([(5, 1), (7, 2)], "id long, rank int")
     for most in (10, 1):
@@ -183,3 +188,13 @@ def test_path_gates(spark):
     assert {(r.gate, r.value) for r in none} == {("missing_class_folder", "real"), ("missing_class_folder", "fake")}
     with pytest.raises(ValueError):
         sampling.strict(paths.gate_violations(files))
+
+
+def test_resolved_paths(spark):
+    given = ["a/./b//c.jpg", "/x/../y/a.png", "../../a", "s3://bucket/k/../a.jpg", "file:///t/a", "/", "", None]
+    rows = spark.createDataFrame([(g,) for g in given], "p string")
+    assert [r[0] for r in rows.select(paths.resolved(F.col("p"), "/root/in")).collect()] == ["/root/in/a/b/c.jpg", "/y/a.png", "/a", "s3://bucket/a.jpg", "file:/t/a", "/", "/root/in", None]
+    manifest = spark.createDataFrame([("/i/1.jpg", "own"), ("/i/2.jpg", "own"), (None, "own")], "image_path string, source string")
+    metadata = spark.createDataFrame([("x/../1.jpg", "first", 1), ("/i/1.jpg", None, 2), ("2.jpg", "new", 1), ("", "none", 3), (None, "none", 4)], "image_path string, source string, n int")
+    found = sampling.with_metadata(manifest, metadata, "n", "/i").orderBy("image_path").collect()
+    assert [tuple(r) for r in found] == [(None, "own"), ("/i/1.jpg", "own"), ("/i/2.jpg", "new")]

@@ -59,7 +59,9 @@ def test_labels(spark):
     assert column(spark, given, labels.category) == ["real", None, "synthetic", "synthetic", "real", None, None, "real", None]
     assert column(spark, given, labels.representative) == ["real", None, "ai_generated", "full_synthetic", "real", None, None, "genuine", None]
     assert column(spark, ["0", " Full Synthetic", "tampered", "true", "3"], labels.number) == [0, 1, 2, None, None]
-    assert column(spark, [1, 1234567], lambda c: labels.sample_id(F.lit("REAL"), c), "int") == ["sidset_real_000001", "sidset_real_1234567"]
+    assert column(spark, [1, 1234567], lambda c: labels.sample_id(F.lit("REAL"), c, ("own_", "")), "int") == ["own_000001", "own_1234567"]
+    assert column(spark, [7], lambda c: labels.sample_id(F.lit("AI-GENERATED"), c), "int") == ["fake_000007"]
+    assert column(spark, [-1, 2, 7, None], lambda c: labels.number(c, whole=True), "int") == [-1, 2, 7, None]
     assert column(spark, ["a.PNG?x=1", "a.png.txt", "b.jpeg"], labels.image_like) == [True, False, True]
     url = column(spark, [b"\x00" * 100], lambda c: labels.data_url(F.lit("x.JPG"), c), "binary")[0]
     assert url.startswith("data:image/jpeg;base64,AAAA") and "\r" not in url and "\n" not in url
