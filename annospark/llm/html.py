@@ -4,7 +4,7 @@ A host's reference is a tree of all slots (places in the tree) that enough of it
 merged, by simple tree matching, from pages chosen so that each such slot is in one of them; null, empty
 and odd pages have no say. Every page's DOM tree is aligned with the reference by simple tree matching.
 Over all pages of the host it is counted how often a node of the reference has the same text: a block
-whose text nearly all pages share, copies of a page counted once, is template; the others are slots. A slot that holds
+whose text nearly all pages share, copies of a page counted once, is template, unless it lies in an article or main element, which are kept whole; the others are slots. A slot that holds
 nothing but links on nearly all pages is a menu, whatever it is called. Of each page the slots of the article are kept, without what the markup itself names
 as something else (menus, headers, footers, sidebars, notices, adverts, forms, scripts, comments); a class
 or id does so only by a whole token, on a slot of the wrapper, and never for what holds the article.
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from annospark.llm.scratch import small, stored
+from annospark.llm.scratch import scoped, small, stored
 
 #: A text is template if this share of the different pages with the node have it, and so many at least:
 #: of pages whose longest other text differs, or of pages that differ at all, near copies included.
@@ -77,20 +77,25 @@ class Node:
 
 
 def parse(html: str) -> Node:
+    """The tree of a page. The places of open elements are kept by tag, so the time is linear in the page, whatever its depth."""
     root = Node("#")
     stack, at = [root], 0
+    open_: dict[str, list[int]] = {}
 
     def add(text: str) -> None:
         if text:
             stack[-1].children.append(unescape(text) if "&" in text else text)
 
-    def close(tags: set[str], scope: set[str]) -> None:
-        for k in range(len(stack) - 1, 0, -1):
-            if stack[k].tag in tags:
-                del stack[k:]
-                return
-            if stack[k].tag in scope:
-                return
+    def last(tags) -> int:
+        return max([open_[t][-1] for t in tags if open_.get(t)], default=0)
+
+    def close(tags, scope=()) -> None:
+        """Close the innermost element of ``tags``, unless one of ``scope`` lies inside of it."""
+        k = last(tags)
+        if k and k >= last(scope):
+            for x in stack[k:]:
+                open_[x.tag].pop()
+            del stack[k:]
 
     while m := _TOKEN.search(html, at):
         add(html[at : m.start()])
@@ -99,13 +104,13 @@ def parse(html: str) -> Node:
             continue
         tag = m[2].lower()
         if m[1]:
-            if any(x.tag == tag for x in stack):
-                close({tag}, set())
+            if open_.get(tag):
+                close((tag,))
             elif tag == "p":
                 stack[-1].children.append(Node("p"))
             continue
         if tag in CLOSES_P:
-            close({"p"}, {"td", "th", "button", "object", "table"})
+            close(("p",), ("td", "th", "button", "object", "table"))
         if tag in SIBLINGS:
             close(SIBLINGS[tag], SCOPES[tag])
         names = " ".join(f"{k.lower()}={v.strip(chr(34) + chr(39))}" for k, v in _NAMED.findall(m[3])) if m[3] else ""
@@ -115,6 +120,7 @@ def parse(html: str) -> Node:
             end = re.compile(f"</{re.escape(tag)}(?=[\\s/>])[^>]*>?", re.I).search(html, at)
             at = end.end() if end else len(html)
         elif tag not in VOID:
+            open_.setdefault(tag, []).append(len(stack))
             stack.append(node)
     add(html[at:])
     return root
@@ -529,11 +535,13 @@ def _extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             root = parse(html.as_py())
             nodes, constant = prepared(root), set()
             pairs = matched(root, reference(other.as_py())) if other.is_valid else {}
+            own = _articles(nodes)
+            # What an article holds is article, constant or not.
+            free = [(i, j) for i, j in pairs.items() if nodes[i].tag in BLOCK and not any(lo <= i < hi for lo, hi in own)]
             if known := {(t["node"], t["text"]) for t in template.as_py() or ()}:
-                constant = {i for i, j in pairs.items() if nodes[i].tag in BLOCK and (j, _digest(nodes[i].text)) in known}
+                constant = {i for i, j in free if (j, _digest(nodes[i].text)) in known}
             if linked := set(menus.as_py() or ()):
-                own = _articles(nodes)
-                constant |= {i for i, j in pairs.items() if j in linked and _slot(nodes[i]) and not any(lo <= i < hi for lo, hi in own)}
+                constant |= {i for i, j in free if j in linked and _slot(nodes[i])}
             texts.append(article(nodes, constant, pairs.keys()))
             left_out.append(len(constant))
         columns = [batch["page_id"], batch["url"], pa.array(texts, pa.string()), pa.array(left_out, pa.int32())]
@@ -578,6 +586,7 @@ def wrappers(pages: DataFrame) -> DataFrame:
     return stored(trees.join(template, "host", "left").join(menus, "host", "left"), "wrappers")
 
 
+@scoped
 def extract(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars (code points), n_template of every row of ``pages``. n_template counts the
     blocks that the wrapper takes for template or menus; 0 also tells a page without a wrapper, where markup alone decides.

@@ -31,7 +31,7 @@ def page(k, main, extra=""):
 def test_wrappers_and_broken_pages(spark):
     rows = []
     for k in range(20):
-        # What all pages have (Read & share this, more, y) is template.
+        # What all pages have inside of main (Read & share this, more, y) stays.
         main = f"<h2>Title {k}</h2><p>Read &amp; share\n this</p><p>own <b>te</b>xt {k}<br>line<p>more<table><tr><td>x {k}<td>y</table><div class='AdBox ad'>buy</div>"
         rows.append((k, f"https://One.example/{k}", page(k, main), "x"))
     for k in range(12):  # copies of one page are no template
@@ -41,7 +41,7 @@ def test_wrappers_and_broken_pages(spark):
     out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string, host string")).collect()}
     assert len(out) == len(rows)
     for k in range(20):
-        assert out[k] == f"Title {k}\n\nown text {k} line\n\nx {k}"
+        assert out[k] == f"Title {k}\n\nRead & share this\n\nown text {k} line\n\nmore\n\nx {k}\n\ny"
     assert all(out[100 + k] == "same text" for k in range(12))
     assert [out[200 + i] for i in range(8)] == ["", "", "no tags <b>", "cut", "", "", "q", "a\n\nb\n\nc"]
     assert len(out[208]) == 200_000 and out[209] == "deep"
@@ -56,7 +56,7 @@ def test_reference_from_all_pages(spark):
     rows += [(60 + k, "http://a.example/x", f"<body><section><div><h2>Head x{k}</h2><div>Call us</div><p>text {k}</div><div class=late>Since May</div></section>") for k in range(12)]
     out = {r.page_id: r.text for r in html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
     for k in range(26):
-        want = f"own {k}" if k % 2 else f"Head {k}\n\ntext {k}"
+        want = f"Read on\n\nown {k}" if k % 2 else f"Head {k}\n\ntext {k}"
         assert out[10 + k] == want
     assert [out[60 + k] for k in range(12)] == [f"Head x{k}\n\ntext {k}" for k in range(12)]
     assert out[None] == out[2] == "" and out[1] == "cut"
@@ -139,5 +139,34 @@ def test_matching_of_long_and_deep_trees():
     assert len(html.matched(a, b)) == 903
 
 
+def test_constants_of_articles_stay(spark):
+    rows = [(k, f"http://s.example/{k}", f"<body><div>Menu of us</div><article><h2>Summary</h2><p>own text {k}</p><p>Read on below.</p></article>") for k in range(15)]
+    out = html.extract(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()
+    assert {r.text for r in out} == {f"Summary\n\nown text {k}\n\nRead on below." for k in range(15)}
+
+
+def test_depth_takes_linear_time():
+    import time
+
+    for page in ("<b><i>" * 20_000 + "</u></em>" * 20_000, "<p><button>" + "<div>" * 20_000, "<ul><li>" * 20_000 + "</ul>" * 20_000, "<div>" * 20_000 + "</div>" * 20_000 + "x"):
+        began = time.thread_time()
+        html.parse(page)
+        assert time.thread_time() - began < 2
+
+
+def test_wrapper_decides_on_given_pages(spark, monkeypatch):
+    """The given pages, their article elements made plain ones: the wrapper finds most articles, markup alone few."""
+    pages = spark.read.parquet("/root/testdata/sf0.01/pages.parquet")
+    want = {r.page_id: plain(r.html) for r in pages.collect()}
+    df = pages.selectExpr("page_id", "url", "regexp_replace(html, '<(/?)article>', '<$1div>') html").coalesce(4)
+    same = lambda: sum(r.text == want[r.page_id] for r in html.extract(df).collect()) / len(want)
+    whole = same()
+    monkeypatch.setattr(html, "LEAST_PAGES", 10**6)
+    monkeypatch.setattr(html, "LEAST_COPIES", 10**6)
+    alone = same()
+    print(whole, alone)
+    assert whole >= 0.9 > alone
+
+
 def test_empty(spark):
     assert html.extract(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
