@@ -2,13 +2,15 @@
 
 A table is written once as Parquet to the folder that ``spark.checkpoint.dir`` names, which all
 executors share, and read back; later stages then depend on files instead of on shuffle output. Tables that
-are written inside of a scope go when it ends.
+are written inside of a scope go when it ends. Scopes belong to the thread that opens them, so operators in several
+threads of a session do not remove each other's tables.
 """
 
 from __future__ import annotations
 
 import functools
 import tempfile
+import threading
 import uuid
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
@@ -18,7 +20,16 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _BATCH, BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch", str(8 << 20)
-_scopes: list[set[str]] = []
+
+
+class _Scopes(threading.local):
+    def __init__(self):
+        self.open: list[set[str]] = []
+
+
+_scopes = _Scopes()
+#: Jobs of all threads hand small batches to Python while a scope of any is open.
+_lock, _small_batches = threading.Lock(), {"open": 0, "before": None}
 _path: WeakKeyDictionary[DataFrame, str] = WeakKeyDictionary()
 
 
@@ -45,14 +56,21 @@ def _remove(spark: SparkSession, path: str) -> None:
 def scope(spark: SparkSession) -> Iterator[None]:
     """Tables that are stored inside are removed at the end. Jobs inside hand texts to Python in batches of at most
     ``BATCH_BYTES``, of which a task holds a few at a time."""
-    _scopes.append(set())
-    before = spark.conf.get(_BATCH, None)
-    spark.conf.set(_BATCH, BATCH_BYTES)
+    _scopes.open.append(set())
+    with _lock:
+        if not _small_batches["open"]:
+            _small_batches["before"] = spark.conf.get(_BATCH, None)
+            spark.conf.set(_BATCH, BATCH_BYTES)
+        _small_batches["open"] += 1
     try:
         yield
     finally:
-        spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
-        for path in _scopes.pop():
+        with _lock:
+            _small_batches["open"] -= 1
+            if not _small_batches["open"]:
+                before = _small_batches["before"]
+                spark.conf.set(_BATCH, before) if before else spark.conf.unset(_BATCH)
+        for path in _scopes.open.pop():
             _remove(spark, path)
 
 
@@ -70,9 +88,9 @@ def scoped(operator: Callable[..., DataFrame]) -> Callable[..., DataFrame]:
 
 def keep(table: DataFrame) -> DataFrame:
     """A stored table that outlives the scope and belongs to the one around it, if there is one."""
-    _scopes[-1].discard(_path[table])
-    if len(_scopes) > 1:
-        _scopes[-2].add(_path[table])
+    _scopes.open[-1].discard(_path[table])
+    if len(_scopes.open) > 1:
+        _scopes.open[-2].add(_path[table])
     return table
 
 
@@ -80,8 +98,8 @@ def stored(df: DataFrame, name: str = "table") -> DataFrame:
     """``df`` written to the shared folder and read back with the same schema."""
     spark = df.sparkSession
     path = f"{folder(spark)}/{name}-{uuid.uuid4().hex}"
-    if _scopes:
-        _scopes[-1].add(path)
+    if _scopes.open:
+        _scopes.open[-1].add(path)
     df.write.parquet(path)
     back = spark.read.schema(df.schema).parquet(path)
     _path[back] = path
@@ -93,7 +111,7 @@ def drop(*tables: DataFrame) -> None:
     for table in tables:
         path = _path.pop(table)
         _remove(table.sparkSession, path)
-        for scope_ in _scopes:
+        for scope_ in _scopes.open:
             scope_.discard(path)
 
 
