@@ -35,6 +35,11 @@ def op3_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return passages.repeated(table(spark, sf_dir, "documents")).drop("part")
 
 
+def repeated_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What lines, paragraphs and whole texts alone give, without passages."""
+    return passages.repeated(table(spark, sf_dir, "documents"), unit=None).drop("part")
+
+
 def op4_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return quality.scored(docs, quality.train(docs, table(spark, sf_dir, "labels")))
@@ -125,6 +130,7 @@ QUERIES = {
     "op1_decontaminate": op1_decontaminate,
     "op2_lines": op2_lines,
     "op3_passages": op3_passages,
+    "repeated_lines": repeated_lines,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
     "op6_chat": op6_chat,
@@ -207,6 +213,33 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, coalesce(len(l), 0)::BIGINT AS n_lines, count(line)::BIGINT AS n_removed, coalesce(string_agg(line::VARCHAR, ',' ORDER BY line), '') AS removed
         FROM text LEFT JOIN gone USING (doc_id) GROUP BY doc_id, l
     """,
+    "repeated_lines": """
+        WITH text AS (
+            SELECT doc_id, coalesce(text, '') AS t FROM documents WHERE doc_id IS NOT NULL
+        ), copy AS (
+            SELECT doc_id, t, min(doc_id) OVER (PARTITION BY t) AS kept FROM text
+        ), cut AS (
+            SELECT doc_id, unnest(string_split(t, chr(10))) AS l, generate_subscripts(string_split(t, chr(10)), 1) AS i FROM text
+        ), line AS (
+            SELECT doc_id, i, l, coalesce(sum(length(l) + 1) OVER (PARTITION BY doc_id ORDER BY i ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS pre,
+                regexp_extract_all(translate(l, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x20\\x09-\\x0D]+') AS w FROM cut
+        ), own AS (
+            SELECT doc_id, 'line' AS unit, pre + length(l) - length(ltrim(l, SPACE)) AS s, pre + length(rtrim(l, SPACE)) AS e, len(w)::BIGINT AS n,
+                array_to_string(w, ' ') AS k, i - row_number() OVER (PARTITION BY doc_id ORDER BY i) AS block FROM line WHERE len(w) > 0
+        ), unit AS (
+            SELECT doc_id, unit, s, e, n, k FROM own
+            UNION ALL
+            SELECT doc_id, 'paragraph', min(s), max(e), sum(n)::BIGINT, string_agg(k, ' ' ORDER BY s) FROM own GROUP BY doc_id, block HAVING count(*) > 1
+        ), later AS (
+            SELECT u.*, first FROM unit u JOIN (SELECT k, min({'d': doc_id, 's': s}) AS first FROM unit WHERE n >= 5 GROUP BY k HAVING count(*) > 1) USING (k)
+            WHERE n >= 5 AND {'d': doc_id, 's': s} <> first AND doc_id IN (SELECT doc_id FROM copy WHERE kept = doc_id)
+        )
+        SELECT doc_id, s AS start, e AS "end", n AS n_words, first.d AS kept_doc_id, unit FROM later a
+        WHERE unit = 'paragraph' OR NOT EXISTS (SELECT 1 FROM later b WHERE b.doc_id = a.doc_id AND b.unit = 'paragraph' AND b.s <= a.s AND a.e <= b.e)
+        UNION ALL
+        SELECT doc_id, length(t) - length(ltrim(t, SPACE)), length(rtrim(t, SPACE)), len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n, kept, 'text'
+        FROM copy WHERE kept < doc_id AND n >= 5
+    """.replace("SPACE", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"),
     "op11_periodic": """
         WITH split AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents

@@ -4,7 +4,8 @@ Texts are cut into lines and paragraphs (lines between lines without a word). A
 A-Z lower-cased; digests are grouped globally, the earliest occurrence of each, by doc_id and place, is kept,
 and all others are removed. What is removed is told by offsets into the original text.
 
-A passage that is set into the middle of lines is no unit of these kinds. For it, runs of ``unit`` words at any
+Lines and paragraphs under ``least`` words are kept: such short ones are headings and list marks, which repeat by
+chance. A passage that is set into the middle of lines is no unit of these kinds. For it, runs of ``unit`` words at any
 place are units too. Not every run is shuffled: of any ``unit // 2 + 1`` consecutive runs of ``unit // 2`` words
 the one with the least number is an anchor, so two equal runs hold an equal anchor at the same place. Only
 runs around an anchor that occurs twice can occur twice; only those are grouped. Passages that removed lines and
@@ -25,7 +26,8 @@ from annospark.llm import words
 from annospark.llm.places import joined, placed
 from annospark.llm.scratch import drop, scoped, small, stored
 
-UNIT = 50
+#: Words of a run that is removed wherever it lies, and least words of a line, paragraph or text that is removed as a whole.
+UNIT, LEAST = 50, 5
 AT = ["doc_id", "part"]
 #: The kinds of spans, by number.
 KINDS = ["text", "paragraph", "line", "passage"]
@@ -159,8 +161,12 @@ def _line_spans(texts: DataFrame, least: int) -> DataFrame:
     """Lines and paragraphs that occur earlier; lines within such paragraphs are left to these."""
     schema = "d1 long, d2 long, doc_id long, part long, start long, end long, place int, n_words int, kind int"
     units = stored(texts.mapInArrow(_lines(least), schema), "units")
-    first = units.groupBy("d1", "d2").agg(F.min(F.struct(*AT, "start", "kind")).alias("first"), F.count("*").alias("k"))
-    later = joined(units, stored(first.where("k > 1"), "first"), ["d1", "d2"])
+    # One digest is counted of every unit; places are shuffled of those alone that have it twice.
+    again = stored(units.groupBy("d1").agg(F.count("*").alias("k")).where("k > 1"), "again")
+    twice = stored(joined(units, again, ["d1"]), "twice")
+    drop(units, again)
+    first = twice.groupBy("d1", "d2").agg(F.min(F.struct(*AT, "start", "kind")).alias("first"), F.count("*").alias("k"))
+    later = joined(twice, stored(first.where("k > 1"), "first"), ["d1", "d2"])
     later = later.where(F.struct(*AT, "start") != F.struct(*[f"first.{c}" for c in (*AT, "start")]))
     by_start = Window.partitionBy(*AT).orderBy("start", "kind").rowsBetween(Window.unboundedPreceding, 0)
     upto = F.max(F.when(F.col("kind") == 1, F.col("end"))).over(by_start)
@@ -211,27 +217,28 @@ def _uncovered(spans: DataFrame) -> DataFrame:
 
 
 @scoped
-def repeated(docs: DataFrame, unit: int = UNIT) -> DataFrame:
+def repeated(docs: DataFrame, unit: int | None = UNIT, least: int = LEAST) -> DataFrame:
     """Spans to remove: doc_id, start, end (code points, end exclusive), n_words, kept_doc_id, unit.
 
     ``docs`` needs doc_id and text; other columns are not read. unit tells the kind of a span. text: a copy of
-    a whole text, with the least doc_id of its equals. paragraph, line: one of at least ``unit`` words
+    a whole text, with the least doc_id of its equals. paragraph, line: one of at least ``least`` words
     that occurs earlier, in a smaller doc_id or above; lines of a removed paragraph are not told again.
     passage: a maximal run of words each of which lies in a run of ``unit`` words that occurs earlier, in
     a smaller doc_id or in the same text without overlap; kept_doc_id has the earliest occurrence of its first
-    run. Texts, paragraphs and lines under ``unit`` words are kept. Null and empty texts have no units. Rows
+    run. Without ``unit`` passages are not looked for. Texts, paragraphs and lines under ``least`` words are kept. Null and empty texts have no units. Rows
     with a null doc_id are left out, and those of one doc_id with different texts are told apart; such with equal
     texts are one. Without documents there are no rows. Work at a time is that of one text.
     """
     texts = placed(docs.where(F.col("doc_id").isNotNull()))
     texts = texts.select(*AT, F.coalesce("text", F.lit("")).alias("text"))
     named = texts.select(*AT, F.md5("text").alias("whole"))
-    least = named.groupBy("whole").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("k")).where("k > 1")
-    copies = joined(named, stored(least, "least"), ["whole"]).where(F.struct(*AT) > F.col("first"))
+    firsts = named.groupBy("whole").agg(F.min(F.struct(*AT)).alias("first"), F.count("*").alias("k")).where("k > 1")
+    copies = joined(named, stored(firsts, "firsts"), ["whole"]).where(F.struct(*AT) > F.col("first"))
     copies = stored(copies.select(*AT, F.col("first.doc_id").alias("kept_doc_id")), "copies")
 
-    spans = _line_spans(texts, unit).join(small(copies).select(*AT), AT, "left_anti")
-    spans = _uncovered(spans.unionByName(_passage_spans(texts, copies.select(*AT), unit)))
+    spans = _line_spans(texts, least).join(small(copies).select(*AT), AT, "left_anti")
+    if unit:
+        spans = _uncovered(spans.unionByName(_passage_spans(texts, copies.select(*AT), unit)))
     bare = F.btrim("text", F.lit(" \t\n\x0b\x0c\r"))
     start = F.length("text") - F.length(F.ltrim("text", F.lit(" \t\n\x0b\x0c\r")))
     whole = texts.join(small(copies), AT).select(
@@ -243,7 +250,7 @@ def repeated(docs: DataFrame, unit: int = UNIT) -> DataFrame:
         F.lit(0).alias("kind"),
         "kept_doc_id",
     )
-    every = spans.unionByName(whole.where(F.col("n_words") >= unit))
+    every = spans.unionByName(whole.where(F.col("n_words") >= least))
     name = F.element_at(F.array(*map(F.lit, KINDS)), F.col("kind") + 1)
     return every.select("doc_id", "part", "start", "end", F.col("n_words").cast("long").alias("n_words"), "kept_doc_id", name.alias("unit"))
 

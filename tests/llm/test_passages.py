@@ -1,6 +1,8 @@
 import random
 import re
 
+import pytest
+
 from annospark.llm import entries, passages
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -22,7 +24,7 @@ def lines_and_paragraphs(text):
     return found
 
 
-def brute(docs, unit):
+def brute(docs, unit, least):
     low = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
     first, units, texts, blocks = {}, {}, {}, {}
     for doc, text in sorted(docs.items()):
@@ -32,19 +34,19 @@ def brute(docs, unit):
         for i in range(len(names) - unit + 1):
             first.setdefault(tuple(names[i : i + unit]), (doc, i))
         for kind, i, n in sorted(lines_and_paragraphs(text or ""), key=lambda x: (x[1], x[0] == "line")):
-            if n >= unit:
+            if n >= least:
                 blocks.setdefault(tuple(names[i : i + n]), (doc, i))
     found = set()
     for doc, (spans, names) in units.items():
         same = texts.setdefault(docs[doc], doc)
-        if same != doc and len(names) >= unit:
+        if same != doc and len(names) >= least:
             found.add((doc, spans[0][0], spans[-1][1], len(spans), same, "text"))
         if same != doc:
             continue
         whole, gone = [], set()
         for kind, i, n in sorted(lines_and_paragraphs(docs[doc] or ""), key=lambda x: -len(x[0])):
             key = tuple(names[i : i + n])
-            if n >= unit and blocks[key] != (doc, i) and not any(a <= i and i + n <= b for a, b in whole):
+            if n >= least and blocks[key] != (doc, i) and not any(a <= i and i + n <= b for a, b in whole):
                 whole += [(i, i + n)] if kind == "paragraph" else []
                 gone |= set(range(i, i + n))
                 found.add((doc, spans[i][0], spans[i + n - 1][1], n, blocks[key][0], kind))
@@ -63,20 +65,21 @@ def brute(docs, unit):
 def test_against_brute_force(spark, sf):
     docs = {r.doc_id: r.text for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
     rows = entries.op3_passages(spark, sf).collect()
-    assert {tuple(r) for r in rows} == brute(docs, passages.UNIT)
-    assert rows
+    assert {tuple(r) for r in rows} == brute(docs, passages.UNIT, passages.LEAST)
+    assert {r.unit for r in rows} >= {"line", "passage", "text"}
 
 
-def test_small_units(spark):
+@pytest.mark.parametrize("least", [2, 8])
+def test_small_units(spark, least):
     rng = random.Random(5)
     docs = {i: " ".join(rng.choices("aBcdé", k=rng.randint(0, 40))) for i in range(120)}
     for i in range(200, 300):  # lines and paragraphs, some of them in other documents
         docs[i] = "".join(rng.choice([" ".join(rng.choices("xyz", k=rng.randint(1, 3))), *(f"Line {k} of nine words or more that repeats" for k in range(9))]) + rng.choice(["\n", "\n", "\n \n"]) for _ in range(8))
     docs |= {500: None, 501: "", 502: "x " * 300, 503: "\t".join("x" * 9), 504: docs[200], 505: docs[200], 506: "q " * 100_000}
     df = spark.createDataFrame([(k, t, "clash") for k, t in docs.items()], "doc_id long, text string, digest string")
-    spans = passages.repeated(df, unit=8)
+    spans = passages.repeated(df, unit=8, least=least)
     rows = spans.drop("part").collect()
-    assert {tuple(r) for r in rows} == brute(docs, 8) and len(rows) == len(set(rows))
+    assert {tuple(r) for r in rows} == brute(docs, 8, least) and len(rows) == len(set(rows))
     assert {r.unit for r in rows} == set(passages.KINDS)
     removed = {r.doc_id: r for r in passages.remove(df, spans).collect()}
     assert removed.keys() == docs.keys() and removed[500].text is None and removed[501].text == "" and removed[1].digest == "clash"
@@ -89,7 +92,7 @@ def test_small_units(spark):
 def test_repeated_and_null_ids(spark):
     line = "one two three four five six seven eight"
     rows = [(1, f"{line}\nown a b"), (1, "other text of this id"), (1, f"x\n{line} nine"), (1, f"{line}\nown a b"), (None, line), (2, line)]
-    spans = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string"), unit=8)
+    spans = passages.repeated(spark.createDataFrame(rows, "doc_id long, text string"), unit=8, least=8)
     found = sorted((r.doc_id, r.start, r.end, r.kept_doc_id) for r in spans.collect())
     # Of the texts of doc_id 1 that have the line, one is first; equal rows are one place.
     assert found[-1] == (2, 0, len(line), 1) and len(found) == 2 and found[0][0] == 1
