@@ -58,6 +58,11 @@ def op5_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def secret_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What ``op5_secrets`` finds by the fixed patterns."""
+    return op5_secrets(spark, sf_dir).select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")
+
+
 def op6_chat(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = F.array(*[F.struct(F.lit(i).cast("long").alias("turn"), F.lit(role).alias("role")) for i, role in enumerate(("user", "assistant"))])
     own = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), F.explode(turns).alias("t"))
@@ -82,6 +87,11 @@ def op9_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rules.check(table(spark, sf_dir, "documents"))
 
 
+def rules_base(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The counts and fixed limits of ``op9_rules``."""
+    return op9_rules(spark, sf_dir).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed")
+
+
 def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html.extract(table(spark, sf_dir, "pages"))
 
@@ -133,10 +143,12 @@ QUERIES = {
     "repeated_lines": repeated_lines,
     "op4_quality": op4_quality,
     "op5_secrets": op5_secrets,
+    "secret_base": secret_base,
     "op6_chat": op6_chat,
     "op7_minhash": op7_minhash,
     "op8_packing": op8_packing,
     "op9_rules": op9_rules,
+    "rules_base": rules_base,
     "op10_html": op10_html,
     "op11_periodic": op11_periodic,
     "op12_jaccard": op12_jaccard,
@@ -240,6 +252,46 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, length(t) - length(ltrim(t, SPACE)), length(rtrim(t, SPACE)), len(regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+'))::BIGINT AS n, kept, 'text'
         FROM copy WHERE kept < doc_id AND n >= 5
     """.replace("SPACE", "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"),
+    "secret_base": """
+        WITH pattern AS (
+            SELECT '(?:[Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])["'']?\\x20*[:=]\\x20*["'']?' AS h
+        ), text AS (
+            SELECT doc_id, coalesce(text, '') AS t FROM documents
+        ), cut AS (
+            SELECT doc_id, 0 AS i, 'assign' AS kind, regexp_extract_all(t, h || '[A-Za-z0-9+/_.=-]+') AS m, string_split_regex(t, h || '[A-Za-z0-9+/_.=-]+') AS b, h
+            FROM text, pattern
+            UNION ALL
+            SELECT doc_id, 1, 'access', regexp_extract_all(t, 'AKIA[A-Z0-9]{12,}'), string_split_regex(t, 'AKIA[A-Z0-9]{12,}'), '' FROM text
+            UNION ALL
+            SELECT doc_id, 2, 'hex', regexp_extract_all(t, '[0-9a-f]{32,}'), string_split_regex(t, '[0-9a-f]{32,}'), '' FROM text
+        ), part AS (
+            SELECT doc_id, i, kind, h, unnest(m) AS m, unnest(b[:len(m)]) AS b, unnest(range(len(m))) AS k FROM cut
+        ), span AS (
+            SELECT *, sum(length(b) + length(m)) OVER (PARTITION BY doc_id, i ORDER BY k)::BIGINT AS stop FROM part
+        ), kept AS (
+            SELECT doc_id, i, kind, stop - length(m) AS start, stop FROM span WHERE i > 0 OR length(regexp_replace(m, '^' || h, '')) >= 8
+        )
+        SELECT doc_id, count(*) FILTER (i = 0) AS n_assign, count(*) FILTER (i = 1) AS n_access, count(*) FILTER (i = 2) AS n_hex,
+            sha256(coalesce(string_agg(kind || ':' || start || ':' || stop, ',' ORDER BY start, i), '')) AS base_sha256
+        FROM documents LEFT JOIN kept USING (doc_id) GROUP BY doc_id
+    """,
+    "rules_base": """
+        WITH split AS (
+            SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+                list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\\x20\\x09-\\x0D]')) AS l FROM documents
+        ), three AS (
+            SELECT doc_id, unnest(range(1, len(w) - 1)) AS i, unnest(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) AS g FROM split
+        ), often AS (
+            SELECT doc_id, g FROM three GROUP BY doc_id, g HAVING count(*) > 1
+        ), covered AS (
+            SELECT doc_id, count(DISTINCT i + o) AS n FROM three JOIN often USING (doc_id, g), (VALUES (0), (1), (2)) v(o) GROUP BY doc_id
+        ), counted AS (
+            SELECT doc_id, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+                length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+                (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines, coalesce(n, 0)::BIGINT AS n_repeat_words FROM split LEFT JOIN covered USING (doc_id)
+        )
+        SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM counted
+    """,
     "op11_periodic": """
         WITH split AS (
             SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents

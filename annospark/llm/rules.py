@@ -24,9 +24,9 @@ from annospark.llm.scratch import scoped, small, stored
 SHARE, STEPS = 0.75, 3
 #: Groups of fewer documents are joined to one per language, and such of fewer are judged by all documents.
 MIN_GROUP = 60
-#: Share of normal vectors that would be rejected. The statistics have longer tails than normal ones, and what is
-#: rejected must be far out, so this is small.
-LEVEL = 1e-11
+#: Share of normal vectors that would be rejected: one in a million, for of a corpus of many millions of documents hardly
+#: any ordinary one may go.
+LEVEL = 1e-6
 #: Fixed value: 0.75 / P(chi2(7) <= chi2 quantile(5, 0.75)), which makes the scatter of the nearest
 #: three quarters that of the whole, for normal statistics.
 CONSISTENCY = 1.413
