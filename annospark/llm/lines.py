@@ -13,7 +13,9 @@ beside it.
 
 Only one similar earlier line has to be known of a line. So of each of its keys a line takes the candidate whose
 parities differ least. Lines whose candidates turn out unlike, though others were there, and lines of keys with more
-lines than are compared in passing, are then compared with all others of their keys.
+lines than are compared in passing, are then compared with all others of their keys, by parities of more bits that
+tell nearly all unlike lines apart. Of what passes each line again takes the nearest one first, and only lines for
+which this one turns out unlike take all others.
 """
 
 from __future__ import annotations
@@ -45,6 +47,9 @@ OVER, UNDER = 4, 5  # the similarity
 #: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
 AT = ["doc_id", "sub"]
 PARITY = ["p0", "p1", "p2"]
+#: Bits of lines that are compared with all others of a key: of 12 words that only one of two lines has, 4 or more
+#: cancel out in one pair of a hundred.
+WIDE = [f"w{k}" for k in range(8)]
 
 
 def _order(line: np.ndarray, rank: np.ndarray | None, token: np.ndarray) -> np.ndarray:
@@ -174,8 +179,7 @@ def _described(ranks):
                 order = np.lexsort((d2, d1, x.text))  # stable: lines of a text stay in order
                 again = np.zeros(len(d1), dtype=bool)
                 again[order[1:]] = (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1]) & (x.text[order][1:] == x.text[order][:-1])
-                bit, of = words.U(1) << (spread & words.U(63)), (spread >> words.U(6)) % words.U(len(PARITY))
-                parity = [np.bitwise_xor.reduceat(np.where(of == k, bit, words.U(0)), x.first) for k in range(len(PARITY))]
+                parity = _parities(spread, x.first, len(PARITY))
                 line, key, place = _keys(x, ranks.value)
                 new = ~again[line]
                 line, key, place = line[new], key[new], place[new]
@@ -268,6 +272,23 @@ def _candidates(window: int, rows: int):
     return run
 
 
+def _parities(spread: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]:
+    """``n`` numbers for each set of words, which begin at ``first``: bits with the parity of the words that fall on each."""
+    bit, of = words.U(1) << (spread & words.U(63)), (spread >> words.U(6)) % words.U(n)
+    return [np.bitwise_xor.reduceat(np.where(of == k, bit, words.U(0)), first) for k in range(n)]
+
+
+def _widely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows (doc_id, sub, w0, ...) of rows (doc_id, sub, text), lines with a word: the parities of their words."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, 4096):
+            part = batch.slice(lo, 4096)
+            row, token = _token_sets(part["text"])
+            first = np.searchsorted(row, np.arange(part.num_rows))
+            columns = _parities(words.mix(token + words.ODD[42]), first, len(WIDE))
+            yield pa.RecordBatch.from_arrays([part["doc_id"], part["sub"], *(pa.array(v.view(np.int64)) for v in columns)], names=[*AT, *WIDE])
+
+
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (doc_id, sub, text) of the lines listed in `subs`."""
     for batch in batches:
@@ -323,34 +344,57 @@ def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(both.select(*AT, "text", "other").mapInArrow(_similar, "doc_id long, sub long").distinct(), "gone")
 
 
+def _differ(columns: list[str]) -> Column:
+    return reduce(Column.__add__, (F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in columns))
+
+
 def _close() -> Column:
     """What two rows p and q of keys need to be like, q earlier: the exact filters, in the cheapest order."""
     n, m = F.shiftright("p.shape", 32), F.shiftright("q.shape", 32)
     place = [F.col(f"{x}.shape").bitwiseAND(F.lit(0xFFFFFFFF)) for x in "pq"]
-    differ = reduce(Column.__add__, (F.bit_count(F.col(f"p.{c}").bitwiseXOR(F.col(f"q.{c}"))) for c in PARITY))
     return (
         (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
         & ((n != m) | (n + m >= 2 * (OVER + UNDER)))
         & ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.sub") < F.col("p.sub"))))
-        & (differ * (OVER + UNDER) <= n + m)
+        & (_differ(PARITY) * (OVER + UNDER) <= n + m)
+        & (_differ(WIDE) * (OVER + UNDER) <= n + m)
         & ((OVER + UNDER) * F.least(n - place[0], m - place[1]) >= OVER * (n + m))
     )
 
 
-def _all_pairs(lines: DataFrame, rows: DataFrame) -> DataFrame:
-    """Pairs (doc_id, sub, other_id, other_sub) of ``lines`` (key, doc_id, sub) and all earlier ones of their keys
-    that they can be like. Few lines are broadcast. Of more, the keys with many rows are dealt into parts, each of
-    which meets the key's lines."""
-    own = stored(rows.join(small(lines), ["key", *AT]), "asking")
-    if own.count() <= 200_000:
+def _all_pairs(own: DataFrame, rows: DataFrame) -> DataFrame:
+    """Pairs (doc_id, sub, other_id, other_sub, differ) of ``own`` rows and all earlier ones of ``rows`` with their keys
+    that they can be like. Few rows are broadcast. Of more, the keys with many rows are dealt into parts, each of
+    which meets the key's own rows."""
+    if own.count() <= 100_000:
         pairs = rows.alias("q").join(F.broadcast(own.alias("p")), (F.col("p.key") == F.col("q.key")) & _close())
     else:
-        sizes = rows.join(small(stored(own.select("key").distinct(), "keys")), "key").groupBy("key").agg(F.count("*").alias("k"))
+        sizes = rows.groupBy("key").agg(F.count("*").alias("k"))
         cuts = small(stored(sizes.select("key", F.ceil(F.col("k") / GROUP).cast("int").alias("cuts")), "sizes"))
         p = own.join(cuts, "key").withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         q = rows.join(cuts, "key").withColumn("cut", F.pmod(F.xxhash64(*AT), "cuts").cast("int"))
         pairs = q.alias("q").join(p.alias("p"), (F.col("p.key") == F.col("q.key")) & (F.col("p.cut") == F.col("q.cut")) & _close())
-    return pairs.select("p.doc_id", "p.sub", F.col("q.doc_id").alias("other_id"), F.col("q.sub").alias("other_sub"))
+    return pairs.select("p.doc_id", "p.sub", F.col("q.doc_id").alias("other_id"), F.col("q.sub").alias("other_sub"), _differ(WIDE).alias("differ"))
+
+
+def _compared(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
+    """The (doc_id, sub) of ``lines`` (key, doc_id, sub) with a similar earlier line among the ``rows`` of their keys."""
+    own = stored(rows.join(small(lines), ["key", *AT]), "asking")
+    near = stored(rows.join(small(stored(own.select("key").distinct(), "keys")), "key"), "asked_rows")
+    known = _texts_of(near.select(*AT).distinct(), texts)
+    wide = stored(known.mapInArrow(_widely, ", ".join(f"{c} long" for c in [*AT, *WIDE])), "wide")
+    wide = small(wide, 100_000)
+    own, near = stored(own.join(wide, AT), "own"), stored(near.join(wide, AT), "near")
+
+    # The nearest other of each line, and only for lines that it is unlike all others.
+    nearest = F.min(F.struct("differ", "other_id", "other_sub")).alias("best")
+    best = stored(_all_pairs(own, near).groupBy(*AT).agg(nearest, F.count("*").alias("n")), "nearest")
+    gone = _verified(best.select(*AT, "best.other_id", "best.other_sub"), texts)
+    left = stored(best.where("n > 1").select(*AT).join(small(gone), AT, "left_anti"), "unlike")
+    if left.isEmpty():
+        return gone
+    rest = _all_pairs(stored(own.join(small(left), AT), "own"), near).drop("differ")
+    return gone.unionByName(_verified(rest, texts))
 
 
 @scoped
@@ -397,7 +441,7 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
         left = left.unionByName(rows.join(small(crowded), "key").select("key", *AT)).distinct()
     left = stored(left.join(small(gone), AT, "left_anti"), "left")
     if not left.isEmpty():
-        gone = gone.unionByName(_verified(_all_pairs(left, rows), texts))
+        gone = gone.unionByName(_compared(left, rows, texts))
     every = copies.unionByName(gone).distinct()
     return every.select("doc_id", F.shiftright("sub", 32).alias("part"), F.col("sub").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line"))
 
