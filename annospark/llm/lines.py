@@ -47,9 +47,9 @@ OVER, UNDER = 4, 5  # the similarity
 #: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
 AT = ["doc_id", "sub"]
 PARITY = ["p0", "p1", "p2"]
-#: Bits of lines that are compared with all others of a key: of 12 words that only one of two lines has, 4 or more
-#: cancel out in one pair of a hundred.
-WIDE = [f"w{k}" for k in range(8)]
+#: Parities of lines that are compared with all others of a key, twice 512 bits by digests that do not depend on
+#: each other: of 10 words that only one of two lines has, 2 cancel out in both for one pair of a hundred.
+WIDE = [[f"{c}{k}" for k in range(8)] for c in "vw"]
 
 
 def _order(line: np.ndarray, rank: np.ndarray | None, token: np.ndarray) -> np.ndarray:
@@ -279,14 +279,15 @@ def _parities(spread: np.ndarray, first: np.ndarray, n: int) -> list[np.ndarray]
 
 
 def _widely(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (doc_id, sub, w0, ...) of rows (doc_id, sub, text), lines with a word: the parities of their words."""
+    """Rows (doc_id, sub, v0, ..., w0, ...) of rows (doc_id, sub, text), lines with a word: the parities of their words."""
     for batch in batches:
         for lo in range(0, batch.num_rows, 4096):
             part = batch.slice(lo, 4096)
             row, token = _token_sets(part["text"])
             first = np.searchsorted(row, np.arange(part.num_rows))
-            columns = _parities(words.mix(token + words.ODD[42]), first, len(WIDE))
-            yield pa.RecordBatch.from_arrays([part["doc_id"], part["sub"], *(pa.array(v.view(np.int64)) for v in columns)], names=[*AT, *WIDE])
+            columns = [x for k, names in enumerate(WIDE) for x in _parities(words.mix(token + words.ODD[47 + k]), first, len(names))]
+            columns = [part["doc_id"], part["sub"], *(pa.array(x.view(np.int64)) for x in columns)]
+            yield pa.RecordBatch.from_arrays(columns, names=[*AT, *sum(WIDE, [])])
 
 
 def _asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -357,7 +358,7 @@ def _close() -> Column:
         & ((n != m) | (n + m >= 2 * (OVER + UNDER)))
         & ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.sub") < F.col("p.sub"))))
         & (_differ(PARITY) * (OVER + UNDER) <= n + m)
-        & (_differ(WIDE) * (OVER + UNDER) <= n + m)
+        & (F.greatest(*map(_differ, WIDE)) * (OVER + UNDER) <= n + m)
         & ((OVER + UNDER) * F.least(n - place[0], m - place[1]) >= OVER * (n + m))
     )
 
@@ -374,7 +375,7 @@ def _all_pairs(own: DataFrame, rows: DataFrame) -> DataFrame:
         p = own.join(cuts, "key").withColumn("cut", F.explode(F.sequence(F.lit(0), F.col("cuts") - 1)))
         q = rows.join(cuts, "key").withColumn("cut", F.pmod(F.xxhash64(*AT), "cuts").cast("int"))
         pairs = q.alias("q").join(p.alias("p"), (F.col("p.key") == F.col("q.key")) & (F.col("p.cut") == F.col("q.cut")) & _close())
-    return pairs.select("p.doc_id", "p.sub", F.col("q.doc_id").alias("other_id"), F.col("q.sub").alias("other_sub"), _differ(WIDE).alias("differ"))
+    return pairs.select("p.doc_id", "p.sub", F.col("q.doc_id").alias("other_id"), F.col("q.sub").alias("other_sub"), F.greatest(*map(_differ, WIDE)).alias("differ"))
 
 
 def _compared(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
@@ -382,7 +383,7 @@ def _compared(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
     own = stored(rows.join(small(lines), ["key", *AT]), "asking")
     near = stored(rows.join(small(stored(own.select("key").distinct(), "keys")), "key"), "asked_rows")
     known = _texts_of(near.select(*AT).distinct(), texts)
-    wide = stored(known.mapInArrow(_widely, ", ".join(f"{c} long" for c in [*AT, *WIDE])), "wide")
+    wide = stored(known.mapInArrow(_widely, ", ".join(f"{c} long" for c in [*AT, *sum(WIDE, [])])), "wide")
     wide = small(wide, 100_000)
     own, near = stored(own.join(wide, AT), "own"), stored(near.join(wide, AT), "near")
 

@@ -102,3 +102,25 @@ def test_tables_are_removed(spark, tmp_path, monkeypatch):
         assert lines.similar_lines(df).count() > 0
         assert [p.name.split("-")[0] for p in tmp_path.iterdir() if p.is_dir()] == ["similar_lines"]
     assert not any(p.is_dir() for p in tmp_path.iterdir())
+
+
+def test_pairs_of_near_copies_grow_with_lines(spark, monkeypatch):
+    """Lines of 40 words of which 3 are other ones: most pairs are just under the similarity."""
+    base, verified, counts = [f"w{i}" for i in range(40)], lines._verified, []
+
+    def counted(pairs, texts):
+        counts[-1] += pairs.distinct().count()
+        return verified(pairs, texts)
+
+    monkeypatch.setattr(lines, "_verified", counted)
+    for n in (2000, 4000):
+        rng, docs = random.Random(n), {}
+        for k in range(n):
+            w = list(base)
+            for at in rng.sample(range(40), 3):
+                w[at] = f"x{k}-{at}"
+            docs[k] = " ".join(w)
+        counts.append(0)
+        df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+        assert {r.doc_id for r in lines.similar_lines(df).collect()} == set(brute(docs))
+    assert counts[1] < 2.5 * counts[0], counts
