@@ -337,10 +337,12 @@ def _texts_of(lines: DataFrame, texts: DataFrame) -> DataFrame:
     return stored(known.mapInArrow(_asked, "doc_id long, sub long, text string"), "known")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    """The lines (doc_id, sub), stored, of ``pairs`` (doc_id, sub, other_id, other_sub) that are similar."""
+def _verified(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None) -> DataFrame:
+    """The lines (doc_id, sub), stored, of ``pairs`` (doc_id, sub, other_id, other_sub) that are similar. Their texts
+    are taken from ``known`` (doc_id, sub, text), or else looked up in ``texts``."""
     pairs = stored(pairs.distinct(), "pairs")
-    known = _texts_of(pairs.select(*AT).union(pairs.select("other_id", "other_sub")).distinct(), texts)
+    if known is None:
+        known = _texts_of(pairs.select(*AT).union(pairs.select("other_id", "other_sub")).distinct(), texts)
     both = pairs.join(known, AT).join(known.toDF("other_id", "other_sub", "other"), ["other_id", "other_sub"])
     return stored(both.select(*AT, "text", "other").mapInArrow(_similar, "doc_id long, sub long").distinct(), "gone")
 
@@ -380,22 +382,23 @@ def _all_pairs(own: DataFrame, rows: DataFrame) -> DataFrame:
 
 def _compared(lines: DataFrame, rows: DataFrame, texts: DataFrame) -> DataFrame:
     """The (doc_id, sub) of ``lines`` (key, doc_id, sub) with a similar earlier line among the ``rows`` of their keys."""
-    own = stored(rows.join(small(lines), ["key", *AT]), "asking")
-    near = stored(rows.join(small(stored(own.select("key").distinct(), "keys")), "key"), "asked_rows")
+    keys = small(stored(lines.select("key").distinct(), "keys"))
+    near = stored(rows.join(keys, "key", "left_semi"), "asked_rows")
     known = _texts_of(near.select(*AT).distinct(), texts)
     wide = stored(known.mapInArrow(_widely, ", ".join(f"{c} long" for c in [*AT, *sum(WIDE, [])])), "wide")
     wide = small(wide, 100_000)
-    own, near = stored(own.join(wide, AT), "own"), stored(near.join(wide, AT), "near")
+    near = stored(near.join(wide, AT), "near")
+    own = stored(near.join(small(lines), ["key", *AT]), "own")
 
     # The nearest other of each line, and only for lines that it is unlike all others.
     nearest = F.min(F.struct("differ", "other_id", "other_sub")).alias("best")
     best = stored(_all_pairs(own, near).groupBy(*AT).agg(nearest, F.count("*").alias("n")), "nearest")
-    gone = _verified(best.select(*AT, "best.other_id", "best.other_sub"), texts)
+    gone = _verified(best.select(*AT, "best.other_id", "best.other_sub"), texts, known)
     left = stored(best.where("n > 1").select(*AT).join(small(gone), AT, "left_anti"), "unlike")
     if left.isEmpty():
         return gone
     rest = _all_pairs(stored(own.join(small(left), AT), "own"), near).drop("differ")
-    return gone.unionByName(_verified(rest, texts))
+    return gone.unionByName(_verified(rest, texts, known))
 
 
 @scoped

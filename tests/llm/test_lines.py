@@ -108,9 +108,9 @@ def test_pairs_of_near_copies_grow_with_lines(spark, monkeypatch):
     """Lines of 40 words of which 3 are other ones: most pairs are just under the similarity."""
     base, verified, counts = [f"w{i}" for i in range(40)], lines._verified, []
 
-    def counted(pairs, texts):
+    def counted(pairs, *texts):
         counts[-1] += pairs.distinct().count()
-        return verified(pairs, texts)
+        return verified(pairs, *texts)
 
     monkeypatch.setattr(lines, "_verified", counted)
     for n in (2000, 4000):
