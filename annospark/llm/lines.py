@@ -341,8 +341,8 @@ def _verified(pairs: DataFrame, texts: DataFrame, known: DataFrame | None = None
     """The lines (doc_id, sub), stored, of ``pairs`` (doc_id, sub, other_id, other_sub) that are similar. Their texts
     are taken from ``known`` (doc_id, sub, text), or else looked up in ``texts``."""
     pairs = stored(pairs.distinct(), "pairs")
-    if known is None:
-        known = _texts_of(pairs.select(*AT).union(pairs.select("other_id", "other_sub")).distinct(), texts)
+    asked = pairs.select(*AT).union(pairs.select("other_id", "other_sub")).distinct()
+    known = _texts_of(asked, texts) if known is None else known.join(small(stored(asked, "asked")), AT, "left_semi")
     both = pairs.join(known, AT).join(known.toDF("other_id", "other_sub", "other"), ["other_id", "other_sub"])
     return stored(both.select(*AT, "text", "other").mapInArrow(_similar, "doc_id long, sub long").distinct(), "gone")
 
