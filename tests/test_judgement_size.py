@@ -27,3 +27,8 @@ def test_texts_are_described_once(spark, sf):
     # The attempts, and what is chosen of them.
     assert _run(queries.sft_skips(spark, sf)).count("ArrowEvalPython ") == 2
     assert _run(queries.sft_from_structs(spark, sf)).count("ArrowEvalPython ") == 2
+
+
+def test_no_attempt_is_chosen_where_ids_are_asked(spark, sf):
+    plan = _run(queries.stage2_exhausted(spark, sf))
+    assert plan.count("ArrowEvalPython ") == 1 and "Window" not in plan
