@@ -3,6 +3,7 @@
 import json
 
 import pyarrow as pa
+from pyspark.sql import functions as F
 
 from annospark.functions import judgement
 from annospark.plans import queries
@@ -32,3 +33,9 @@ def test_texts_are_described_once(spark, sf):
 def test_no_attempt_is_chosen_where_ids_are_asked(spark, sf):
     plan = _run(queries.stage2_exhausted(spark, sf))
     assert plan.count("ArrowEvalPython ") == 1 and "Window" not in plan
+
+
+def test_native_opinion_parses_once(spark):
+    df = spark.createDataFrame([("{}",)], "raw string").select(judgement.describe_native(F.col("raw")).alias("s"))
+    plan = df._jdf.queryExecution().analyzed().toString()
+    assert plan.count("try_parse_json(") == 1 and plan.count("regexp_replace(") == 1
