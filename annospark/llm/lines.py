@@ -6,9 +6,10 @@ similar as 4/5 if their first ``n - ceil(4n/5) + 1`` words share one (prefix fil
 their words' bits differ in few places (a bound on the words that only one has). What passes is
 verified on the whole sets. A line that is similar to an earlier one, by doc_id and place, is removed.
 
-Words that are too common to be a key alone are paired with a later word of a prefix longer by one: lines
-that share no rare prefix word share two of these. Lines with equal sets are found by digests, and the earliest
-document's line stands for them. Lines with one key are sorted by size, so the lines a line can be like stand
+Words that are too common to be a key alone are keys in pairs. Lines that share no rare prefix word share g + 1 words
+of a prefix longer by g, so if words are dealt into g groups by their digest, two of one group. Only pairs within
+a group are keys, and g grows with the size, so their number grows as the size and not as its square. Lines with equal
+sets are found by digests, and the earliest document's line stands for them. Lines with one key are sorted by size, so the lines a line can be like stand
 beside it.
 
 Only one similar earlier line has to be known of a line. So of each of its keys a line takes the candidate whose
@@ -37,8 +38,11 @@ from annospark.llm.scratch import scoped, small, stored
 CELLS = 1 << 20
 #: Rows that a task sends its counts in.
 CHUNKS = 64
-#: Words counted more often are common: they are keys in pairs. Lines of more words take single keys all the same.
-COMMON, PAIRED = 1024, 128
+#: Words counted more often are common: they are keys in pairs. Four times as often in each next class of long lines, which are fewer.
+COMMON = 1024
+#: Lines of so many words deal common ones into 4 groups for their pairs. Those of 3 times as many are the next class, with 3 times
+#: as many groups, and so on.
+GROUPED = 16
 #: Places that two lines of a key may stand apart to be compared in passing, and rows in a chunk of that.
 WINDOW, CHUNK_ROWS = 1024, 1 << 17
 #: Rows of a key up to which it is one group when all lines of many keys are compared.
@@ -46,7 +50,11 @@ GROUP = 2048
 OVER, UNDER = 4, 5  # the similarity
 #: A line: sub is its number in the text, with the part of its document in the upper 32 bits.
 AT = ["doc_id", "sub"]
-PARITY = ["p0", "p1", "p2"]
+PARITY = ["p0", "p1", "p2", "p3"]
+#: Lines of at most so many words have one number of parities, or two; all others four. The key rows are what is shuffled most.
+NARROW, MIDDLE = 64, 160
+#: A key row's shape is the line's size and, in so many lower bits, the key's place. No text has that many words.
+PLACE = 28
 #: Parities of lines that are compared with all others of a key, twice 512 bits by digests that do not depend on
 #: each other: of 10 words that only one of two lines has, 2 cancel out in both for one pair of a hundred.
 WIDE = [[f"{c}{k}" for k in range(8)] for c in "vw"]
@@ -135,35 +143,50 @@ def _prefix(size: np.ndarray) -> np.ndarray:
     return size - (OVER * size + UNDER - 1) // UNDER + 1
 
 
+def _class(size: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For pairs of lines of which the larger has ``size`` words: the groups that common words are dealt into, and the rank
+    above which words are common."""
+    level = np.searchsorted(GROUPED * 3 ** np.arange(18), size, side="right")
+    groups = np.where(level > 0, 4 * 3 ** np.maximum(level - 1, 0), 1)
+    return groups, (np.log2(COMMON * 4.0 ** np.maximum(level - 1, 0) + 1.0) * 1024).astype(np.int64)
+
+
 def _keys(x: Lines, ranks: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(line, key, place) of the prefix keys of the lines; place is that of the key's first word."""
+    """(line, key, place) of the prefix keys of the lines. A similar line has one of the keys too, and no more common words
+    before that key's word than are in front of place."""
     rank = ranks[_cell(x.token)]
     order = _order(x.line, rank, x.token)
-    token, common = x.token[order], rank[order] > int(np.log2(COMMON + 1.0) * 1024)
+    token, rank = x.token[order], rank[order]
     place = np.arange(len(order)) - np.repeat(x.first, x.size)
-    size = np.repeat(x.size, x.size)
-    prefix = (place < np.repeat(_prefix(x.size), x.size)) & (size >= OVER)
-    single = np.flatnonzero(prefix & ~common)
-    found = [(single, token[single] * words.ODD[43])]
-    # Lines of more than PAIRED words have single keys for common words too, and so do those they can be like.
-    single = np.flatnonzero(prefix & common & (UNDER * size > OVER * PAIRED))
-    found.append((single, token[single] * words.ODD[44]))
-    first = np.flatnonzero(prefix & common & (size <= PAIRED))
-    reach = np.minimum(np.repeat(_prefix(x.size), x.size) + 1, size)
-    step = 1
+    # The class is that of the larger of two lines, so a line has keys of its own and of that of the largest one like it.
+    (own, low), (larger, high) = _class(x.size), _class(x.size * UNDER // OVER)
+    own, low, larger, high, size, prefix = (np.repeat(v, x.size) for v in (own, low, larger, high, x.size, _prefix(x.size)))
+    single = np.flatnonzero((place < prefix) & (size >= OVER) & (rank <= high))
+    found = [(single, token[single] * words.ODD[43], place[single])]
+    at = [np.flatnonzero((place < prefix + g) & (size >= OVER) & (rank > cut) & also) for g, cut, also in ((own, low, True), (larger, high, larger != own))]
+    at, g = np.concatenate(at), np.concatenate([own[at[0]], larger[at[1]]])
+    group = (token[at] >> words.U(24)) % g.astype(np.uint64)
+    sort = np.lexsort((group, g, x.line[at]))  # stable: words of a group stay in order
+    at, g, group = at[sort], g[sort], group[sort]
+    first, line, step = np.arange(len(at)), x.line[at], 1
     while len(first):
-        first = first[place[first] + step < reach[first]]
-        found.append((first, token[first] * words.ODD[45] + token[first + step] * words.ODD[46]))
+        first = first[first + step < len(at)]
+        second = first + step
+        first = first[(line[first] == line[second]) & (g[first] == g[second]) & (group[first] == group[second])]
+        key = token[at[first]] * words.ODD[45] + token[at[first + step]] * words.ODD[46] + g[first].astype(np.uint64) * words.ODD[49]
+        # The first word of two is one of the first g that the lines share.
+        found.append((at[first], key, np.maximum(place[at[first]] - g[first] + 1, 0)))
         step += 1
-    at, key = (np.concatenate(c) for c in zip(*found, strict=True))
+    at, key, place = (np.concatenate(c) for c in zip(*found, strict=True))
     back = np.argsort(x.line[at], kind="stable")
-    return x.line[at][back], words.mix(key)[back], place[at][back]
+    return x.line[at][back], words.mix(key)[back], place[back]
 
 
 def _described(ranks):
-    """Rows (doc_id, sub, d1, d2, again, p0, p1, p2, size, keys, places) of the lines with a word. d1 and d2 are a
-    digest of the set, p0 to p2 have 192 bits, each the parity of the number of words that fall on it; again
-    tells that the text has the set in a line above, which has no keys. size is the number of words."""
+    """Rows (doc_id, sub, d1, d2, again, p0, p1, p2, p3, size, keys, places) of the lines with a word. d1 and d2 are a
+    digest of the set, p0 to p3 have 256 bits, each the parity of the number of words that fall on it, folded to the first
+    128 or 64 where the line is short; again tells that the text has the set in a line above, which has no keys. size is
+    the number of words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = [*AT, "d1", "d2", "again", *PARITY, "size", "keys", "places"]
@@ -179,7 +202,7 @@ def _described(ranks):
                 order = np.lexsort((d2, d1, x.text))  # stable: lines of a text stay in order
                 again = np.zeros(len(d1), dtype=bool)
                 again[order[1:]] = (d1[order][1:] == d1[order][:-1]) & (d2[order][1:] == d2[order][:-1]) & (x.text[order][1:] == x.text[order][:-1])
-                parity = _parities(spread, x.first, len(PARITY))
+                parity = _folded(_parities(spread, x.first, len(PARITY)), x.size)
                 line, key, place = _keys(x, ranks.value)
                 new = ~again[line]
                 line, key, place = line[new], key[new], place[new]
@@ -193,6 +216,14 @@ def _described(ranks):
     return run
 
 
+def _folded(parity: list[np.ndarray], size: np.ndarray) -> list[np.ndarray]:
+    """``parity`` of sets of ``size``, folded by half for those of at most ``MIDDLE`` and once more for those of ``NARROW``."""
+    a, b, c, d = parity
+    short, zero = size <= MIDDLE, words.U(0)
+    a, b, c, d = np.where(short, a ^ c, a), np.where(short, b ^ d, b), np.where(short, zero, c), np.where(short, zero, d)
+    return [np.where(size <= NARROW, a ^ b, a), np.where(size <= NARROW, zero, b), c, d]
+
+
 def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.ndarray]]:
     held: list[pa.RecordBatch] = []
     for batch in batches:
@@ -205,7 +236,7 @@ def _chunks(batches: Iterator[pa.RecordBatch], rows: int) -> Iterator[list[np.nd
 
 
 def _candidates(window: int, rows: int):
-    """Of rows (key, shape, doc_id, sub, p0, p1, p2), sorted by key and shape (size and, in the lower bits, place), rows
+    """Of rows (key, p0, shape, doc_id, sub, p1, p2, p3), sorted by key and shape (size and, in the lower bits, place), rows
     (doc_id, sub, other_id, other_sub, more, key). They tell a line, the earlier line of a key that it can be like and
     whose parities differ least, and whether the key has more such. A key alone tells that it has more lines near in
     size than the window.
@@ -226,9 +257,12 @@ def _candidates(window: int, rows: int):
             part = [*part, np.zeros(size, np.int64), np.zeros(size, np.int64), np.zeros(size, np.int32), np.full(size, 1 << 30)]
             known = 0 if before is None else len(before[0])
             state = part if before is None else [np.concatenate(c) for c in zip(before, part, strict=True)]
-            key, shape, doc, sub, *parity, other_id, other_sub, n_found, least = state
-            parity = [v.view(np.uint64) for v in parity]
-            n, place = shape >> 32, shape & 0xFFFFFFFF
+            key, p0, shape, doc, sub, p1, p2, p3, other_id, other_sub, n_found, least = state
+            # Bits of lines with fewer numbers are compared with those of the others folded.
+            parity = [v.view(np.uint64) for v in (p0, p1, p2, p3)]
+            halves = [parity[0] ^ parity[2], parity[1] ^ parity[3]]
+            whole = halves[0] ^ halves[1]
+            n, place = shape >> PLACE, shape & ((1 << PLACE) - 1)
             # Of two lines the smaller one has the shared word in a shorter prefix.
             indexed = place < n - (2 * OVER * n + OVER + UNDER - 1) // (OVER + UNDER) + 1
             left = n - place
@@ -246,9 +280,14 @@ def _candidates(window: int, rows: int):
                 # Different sets of one size differ in two words at least.
                 near = ((OVER + UNDER) * np.minimum(left[i], left[j]) >= OVER * both) & ((n[i] != n[j]) | (both >= 2 * (OVER + UNDER)))
                 i, j, both = i[near], j[near], both[near]
-                differ = sum(np.bitwise_count(v[i] ^ v[j]).astype(np.int64) for v in parity)
+                differ = np.bitwise_count(whole[i] ^ whole[j]).astype(np.int64)
                 # Rows that repeat a document have its lines once more.
                 near = (differ * (OVER + UNDER) <= both) & ((doc[i] != doc[j]) | (sub[i] != sub[j]))
+                i, j, both, differ = i[near], j[near], both[near], differ[near]
+                for longer, bits in ((NARROW, halves), (MIDDLE, parity)):
+                    at = np.flatnonzero(n[j] > longer)  # the smaller line is j
+                    differ[at] = sum(np.bitwise_count(v[i[at]] ^ v[j[at]]).astype(np.int64) for v in bits)
+                near = differ * (OVER + UNDER) <= both
                 i, j, score = i[near], j[near], (differ[near] << 20) // both[near]
                 later = (doc[i] > doc[j]) | (doc[i] == doc[j]) & (sub[i] > sub[j])
                 for p, q, x in ((i[later], j[later], score[later]), (j[~later], i[~later], score[~later])):
@@ -267,7 +306,7 @@ def _candidates(window: int, rows: int):
             yield told(np.flatnonzero(n_found[:keep]), key, doc, sub, other_id, other_sub, n_found)
             before = [v[keep:] for v in state]
         if before is not None:
-            yield told(np.flatnonzero(before[-2]), before[0], before[2], before[3], *before[-4:-1])
+            yield told(np.flatnonzero(before[-2]), before[0], before[3], before[4], *before[-4:-1])
 
     return run
 
@@ -353,13 +392,14 @@ def _differ(columns: list[str]) -> Column:
 
 def _close() -> Column:
     """What two rows p and q of keys need to be like, q earlier: the exact filters, in the cheapest order."""
-    n, m = F.shiftright("p.shape", 32), F.shiftright("q.shape", 32)
-    place = [F.col(f"{x}.shape").bitwiseAND(F.lit(0xFFFFFFFF)) for x in "pq"]
+    n, m = F.shiftright("p.shape", PLACE), F.shiftright("q.shape", PLACE)
+    place = [F.col(f"{x}.shape").bitwiseAND(F.lit((1 << PLACE) - 1)) for x in "pq"]
+    folded = F.bit_count(reduce(Column.bitwiseXOR, (F.col(f"{x}.{c}") for x in "pq" for c in PARITY)))
     return (
         (UNDER * F.least(n, m) >= OVER * F.greatest(n, m))
         & ((n != m) | (n + m >= 2 * (OVER + UNDER)))
         & ((F.col("q.doc_id") < F.col("p.doc_id")) | ((F.col("q.doc_id") == F.col("p.doc_id")) & (F.col("q.sub") < F.col("p.sub"))))
-        & (_differ(PARITY) * (OVER + UNDER) <= n + m)
+        & (folded * (OVER + UNDER) <= n + m)
         & (F.greatest(*map(_differ, WIDE)) * (OVER + UNDER) <= n + m)
         & ((OVER + UNDER) * F.least(n - place[0], m - place[1]) >= OVER * (n + m))
     )
@@ -416,7 +456,7 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     texts = placed(docs.where(F.col("doc_id").isNotNull()))
     texts = texts.select("doc_id", "part", F.coalesce("text", F.lit("")).alias("text"))
     ranks = spark.sparkContext.broadcast(word_ranks(texts.select("text")))
-    schema = "doc_id long, sub long, d1 long, d2 long, again boolean, p0 long, p1 long, p2 long, size int, keys array<long>, places array<int>"
+    schema = "doc_id long, sub long, d1 long, d2 long, again boolean, p0 long, p1 long, p2 long, p3 long, size int, keys array<long>, places array<int>"
     described = stored(texts.mapInArrow(_described(ranks), schema), "lines")
 
     # Of documents with an equal line the first stands for all. A number is summed faster than two.
@@ -431,8 +471,8 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     few = small(copied.select("d1", "d2", "first"))
     rows = new.where(f"size >= {OVER}").join(few, ["d1", "d2"], "left").where(F.col("first").isNull() | (F.col("first") == own))
     rows = rows.select(*AT, *PARITY, "size", F.inline(F.arrays_zip("keys", "places")).alias("key", "place"))
-    shape = F.shiftleft(F.col("size").cast("long"), 32) + F.col("place")
-    rows = rows.select("key", shape.alias("shape"), *AT, *PARITY)
+    shape = F.shiftleft(F.col("size").cast("long"), PLACE) + F.col("place")
+    rows = rows.select("key", "p0", shape.alias("shape"), *AT, *PARITY[1:])
     by_key = rows.repartition("key").sortWithinPartitions("key", "shape")
     schema = "doc_id long, sub long, other_id long, other_sub long, more boolean, key long"
     taken = stored(by_key.mapInArrow(_candidates(window, CHUNK_ROWS), schema), "taken")
@@ -450,10 +490,17 @@ def similar_lines(docs: DataFrame, window: int = WINDOW) -> DataFrame:
     return every.select("doc_id", F.shiftright("sub", 32).alias("part"), F.col("sub").bitwiseAND(F.lit(0xFFFFFFFF)).cast("int").alias("line"))
 
 
+def _by_document(lines: DataFrame, removed: Column) -> DataFrame:
+    """doc_id, part and the aggregate ``removed`` of ``lines``, a stored table. It is broadcast if there are at most a million lines,
+    about 20 MB, so that texts that it is joined to aren't shuffled."""
+    lists = lines.groupBy("doc_id", "part").agg(removed)
+    return F.broadcast(lists) if lines.count() <= 1_000_000 else lists
+
+
 def removed_lines(docs: DataFrame) -> DataFrame:
     """doc_id, n_lines (of all that \\n splits), n_removed, removed (line numbers, ascending) of every
     row; a null text has no line. Otherwise as ``similar_lines``."""
-    gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.sort_array(F.collect_list("line")).alias("removed"))
+    gone = _by_document(similar_lines(docs), F.sort_array(F.collect_list("line")).alias("removed"))
     n_lines = F.when(F.col("text").isNull(), 0).otherwise(F.size(F.split("text", "\n", -1))).cast("long")
     every = placed(docs, n_lines.alias("n_lines")).join(gone, ["doc_id", "part"], "left")
     removed = F.coalesce("removed", F.array().cast("array<int>"))
@@ -472,7 +519,7 @@ def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def dedup(docs: DataFrame) -> DataFrame:
     """``docs``, all columns and rows, with the lines of ``similar_lines`` cut out of text."""
-    gone = similar_lines(docs).groupBy("doc_id", "part").agg(F.collect_list("line").alias("_removed"))
+    gone = _by_document(similar_lines(docs), F.collect_list("line").alias("_removed"))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("_row")
     every = placed(docs, row).join(gone, ["doc_id", "part"], "left").select("text", "_row", "_removed")
     every = every.mapInArrow(_cut, every.schema)

@@ -124,3 +124,51 @@ def test_pairs_of_near_copies_grow_with_lines(spark, monkeypatch):
         df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
         assert {r.doc_id for r in lines.similar_lines(df).collect()} == set(brute(docs))
     assert counts[1] < 2.5 * counts[0], counts
+
+
+def keys_of(sizes, common=0):
+    """Lines of disjoint words, and the key rows of them where all words are counted more than ``common`` times."""
+    import numpy as np
+    import pyarrow as pa
+
+    text = "\n".join(" ".join(f"{k}w{i}" for i in range(n)) for k, n in enumerate(sizes))
+    found = [lines.lines_of(p) for p in lines.words.pieces(pa.array([text]))]
+    ranks = np.full(lines.CELLS, 30 * 1024, dtype=np.uint16)
+    return [(x, *lines._keys(x, ranks)) for x in found]
+
+
+def test_keys_of_common_words_grow_as_the_size():
+    """All pairs of a prefix were 15, 66 and 231 at the first sizes; above 128 words all lines with a word met under it."""
+    import numpy as np
+
+    for n in (20, 50, 100, 400, 4000):
+        (x, line, key, place), = keys_of([n] * 20)
+        assert len(line) / 20 < 1.1 * n + 8 and (np.bincount(line, minlength=20) > 0).all()
+        assert (place >= 0).all() and (place < n // 5 + 1).all()
+    assert [int(g) for g in lines._class(np.array([4, 15, 16, 47, 48, 144]))[0]] == [1, 1, 4, 4, 12, 36]
+
+
+def test_long_lines_and_boundaries_of_classes(spark, monkeypatch):
+    """Lines about the sizes where groups and parities change, all words common."""
+    monkeypatch.setattr(lines, "COMMON", 1)
+    rng, docs = random.Random(7), {}
+    for n in (13, 15, 16, 19, 20, 39, 47, 48, 59, 63, 64, 65, 80, 116, 143, 144, 159, 161, 200, 450):
+        base = [f"{n}w{i}" for i in range(n)]
+        for k in range(6):
+            w = [x for x in base if rng.random() > k / 60]
+            docs[len(docs)] = " ".join(rng.sample(w, len(w)) + [f"x{rng.randrange(40)}" for _ in range(rng.randint(0, n // 9))])
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    want = {r.doc_id for r in lines.similar_lines(df).collect()}
+    assert want == set(brute(docs)) and 20 < len(want) < 115
+
+
+def test_dedup_of_few_lines_shuffles_no_texts(spark):
+    df = spark.createDataFrame([(k, t) for k, t in odd_docs().items()], "doc_id long, text string")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        plan = lines.dedup(df)._jdf.queryExecution().sparkPlan().toString()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
