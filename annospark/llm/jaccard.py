@@ -4,14 +4,15 @@ Sets that cannot be similar to another are told first: whatever order the shingl
 shares with some other set at least ``l`` of the first ``spare + l`` of them, where spare is the number that a similar
 set may lack. In order of their digests, each task picks these for itself, and one aggregation finds those of one set
 alone. The sets that remain are ordered by how rare their shingles are among them, those of one set first. Of two similar
-sets, the first spare + 1 of each then have one in common, and the first spare + 2 have two.
+sets, the first spare + 1 of each then have one in common, and the first spare + 2 have two. What the smaller one may lack
+is less, as it is similar to one that is no smaller: of its first, those up to that many are indexed, and the rest only probe for smaller sets.
 
 Small (light) sets enumerate the subsets of two of their spare + 2, so that they meet under a key only if they share
 both; large (heavy) sets scan the inverted lists of their spare + 1, in which light sets that are large enough to be
 similar are listed too. The boundary between small and large is the size with the least cost: subsets enumerated by
 those below, list entries scanned by those above.
 
-Sets under one key, or in one list, form a bucket. Not all its pairs are formed: in turns, more each time, members of a
+Sets under one key, or in one list, form a bucket, if one of them is indexed there. Not all its pairs are formed: in turns, more each time, members of a
 bucket are compared with all others, and are done with; a bucket is done when its members are linked, by whatever
 links, or have all been compared. So no link between two components is lost, and the links of one are not all formed.
 """
@@ -22,7 +23,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from annospark.llm import words
@@ -34,6 +35,10 @@ from annospark.llm.scratch import drop, scoped, small, stored
 PARITY = 8
 #: Elements of the first filter beyond spare: one of so many.
 EXTRA = 16
+#: Bits of the digest of a set in the first filter. Sets that share it with another set pass.
+SHORT = 40
+#: Bits of an element (``words.sets``). Above them goes its rank, so many for each octave of the sets that have it.
+BITS, RANKS = 54, 16
 #: Members of a bucket that are compared with all others in the first turn, how many times more in each next one, and
 #: pairs left in all buckets up to which they are compared at once, by their parities where they are joined.
 FIRST, MORE, AT_ONCE = 1, 16, 1 << 25
@@ -49,6 +54,12 @@ def spare(n: Column, similarity: tuple[int, int]) -> Column:
     return F.floor(n * (under - over) / under + 1e-9).cast("long")
 
 
+def spare_smaller(n: Column, similarity: tuple[int, int]) -> Column:
+    """Elements of a set of n that a similar one may lack, at most, if it has n or more itself."""
+    over, under = similarity
+    return F.floor(n * (under - over) / (under + over) + 1e-9).cast("long")
+
+
 def _signed(width: int, similarity: tuple[int, int]):
     """(doc_id, n_shingles, d1, d2, parity, first): size, digests, parities and first elements of the set of each text."""
     over, under = similarity
@@ -98,22 +109,30 @@ def _candidates(signed: DataFrame, classes: DataFrame) -> DataFrame:
     """id, n, parity of those of ``classes``, the different sets, that may have a similar one: enough of their first
     elements are in another set too."""
     full = signed.where("n_shingles > 1 and doc_id is not null")
-    of = F.struct("d1", "d2")
-    owners = full.select("d1", "d2", F.explode("first").alias("e")).groupBy("e").agg(F.min(of).alias("a"), F.max(of).alias("b"))
-    alone = owners.where("a = b").groupBy("a.d1", "a.d2").agg(F.count("*").alias("alone"))
+    short = F.col("d1").bitwiseAND(F.lit((1 << SHORT) - 1)).alias("d")
+    owners = full.select(short, F.explode("first").alias("e")).groupBy("e").agg(F.min("d").alias("a"), F.max("d").alias("b"))
+    alone = owners.where("a = b").groupBy(F.col("a").alias("d")).agg(F.count("*").alias("alone"))
+    twins = stored(classes.groupBy(short).agg(F.count("*").alias("k")).where("k > 1").select("d", F.lit(True).alias("twin")), "twins")
     shared = F.col("n_first") - F.coalesce("alone", F.lit(0))
-    return classes.where("n_shingles > 1 and id is not null").join(alone, ["d1", "d2"], "left").where(shared >= F.greatest(F.lit(1), F.floor(F.col("n_shingles") / EXTRA))).select("id", F.col("n_shingles").alias("n"), "parity")
+    every = classes.where("n_shingles > 1 and id is not null").withColumn("d", short).join(alone, "d", "left").join(small(twins), "d", "left")
+    return every.where(F.col("twin").isNotNull() | (shared >= F.greatest(F.lit(1), F.floor(F.col("n_shingles") / EXTRA)))).select("id", F.col("n_shingles").alias("n"), "parity")
 
 
 def _prefixes(sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
-    """id, n, prefix (k, e) of each set: its shared elements among the first spare + 2 of all, rarest first."""
-    postings = sets.select("id", "n", F.explode("elements").alias("e"))
-    counts = stored(postings.groupBy("e").agg(F.count("*").alias("k")).where("k > 1").withColumn("many", F.col("k")), "counts")
-    shared = joined(postings, counts, ["e"])
-    lists = shared.groupBy("id", "n").agg(F.sort_array(F.collect_list(F.struct(F.col("many").alias("k"), "e"))).alias("shared"))
+    """id, n, prefix (k, e) of each set: its shared elements among the first spare + 2 of all, rarest first, by the rank of the
+    number k of sets that have them; indexed: how many of them are among the first spare_smaller + 2."""
+    # Rows of an element are counted where they meet, so they move once; an element has a row for each set at most.
+    postings = sets.select("id", F.explode("elements").alias("e")).withColumn("k", F.count("*").over(Window.partitionBy("e")))
+    # One number holds rank and element, so that a list of them is sorted, and moved, as it is.
+    rank = F.least(F.lit(511), F.floor(RANKS * F.log2("k"))).cast("long")
+    at = F.shiftleft(rank, BITS).bitwiseOR(F.col("e"))
+    lists = postings.where("k > 1").groupBy("id").agg(F.sort_array(F.collect_list(at)).alias("shared"))
+    lists = lists.join(small(stored(sets.select("id", "n"), "sizes")), "id")
     alone = F.col("n") - F.size("shared")
-    length = (spare(F.col("n"), similarity) + 2 - alone).cast("int")
-    return stored(lists.select("id", "n", F.slice("shared", F.lit(1), F.greatest(F.lit(0), length)).alias("prefix")).where("size(prefix) > 1"), "prefixes")
+    length, indexed = ((f(F.col("n"), similarity) + 2 - alone).cast("int") for f in (spare, spare_smaller))
+    first = F.slice("shared", F.lit(1), F.greatest(F.lit(0), length))
+    prefix = F.transform(first, lambda x: F.struct(F.pow(F.lit(2.0), F.shiftright(x, BITS) / RANKS).cast("long").alias("k"), x.bitwiseAND(F.lit((1 << BITS) - 1)).alias("e")))
+    return stored(lists.select("id", "n", prefix.alias("prefix"), indexed.alias("indexed")).where("size(prefix) > 1"), "prefixes")
 
 
 def boundary(prefixes: DataFrame, similarity: tuple[int, int]) -> int:
@@ -134,20 +153,27 @@ def boundary(prefixes: DataFrame, similarity: tuple[int, int]) -> int:
 
 
 def _buckets(prefixes: DataFrame, x: int, similarity: tuple[int, int]) -> DataFrame:
-    """key, id, n, role of the members of buckets of two and more. role: 0 under a subset, 1 heavy in a list,
-    2 light in a list, where it is met by heavy sets alone. Of buckets with the same members one is kept."""
+    """key, id, n, role, score of the members of buckets of two and more. role: 0 under a subset and 1 heavy in a list, both
+    indexed; 2 light in a list, where it is met by heavy sets alone; 3 and 4 as 0 and 1, but not indexed, where it is met by
+    smaller sets alone that are. Of buckets with the same members one is kept. A set has a greater score the fewer
+    of its elements are its own."""
     over, under = similarity
     p, c = F.col("prefix"), F.size("prefix")
-    subsets = F.flatten(F.transform(F.sequence(F.lit(0), c - 2), lambda i: F.transform(F.slice(p, i + 2, c), lambda y: F.xxhash64(F.get(p, i)["e"], y["e"]))))
-    singles = F.transform(F.slice(p, F.lit(1), c - 1), lambda y: F.xxhash64(y["e"]))
+    place = lambda i: F.when(i < F.col("indexed"), 0).otherwise(3)
+    row = lambda role, *e: F.struct(F.xxhash64(*e).alias("key"), role.cast("int").alias("role"))
+    subsets = F.flatten(F.transform(F.sequence(F.lit(0), c - 2), lambda i: F.transform(F.sequence(i + 1, c - 1), lambda j: row(place(j), F.get(p, i)["e"], F.get(p, j)["e"]))))
+    singles = F.transform(F.sequence(F.lit(0), c - 2), lambda i: row(F.when(F.col("n") < x, F.when(place(i + 1) == 0, 2).otherwise(5)).otherwise(place(i + 1) + 1), F.get(p, i)["e"]))
     light = F.col("n") < x
-    by_pair = prefixes.where(light).select(F.explode(subsets).alias("key"), "id", "n", F.lit(0).alias("role"))
-    listed = prefixes.where(~light | (F.col("n") * under >= x * over)).select(F.explode(singles).alias("key"), "id", "n", F.when(light, 2).otherwise(1).alias("role"))
+    by_pair = prefixes.where(light).select(F.inline(subsets), "id", "n", c.alias("score"))
+    # Light sets are smaller than those that scan their lists, so the ones that are not indexed are not listed.
+    listed = prefixes.where(~light | (F.col("n") * under >= x * over)).select(F.inline(singles), "id", "n", c.alias("score")).where("role < 5")
     rows = by_pair.unionByName(listed)
     marks = [F.bit_xor(F.xxhash64("id", "role")).alias("m1"), F.bit_xor(F.xxhash64("role", "id", F.lit(1))).alias("m2")]
-    buckets = rows.groupBy("key").agg(F.count("*").alias("k"), F.count_if(F.col("role") < 2).alias("able"), *marks).where("k > 1 and able > 0")
-    kept = stored(buckets.groupBy("m1", "m2", "k").agg(F.min("key").alias("key")).select("key", "k"), "buckets")
-    return stored(joined(rows, kept, ["key"]), "members")
+    sizes = [F.min(F.when(F.col("role") < 3, F.col("n"))).alias("least"), F.count_if(F.col("role") < 3).alias("indexed"), F.max("n").alias("most")]
+    buckets = rows.groupBy("key").agg(F.count("*").alias("k"), F.count_if(F.col("role") != 2).alias("able"), *sizes, *marks)
+    buckets = buckets.where("k > 1 and able > 0 and (indexed > 1 or most > least)")
+    kept = stored(buckets.groupBy("m1", "m2", "k").agg(F.min("key").alias("key"), F.first("least").alias("least")).select("key", "k", "least"), "buckets")
+    return stored(joined(rows, kept, ["key"]).where("role < 3 or n > least").drop("least"), "members")
 
 
 def _beside(pairs: DataFrame, sets: DataFrame, side: str, other: str) -> DataFrame:
@@ -175,11 +201,12 @@ def _links(pairs: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> Da
 def _resolved(members: DataFrame, parities: DataFrame, sets: DataFrame, similarity: tuple[int, int]) -> DataFrame:
     """node, component of the sets that are linked with another of some bucket, directly or not."""
     over, under = similarity
-    scores = stored(members.groupBy("id").agg(F.count("*").alias("score")), "scores")
-    open_, turn, found = stored(members.join(small(scores), "id"), "open"), 0, None
+    open_, turn, found = members, 0, None
     differ = sum((F.bit_count(F.get("x.parity", F.lit(k)).bitwiseXOR(F.get("y.parity", F.lit(k)))) for k in range(PARITY)), F.lit(0))
     can_be = F.coalesce(differ * (under + over) <= (F.col("x.n") + F.col("y.n")) * (under - over), F.lit(True))
-    fits = (F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & ((F.col("x.role") < 2) | (F.col("y.role") < 2))
+    fits = (F.least("x.n", "y.n") * under >= F.greatest("x.n", "y.n") * over) & ((F.col("x.role") != 2) | (F.col("y.role") != 2))
+    # Of two sets the smaller one is indexed, or both are.
+    fits = fits & ((F.col("x.role") < 3) | (F.col("x.n") > F.col("y.n"))) & ((F.col("y.role") < 3) | (F.col("y.n") > F.col("x.n")))
     while True:
         placed = open_.withColumn("c", F.col("id"))
         if found is not None:

@@ -79,3 +79,44 @@ def test_odd_rows(spark):
     found = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
     assert sorted(map(tuple, found.collect()), key=str) == [(7, 36, 7), (7, 36, 7), (8, 2, 8), (8, 2, 8), (9, 37, 7), (None, 0, None), (None, 36, None)]
     assert jaccard.near_duplicates(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def test_smaller_sets_are_indexed(spark):
+    """Pairs at the least similarity, one set within the other, and sets that share their digest in the first filter."""
+    docs = {}
+    for k, n in enumerate((20, 45, 100, 250)):  # n shingles, and 80 of a hundred of them
+        for text in ([f"{k}w{i}" for i in range(n + 4)], [f"{k}w{i}" for i in range(n * 4 // 5 + 4)], [f"{k}w{i}" for i in range(2, n * 4 // 5 + 5)]):
+            docs[len(docs)] = " ".join(text)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    expected, chosen, short = want(docs), jaccard.boundary, jaccard.SHORT
+    assert len({c for _, _, c in expected}) == 4
+    try:
+        for x in (0, 10**6, 90):
+            jaccard.boundary = lambda *_, x=x: x
+            assert {tuple(r) for r in jaccard.near_duplicates(df).collect()} == expected
+        jaccard.SHORT = 0
+        assert {tuple(r) for r in jaccard.near_duplicates(df).collect()} == expected
+    finally:
+        jaccard.boundary, jaccard.SHORT = chosen, short
+
+
+def test_rows_of_buckets(spark, monkeypatch):
+    """Copies with edits: members of buckets, which all later joins read."""
+    rng, docs, rows = random.Random(3), {}, []
+    for group in range(12):
+        base = [f"g{group}w{i}" for i in range(60 + 10 * group)]
+        for _ in range(30):
+            own = list(base)
+            own[rng.randrange(len(own))] = f"x{rng.randrange(1000)}"
+            docs[len(docs)] = " ".join(own)
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    buckets = jaccard._buckets
+
+    def counted(*args):
+        members = buckets(*args)
+        rows.append(members.count())
+        return members
+
+    monkeypatch.setattr(jaccard, "_buckets", counted)
+    assert {tuple(r) for r in jaccard.near_duplicates(df).collect()} == want(docs)
+    assert 0 < rows[0] < 18_000  # 11,501; 28,956 with all of the first elements indexed
