@@ -4,6 +4,8 @@ Each set gets ``collections`` small collections of ``rows`` minhashes. A table k
 two collections, so ``c`` collections give ``c (c - 1) / 2`` tables for the price of ``c * rows`` minhashes.
 Two sets of similarity s meet in a table if at least two collections agree, each with probability
 s**rows: with 13 collections of 2 rows a pair at 0.8 is missed with probability 4e-5, one at 0.9 with 1e-9.
+A set gets rows in the tables of those collections alone that agree with another set's, which one aggregation of
+``c`` values a set tells, so sets that are near nothing have hardly any.
 
 Rows of a table with one key form a bucket. No bucket is gathered and its pairs are not all formed:
 every member is first compared with the bucket's hub, and in crowds with a few others. As long as members
@@ -93,16 +95,16 @@ def _verified(width: int, similarity: tuple[int, int]):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         over, under = similarity
-        last: tuple = (None, None)
+        last: tuple = (None, None, None)
         for batch in batches:
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 keep = []
                 left_ids = part["a"].to_pylist()
                 for left_id, left_text, right in zip(left_ids, part["text_a"], element_lists(part["text_b"]), strict=True):
-                    if left_id != last[0]:
-                        last = (left_id, element_lists(pa.array([left_text.as_py()]))[0])
-                    left = last[1]
+                    if left_id != last[0] or not left_text.equals(last[1]):  # a doc_id may have several texts
+                        last = (left_id, left_text, element_lists(pa.array([left_text.as_py()]))[0])
+                    left = last[2]
                     if len(left) > len(right):
                         left, right = right, left
                     at = np.searchsorted(right, left)
@@ -128,6 +130,27 @@ def _links(pairs: DataFrame, texts: DataFrame, width: int, similarity: tuple[int
     return both.mapInArrow(_verified(width, similarity), "a long, b long")
 
 
+def _tables(classes: DataFrame, n_collections: int) -> DataFrame:
+    """id, n, key: rows of ``classes`` in the tables. A row of a bucket of two and more agrees with another set in both
+    collections, so collections whose value one set alone has are left out, and with them most rows."""
+    bits = (n_collections - 1).bit_length()
+    # The number of the collection is in the lower bits of its value; the upper ones that go for it tell a few values less apart.
+    values = classes.select("id", F.posexplode("minhash").alias("k", "value"))
+    values = values.select("id", F.shiftleft("value", bits).bitwiseOR(F.col("k").cast("long")).alias("value"))
+    owners = values.groupBy("value").agg(F.min("id").alias("id"), F.max("id").alias("other"))
+    own = F.expr(f"shiftleft(1L, cast(value & {(1 << bits) - 1} as int))")
+    alone = owners.where("id = other").groupBy("id").agg(F.bit_or(own).alias("alone"))
+    # A doc_id with several sets is not told which of them a value belongs to.
+    shared = F.when(F.col("sets") > 1, F.lit(-1)).otherwise(F.bitwise_not(F.coalesce("alone", F.lit(0).cast("long"))).bitwiseAND(F.lit((1 << n_collections) - 1)))
+    met = classes.groupBy("id").agg(F.count("*").alias("sets")).join(alone, "id", "left").select("id", shared.cast("long").alias("shared"))
+    met = stored(met.where(F.bit_count("shared") > 1), "meeting")
+    keys = [
+        F.when(F.col("shared").bitwiseAND(F.lit(both := 1 << i | 1 << j)) == both, F.xxhash64(F.lit(k), F.col("minhash")[i], F.col("minhash")[j]))
+        for k, (i, j) in enumerate(combinations(range(n_collections), 2))
+    ]
+    return classes.join(small(met), "id").select("id", F.col("n_shingles").alias("n"), F.explode(F.array_compact(F.array(*keys))).alias("key"))
+
+
 @scoped
 def near_duplicates(
     docs: DataFrame, width: int = 5, similarity: tuple[int, int] = (80, 100), n_collections: int = COLLECTIONS, rows: int = ROWS
@@ -153,11 +176,7 @@ def near_duplicates(
     classes = full.groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("id"), F.first("minhash").alias("minhash"), F.first("parity").alias("parity"))
     classes = stored(classes, "classes")
 
-    keys = [
-        F.xxhash64(F.lit(k), F.col("minhash")[i], F.col("minhash")[j])
-        for k, (i, j) in enumerate(combinations(range(n_collections), 2))
-    ]
-    tables = classes.select("id", F.col("n_shingles").alias("n"), F.explode(F.array(*keys)).alias("key"))
+    tables = _tables(classes, n_collections)
     buckets = tables.groupBy("key").agg(F.count("*").alias("size")).where("size > 1")
     members = stored(tables.join(buckets, "key"), "members")
     # The hub of a bucket is its member that meets most others in all buckets, such as the text that

@@ -65,3 +65,29 @@ def test_crowded_buckets(spark):
     assert minhash.near_duplicates(df.limit(0)).count() == 0
     twice = minhash.near_duplicates(df.where("doc_id = 3").union(df.where("doc_id = 3")).union(df.limit(1).selectExpr("null", "text", "1")))
     assert sorted(map(tuple, twice.collect()), key=str) == [(3, 1, 3, True), (3, 1, 3, True), (None, 0, None, True)]
+
+
+def shuffled(spark, run):
+    """What ``run`` returns, and the rows that are shuffled by its stages."""
+    store, total = spark._jsc.sc().statusStore(), 0
+    first = spark.range(1).rdd.count() and max(spark.sparkContext.statusTracker().getJobIdsForGroup(None))
+    found = run()
+    spark._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+    tracker = spark.sparkContext.statusTracker()
+    stages = {s for j in tracker.getJobIdsForGroup(None) if j > first for s in tracker.getJobInfo(j).stageIds}
+    for s in stages:
+        total += store.lastStageAttempt(s).shuffleWriteRecords()
+    return found, total
+
+
+def test_unlike_sets_have_no_tables(spark):
+    """Sets near nothing, copies with edits, and one doc_id with two texts of which one has a copy."""
+    docs = {k: " ".join(f"{k}w{i}" for i in range(40)) for k in range(400)}
+    docs |= {1000 + k: docs[k] + " end" for k in range(5)}
+    df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
+    rows, moved = shuffled(spark, lambda: minhash.near_duplicates(df).collect())
+    assert {tuple(r) for r in rows} == brute(docs, 5)
+    assert moved < 20_000  # 78 rows of tables for each set were over 31,000 alone
+    twice = [(8, docs[8]), (8, docs[9]), (20, docs[8] + " end"), (21, docs[9] + " end")]
+    found = minhash.near_duplicates(spark.createDataFrame(twice, "doc_id long, text string")).collect()
+    assert {(r.doc_id, r.component_id) for r in found} == {(8, 8), (20, 8), (21, 8)}
