@@ -10,7 +10,7 @@ is less, as it is similar to one that is no smaller: of its first, those up to t
 Small (light) sets enumerate the subsets of two of their spare + 2, so that they meet under a key only if they share
 both; large (heavy) sets scan the inverted lists of their spare + 1, in which light sets that are large enough to be
 similar are listed too. The boundary between small and large is the size with the least cost: subsets enumerated by
-those below, list entries scanned by those above.
+those below, list entries scanned by those above, a few of each list. So a light set has few subsets however many copies there are of it.
 
 Sets under one key, or in one list, form a bucket, if one of them is indexed there. Not all its pairs are formed: in turns, more each time, members of a
 bucket are compared with all others, and are done with; a bucket is done when its members are linked, by whatever
@@ -39,6 +39,9 @@ EXTRA = 16
 SHORT = 40
 #: Bits of an element (``words.sets``). Above them goes its rank, so many for each octave of the sets that have it.
 BITS, RANKS = 54, 16
+#: Entries of a list that count as scanned by a set, at most. Buckets are compared in turns, most of whose members one
+#: other links, so a set does not meet all of a long list; counting all would enumerate ever larger sets as lists grow.
+SCANNED = 4
 #: Members of a bucket that are compared with all others in the first turn, how many times more in each next one, and
 #: pairs left in all buckets up to which they are compared at once, by their parities where they are joined.
 FIRST, MORE, AT_ONCE = 1, 16, 1 << 25
@@ -141,7 +144,7 @@ def boundary(prefixes: DataFrame, similarity: tuple[int, int]) -> int:
     over, under = similarity
     step = F.floor(4 * F.log2("n"))
     pairs = F.size("prefix") * (F.size("prefix") - 1) / 2
-    scanned = F.aggregate(F.slice("prefix", F.lit(1), F.size("prefix") - 1), F.lit(0).cast("long"), lambda s, x: s + x["k"])
+    scanned = F.aggregate(F.slice("prefix", F.lit(1), F.size("prefix") - 1), F.lit(0).cast("long"), lambda s, x: s + F.least(x["k"], F.lit(SCANNED)))
     rows = prefixes.groupBy(step.alias("step")).agg(F.min("n").alias("n"), F.max("n").alias("most"), F.sum(pairs).alias("pairs"), F.sum(scanned).alias("scanned"), F.sum(F.size("prefix")).alias("listed")).orderBy("step").collect()
     cuts = [r["n"] for r in rows] + [r["most"] + 1 for r in rows[-1:]]
 

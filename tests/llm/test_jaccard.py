@@ -63,6 +63,15 @@ def test_boundary_is_the_cheapest(spark):
     assert jaccard.boundary(prefixes.limit(0), (80, 100)) == 0
 
 
+def test_boundary_stays_with_longer_lists(spark):
+    """Large sets in large groups of copies scan lists too: their subsets would be the square of their size."""
+    rows = [(1, 20, 3), (2, 20, 3), (3, 400, 60), (4, 400, 60)]
+    for k in (2, 1000, 100_000):
+        prefixes = spark.createDataFrame([(*r, k) for r in rows], "id long, n long, c int, k long")
+        prefixes = prefixes.select("id", "n", F.array_repeat(F.struct("k", F.lit(7).cast("long").alias("e")), F.col("c")).alias("prefix"))
+        assert jaccard.boundary(prefixes, (80, 100)) == 400
+
+
 def test_hot_sets_are_copied(spark):
     docs = {k: t for k, t in corpus().items() if k < 700}
     df = spark.createDataFrame(list(docs.items()), "doc_id long, text string")
